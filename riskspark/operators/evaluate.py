@@ -162,33 +162,32 @@ def lift_gains(df: DataFrame, label: str, score: str, bins: int = 10) -> DataFra
 def capture_at_top(df: DataFrame, label: str, score: str, key: str, pct: float) -> DataFrame:
     """Flag the top int(N * pct / 100) rows by score (ties broken by ``key`` ascending) and
     report flagged count, positives captured, recall and precision. Exact at scale: the cut score is
-    found through prefix sums on distinct scores, then only the tied group at the cut is ranked."""
+    found through prefix sums on distinct scores (one aggregate gives totals and the cut), then
+    only the tied group at the cut is ranked by key (bucketed prefix count again)."""
     y = F.col(label).cast("int")
     base = df.where(F.col(score).isNotNull() & y.isNotNull())
     cs = cumulative_scores(base, label, score)
     n = F.col("tot_pos") + F.col("tot_neg")
     k = F.floor(n * F.lit(float(pct)) / F.lit(100.0)).cast("long")
     above = n - (F.col("cum_pos") + F.col("cum_neg"))  # rows with a strictly higher score
-    # the cut score: rows above < k <= rows above + rows at s (at most one distinct score)
-    cut = (cs.where((above < k) & (above + F.col("pos") + F.col("neg") >= k))
-           .select(F.col("s").alias("cut_s"), above.alias("above"), k.alias("k"),
-                   (F.col("tot_pos") - F.col("cum_pos")).alias("pos_above")))
-    totals = cs.agg(F.first("tot_pos").alias("P"), F.first(n).alias("N"), F.first(k).alias("k_all"))
-    # inside the tied group: the first (k - above) rows by key
-    tied = (base.join(F.broadcast(cut), F.col(score).cast("double") == F.col("cut_s"))
-            .select(F.col(key).alias("kk"), y.alias("y"), "above", "k"))
-    tied_cnt = tied.groupBy("kk").agg(F.count_if(F.col("y") == 1).alias("p1"), F.count(F.lit(1)).alias("c1"),
-                                      F.first("k").alias("k"), F.first("above").alias("above"))
-    ranked = running_sums(tied_cnt, "kk", ["c1"])
-    in_tie = (ranked.where(F.col("cum_c1") <= F.col("k") - F.col("above"))
-              .agg(F.coalesce(F.sum("p1"), F.lit(0)).alias("tie_pos")))
-    # one-row tables; the left join keeps the totals when nothing is flagged (k = 0)
-    out = totals.join(F.broadcast(cut.select("pos_above")), F.lit(True), "left").crossJoin(F.broadcast(in_tie))
-    captured = F.coalesce(F.col("pos_above"), F.lit(0)) + F.col("tie_pos")
-    return out.select(
-        F.lit(float(pct)).alias("top_pct"),
-        F.col("k_all").alias("flagged"),
-        captured.cast("long").alias("captured"),
-        safe_div(captured, F.col("P")).alias("recall"),
-        safe_div(captured, F.col("k_all")).alias("precision"),
-    )
+    is_cut = (above < k) & (above + F.col("pos") + F.col("neg") >= k)
+    # pass 1 -> one row: totals and the cut score (at most one distinct score satisfies is_cut)
+    head = cs.agg(F.first("tot_pos").alias("P"), F.first(k).alias("k"),
+                  F.max(F.when(is_cut, F.col("s"))).alias("cut_s"),
+                  F.max(F.when(is_cut, above)).alias("above"),
+                  F.max(F.when(is_cut, F.col("tot_pos") - F.col("cum_pos"))).alias("pos_above")).first()
+    spark = df.sparkSession
+    P_, k_ = int(head["P"] or 0), int(head["k"] or 0)
+    pos_above = int(head["pos_above"] or 0)
+    tie_pos = 0
+    if head["cut_s"] is not None and k_ > 0:
+        # pass 2: only the rows tied at the cut score, ranked by key (bucketed prefix count)
+        need = k_ - int(head["above"])
+        tied = (base.where(F.col(score).cast("double") == F.lit(float(head["cut_s"])))
+                .groupBy(F.col(key).alias("kk")).agg(F.count_if(y == 1).alias("p1"), F.count(F.lit(1)).alias("c1")))
+        ranked = running_sums(tied, "kk", ["c1"])
+        tie_pos = ranked.where(F.col("cum_c1") <= F.lit(need)).agg(F.coalesce(F.sum("p1"), F.lit(0)).alias("t"))
+        tie_pos = int(tie_pos.first()["t"])
+    captured = pos_above + tie_pos
+    row = (float(pct), k_, captured, captured / P_ if P_ else 0.0, captured / k_ if k_ else 0.0)
+    return spark.createDataFrame([row], "top_pct double, flagged long, captured long, recall double, precision double")

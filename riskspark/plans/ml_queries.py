@@ -1 +1,154 @@
-"""Model queries (rows-only checks): registered in later milestones."""
+"""Model queries over documents joined to labels (M8-M15, SC2, E6, X5-X7): checked on rows.
+
+Label: ``quality``. Features computed from the whole text with built-in functions: length, words,
+lines, digit share, plus ``lang`` and ``source`` as categories.
+"""
+
+from __future__ import annotations
+
+from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import functions as F
+
+from riskspark.functions.exprs import round_all
+from riskspark.operators import evaluate as E
+from riskspark.operators import explain as X
+from riskspark.operators import models as M
+from riskspark.operators.score import score_batch
+from riskspark.operators.shapley import tree_shapley
+from riskspark.plans.queries import register
+from riskspark.plans.tables import table
+from riskspark.session import cut_lineage
+
+NUMERIC = ["n_chars", "n_words", "n_lines", "digit_share"]
+CATEGORICAL = ["lang", "source"]
+LABEL = "quality"
+
+
+def doc_features(spark: SparkSession, sf: str) -> DataFrame:
+    docs, labels = table(spark, sf, "documents"), table(spark, sf, "labels")
+    d = docs.select(
+        "doc_id", "lang", "source", F.col("n_chars").cast("double").alias("n_chars"),
+        F.size(F.split(F.trim(F.col("text")), r"\s+")).cast("double").alias("n_words"),
+        F.size(F.split(F.col("text"), "\n")).cast("double").alias("n_lines"),
+        (F.length(F.regexp_replace("text", "[^0-9]", "")) / F.greatest(F.length("text"), F.lit(1))).alias("digit_share"))
+    return labels.select("doc_id", LABEL).join(d, "doc_id", "inner")
+
+
+def _prepared(spark, sf):
+    # iterative fits re-read their input many times: cut the lineage once with reliable checkpoints
+    # in the shared checkpoint folder (they survive executor loss)
+    df = cut_lineage(doc_features(spark, sf))
+    split = cut_lineage(M.stratified_split(df, LABEL, ["doc_id"], test_fraction=0.2, seed=42))
+    train, test = split.where(~F.col("is_test")), split.where("is_test")
+    prep = M.fit_prep(train, NUMERIC, CATEGORICAL)
+    # fit side: no epsilon in the scaler
+    tr = cut_lineage(M.with_weights(prep.transform(train, eps=0.0), LABEL))
+    te = cut_lineage(prep.transform(test))
+    return df, train, test, prep, tr, te
+
+
+def _metrics_row(pred: DataFrame, model_name: str, threshold: float) -> DataFrame:
+    m = E.metrics_at_threshold(pred, LABEL, "p", threshold)
+    auc = E.roc_auc(pred, LABEL, "p")
+    ap = E.average_precision(pred, LABEL, "p")
+    return (m.crossJoin(auc).crossJoin(ap)  # one-row frames
+            .select(F.lit(model_name).alias("model"), "accuracy", "precision", "recall", "f1_score", "roc_auc", "pr_auc",
+                    F.lit(float(threshold)).alias("selected_threshold"), "tn", "fp", "fn", "tp"))
+
+
+def _threshold_from_oof(tr: DataFrame, estimator) -> float:
+    folds = cut_lineage(M.stratified_folds(tr, LABEL, ["doc_id"], k=5))
+    oof = M.out_of_fold(estimator, folds, "fold", 5, "p_oof")
+    # a one-row result (threshold of best F1)
+    return float(E.best_f1_threshold(oof, LABEL, "p_oof").first()["threshold"])
+
+
+def _lr_model(tr):
+    return M.logistic(LABEL, weight="weight", reg=0.01).fit(tr)
+
+
+@register("train_score_lr")
+def q_train_score_lr(spark, sf):
+    _, _, _, _, tr, te = _prepared(spark, sf)
+    model = _lr_model(tr)
+    pred = M.positive_probability(model.transform(te), "p")
+    return round_all(_metrics_row(pred, "logistic_regression", 0.5), 6)
+
+
+@register("train_score_gbt")
+def q_train_score_gbt(spark, sf):
+    _, _, _, _, tr, te = _prepared(spark, sf)
+    model = M.boosted_trees(LABEL, weight="weight", max_iter=20, max_depth=3).fit(tr)
+    pred = M.positive_probability(model.transform(te), "p")
+    return round_all(_metrics_row(pred, "boosted_trees", 0.5), 6)
+
+
+@register("oof_threshold")
+def q_oof_threshold(spark, sf):
+    _, _, _, _, tr, te = _prepared(spark, sf)
+    est = M.logistic(LABEL, weight="weight", reg=0.01)
+    t = _threshold_from_oof(tr, est)
+    pred = M.positive_probability(est.fit(tr).transform(te), "p")
+    return round_all(_metrics_row(pred, "logistic_regression_oof", t), 6)
+
+
+@register("grid_search_lr")
+def q_grid_search_lr(spark, sf):
+    _, _, _, _, tr, te = _prepared(spark, sf)
+    folds = cut_lineage(M.stratified_folds(tr, LABEL, ["doc_id"], k=3))
+    lr = M.logistic(LABEL, weight="weight")
+    cv = M.grid_search(lr, M.lr_grid(lr, (0.0, 0.01, 0.1)), folds, LABEL, "fold", parallelism=3)
+    pred = M.positive_probability(cv.bestModel.transform(te), "p")
+    return round_all(_metrics_row(pred, "logistic_regression_cv", 0.5).withColumn(
+        "best_reg", F.lit(float(cv.bestModel.getRegParam()))), 6)
+
+
+@register("model_comparison")
+def q_model_comparison(spark, sf):
+    return q_train_score_lr(spark, sf).unionByName(q_train_score_gbt(spark, sf))
+
+
+@register("score_batch")
+def q_score_batch(spark, sf):
+    """SC2: score every document with a label-trained model; keeps all input columns."""
+    df, _, _, prep, tr, _ = _prepared(spark, sf)
+    model = _lr_model(tr)
+    feats = df.drop(LABEL)
+    scored = score_batch(feats, prep, model, threshold=0.5, mode="batch_mean",
+                         feature_kwargs={"income": "n_chars", "level": "lang", "role_years": "n_lines",
+                                         "company_years": "n_words"})
+    return round_all(scored, 6)
+
+
+@register("linear_shapley")
+def q_linear_shapley(spark, sf):
+    df, _, _, prep, tr, _ = _prepared(spark, sf)
+    model = _lr_model(tr)
+    x = prep.transform(df, eps=0.0)
+    names = prep.feature_names
+    # background mean of each scaled feature (one aggregate over all rows)
+    from pyspark.ml.functions import vector_to_array
+    arr = x.select(vector_to_array("features").alias("a"))
+    means = arr.agg(*[F.avg(F.col("a")[i]).alias(f"m{i}") for i in range(len(names))]).first()
+    sh = X.linear_shapley(x, "features", model.coefficients.toArray().tolist(), [means[f"m{i}"] for i in range(len(names))],
+                          names)
+    return round_all(X.attribution_summary(sh, "shap", names), 6)
+
+
+@register("tree_shapley_summary")
+def q_tree_shapley_summary(spark, sf):
+    df, _, _, prep, tr, _ = _prepared(spark, sf)
+    model = M.boosted_trees(LABEL, weight="weight", max_iter=10, max_depth=3).fit(tr)
+    x = prep.transform(df)
+    sh = tree_shapley(x, model, "features", ["doc_id"])
+    return round_all(X.attribution_summary(sh, "shap", prep.feature_names), 6)
+
+
+@register("tree_shapley_check")
+def q_tree_shapley_check(spark, sf):
+    """Sum rule: max |sum(shap) + base - margin| over all rows (should be ~0)."""
+    df, _, _, prep, tr, _ = _prepared(spark, sf)
+    model = M.boosted_trees(LABEL, weight="weight", max_iter=10, max_depth=3).fit(tr)
+    sh = tree_shapley(prep.transform(df), model, "features", ["doc_id"])
+    gap = F.abs(F.aggregate("shap", F.lit(0.0), lambda a, b: a + b) + F.col("base") - F.col("margin"))
+    return sh.agg(F.count(F.lit(1)).alias("n"), (F.max(gap) < 1e-9).alias("sum_rule_holds"))
