@@ -503,3 +503,33 @@ ORACLE["roi_rows"] = _roi_sql([10, 20, 30], [30.0]) + """
 SELECT target_pct, ROUND(success_rate, 6) AS success_rate, 'Direct Loss (No Action)' AS metric, ROUND(CAST(exits * avg_cost AS DOUBLE), 6) AS amount FROM k
 UNION ALL SELECT target_pct, ROUND(success_rate, 6), 'Gross Savings', ROUND(gross, 6) FROM k
 UNION ALL SELECT target_pct, ROUND(success_rate, 6), 'Net Value Generated', ROUND(GREATEST(0.0, gross - flagged * 1500.0), 6) FROM k"""
+
+
+_DRIVER_SQL = [
+    ("Return rate by order priority and line status", """
+SELECT o.o_orderpriority, l.l_linestatus, COUNT(*) AS n FROM lineitem l JOIN orders o ON l.l_orderkey = o.o_orderkey
+GROUP BY 1, 2"""),
+    ("Mean quantity and price of returned and kept lines", """
+SELECT CASE WHEN l_returnflag = 'R' THEN 1 ELSE 0 END AS returned FROM lineitem GROUP BY 1"""),
+    ("Return rate by line number", "SELECT l_linenumber FROM lineitem GROUP BY 1"),
+    ("Finished orders by customer segment and priority (join)", """
+SELECT c.c_mktsegment, o.o_orderpriority FROM customer c JOIN orders o ON c.c_custkey = o.o_custkey
+WHERE o.o_orderstatus = 'F' GROUP BY 1, 2"""),
+]
+
+ORACLE["sql_file_reports"] = "\nUNION ALL\n".join(
+    f"SELECT {i + 1} AS idx, '{t}' AS title, COUNT(*) AS n_rows FROM ({q}) t{i}" for i, (t, q) in enumerate(_DRIVER_SQL))
+
+ORACLE["sql_report_join"] = """
+SELECT c.c_mktsegment, o.o_orderpriority, COUNT(*) AS n, ROUND(AVG(c.c_acctbal), 2) AS avg_acctbal
+FROM customer c INNER JOIN orders o ON c.c_custkey = o.o_custkey
+WHERE o.o_orderstatus = 'F'
+GROUP BY c.c_mktsegment, o.o_orderpriority
+ORDER BY c.c_mktsegment, n DESC"""
+
+ORACLE["json_metadata"] = ORACLE["scale_fit"]
+
+ORACLE["csv_roundtrip"] = """
+SELECT COUNT(*) AS n, ROUND(SUM(value), 4) AS sum_value, COUNT(*) FILTER (WHERE props IS NULL) AS null_props FROM events"""
+
+ORACLE["stream_score"] = ORACLE["risk_tier"]

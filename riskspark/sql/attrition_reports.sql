@@ -1,0 +1,34 @@
+-- Outcome rate by department and job role
+SELECT Department, JobRole,
+       ROUND(AVG(CASE WHEN Attrition = 1 THEN CAST(1 AS DOUBLE) ELSE CAST(0 AS DOUBLE) END) * 100, 2) AS AttritionRatePercent,
+       COUNT(*) AS Headcount
+FROM employees
+GROUP BY Department, JobRole
+ORDER BY AttritionRatePercent DESC, Department, JobRole;
+
+-- Mean tenure and income of leavers and stayers
+SELECT Attrition,
+       ROUND(AVG(CAST(YearsAtCompany AS DOUBLE)), 2) AS AvgTenureYears,
+       ROUND(AVG(CAST(MonthlyIncome AS DOUBLE)), 2) AS AvgMonthlyIncome
+FROM employees
+GROUP BY Attrition;
+
+-- Outcome rate by work-life balance rating
+SELECT WorkLifeBalance,
+       COUNT(*) AS TotalEmployees,
+       CAST(SUM(Attrition) AS BIGINT) AS AttritionCount,
+       ROUND(AVG(CASE WHEN Attrition = 1 THEN CAST(1 AS DOUBLE) ELSE CAST(0 AS DOUBLE) END) * 100, 2) AS AttritionRatePercent
+FROM employees
+GROUP BY WorkLifeBalance
+ORDER BY WorkLifeBalance ASC;
+
+-- Exit reasons by department for leavers (join with the exit interviews)
+SELECT e.Department,
+       ei.ExitReason,
+       COUNT(*) AS ExitCount,
+       ROUND(AVG(CAST(e.MonthlyIncome AS DOUBLE)), 2) AS AvgIncomeOfExits
+FROM employees e
+INNER JOIN exit_interviews ei ON e.EmployeeNumber = ei.EmployeeNumber
+WHERE e.Attrition = 1
+GROUP BY e.Department, ei.ExitReason
+ORDER BY e.Department, ExitCount DESC, ei.ExitReason
