@@ -191,3 +191,10 @@ def capture_at_top(df: DataFrame, label: str, score: str, key: str, pct: float)
     captured = pos_above + tie_pos
     row = (float(pct), k_, captured, captured / P_ if P_ else 0.0, captured / k_ if k_ else 0.0)
     return spark.createDataFrame([row], "top_pct double, flagged long, captured long, recall double, precision double")
+
+
+def metrics_long(metrics: DataFrame, id_col: str = "model") -> DataFrame:
+    """The model comparison table transposed to (model, metric, value)."""
+    value_cols = [c for c in metrics.columns if c != id_col]
+    wide = metrics.select(id_col, *[F.col(c).cast("double").alias(c) for c in value_cols])
+    return wide.unpivot([id_col], value_cols, "metric", "value")

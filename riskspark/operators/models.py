@@ -152,3 +152,48 @@ def load_pipeline(path: str) -> PipelineModel:
 
 def fit_pipeline(stages, df: DataFrame) -> PipelineModel:
     return Pipeline(stages=list(stages)).fit(df)
+
+
+def oversample_minority(df: DataFrame, features_col: str, label: str, key_cols: Sequence[str], seed: int = 42,
+                        out_col: str = "synthetic") -> DataFrame:
+    """Synthesise minority rows until the classes are equal, x + u * (neighbour - x).
+
+    Scalable neighbour choice (no pair enumeration): minority rows are ordered along a seeded random
+    projection of the feature vector (exact ranks through the bucketed prefix count); a row's
+    neighbour is the row next to it in that order (the previous one for the last). Each minority row
+    makes floor(need / m) synthetic rows, plus one for the first (need mod m) ranks, so exactly
+    ``need`` rows are added. u is a seeded hash of (key, copy). Returns the input plus the new rows
+    (``synthetic`` = true)."""
+    from pyspark.ml.functions import array_to_vector
+
+    counts = {r[label]: r["n"] for r in df.groupBy(label).agg(F.count(F.lit(1)).alias("n")).collect()}  # two rows
+    if len(counts) < 2:
+        return df.withColumn(out_col, F.lit(False))
+    minority = min(counts, key=lambda c: (counts[c], c))
+    m, need = counts[minority], max(counts.values()) - counts[minority]
+    base = df.withColumn(out_col, F.lit(False))
+    if need == 0:
+        return base
+    x = vector_to_array(F.col(features_col))
+    dim = len(df.select(features_col).first()[0])
+    import random
+
+    rnd = random.Random(seed)
+    proj_vec = F.array(*[F.lit(rnd.gauss(0.0, 1.0)) for _ in range(dim)])
+    proj = F.aggregate(F.zip_with(x, proj_vec, lambda a, b: a * b), F.lit(0.0), lambda s, v: s + v)
+    mino = (df.where(F.col(label) == F.lit(minority))
+            .select(*key_cols, label, x.alias("_x"), proj.alias("_p"), F.lit(1).alias("_one")))
+    ranked = running_sums(mino, "_p", ["_one"]).select(*key_cols, label, "_x", F.col("cum__one").alias("_rank"))
+    nxt = ranked.select(F.col("_rank").alias("_nrank"), F.col("_x").alias("_nx"))
+    # partner: rank + 1, or rank - 1 for the last row (an equi-join: one partner per row)
+    partner = F.when(F.col("_rank") < F.lit(m), F.col("_rank") + 1).otherwise(F.col("_rank") - 1)
+    paired = ranked.withColumn("_prank", partner).join(nxt, F.col("_prank") == F.col("_nrank"), "inner")
+    per = need // m
+    extra = need % m
+    copies = F.lit(per) + F.when(F.col("_rank") <= F.lit(extra), F.lit(1)).otherwise(F.lit(0))
+    syn = paired.where(copies > 0).withColumn("_j", F.explode(F.sequence(F.lit(1), copies)))
+    u = F.pmod(F.xxhash64(F.lit(seed), *[F.col(c) for c in key_cols], F.col("_j")), F.lit(1_000_000)) / 1_000_000.0
+    new_x = F.zip_with("_x", "_nx", lambda a, b: a + u * (b - a))
+    synth = syn.select(*[F.col(c) for c in key_cols], F.col(label), array_to_vector(new_x).alias(features_col),
+                       F.lit(True).alias(out_col))
+    return base.select(*key_cols, label, features_col, out_col).unionByName(synth)

@@ -152,3 +152,31 @@ def q_tree_shapley_check(spark, sf):
     sh = tree_shapley(prep.transform(df), model, "features", ["doc_id"])
     gap = F.abs(F.aggregate("shap", F.lit(0.0), lambda a, b: a + b) + F.col("base") - F.col("margin"))
     return sh.agg(F.count(F.lit(1)).alias("n"), (F.max(gap) < 1e-9).alias("sum_rule_holds"))
+
+
+@register("smote_counts")
+def q_smote_counts(spark, sf):
+    """Class counts of the training design after minority over-sampling (balanced)."""
+    _, _, _, _, tr, _ = _prepared(spark, sf)
+    res = M.oversample_minority(tr, "features", LABEL, ["doc_id"], seed=42)
+    return res.groupBy(F.col(LABEL).alias("class")).agg(F.count(F.lit(1)).alias("n"),
+                                                         F.count_if("synthetic").alias("n_synthetic"))
+
+
+@register("model_roundtrip")
+def q_model_roundtrip(spark, sf):
+    """IO8: a fitted model saved to the shared folder and loaded back scores identically."""
+    import uuid
+
+    from pyspark.ml.classification import LogisticRegressionModel
+
+    from riskspark.sources.io import scratch_path
+    _, _, _, _, tr, te = _prepared(spark, sf)
+    model = _lr_model(tr)
+    path = scratch_path(spark, "models", uuid.uuid4().hex)
+    M.save_model(model, path)
+    back = LogisticRegressionModel.load(path)
+    a = M.positive_probability(model.transform(te), "p1").select("doc_id", "p1")
+    b = M.positive_probability(back.transform(te), "p2").select("doc_id", "p2")
+    j = a.join(b, "doc_id")
+    return j.agg(F.count(F.lit(1)).alias("n"), (F.max(F.abs(F.col("p1") - F.col("p2"))) == 0).alias("identical"))

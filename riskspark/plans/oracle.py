@@ -533,3 +533,20 @@ ORACLE["csv_roundtrip"] = """
 SELECT COUNT(*) AS n, ROUND(SUM(value), 4) AS sum_value, COUNT(*) FILTER (WHERE props IS NULL) AS null_props FROM events"""
 
 ORACLE["stream_score"] = ORACLE["risk_tier"]
+
+ORACLE["metric_table_long"] = "\nUNION ALL\n".join(f"""
+SELECT 't{t}' AS model, metric, ROUND(value, 6) AS value FROM (
+  SELECT CAST(tp + tn AS DOUBLE) / (tp + tn + fp + fn) AS accuracy,
+         CASE WHEN tp + fp = 0 THEN 0.0 ELSE CAST(tp AS DOUBLE) / (tp + fp) END AS precision,
+         CASE WHEN tp + fn = 0 THEN 0.0 ELSE CAST(tp AS DOUBLE) / (tp + fn) END AS recall,
+         CASE WHEN 2 * tp + fp + fn = 0 THEN 0.0 ELSE 2.0 * tp / (2 * tp + fp + fn) END AS f1_score,
+         CAST(tn AS DOUBLE) AS tn, CAST(fp AS DOUBLE) AS fp, CAST(fn AS DOUBLE) AS fn, CAST(tp AS DOUBLE) AS tp
+  FROM (SELECT COUNT(*) FILTER (WHERE {Y} = 0 AND value < {t}) AS tn, COUNT(*) FILTER (WHERE {Y} = 0 AND value >= {t}) AS fp,
+               COUNT(*) FILTER (WHERE {Y} = 1 AND value < {t}) AS fn, COUNT(*) FILTER (WHERE {Y} = 1 AND value >= {t}) AS tp
+        FROM events) c
+) UNPIVOT (value FOR metric IN (accuracy, precision, recall, f1_score, tn, fp, fn, tp))""" for t in (25, 50, 75))
+
+ORACLE["smote_counts"] = """
+WITH c AS (SELECT quality, COUNT(*) - CAST(ROUND(COUNT(*) * 0.2) AS BIGINT) AS n_train
+           FROM labels JOIN documents USING (doc_id) GROUP BY 1)
+SELECT quality AS class, (SELECT MAX(n_train) FROM c) AS n, (SELECT MAX(n_train) FROM c) - n_train AS n_synthetic FROM c"""

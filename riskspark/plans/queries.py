@@ -277,6 +277,16 @@ def q_capture_topx(spark, sf):
     return r6(out)
 
 
+@register("metric_table_long")
+def q_metric_table_long(spark, sf):
+    ev = events_labeled(spark, sf)
+    wide = None
+    for t in (25, 50, 75):
+        m = E.metrics_at_threshold(ev, "y", "value", float(t)).select(F.lit(f"t{t}").alias("model"), "*")
+        wide = m if wide is None else wide.unionByName(m)
+    return r6(E.metrics_long(wide))
+
+
 # --- SC: scoring views -------------------------------------------------------------------------
 
 @register("risk_tier")
