@@ -73,18 +73,45 @@ def rate_by_group(df: DataFrame, key: str | Column, label: str, positive=1, z: f
         F.desc("rate"), key_name)
 
 
+def exact_quantiles(df: DataFrame, group: str, value: str, probs: Sequence[float]) -> DataFrame:
+    """Exact quantiles with linear interpolation (position p * (n - 1), like ``percentile`` and
+    DuckDB's ``quantile_cont``) without holding a group's values in one task: distinct values per
+    group with counts, bucketed prefix counts, then the values at ranks floor/ceil of the position.
+    Returns (group, q0, q1, ...) in the order of ``probs``."""
+    from riskspark.operators.prefix import running_sums
+
+    v = F.col(value).cast("double")
+    counts = df.where(v.isNotNull()).groupBy(group, v.alias("_v")).agg(F.count(F.lit(1)).alias("_c"))
+    cum = running_sums(counts, "_v", ["_c"], part_cols=[group])
+    # rows with 0-based ranks [cum - c, cum - 1] hold value _v
+    lo_rank = F.col("cum__c") - F.col("_c")
+    hi_rank = F.col("cum__c") - 1
+    aggs = []
+    for i, p in enumerate(probs):
+        pos = F.lit(float(p)) * (F.col("tot__c") - 1)
+        r0, r1 = F.floor(pos), F.ceil(pos)
+        aggs += [F.max(F.when((lo_rank <= r0) & (r0 <= hi_rank), F.col("_v"))).alias(f"_a{i}"),
+                 F.max(F.when((lo_rank <= r1) & (r1 <= hi_rank), F.col("_v"))).alias(f"_b{i}"),
+                 F.first(pos - r0).alias(f"_f{i}")]
+    q = cum.groupBy(group).agg(*aggs)
+    return q.select(group, *[(F.col(f"_a{i}") + (F.col(f"_b{i}") - F.col(f"_a{i}")) * F.col(f"_f{i}")).alias(f"q{i}")
+                             for i in range(len(probs))])
+
+
 def quartiles_by(df: DataFrame, label: str, value: str, exact: bool = True, accuracy: int = 10_000) -> DataFrame:
     """Box-plot summary by outcome: q1, median, q3, 1.5*IQR whiskers (clipped to data) and
-    outlier count. Exact ``percentile`` (linear interpolation) by default; ``percentile_approx``
-    at scale. The second pass joins the (few) per-group fences back."""
+    outlier count. Exact quantiles through prefix counts (scales with a hot group), or
+    ``percentile_approx``. The second pass joins the (few) per-group fences back."""
     v = F.col(value).cast("double")
-    q = (F.percentile(v, F.array(F.lit(0.25), F.lit(0.5), F.lit(0.75))) if exact
-         else F.percentile_approx(v, [0.25, 0.5, 0.75], accuracy))
-    qs = df.groupBy(label).agg(q.alias("_q")).select(
-        label, F.col("_q")[0].alias("q1"), F.col("_q")[1].alias("median"), F.col("_q")[2].alias("q3"))
+    if exact:
+        qs = exact_quantiles(df, label, value, [0.25, 0.5, 0.75]).select(
+            label, F.col("q0").alias("q1"), F.col("q1").alias("median"), F.col("q2").alias("q3"))
+    else:
+        qs = df.groupBy(label).agg(F.percentile_approx(v, [0.25, 0.5, 0.75], accuracy).alias("_q")).select(
+            label, F.col("_q")[0].alias("q1"), F.col("_q")[1].alias("median"), F.col("_q")[2].alias("q3"))
     fences = qs.withColumns({"_lo": F.col("q1") - 1.5 * (F.col("q3") - F.col("q1")),
                              "_hi": F.col("q3") + 1.5 * (F.col("q3") - F.col("q1"))})
-    j = df.select(label, v.alias("_v")).join(F.broadcast(fences), on=label, how="inner")
+    j = df.select(label, v.alias("_v")).join(F.broadcast(fences), on=label, how="inner")  # one row per group
     inside = (F.col("_v") >= F.col("_lo")) & (F.col("_v") <= F.col("_hi"))
     return j.groupBy(label, "q1", "median", "q3").agg(
         F.min(F.when(inside, F.col("_v"))).alias("whisker_low"),

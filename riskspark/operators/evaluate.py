@@ -159,38 +159,50 @@ def lift_gains(df: DataFrame, label: str, score: str, bins: int = 10) -> DataFra
     )
 
 
-def capture_at_top(df: DataFrame, label: str, score: str, key: str, pct: float) -> DataFrame:
-    """Flag the top int(N * pct / 100) rows by score (ties broken by ``key`` ascending) and
-    report flagged count, positives captured, recall and precision. Exact at scale: the cut score is
-    found through prefix sums on distinct scores (one aggregate gives totals and the cut), then
-    only the tied group at the cut is ranked by key (bucketed prefix count again)."""
+def capture_at_top(df: DataFrame, label: str, score: str, key: str, pct) -> DataFrame:
+    """For each top-X% (a number or a list), flag the top int(N * X / 100) rows by score
+    (ties broken by ``key`` ascending) and report flagged count, positives captured, recall and
+    precision: (top_pct, flagged, captured, recall, precision).
+
+    Exact at scale, with no global sort: pass 1 computes prefix sums over distinct scores and one
+    aggregate row holding every cut score; pass 2 ranks by key only the rows tied at a cut score
+    (bucketed prefix counts, partitioned by the few cut scores)."""
+    pcts = [float(p) for p in (pct if isinstance(pct, (list, tuple)) else [pct])]
     y = F.col(label).cast("int")
     base = df.where(F.col(score).isNotNull() & y.isNotNull())
     cs = cumulative_scores(base, label, score)
     n = F.col("tot_pos") + F.col("tot_neg")
-    k = F.floor(n * F.lit(float(pct)) / F.lit(100.0)).cast("long")
     above = n - (F.col("cum_pos") + F.col("cum_neg"))  # rows with a strictly higher score
-    is_cut = (above < k) & (above + F.col("pos") + F.col("neg") >= k)
-    # pass 1 -> one row: totals and the cut score (at most one distinct score satisfies is_cut)
-    head = cs.agg(F.first("tot_pos").alias("P"), F.first(k).alias("k"),
-                  F.max(F.when(is_cut, F.col("s"))).alias("cut_s"),
-                  F.max(F.when(is_cut, above)).alias("above"),
-                  F.max(F.when(is_cut, F.col("tot_pos") - F.col("cum_pos"))).alias("pos_above")).first()
+    aggs = [F.first("tot_pos").alias("P")]
+    for i, p in enumerate(pcts):
+        k = F.floor(n * F.lit(p) / F.lit(100.0)).cast("long")
+        is_cut = (above < k) & (above + F.col("pos") + F.col("neg") >= k)
+        aggs += [F.first(k).alias(f"k{i}"), F.max(F.when(is_cut, F.col("s"))).alias(f"s{i}"),
+                 F.max(F.when(is_cut, above)).alias(f"a{i}"),
+                 F.max(F.when(is_cut, F.col("tot_pos") - F.col("cum_pos"))).alias(f"p{i}")]
+    head = cs.agg(*aggs).first()  # one row
     spark = df.sparkSession
-    P_, k_ = int(head["P"] or 0), int(head["k"] or 0)
-    pos_above = int(head["pos_above"] or 0)
-    tie_pos = 0
-    if head["cut_s"] is not None and k_ > 0:
-        # pass 2: only the rows tied at the cut score, ranked by key (bucketed prefix count)
-        need = k_ - int(head["above"])
-        tied = (base.where(F.col(score).cast("double") == F.lit(float(head["cut_s"])))
-                .groupBy(F.col(key).alias("kk")).agg(F.count_if(y == 1).alias("p1"), F.count(F.lit(1)).alias("c1")))
-        ranked = running_sums(tied, "kk", ["c1"])
-        tie_pos = ranked.where(F.col("cum_c1") <= F.lit(need)).agg(F.coalesce(F.sum("p1"), F.lit(0)).alias("t"))
-        tie_pos = int(tie_pos.first()["t"])
-    captured = pos_above + tie_pos
-    row = (float(pct), k_, captured, captured / P_ if P_ else 0.0, captured / k_ if k_ else 0.0)
-    return spark.createDataFrame([row], "top_pct double, flagged long, captured long, recall double, precision double")
+    P_ = int(head["P"] or 0)
+    cuts = [(i, int(head[f"k{i}"] or 0), head[f"s{i}"], int(head[f"a{i}"] or 0), int(head[f"p{i}"] or 0))
+            for i in range(len(pcts))]
+    tie_pos = {i: 0 for i in range(len(pcts))}
+    valid = [c for c in cuts if c[2] is not None and c[1] > 0]
+    if valid:
+        cut_values = sorted({float(c[2]) for c in valid})
+        s_col = F.col(score).cast("double")
+        tied = (base.where(s_col.isin(cut_values)).groupBy(s_col.alias("_s"), F.col(key).alias("kk"))
+                .agg(F.count_if(y == 1).alias("p1"), F.count(F.lit(1)).alias("c1")))
+        ranked = running_sums(tied, "kk", ["c1"], part_cols=["_s"])  # parts: at most len(pcts) cut scores
+        needs = spark.createDataFrame([(i, float(s_), k_ - a_) for i, k_, s_, a_, _ in valid],
+                                      "i int, _s double, need long")
+        got = (ranked.join(F.broadcast(needs), "_s").where(F.col("cum_c1") <= F.col("need"))
+               .groupBy("i").agg(F.sum("p1").alias("t")).collect())  # at most len(pcts) rows
+        tie_pos.update({r["i"]: int(r["t"]) for r in got})
+    rows = []
+    for i, k_, _, _, pos_above in cuts:
+        captured = pos_above + tie_pos[i]
+        rows.append((pcts[i], k_, captured, captured / P_ if P_ else 0.0, captured / k_ if k_ else 0.0))
+    return spark.createDataFrame(rows, "top_pct double, flagged long, captured long, recall double, precision double")
 
 
 def metrics_long(metrics: DataFrame, id_col: str = "model") -> DataFrame:

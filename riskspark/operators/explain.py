@@ -39,17 +39,15 @@ def employee_contribution_rules() -> list[tuple[Column, str, float]]:
 def rule_contributions(df: DataFrame, rules: Sequence[tuple[Column, str, float]],
                        baseline: tuple[str, float] = (BASELINE_NAME, BASELINE_VALUE)) -> DataFrame:
     """Adds ``contributions`` array<struct<factor, value>>: the rules that fire, or the
-    baseline entry when none does, sorted by absolute value ascending (S3, stable on ties)."""
+    baseline entry when none does, sorted by absolute value ascending (S3; ties keep rule order).
+    The rule values are constants, so the order is fixed when the plan is built: the rules are
+    listed pre-sorted and the fired ones are filtered in place (no per-row sort)."""
+    ordered = sorted(enumerate(rules), key=lambda t: (abs(t[1][2]), t[0]))
     items = [F.when(cond, F.struct(F.lit(name).alias("factor"), F.lit(float(v)).alias("value")))
-             for cond, name, v in rules]
+             for _, (cond, name, v) in ordered]
     fired = F.filter(F.array(*items), lambda x: x.isNotNull())
     base = F.array(F.struct(F.lit(baseline[0]).alias("factor"), F.lit(float(baseline[1])).alias("value")))
-    chosen = F.when(F.size(fired) > 0, fired).otherwise(base)
-    # sort by |value| with the rule position as the tie-break (numpy argsort order)
-    keyed = F.transform(chosen, lambda x, i: F.struct(F.abs(x["value"]).alias("a"), i.alias("i"),
-                                                      x["factor"].alias("factor"), x["value"].alias("value")))
-    ordered = F.transform(F.array_sort(keyed), lambda x: F.struct(x["factor"].alias("factor"), x["value"].alias("value")))
-    return df.withColumn("contributions", ordered)
+    return df.withColumn("contributions", F.when(F.size(fired) > 0, fired).otherwise(base))
 
 
 def contributions_long(df: DataFrame, id_cols: Sequence[str]) -> DataFrame:
@@ -69,7 +67,8 @@ def rule_score(increments: Sequence[tuple[Column, float]], base: float = 0.05, c
 def rule_distribution(df: DataFrame, categories: Sequence[str], boosts: Sequence[tuple[Column, str, float]],
                       base_weight: float | None = None) -> DataFrame:
     """Per row, weights base (1/k each) + boosts by rule, normalised (F14); the report is the
-    expected share of each category over all rows: (category, expected_share, expected_count)."""
+    expected share of each category over all rows: (category, expected_share, expected_count).
+    One aggregate over k normalised weight columns (no per-row explode)."""
     k = len(categories)
     w0 = base_weight if base_weight is not None else 1.0 / k
     weights = []
@@ -79,10 +78,13 @@ def rule_distribution(df: DataFrame, categories: Sequence[str], boosts: Sequence
             if target == cat:
                 w = w + F.when(cond, F.lit(float(inc))).otherwise(F.lit(0.0))
         weights.append(w)
-    p = normalise(F.array(*weights))
-    n_cat = F.array(*[F.lit(c) for c in categories])
-    long = df.select(F.posexplode(p).alias("i", "p")).select(F.element_at(n_cat, F.col("i") + 1).alias("category"), "p")
-    return long.groupBy("category").agg(F.avg("p").alias("expected_share"), F.sum("p").alias("expected_count"))
+    wide = df.select(*[w.alias(f"_w{i}") for i, w in enumerate(weights)])
+    total = sum((F.col(f"_w{i}") for i in range(1, k)), F.col("_w0"))
+    norm = wide.select(*[(F.col(f"_w{i}") / total).alias(f"_p{i}") for i in range(k)])
+    agg = norm.agg(*[F.avg(f"_p{i}").alias(f"a{i}") for i in range(k)], *[F.sum(f"_p{i}").alias(f"s{i}") for i in range(k)])
+    rows = F.array(*[F.struct(F.lit(c).alias("category"), F.col(f"a{i}").alias("expected_share"),
+                              F.col(f"s{i}").alias("expected_count")) for i, c in enumerate(categories)])
+    return agg.select(F.inline(rows))
 
 
 def tiered_assignment(branches: Sequence[tuple[Column, Column]], default: Column) -> Column:

@@ -269,12 +269,7 @@ def q_lift_gains(spark, sf):
 
 @register("capture_topx")
 def q_capture_topx(spark, sf):
-    ev = events_labeled(spark, sf)
-    out = None
-    for pct in (5, 10, 20):
-        part = E.capture_at_top(ev, "y", "value", "event_id", pct)
-        out = part if out is None else out.unionByName(part)
-    return r6(out)
+    return r6(E.capture_at_top(events_labeled(spark, sf), "y", "value", "event_id", [5, 10, 20]))
 
 
 @register("metric_table_long")
