@@ -24,6 +24,22 @@ def rate_by(df: DataFrame, keys: Sequence[str], label: str, positive=1, digits:
     return out.orderBy(F.desc(rate_name), *keys)
 
 
+def rate_by_join(fact: DataFrame, dim: DataFrame, fact_key: str, dim_key: str, keys: Sequence[str], label: str,
+                 positive=1, digits: int = 2, rate_name: str = "rate_pct", count_name: str = "n") -> DataFrame:
+    """A1 over a fact-dimension join with eager aggregation: the fact side is first reduced to
+    (join key, its grouping keys) with positive and row counts (map-side combined, before any
+    shuffle), then joined and summed. Same result as ``rate_by(fact JOIN dim)``; the join input
+    shrinks by the rows-per-key factor."""
+    fact_keys = [k for k in keys if k in fact.columns and k not in dim.columns]
+    dim_keys = [k for k in keys if k not in fact_keys]
+    pre = fact.groupBy(fact_key, *fact_keys).agg(F.count_if(_pos(label, positive)).alias("_pos"),
+                                                 F.count(F.lit(1)).alias("_n"))
+    j = pre.join(dim.select(dim_key, *dim_keys), pre[fact_key] == dim[dim_key], "inner")
+    out = j.groupBy(*keys).agg(F.sum("_pos").alias("_p"), F.sum("_n").alias(count_name))
+    return (out.select(*keys, F.round(F.col("_p") / F.col(count_name) * 100.0, digits).alias(rate_name), count_name)
+            .orderBy(F.desc(rate_name), *keys))
+
+
 def mean_by(df: DataFrame, label: str, cols: Sequence[str], digits: int = 2,
             names: Sequence[str] | None = None) -> DataFrame:
     """A2: ROUND(AVG(c), 2) for each column by the label."""
@@ -40,19 +56,20 @@ def rate_count_by(df: DataFrame, key: str, label: str, positive=1, digits: int =
             .orderBy(key))
 
 
-def join_breakdown(parent: DataFrame, child: DataFrame, on: str | Sequence[str], parent_key: str, child_key: str,
-                   value: str, label: str | None = None, positive=1, digits: int = 2,
-                   parent_filter: Column | None = None) -> DataFrame:
-    """A4 (J1 + P6): inner join, filter on the parent's outcome (pushed below the join),
-    count and mean by (parent attribute, child reason), ordered by attribute then count desc."""
-    p = parent
-    if label is not None:
-        p = p.where(_pos(label, positive))
-    if parent_filter is not None:
-        p = p.where(parent_filter)
-    j = p.join(child, on=on, how="inner")
+def join_breakdown(parent: DataFrame, child: DataFrame, parent_on: str, child_on: str, parent_key: str,
+                   child_key: str, value: str, label: str | None = None, positive=1, digits: int = 2,
+                   child_filter: Column | None = None) -> DataFrame:
+    """A4 (J1 + P6): inner join, outcome filter (pushed below the join), count and mean of a parent
+    value by (parent attribute, child reason), ordered by attribute then count desc.
+    The child side is pre-aggregated to (join key, reason) counts before the join, so a parent with
+    many child rows is joined once per reason; the mean is count-weighted (same result)."""
+    p = parent if label is None else parent.where(_pos(label, positive))
+    c = child if child_filter is None else child.where(child_filter)
+    pre = c.groupBy(F.col(child_on).alias("_ck"), F.col(child_key).alias(child_key)).agg(F.count(F.lit(1)).alias("_c"))
+    j = p.select(parent_on, parent_key, F.col(value).cast("double").alias("_v")).join(
+        pre, F.col(parent_on) == F.col("_ck"), "inner")
     return (j.groupBy(parent_key, child_key)
-            .agg(F.count(F.lit(1)).alias("n"), F.round(F.avg(F.col(value).cast("double")), digits).alias("avg_value"))
+            .agg(F.sum("_c").alias("n"), F.round(F.sum(F.col("_v") * F.col("_c")) / F.sum("_c"), digits).alias("avg_value"))
             .orderBy(parent_key, F.desc("n"), child_key))
 
 

@@ -26,12 +26,13 @@ LABEL = "quality"
 
 def doc_features(spark: SparkSession, sf: str) -> DataFrame:
     docs, labels = table(spark, sf, "documents"), table(spark, sf, "labels")
-    d = docs.select(
-        "doc_id", "lang", "source", F.col("n_chars").cast("double").alias("n_chars"),
+    # join first: text features are computed for labelled documents only (whole texts)
+    j = labels.select("doc_id", LABEL).join(docs.select("doc_id", "lang", "source", "n_chars", "text"), "doc_id", "inner")
+    return j.select(
+        "doc_id", LABEL, "lang", "source", F.col("n_chars").cast("double").alias("n_chars"),
         F.size(F.split(F.trim(F.col("text")), r"\s+")).cast("double").alias("n_words"),
         F.size(F.split(F.col("text"), "\n")).cast("double").alias("n_lines"),
         (F.length(F.regexp_replace("text", "[^0-9]", "")) / F.greatest(F.length("text"), F.lit(1))).alias("digit_share"))
-    return labels.select("doc_id", LABEL).join(d, "doc_id", "inner")
 
 
 def _prepared(spark, sf):

@@ -89,8 +89,8 @@ def q_domain_violations(spark, sf):
 @register("rate_by_two_keys")
 def q_rate_by_two_keys(spark, sf):
     li, od = table(spark, sf, "lineitem"), table(spark, sf, "orders")
-    j = li.join(od, li.l_orderkey == od.o_orderkey, "inner")
-    return A.rate_by(j, ["o_orderpriority", "l_linestatus"], "l_returnflag", positive="R")
+    return A.rate_by_join(li, od, "l_orderkey", "o_orderkey", ["o_orderpriority", "l_linestatus"], "l_returnflag",
+                          positive="R")
 
 
 @register("mean_by_outcome")
@@ -107,8 +107,8 @@ def q_rate_count_by_key(spark, sf):
 @register("join_breakdown")
 def q_join_breakdown(spark, sf):
     cu, od = table(spark, sf, "customer"), table(spark, sf, "orders")
-    return A.join_breakdown(cu, od.where(F.col("o_orderstatus") == "F"), cu.c_custkey == od.o_custkey,
-                            "c_mktsegment", "o_orderpriority", "c_acctbal")
+    return A.join_breakdown(cu, od, "c_custkey", "o_custkey", "c_mktsegment", "o_orderpriority", "c_acctbal",
+                            child_filter=F.col("o_orderstatus") == "F")
 
 
 @register("overall_rate")
