@@ -44,17 +44,35 @@ def _bucket_column(tagged: DataFrame, v: Column, n_b: int) -> DataFrame:
     return tagged
 
 
+ROWS_PER_BUCKET = 1_000_000
+MAX_BUCKETS = 8192
+
+
 def assign_buckets(df: DataFrame, order_col: str, part_cols: Sequence[str] = (),
-                   buckets: int | None = None, accuracy: int | None = None) -> DataFrame:
-    """Add ``_bucket`` (int): a monotone, balanced bucket of ``order_col`` within each part."""
-    n_b = buckets or default_buckets(df)
+                   buckets: int | None = None, accuracy: int | None = None,
+                   rows_per_bucket: int | None = ROWS_PER_BUCKET) -> DataFrame:
+    """Add ``_bucket`` (int): a monotone, balanced bucket of ``order_col`` within each part.
+
+    Up to ``buckets`` edges per part come from ``percentile_approx``; with ``rows_per_bucket`` the
+    edge array of each part is thinned to about (rows in part / rows_per_bucket) edges, so a small
+    part keeps one bucket and the edge table stays proportional to the data, not to parts x buckets.
+    An explicit ``buckets`` (tests) keeps every edge."""
+    n_b = buckets or min(MAX_BUCKETS, default_buckets(df))
+    thin = rows_per_bucket if buckets is None else None
     acc = accuracy or max(10_000, 20 * n_b)
     fracs = [i / n_b for i in range(1, n_b)]
     parts = list(part_cols)
     v = F.col(order_col).cast("double")
-    edge_agg = F.array_distinct(F.percentile_approx(v, fracs, acc)).alias("_edges")
+    edges_all = F.array_distinct(F.percentile_approx(v, fracs, acc))
+    if thin:
+        # keep every s-th edge, s = ceil(n_b / wanted buckets of this part)
+        wanted = F.least(F.lit(n_b), F.greatest(F.lit(1), F.ceil(F.count(F.lit(1)) / F.lit(float(thin)))))
+        stride = F.ceil(F.lit(float(n_b)) / wanted).cast("int")
+        edge_agg = F.filter(edges_all, lambda x, i: (i + 1) % stride == 0).alias("_edges")
+    else:
+        edge_agg = edges_all.alias("_edges")
     if parts:
-        # one row per part (parts are declared feature/model names, never data keys)
+        # one row per part, each with at most (part rows / rows_per_bucket) edges: proportional to the data
         edges = df.groupBy(*parts).agg(edge_agg)
         tagged = df.join(F.broadcast(edges), on=parts, how="inner")
     else:
@@ -65,15 +83,15 @@ def assign_buckets(df: DataFrame, order_col: str, part_cols: Sequence[str] = (),
 
 
 def running_sums(df: DataFrame, order_col: str, sum_cols: Sequence[str], part_cols: Sequence[str] = (),
-                 buckets: int | None = None) -> DataFrame:
+                 buckets: int | None = None, rows_per_bucket: int | None = ROWS_PER_BUCKET) -> DataFrame:
     """For rows distinct on (part_cols, order_col), add per sum column c:
 
     * ``cum_c``: sum of c over rows with order <= this row's (ascending, inclusive),
     * ``tot_c``: total of c in the part.
     """
     parts = list(part_cols)
-    tagged = assign_buckets(df, order_col, parts, buckets)
-    # bucket totals: at most (#parts x buckets) rows
+    tagged = assign_buckets(df, order_col, parts, buckets, rows_per_bucket=rows_per_bucket)
+    # bucket totals: one row per non-empty (part, bucket)
     btot = tagged.groupBy(*parts, BUCKET).agg(*[F.sum(c).alias(f"_bt_{c}") for c in sum_cols])
     w_off = Window.partitionBy(*parts).orderBy(BUCKET).rowsBetween(Window.unboundedPreceding, -1)
     w_all = Window.partitionBy(*parts)
@@ -84,7 +102,10 @@ def running_sums(df: DataFrame, order_col: str, sum_cols: Sequence[str], part_co
     )
     w_in = (Window.partitionBy(*parts, BUCKET).orderBy(F.col(order_col).asc())
             .rowsBetween(Window.unboundedPreceding, Window.currentRow))
-    out = tagged.join(F.broadcast(offsets), on=[*parts, BUCKET], how="inner")
+    # global order: at most n_b offset rows, broadcast. With parts, the offsets join shares the
+    # window's (part, bucket) partitioning, so a plain join adds no extra exchange of the big side.
+    off = offsets if parts else F.broadcast(offsets)
+    out = tagged.join(off, on=[*parts, BUCKET], how="inner")
     return out.select(
         *[c for c in tagged.columns if c != BUCKET],
         *[(F.sum(c).over(w_in) + F.col(f"_off_{c}")).alias(f"cum_{c}") for c in sum_cols],

@@ -88,3 +88,14 @@ def test_best_threshold_first_max_lowest(spark):
     df = spark.createDataFrame([(1, 0.9), (0, 0.8), (1, 0.7), (0, 0.1)], "y int, s double")
     r = E.best_f1_threshold(df, "y", "s").first()
     assert r["threshold"] == 0.7
+
+
+def test_thinned_buckets_per_part_equal_plain_window(spark):
+    import numpy as np
+    rng = np.random.default_rng(11)
+    rows = [("big", float(x), 1) for x in np.round(rng.random(3000), 3)] + [("small", float(x), 1) for x in rng.random(50)]
+    df = spark.createDataFrame(rows, "part string, v double, c int").groupBy("part", "v").agg(F.sum("c").alias("c"))
+    ours = running_sums(df, "v", ["c"], part_cols=["part"], rows_per_bucket=200)
+    w = Window.partitionBy("part").orderBy("v").rowsBetween(Window.unboundedPreceding, 0)
+    plain = df.select("part", "v", F.sum("c").over(w).alias("cum_c"))
+    assert sorted(ours.select("part", "v", "cum_c").collect()) == sorted(plain.collect())
