@@ -18,10 +18,6 @@ from riskspark.operators.prefix import running_sums
 F1_EPS = 1e-10
 
 
-def _is_pos(label: str | Column) -> Column:
-    return col_(label).cast("int") == 1
-
-
 def confusion_aggs(label: str | Column, pred: str | Column) -> list[Column]:
     y, p = col_(label).cast("int"), col_(pred).cast("int")
     return [

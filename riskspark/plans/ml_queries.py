@@ -181,3 +181,23 @@ def q_model_roundtrip(spark, sf):
     b = M.positive_probability(back.transform(te), "p2").select("doc_id", "p2")
     j = a.join(b, "doc_id")
     return j.agg(F.count(F.lit(1)).alias("n"), (F.max(F.abs(F.col("p1") - F.col("p2"))) == 0).alias("identical"))
+
+
+@register("notebook_variant")
+def q_notebook_variant(spark, sf):
+    """Fixed-parameter boosted trees, default threshold 0.5, per-class report (E5) on the holdout."""
+    _, _, _, _, tr, te = _prepared(spark, sf)
+    model = M.boosted_trees(LABEL, max_iter=20, max_depth=3, step=0.1).fit(tr)
+    pred = M.positive_probability(model.transform(te), "p").withColumn("yhat", (F.col("p") >= 0.5).cast("int"))
+    return round_all(E.class_report(pred, LABEL, "yhat"), 6)
+
+
+@register("background_sample")
+def q_background_sample(spark, sf):
+    """A seeded 100-row background sample of the design matrix (a sampling operator)."""
+    from pyspark.ml.functions import vector_to_array
+
+    from riskspark.operators.clean import seeded_sample
+    _, _, _, _, tr, _ = _prepared(spark, sf)
+    s = seeded_sample(tr, ["doc_id"], n=100, seed=42)
+    return s.select("doc_id", LABEL, vector_to_array("features").alias("x"))
