@@ -496,7 +496,7 @@ k AS (SELECT *, exits * recall AS captured, exits * recall * success_rate / 100.
 ORACLE["roi_scenarios"] = _roi_sql([5, 10, 15, 20, 25, 30, 35, 40, 45, 50, 60], [30.0, 50.0]) + """
 SELECT target_pct, ROUND(success_rate, 6) AS success_rate, ROUND(recall, 6) AS recall, ROUND(captured, 6) AS captured,
        CAST(TRUNC(captured) AS BIGINT) AS captured_int, ROUND(retained, 6) AS retained, ROUND(gross, 6) AS gross, flagged,
-       ROUND(flagged * 1500.0, 6) AS intervention_cost, ROUND(gross - flagged * 1500.0, 6) AS net,
+       ROUND(CAST(flagged AS DOUBLE) * 1500.0, 6) AS intervention_cost, ROUND(gross - CAST(flagged AS DOUBLE) * 1500.0, 6) AS net,
        ROUND(CAST(exits * avg_cost AS DOUBLE), 6) AS direct_loss FROM k"""
 
 ORACLE["roi_rows"] = _roi_sql([10, 20, 30], [30.0]) + """
