@@ -550,3 +550,24 @@ ORACLE["smote_counts"] = """
 WITH c AS (SELECT quality, COUNT(*) - CAST(ROUND(COUNT(*) * 0.2) AS BIGINT) AS n_train
            FROM labels JOIN documents USING (doc_id) GROUP BY 1)
 SELECT quality AS class, (SELECT MAX(n_train) FROM c) AS n, (SELECT MAX(n_train) FROM c) - n_train AS n_synthetic FROM c"""
+
+# ST2: a daily window is emitted once the watermark (max event time - 1 day) passes its end
+ORACLE["stream_window_drift"] = """
+WITH mx AS (SELECT MAX(ts) - INTERVAL 1 DAY AS wm FROM events),
+cur AS (SELECT CAST(date_trunc('day', ts) AS DATE) AS d, event_type AS v, COUNT(*) AS c
+        FROM events WHERE event_type IS NOT NULL GROUP BY 1, 2),
+days AS (SELECT DISTINCT d FROM cur CROSS JOIN mx WHERE CAST(d AS TIMESTAMP) + INTERVAL 1 DAY <= wm),
+ref AS (SELECT event_type AS v, COUNT(*) AS r FROM events
+        WHERE ts < TIMESTAMP '2024-01-08' AND event_type IS NOT NULL GROUP BY 1),
+u AS (SELECT days.d, ref.v, ref.r, 0 AS c FROM ref CROSS JOIN days
+      UNION ALL SELECT cur.d, cur.v, 0, cur.c FROM cur JOIN days ON cur.d = days.d),
+cells AS (SELECT d, v, CAST(SUM(r) + 1 AS DOUBLE) AS o_r, CAST(SUM(c) + 1 AS DOUBLE) AS o_c FROM u GROUP BY d, v),
+t AS (SELECT d, SUM(o_r) AS t_r, SUM(o_c) AS t_c, COUNT(*) AS k FROM cells GROUP BY d),
+e AS (SELECT cells.d, o_r, o_c, (o_r + o_c) * t_r / (t_r + t_c) AS e_r, (o_r + o_c) * t_c / (t_r + t_c) AS e_c, k
+      FROM cells JOIN t ON cells.d = t.d),
+y AS (SELECT d, k, CASE WHEN k - 1 = 1 THEN ABS(o_r - e_r) - LEAST(0.5, ABS(o_r - e_r)) ELSE ABS(o_r - e_r) END AS dr,
+             CASE WHEN k - 1 = 1 THEN ABS(o_c - e_c) - LEAST(0.5, ABS(o_c - e_c)) ELSE ABS(o_c - e_c) END AS dc, e_r, e_c FROM e),
+x AS (SELECT d, SUM(dr * dr / e_r + dc * dc / e_c) AS stat, MAX(k) - 1 AS dof FROM y GROUP BY d)
+SELECT d AS window_start, 'event_type' AS feature, ROUND(stat, 6) AS statistic, dof,
+       ROUND(exp(-stat / 2) * (1 + stat / 2), 6) AS p_value, exp(-stat / 2) * (1 + stat / 2) < 0.05 AS drift_detected
+FROM x"""
