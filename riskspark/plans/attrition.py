@@ -114,3 +114,21 @@ def simulate_drift(df: DataFrame, severity: float = 1.0) -> DataFrame:
 def business_stats(df: DataFrame, exits: DataFrame | None = None) -> DataFrame:
     """B1: headcount, exits, rate, loss, top exit reason."""
     return B.business_stats(df, LABEL, 1, child=exits, reason="ExitReason")
+
+
+def reports(employees: DataFrame, exits: DataFrame | None = None) -> dict[str, DataFrame]:
+    """A1-A4 on the employee schema: rate by department and role, mean tenure and income by outcome,
+    rate by work-life balance, and exit reasons by department for leavers (join)."""
+    from riskspark.operators import aggregates as A
+
+    out = {
+        "rate_by_department_role": A.rate_by(employees, ["Department", "JobRole"], LABEL, 1,
+                                             rate_name="AttritionRatePercent", count_name="Headcount"),
+        "mean_by_outcome": A.mean_by(employees, LABEL, ["YearsAtCompany", "MonthlyIncome"],
+                                     names=["AvgTenureYears", "AvgMonthlyIncome"]),
+        "rate_by_work_life_balance": A.rate_count_by(employees, "WorkLifeBalance", LABEL, 1),
+    }
+    if exits is not None:
+        out["exit_reasons_by_department"] = A.join_breakdown(
+            employees.where(F.col(LABEL) == 1), exits, KEY, KEY, "Department", "ExitReason", "MonthlyIncome")
+    return out

@@ -2,6 +2,7 @@
 import random
 
 import pytest
+from pyspark.sql import functions as F
 
 from riskspark.plans import attrition as AT
 
@@ -69,3 +70,13 @@ def test_workflow(spark, employees):
     flagged = {r["feature"] for r in report.where("drift_detected").collect()}
     assert {"DistanceFromHome", "MonthlyIncome"} <= flagged
     assert s.first()["total_features_checked"] == len(AT.NUMERICAL_COLS) + len(AT.CATEGORICAL_COLS)
+
+
+def test_reports(spark, employees):
+    df = AT.prepare(employees)
+    exits = df.where("Attrition = 1").select("EmployeeNumber", (F.col("EmployeeNumber") % 3).cast("string").alias("ExitReason"))
+    reps = AT.reports(df, exits)
+    assert set(reps) == {"rate_by_department_role", "mean_by_outcome", "rate_by_work_life_balance", "exit_reasons_by_department"}
+    n_exits = df.where("Attrition = 1").count()
+    assert reps["exit_reasons_by_department"].agg(F.sum("n")).first()[0] == n_exits
+    assert reps["rate_by_work_life_balance"].agg(F.sum("total")).first()[0] == 600

@@ -30,3 +30,15 @@ def test_stream_score_matches_batch(spark):
     a = sorted(qs["stream_score"](spark, SF_SMALL).collect())
     b = sorted(qs["risk_tier"](spark, SF_SMALL).collect())
     assert a == b
+
+
+def test_stream_restart_is_exactly_once(spark, tmp_path):
+    """A restarted query on the same checkpoint processes nothing twice."""
+    from riskspark.streaming.stream import file_stream, run_to_files
+    schema = "event_id long, ts timestamp_ntz, user_id long, event_type string, value double, props string"
+    base = str(tmp_path / "s")
+    out1 = run_to_files(file_stream(spark, SF_SMALL, schema, "events.parquet"), "t", base=base)
+    n1 = spark.read.parquet(out1).count()
+    out2 = run_to_files(file_stream(spark, SF_SMALL, schema, "events.parquet"), "t", base=base)
+    assert out1 == out2
+    assert spark.read.parquet(out2).count() == n1 == spark.read.parquet(f"{SF_SMALL}/events.parquet").count()
