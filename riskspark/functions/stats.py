@@ -128,11 +128,19 @@ def _chi2_sf_udf(x: pd.Series, dof: pd.Series) -> pd.Series:
     return pd.Series([chi2_sf(a, int(b)) if pd.notna(b) else float("nan") for a, b in zip(x, dof)], dtype="float64")
 
 
+def _ship() -> None:
+    from riskspark.session import ship_package
+
+    ship_package()
+
+
 def ks_pvalue_col(d: Column | str, n: Column | str, m: Column | str) -> Column:
+    _ship()
     return _ks_pvalue_udf(F.col(d) if isinstance(d, str) else d,
                           (F.col(n) if isinstance(n, str) else n).cast("long"),
                           (F.col(m) if isinstance(m, str) else m).cast("long"))
 
 
 def chi2_sf_col(x: Column | str, dof: Column | str) -> Column:
+    _ship()
     return _chi2_sf_udf(F.col(x) if isinstance(x, str) else x, (F.col(dof) if isinstance(dof, str) else dof).cast("long"))

@@ -96,6 +96,9 @@ def tree_shapley(df: DataFrame, model, features_col: str, id_cols: Sequence[str]
     """(ids..., shap array<double>, base double, margin double) per row via mapInPandas."""
     from pyspark.ml.functions import vector_to_array
 
+    from riskspark.session import ship_package
+
+    ship_package(df.sparkSession)
     trees, weights = extract_gbt(model)
     id_fields = [df.schema[c] for c in id_cols]
     schema = StructType([*id_fields, StructField("shap", ArrayType(DoubleType())),

@@ -17,6 +17,9 @@ RETURN_POSITIVE = "R"
 
 
 def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
+    from riskspark.session import ship_package
+
+    ship_package(spark)  # workers need the package for the Python parts (p-values, Shapley)
     return spark.read.parquet(f"{sf_dir.rstrip('/')}/{name}.parquet")
 
 
