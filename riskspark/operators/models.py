@@ -73,11 +73,17 @@ class Prep:
         return list(self.numeric) + W.one_hot_names(self.categories, self.categorical)
 
     def transform(self, df: DataFrame, eps: float = W.SCALE_EPS, out: str = "features") -> DataFrame:
+        """Adds the feature vector ``out``; input columns are left unchanged (scaled values and
+        dummies live in temporary columns that are dropped after assembly)."""
         from riskspark.operators.clean import complete_schema
         x = complete_schema(df, self.numeric, self.categorical)
-        x = W.apply_scaler(x, self.scaler, eps=eps, suffix="")
+        x = W.apply_scaler(x, self.scaler, eps=eps, suffix="__z")
+        dummies = W.one_hot_names(self.categories, self.categorical)
+        tmp = {n: f"__d{i}" for i, n in enumerate(dummies)}
         x = W.apply_one_hot(x, self.categories, self.categorical)
-        return W.assemble(x, self.feature_names, out)
+        x = x.withColumnsRenamed(tmp)
+        cols = [f"{c}__z" for c in self.numeric] + [tmp[n] for n in dummies]
+        return W.assemble(x, cols, out).drop(*cols)
 
 
 def fit_prep(train: DataFrame, numeric: Sequence[str], categorical: Sequence[str]) -> Prep:

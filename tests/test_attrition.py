@@ -60,6 +60,8 @@ def test_workflow(spark, employees):
     out = AT.predict_batch(two, trained, "logistic_regression", mode="reference_table").orderBy("Age", ascending=False).collect()
     assert out[0]["AttritionPrediction"] in (0, 1) and 0.0 <= out[0]["AttritionRisk"] <= 1.0
     assert out[1]["AttritionRisk"] > out[0]["AttritionRisk"]
+    # scoring keeps every input column unchanged (SC2)
+    assert {k: out[0][k] for k in stable} == stable
 
     groups, summary = AT.audit_fairness(df, trained)
     assert {r["attribute"] for r in summary.collect()} == {"gender", "age"}
