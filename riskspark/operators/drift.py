@@ -204,13 +204,28 @@ REDRAW_WEIGHTS = [0.35, 0.35, 0.20, 0.10]
 FLIP_SHARE = 0.4
 
 
+def exact_pick(df: DataFrame, key: Sequence[str], fraction: float, seed: int, eligible: Column | None = None,
+               out: str = "_pick") -> DataFrame:
+    """Adds ``out``: exactly round(fraction * n) of the eligible rows (HALF_UP), the ones with the
+    smallest seeded hash of ``key``; ranks come from the bucketed prefix count (no single task)."""
+    elig = eligible if eligible is not None else F.lit(True)
+    tagged = (df.withColumn("_elig", F.coalesce(elig, F.lit(False)))
+              .withColumn("_h", F.xxhash64(F.lit(seed), *[F.col(k) for k in key]).cast("double"))
+              .withColumn("_one", F.lit(1)))
+    ranked = running_sums(tagged, "_h", ["_one"], part_cols=["_elig"])  # two parts
+    pick = F.col("_elig") & (F.col("cum__one") <= F.round(F.col("tot__one") * F.lit(float(fraction))))
+    return ranked.withColumn(out, pick).drop("_elig", "_h", "_one", "cum__one", "tot__one")
+
+
 def perturb(df: DataFrame, key: Sequence[str], severity: float = 1.0, seed: int = 99,
             shift: Mapping[str, int] | None = None, cut: Sequence[str] = (),
-            redraw: Sequence[str] = (), flip: Mapping[str, tuple[str, str]] | None = None) -> DataFrame:
+            redraw: Sequence[str] = (), flip: Mapping[str, tuple[str, str]] | None = None,
+            exact: bool = False) -> DataFrame:
     """What-if perturbation keyed by a hash of ``key`` (deterministic, no driver RNG).
     shift: c + int(5*s); cut: int(c * (1 - 0.15*s)); redraw: a fraction 0.5*s of rows get a value
     drawn with fixed weights; flip: a fraction 0.4*s of rows equal to ``from`` become ``to``.
-    s <= 0 is the identity."""
+    Fractions are seeded Bernoulli draws, or with ``exact`` exactly round(f * n) rows as the
+    reference's sampling does (one prefix-count pass per rule). s <= 0 is the identity."""
     if severity <= 0:
         return df
     out = df
@@ -219,7 +234,11 @@ def perturb(df: DataFrame, key: Sequence[str], severity: float = 1.0, seed: int
     for c in cut:
         out = out.withColumn(c, (F.col(c) * F.lit(1 - CUT_PER_SEVERITY * severity)).cast("int"))
     for i, c in enumerate(redraw):
-        pick = hash_fraction(key, REDRAW_SHARE * severity, seed + 10 * i)
+        if exact:
+            out = exact_pick(out, key, REDRAW_SHARE * severity, seed + 10 * i, out="_pick")
+            pick = F.col("_pick")
+        else:
+            pick = hash_fraction(key, REDRAW_SHARE * severity, seed + 10 * i)
         u = F.pmod(F.xxhash64(F.lit(seed + 10 * i + 1), *[F.col(k) for k in key]), F.lit(1_000_000)) / 1_000_000.0
         draw = None
         acc = 0.0
@@ -228,7 +247,12 @@ def perturb(df: DataFrame, key: Sequence[str], severity: float = 1.0, seed: int
             draw = F.when(u < F.lit(acc), F.lit(v)) if draw is None else draw.when(u < F.lit(acc), F.lit(v))
         draw = draw.otherwise(F.lit(REDRAW_VALUES[-1]))
         out = out.withColumn(c, F.when(pick, draw.cast(df.schema[c].dataType)).otherwise(F.col(c)))
+        out = out.drop("_pick") if exact else out
     for j, (c, (src, dst)) in enumerate((flip or {}).items()):
-        pick = hash_fraction(key, FLIP_SHARE * severity, seed + 100 + j)
-        out = out.withColumn(c, F.when((F.col(c) == F.lit(src)) & pick, F.lit(dst)).otherwise(F.col(c)))
+        if exact:
+            out = exact_pick(out, key, FLIP_SHARE * severity, seed + 100 + j, F.col(c) == F.lit(src), out="_pick")
+            out = out.withColumn(c, F.when(F.col("_pick"), F.lit(dst)).otherwise(F.col(c))).drop("_pick")
+        else:
+            pick = hash_fraction(key, FLIP_SHARE * severity, seed + 100 + j)
+            out = out.withColumn(c, F.when((F.col(c) == F.lit(src)) & pick, F.lit(dst)).otherwise(F.col(c)))
     return out

@@ -108,7 +108,7 @@ def analyze_drift(reference: DataFrame, current: DataFrame, alpha: float = 0.05)
 def simulate_drift(df: DataFrame, severity: float = 1.0) -> DataFrame:
     """D6 with the reference's four perturbations."""
     return D.perturb(df, [KEY], severity, seed=99, shift={"DistanceFromHome": 1}, cut=["MonthlyIncome"],
-                     redraw=["JobSatisfaction"], flip={"OverTime": ("No", "Yes")})
+                     redraw=["JobSatisfaction"], flip={"OverTime": ("No", "Yes")}, exact=True)
 
 
 def business_stats(df: DataFrame, exits: DataFrame | None = None) -> DataFrame:

@@ -571,3 +571,10 @@ x AS (SELECT d, SUM(dr * dr / e_r + dc * dc / e_c) AS stat, MAX(k) - 1 AS dof FR
 SELECT d AS window_start, 'event_type' AS feature, ROUND(stat, 6) AS statistic, dof,
        ROUND(exp(-stat / 2) * (1 + stat / 2), 6) AS p_value, exp(-stat / 2) * (1 + stat / 2) < 0.05 AS drift_detected
 FROM x"""
+
+ORACLE["perturb_exact"] = """
+WITH c AS (SELECT event_type, COUNT(*) AS n FROM events GROUP BY 1),
+v AS (SELECT CAST(ROUND(n * 0.4) AS BIGINT) AS moved FROM c WHERE event_type = 'view')
+SELECT event_type, n + CASE WHEN event_type = 'click' THEN (SELECT moved FROM v)
+                            WHEN event_type = 'view' THEN -(SELECT moved FROM v) ELSE 0 END AS n
+FROM c"""

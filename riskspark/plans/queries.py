@@ -458,6 +458,14 @@ def q_perturb_fraction(spark, sf):
     return out.groupBy("event_type", "sat").agg(F.count(F.lit(1)).alias("n"))
 
 
+@register("perturb_exact")
+def q_perturb_exact(spark, sf):
+    """D6 with exact counts: 40% of 'view' events (rounded) become 'click'."""
+    ev = table(spark, sf, "events")
+    out = D.perturb(ev, ["event_id"], severity=1.0, flip={"event_type": ("view", "click")}, exact=True)
+    return out.groupBy("event_type").agg(F.count(F.lit(1)).alias("n"))
+
+
 # --- B: business -------------------------------------------------------------------------------
 
 @register("relative_risk")
