@@ -50,13 +50,15 @@ MAX_BUCKETS = 8192
 
 def assign_buckets(df: DataFrame, order_col: str, part_cols: Sequence[str] = (),
                    buckets: int | None = None, accuracy: int | None = None,
-                   rows_per_bucket: int | None = ROWS_PER_BUCKET) -> DataFrame:
+                   rows_per_bucket: int | None = ROWS_PER_BUCKET, edge_source: DataFrame | None = None) -> DataFrame:
     """Add ``_bucket`` (int): a monotone, balanced bucket of ``order_col`` within each part.
 
     Up to ``buckets`` edges per part come from ``percentile_approx``; with ``rows_per_bucket`` the
     edge array of each part is thinned to about (rows in part / rows_per_bucket) edges, so a small
     part keeps one bucket and the edge table stays proportional to the data, not to parts x buckets.
-    An explicit ``buckets`` (tests) keeps every edge."""
+    An explicit ``buckets`` (tests) keeps every edge. ``edge_source`` (same part and order columns,
+    e.g. the raw rows before the distinct-value aggregate) lets the edges come from a scan with
+    partial aggregation instead of a second shuffle of the distinct values."""
     n_b = buckets or min(MAX_BUCKETS, default_buckets(df))
     thin = rows_per_bucket if buckets is None else None
     acc = accuracy or max(10_000, 20 * n_b)
@@ -71,26 +73,28 @@ def assign_buckets(df: DataFrame, order_col: str, part_cols: Sequence[str] = (),
         edge_agg = F.filter(edges_all, lambda x, i: (i + 1) % stride == 0).alias("_edges")
     else:
         edge_agg = edges_all.alias("_edges")
+    src = edge_source if edge_source is not None else df
     if parts:
         # one row per part, each with at most (part rows / rows_per_bucket) edges: proportional to the data
-        edges = df.groupBy(*parts).agg(edge_agg)
+        edges = src.groupBy(*parts).agg(edge_agg)
         tagged = df.join(F.broadcast(edges), on=parts, how="inner")
     else:
         # one row of at most n_b doubles: a proven size bound
-        edges = df.agg(edge_agg)
+        edges = src.agg(edge_agg)
         tagged = df.crossJoin(F.broadcast(edges))
     return _bucket_column(tagged, v, n_b).drop("_edges")
 
 
 def running_sums(df: DataFrame, order_col: str, sum_cols: Sequence[str], part_cols: Sequence[str] = (),
-                 buckets: int | None = None, rows_per_bucket: int | None = ROWS_PER_BUCKET) -> DataFrame:
+                 buckets: int | None = None, rows_per_bucket: int | None = ROWS_PER_BUCKET,
+                 edge_source: DataFrame | None = None) -> DataFrame:
     """For rows distinct on (part_cols, order_col), add per sum column c:
 
     * ``cum_c``: sum of c over rows with order <= this row's (ascending, inclusive),
     * ``tot_c``: total of c in the part.
     """
     parts = list(part_cols)
-    tagged = assign_buckets(df, order_col, parts, buckets, rows_per_bucket=rows_per_bucket)
+    tagged = assign_buckets(df, order_col, parts, buckets, rows_per_bucket=rows_per_bucket, edge_source=edge_source)
     # bucket totals: one row per non-empty (part, bucket)
     btot = tagged.groupBy(*parts, BUCKET).agg(*[F.sum(c).alias(f"_bt_{c}") for c in sum_cols])
     w_off = Window.partitionBy(*parts).orderBy(BUCKET).rowsBetween(Window.unboundedPreceding, -1)
