@@ -161,8 +161,9 @@ def status_view(report: DataFrame) -> DataFrame:
 
 def period_counts(df: DataFrame, time_col: str, baseline: Column, cols: Sequence[str], kind: str,
                   unit: str) -> DataFrame:
-    """Side counts per period: the baseline is counted once (per feature and value) and its small
-    count table is repeated for each period of the current rows, never the baseline rows."""
+    """Side counts per period for categorical features: the baseline is counted once per (feature,
+    category) and that table is repeated for each period (categories x periods rows; bounded by
+    the category lists and the calendar), never the baseline rows."""
     period = F.date_trunc(unit, F.col(time_col)).alias("period")
     cur = df.where(~baseline | baseline.isNull())
     cur_counts = (_long(cur.select(period, *cols), ["period"], cols, kind)
@@ -175,13 +176,46 @@ def period_counts(df: DataFrame, time_col: str, baseline: Column, cols: Sequence
             .groupBy("period", "feature", "v").agg(F.sum("r").alias("r"), F.sum("c").alias("c")))
 
 
+def ks_against_reference(ref_counts: DataFrame, cur_counts: DataFrame, by: Sequence[str]) -> DataFrame:
+    """KS of every group of ``cur_counts`` (by..., feature, v, c) against one reference sample
+    ``ref_counts`` (feature, v, r), without repeating the reference per group.
+
+    The reference CDF is read at each current point from one prefix sum over the merged value
+    order (reference values and all current values, one row per (feature, v)). Between two
+    consecutive current points the current CDF is constant and the reference CDF is monotone,
+    so the supremum is attained at a current point v as |F_ref(v) - F_cur(v)| or
+    |F_ref(v-) - F_cur(v-)|: exact, with rows = reference values + current values."""
+    keys = [*by, "feature"]
+    points = (ref_counts.select("feature", "v", F.col("r").cast("long").alias("R"))
+              .unionByName(cur_counts.select("feature", "v", F.lit(0).cast("long").alias("R")))
+              .groupBy("feature", "v").agg(F.sum("R").alias("R")))
+    ref_cdf = running_sums(points, "v", ["R"], part_cols=["feature"]).select(
+        "feature", "v", (F.col("cum_R") / F.col("tot_R")).alias("fr"),
+        ((F.col("cum_R") - F.col("R")) / F.col("tot_R")).alias("fr_minus"), F.col("tot_R").alias("n_ref"))
+    cur_cdf = running_sums(cur_counts, "v", ["c"], part_cols=keys).select(
+        *keys, "v", (F.col("cum_c") / F.col("tot_c")).alias("fc"),
+        ((F.col("cum_c") - F.col("c")) / F.col("tot_c")).alias("fc_minus"), F.col("tot_c").alias("n_cur"))
+    j = cur_cdf.join(ref_cdf, ["feature", "v"], "inner")  # every current point is in ref_cdf
+    gap = F.greatest(F.abs(F.col("fr") - F.col("fc")), F.abs(F.col("fr_minus") - F.col("fc_minus")))
+    return j.groupBy(*keys).agg(F.max(gap).alias("statistic"), F.first("n_ref").alias("n_ref"),
+                                F.first("n_cur").alias("n_cur"))
+
+
 def drift_by_period(df: DataFrame, time_col: str, baseline: Column, numeric: Sequence[str],
                     categorical: Sequence[str], unit: str = "week", alpha: float = DEFAULT_ALPHA) -> DataFrame:
     """Every period (``date_trunc(unit)``) of the non-baseline rows against the baseline rows,
-    all periods and features in one plan: (period, feature, type, statistic, p_value, drift_detected)."""
+    all periods and features in one plan: (period, feature, type, statistic, p_value, drift_detected).
+    Numeric features never repeat the baseline per period (``ks_against_reference``); categorical
+    ones repeat only the baseline's category counts (categories x periods rows)."""
     parts = []
     if numeric:
-        ks = ks_from_counts(period_counts(df, time_col, baseline, numeric, "double", unit), ["period"])
+        period = F.date_trunc(unit, F.col(time_col)).alias("period")
+        cur = df.where(~baseline | baseline.isNull()).select(period, *numeric)
+        cur_counts = _long(cur, ["period"], numeric, "double").groupBy("period", "feature", "v").agg(
+            F.count(F.lit(1)).alias("c"))
+        ref_counts = _long(df.where(baseline), [], numeric, "double").groupBy("feature", "v").agg(
+            F.count(F.lit(1)).alias("r"))
+        ks = ks_against_reference(ref_counts, cur_counts, ["period"])
         parts.append(ks.select("period", "feature", F.lit("numerical").alias("type"), "statistic",
                                ks_pvalue_col("statistic", "n_ref", "n_cur").alias("p_value")))
     if categorical:
