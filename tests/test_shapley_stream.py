@@ -4,7 +4,7 @@ import pytest
 from pyspark.ml.linalg import Vectors
 from pyspark.sql import functions as F
 
-from riskspark.operators.shapley import _expected, extract_gbt, tree_shap_batch
+from riskspark.operators.shapley import _expected, extract_gbt, tree_shap_batch, tree_shap_subsets
 from tests.conftest import SF_SMALL
 
 
@@ -20,6 +20,9 @@ def test_tree_shap_sum_rule_and_brute_force(spark):
     margin = sum(w * _expected(t, x[:20], frozenset(range(3))) for t, w in zip(trees, weights))
     assert np.allclose(phi.sum(axis=1) + base, margin, atol=1e-10)
     # Spark's own margin: probability = 1 / (1 + exp(-2F))
+    # equal to the Shapley average over all feature subsets of each tree
+    phi_s, base_s = tree_shap_subsets(trees, weights, x[:20])
+    assert np.allclose(phi, phi_s, atol=1e-10) and base == pytest.approx(base_s)
     prob = [r["probability"][1] for r in model.transform(df.limit(20)).collect()]
     assert np.allclose(prob, 1 / (1 + np.exp(-2 * margin)), atol=1e-9)
 
@@ -42,3 +45,16 @@ def test_stream_restart_is_exactly_once(spark, tmp_path):
     out2 = run_to_files(file_stream(spark, SF_SMALL, schema, "events.parquet"), "t", base=base)
     assert out1 == out2
     assert spark.read.parquet(out2).count() == n1 == spark.read.parquet(f"{SF_SMALL}/events.parquet").count()
+
+
+def test_tree_shap_deep_trees_sum_rule(spark):
+    from pyspark.ml.classification import GBTClassifier
+    rng = np.random.default_rng(1)
+    x = rng.normal(size=(400, 8))
+    y = ((x[:, 0] * x[:, 1] + x[:, 2] - x[:, 3] * x[:, 4] + 0.5 * x[:, 5]) > 0).astype(int)
+    df = spark.createDataFrame([(Vectors.dense(r.tolist()), int(t)) for r, t in zip(x, y)], ["features", "label"])
+    model = GBTClassifier(maxIter=4, maxDepth=6, seed=3).fit(df)
+    trees, weights = extract_gbt(model)
+    phi, base = tree_shap_batch(trees, weights, x[:50])
+    margin = sum(w * _expected(t, x[:50], frozenset(range(8))) for t, w in zip(trees, weights))
+    assert np.allclose(phi.sum(axis=1) + base, margin, atol=1e-9)
