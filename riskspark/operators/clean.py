@@ -90,15 +90,15 @@ def unpivot_values(df: DataFrame, ids: Sequence[str], cols: Sequence[str], kind:
 def positional_split(df: DataFrame, order_key: str, first_n: int | None = None,
                      cutoff: Column | None = None) -> tuple[DataFrame, DataFrame]:
     """baseline/current split. With ``cutoff`` (preferred at scale) it is a plain filter;
-    with ``first_n`` the first n rows by ``order_key`` form the baseline, found by a prefix count
-    over distinct keys (no single-task window)."""
+    with ``first_n`` the first n rows by ``order_key`` form the baseline: each row gets its
+    position from the bucketed prefix count (no single-task window, no join back). Rows sharing
+    a key value are cut by position, like a positional slice."""
     if cutoff is not None:
         return df.where(cutoff), df.where(~cutoff | cutoff.isNull())
     from riskspark.operators.prefix import running_sums
 
-    counts = df.groupBy(F.col(order_key).alias("_k")).agg(F.count(F.lit(1)).alias("_c"))
-    ranked = running_sums(counts, "_k", ["_c"]).select("_k", (F.col("cum__c") <= F.lit(int(first_n))).alias("_first"))
-    tagged = df.join(ranked, df[order_key] == ranked["_k"], "inner").drop("_k")
+    ranked = running_sums(df.withColumn("_one", F.lit(1)), order_key, ["_one"])
+    tagged = ranked.withColumn("_first", F.col("cum__one") <= F.lit(int(first_n))).drop("_one", "cum__one", "tot__one")
     return tagged.where("_first").drop("_first"), tagged.where(~F.col("_first")).drop("_first")
 
 
