@@ -44,7 +44,9 @@ def _bucket_column(tagged: DataFrame, v: Column, n_b: int) -> DataFrame:
     return tagged
 
 
-ROWS_PER_BUCKET = 1_000_000
+# a bucket is one window task's share of distinct rows; small parts keep few buckets and the edge
+# table stays proportional to the data (at most parts x MAX_BUCKETS edges)
+ROWS_PER_BUCKET = 20_000
 MAX_BUCKETS = 8192
 
 

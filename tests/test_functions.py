@@ -43,3 +43,16 @@ def test_validate_domains_and_status_view(spark):
     rep = spark.createDataFrame([("b", False), ("a", True), ("c", True)], "feature string, drift_detected boolean")
     assert [r.feature for r in D.status_view(rep).collect()] == ["a", "c", "b"]
     assert D.drifting_features(rep).first()[0] == ["a", "c"]
+
+
+def test_join_breakdown_pre_aggregate_same_result(spark):
+    parent = spark.createDataFrame([(1, "a", 10.0), (2, "a", 20.0), (3, "b", 30.0)], "id int, dept string, pay double")
+    child = spark.createDataFrame([(1, "x"), (1, "x"), (2, "x"), (3, "y"), (3, "x")], "pid int, reason string")
+    plain = A.join_breakdown(parent, child, "id", "pid", "dept", "reason", "pay").collect()
+    eager = A.join_breakdown(parent, child, "id", "pid", "dept", "reason", "pay", pre_aggregate=True).collect()
+    assert plain == eager
+    li = spark.createDataFrame([(1, "O", "R"), (1, "O", "N"), (2, "F", "R")], "k int, st string, fl string")
+    dim = spark.createDataFrame([(1, "H"), (2, "L")], "dk int, pr string")
+    a = A.rate_by(li.join(dim, li.k == dim.dk), ["pr", "st"], "fl", "R").collect()
+    b = A.rate_by_join(li, dim, "k", "dk", ["pr", "st"], "fl", "R").collect()
+    assert a == b
