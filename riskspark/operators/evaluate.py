@@ -175,14 +175,21 @@ def capture_at_top(df: DataFrame, label: str, score: str, key: str, pct) -> Data
         is_cut = (above < k) & (above + F.col("pos") + F.col("neg") >= k)
         aggs += [F.first(k).alias(f"k{i}"), F.max(F.when(is_cut, F.col("s"))).alias(f"s{i}"),
                  F.max(F.when(is_cut, above)).alias(f"a{i}"),
-                 F.max(F.when(is_cut, F.col("tot_pos") - F.col("cum_pos"))).alias(f"p{i}")]
+                 F.max(F.when(is_cut, F.col("tot_pos") - F.col("cum_pos"))).alias(f"p{i}"),
+                 F.max(F.when(is_cut, F.col("pos"))).alias(f"cp{i}"),
+                 F.max(F.when(is_cut, F.col("pos") + F.col("neg"))).alias(f"cn{i}")]
     head = cs.agg(*aggs).first()  # one row
     spark = df.sparkSession
     P_ = int(head["P"] or 0)
     cuts = [(i, int(head[f"k{i}"] or 0), head[f"s{i}"], int(head[f"a{i}"] or 0), int(head[f"p{i}"] or 0))
             for i in range(len(pcts))]
     tie_pos = {i: 0 for i in range(len(pcts))}
-    valid = [c for c in cuts if c[2] is not None and c[1] > 0]
+    # when every row tied at the cut is flagged, the cut's own positives are the answer; only a cut
+    # strictly inside a tied group needs the key ranking of pass 2
+    for i, k_, s_, a_, _ in cuts:
+        if s_ is not None and k_ - a_ == int(head[f"cn{i}"] or 0):
+            tie_pos[i] = int(head[f"cp{i}"] or 0)
+    valid = [c for c in cuts if c[2] is not None and c[1] > 0 and c[1] - c[3] < int(head[f"cn{c[0]}"] or 0)]
     if valid:
         cut_values = sorted({float(c[2]) for c in valid})
         s_col = F.col(score).cast("double")
