@@ -201,3 +201,29 @@ def q_background_sample(spark, sf):
     _, _, _, _, tr, _ = _prepared(spark, sf)
     s = seeded_sample(tr, ["doc_id"], n=100, seed=42)
     return s.select("doc_id", LABEL, vector_to_array("features").alias("x"))
+
+
+DOC_SCHEMA = "doc_id long, text string, lang string, source string, n_chars long"
+
+
+@register("stream_model_score")
+def q_stream_model_score(spark, sf):
+    """ST1 with a model: documents streamed from their file and scored by a batch-trained logistic
+    regression (stateless: features from each row only, scaler and categories fitted on the batch
+    training rows); output = predicted class counts by language."""
+    from riskspark.streaming.stream import score_stream
+
+    _, _, _, prep, tr, _ = _prepared(spark, sf)
+    model = _lr_model(tr)
+
+    def scorer(stream):
+        feats = stream.select(
+            "doc_id", "lang", "source", F.col("n_chars").cast("double").alias("n_chars"),
+            F.size(F.split(F.trim(F.col("text")), r"\\s+")).cast("double").alias("n_words"),
+            F.size(F.split(F.col("text"), "\\n")).cast("double").alias("n_lines"),
+            (F.length(F.regexp_replace("text", "[^0-9]", "")) / F.greatest(F.length("text"), F.lit(1))).alias("digit_share"))
+        pred = M.positive_probability(model.transform(prep.transform(feats)), "p")
+        return pred.select("doc_id", "lang", (F.col("p") >= 0.5).cast("int").alias("pred"), "p")
+
+    out = score_stream(spark, sf, DOC_SCHEMA, scorer, glob="documents.parquet")
+    return round_all(out.groupBy("lang", "pred").agg(F.count(F.lit(1)).alias("n"), F.avg("p").alias("avg_p")), 6)

@@ -99,3 +99,17 @@ def test_thinned_buckets_per_part_equal_plain_window(spark):
     w = Window.partitionBy("part").orderBy("v").rowsBetween(Window.unboundedPreceding, 0)
     plain = df.select("part", "v", F.sum("c").over(w).alias("cum_c"))
     assert sorted(ours.select("part", "v", "cum_c").collect()) == sorted(plain.collect())
+
+
+def test_hot_part_is_split_and_exact(spark):
+    """A part holding a third of all rows gets several buckets; results equal a plain window."""
+    from riskspark.operators.prefix import assign_buckets
+    rows = [("hot", float(i), 1) for i in range(3000)] + [(f"p{j}", float(i), 1) for j in range(20) for i in range(300)]
+    df = spark.createDataFrame(rows, "part string, v double, c int")
+    tagged = assign_buckets(df, "v", ["part"], rows_per_bucket=500)
+    hot_buckets = tagged.where("part = 'hot'").select("_bucket").distinct().count()
+    assert hot_buckets > 1
+    ours = running_sums(df, "v", ["c"], part_cols=["part"], rows_per_bucket=500)
+    w = Window.partitionBy("part").orderBy("v").rowsBetween(Window.unboundedPreceding, 0)
+    plain = df.select("part", "v", F.sum("c").over(w).alias("cum_c"))
+    assert sorted(ours.select("part", "v", "cum_c").collect()) == sorted(plain.collect())
