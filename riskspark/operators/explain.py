@@ -7,7 +7,6 @@ from collections.abc import Sequence
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from riskspark.functions.exprs import normalise
 
 # The reference's per-row contribution rules (employee schema) and its fallback.
 BASELINE_NAME = "Baseline Factors"

@@ -1,6 +1,5 @@
 """Golden vectors of the reference's feature test (4 rows) and scaling/one-hot rules."""
 import pytest
-from pyspark.sql import functions as F
 
 from riskspark.operators import features as W
 

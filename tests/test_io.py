@@ -1,7 +1,6 @@
 """Sources and sinks: SQL file runner, CSV null tokens, metadata JSON, metrics report, optional input."""
 import json
 
-from pyspark.sql import functions as F
 
 from riskspark.operators import features as W
 from riskspark.sources import io as IO

@@ -1,5 +1,4 @@
 """Driver contract at sf0.001: entry smoke, and every query with SQL against DuckDB."""
-import math
 
 import duckdb
 import pytest

@@ -2,7 +2,6 @@
 import numpy as np
 import pytest
 from pyspark.ml.linalg import Vectors
-from pyspark.sql import functions as F
 
 from riskspark.operators.shapley import _expected, extract_gbt, tree_shap_batch, tree_shap_subsets
 from tests.conftest import SF_SMALL
