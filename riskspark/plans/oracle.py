@@ -578,3 +578,16 @@ v AS (SELECT CAST(ROUND(n * 0.4) AS BIGINT) AS moved FROM c WHERE event_type = '
 SELECT event_type, n + CASE WHEN event_type = 'click' THEN (SELECT moved FROM v)
                             WHEN event_type = 'view' THEN -(SELECT moved FROM v) ELSE 0 END AS n
 FROM c"""
+
+ORACLE["table_shape"] = """SELECT COUNT(*) AS n_rows, 11 AS n_cols FROM lineitem"""
+
+ORACLE["feature_head"] = """
+WITH r AS (SELECT l_orderkey, l_linenumber, l_partkey,
+                  l_extendedprice / (AVG(l_extendedprice) OVER (PARTITION BY l_linenumber) + 1e-5) AS price_ratio,
+                  l_quantity / (CAST(l_linenumber AS DOUBLE) + 1.0) AS qty_ratio FROM lineitem)
+SELECT l_orderkey, l_linenumber, l_partkey, ROUND(price_ratio, 6) AS price_ratio, ROUND(qty_ratio, 6) AS qty_ratio
+FROM r ORDER BY l_orderkey, l_linenumber, l_partkey, price_ratio LIMIT 5"""
+
+ORACLE["flagged_count"] = """
+SELECT COUNT(*) FILTER (WHERE value >= 50) AS flagged, COUNT(*) AS total,
+       ROUND(CAST(COUNT(*) FILTER (WHERE value >= 50) AS DOUBLE) / COUNT(*), 6) AS fraction FROM events"""

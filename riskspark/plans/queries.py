@@ -75,6 +75,25 @@ def q_seeded_fraction(spark, sf):
     return P.seeded_sample(table(spark, sf, "events"), ["event_id"], fraction=0.1, seed=42)
 
 
+@register("table_shape")
+def q_table_shape(spark, sf):
+    return P.shape(table(spark, sf, "lineitem"))
+
+
+@register("feature_head")
+def q_feature_head(spark, sf):
+    """The derived ratio columns of the first five lines by key (a head report: the limit is the feature)."""
+    li = W.ratio_to_group_mean(table(spark, sf, "lineitem"), "l_extendedprice", "l_linenumber", "price_ratio")
+    li = W.offset_ratio(li, "l_quantity", "l_linenumber", "qty_ratio", 1.0)
+    return r6(li.select("l_orderkey", "l_linenumber", "l_partkey", "price_ratio", "qty_ratio")
+              .orderBy("l_orderkey", "l_linenumber", "l_partkey", "price_ratio").limit(5))
+
+
+@register("flagged_count")
+def q_flagged_count(spark, sf):
+    return r6(A.flagged_count(events_labeled(spark, sf).withColumn("flag", F.col("yhat") == 1), "flag"))
+
+
 @register("domain_violations")
 def q_domain_violations(spark, sf):
     li = P.validate_domains(table(spark, sf, "lineitem"),
