@@ -36,6 +36,13 @@ def tag_sides(ref: DataFrame, cur: DataFrame, cols: Sequence[str], by: Sequence[
             .unionByName(cur.select(*keep).withColumn(SIDE, F.lit(1))))
 
 
+def _spread(df: DataFrame, keys: Sequence[str]) -> DataFrame:
+    """Spread the one-row-per-feature result over the cluster before the p-value UDF: an exact KS
+    p-value costs up to n*m <= 1e8 steps, so features (and periods) should not queue in one task.
+    An explicit partition number is kept by AQE (it does not coalesce it away)."""
+    return df.repartition(max(1, df.sparkSession.sparkContext.defaultParallelism), *keys)
+
+
 def _present(ref: DataFrame, cur: DataFrame, cols: Sequence[str]) -> list[str]:
     """D3: features missing on either side are skipped."""
     return [c for c in cols if c in ref.columns and c in cur.columns]
@@ -68,7 +75,7 @@ def ks_from_tagged(tagged: DataFrame, cols: Sequence[str], by: Sequence[str] = (
 def drift_ks(ref: DataFrame, cur: DataFrame, cols: Sequence[str], alpha: float = DEFAULT_ALPHA) -> DataFrame:
     """KS statistic and p-value per numeric feature (nulls dropped per feature)."""
     cols = _present(ref, cur, cols)
-    ks = ks_from_tagged(tag_sides(ref, cur, cols), cols)
+    ks = _spread(ks_from_tagged(tag_sides(ref, cur, cols), cols), ["feature"])
     return ks.withColumn("p_value", ks_pvalue_col("statistic", "n_ref", "n_cur")).withColumn(
         "drift_detected", F.col("p_value") < F.lit(alpha))
 
@@ -215,7 +222,7 @@ def drift_by_period(df: DataFrame, time_col: str, baseline: Column, numeric: Seq
             F.count(F.lit(1)).alias("c"))
         ref_counts = _long(df.where(baseline), [], numeric, "double").groupBy("feature", "v").agg(
             F.count(F.lit(1)).alias("r"))
-        ks = ks_against_reference(ref_counts, cur_counts, ["period"])
+        ks = _spread(ks_against_reference(ref_counts, cur_counts, ["period"]), ["period", "feature"])
         parts.append(ks.select("period", "feature", F.lit("numerical").alias("type"), "statistic",
                                ks_pvalue_col("statistic", "n_ref", "n_cur").alias("p_value")))
     if categorical:
