@@ -166,23 +166,6 @@ def status_view(report: DataFrame) -> DataFrame:
     return report.orderBy(F.desc("drift_detected"), "feature")
 
 
-def period_counts(df: DataFrame, time_col: str, baseline: Column, cols: Sequence[str], kind: str,
-                  unit: str) -> DataFrame:
-    """Side counts per period for categorical features: the baseline is counted once per (feature,
-    category) and that table is repeated for each period (categories x periods rows; bounded by
-    the category lists and the calendar), never the baseline rows."""
-    period = F.date_trunc(unit, F.col(time_col)).alias("period")
-    cur = df.where(~baseline | baseline.isNull())
-    cur_counts = (_long(cur.select(period, *cols), ["period"], cols, kind)
-                  .groupBy("period", "feature", "v").agg(F.count(F.lit(1)).alias("c")))
-    ref_counts = _long(df.where(baseline), [], cols, kind).groupBy("feature", "v").agg(F.count(F.lit(1)).alias("r"))
-    periods = cur.select(period).distinct()  # bounded by the calendar
-    ref_rep = ref_counts.join(F.broadcast(periods), F.lit(True), "inner")
-    return (ref_rep.select("period", "feature", "v", "r", F.lit(0).cast("long").alias("c"))
-            .unionByName(cur_counts.select("period", "feature", "v", F.lit(0).cast("long").alias("r"), "c"))
-            .groupBy("period", "feature", "v").agg(F.sum("r").alias("r"), F.sum("c").alias("c")))
-
-
 def ks_against_reference(ref_counts: DataFrame, cur_counts: DataFrame, by: Sequence[str]) -> DataFrame:
     """KS of every group of ``cur_counts`` (by..., feature, v, c) against one reference sample
     ``ref_counts`` (feature, v, r), without repeating the reference per group.
@@ -208,12 +191,57 @@ def ks_against_reference(ref_counts: DataFrame, cur_counts: DataFrame, by: Seque
                                 F.first("n_cur").alias("n_cur"))
 
 
+def chi2_against_reference(ref_counts: DataFrame, cur_counts: DataFrame, by: Sequence[str]) -> DataFrame:
+    """Smoothed chi-square (+1 cells, Yates on 2x2) of every group of ``cur_counts`` (by..., feature,
+    v, c) against one reference ``ref_counts`` (feature, v, r), without repeating the reference's
+    categories per group. Output (by..., feature, statistic, dof).
+
+    Cells are the union of reference and group categories. With row totals R_v, column totals
+    t_r, t_c and N: chi2 = N * (sum_v o_r^2 / (R_v t_r) + o_c^2 / (R_v t_c)) - N. Reference
+    categories absent from a group have o_c = 1, so their part is a per-feature constant minus the
+    part of the categories that are present (found by an equi-join). A 2x2 table (Yates) is closed
+    form: |o - e| = |o11 o22 - o12 o21| / N for every cell."""
+    keys = [*by, "feature"]
+    ref_stats = ref_counts.groupBy("feature").agg(
+        F.count(F.lit(1)).alias("_k0"), F.sum("r").alias("_rtot"),
+        F.sum((F.col("r") + 1) ** 2 / (F.col("r") + 2)).alias("_A"), F.sum(1.0 / (F.col("r") + 2)).alias("_B"))
+    j = cur_counts.join(ref_counts, ["feature", "v"], "left")  # at most one reference row per cell
+    in_ref = F.col("r").isNotNull()
+    o_r = F.coalesce(F.col("r"), F.lit(0)) + 1
+    o_c = F.col("c") + 1
+    rv = o_r + o_c
+    per = j.groupBy(*keys).agg(
+        F.count(F.lit(1)).alias("_ncur"), F.count_if(~in_ref).alias("_new"), F.sum("c").alias("_ctot"),
+        F.sum(F.when(in_ref, F.col("r"))).alias("_rpres"),
+        F.sum(o_r * o_r / rv).alias("_xr"), F.sum(o_c * o_c / rv).alias("_xc"),
+        F.sum(F.when(in_ref, (F.col("r") + 1) ** 2 / (F.col("r") + 2))).alias("_apres"),
+        F.sum(F.when(in_ref, 1.0 / (F.col("r") + 2))).alias("_bpres"),
+        F.min_by(F.struct(o_r.alias("a"), o_c.alias("b")), F.col("v")).alias("_c1"),
+        F.max_by(F.struct(o_r.alias("a"), o_c.alias("b")), F.col("v")).alias("_c2"))
+    x = per.join(F.broadcast(ref_stats), "feature")  # one row per feature
+    k = F.col("_k0") + F.col("_new")
+    t_r = F.col("_rtot") + k
+    t_c = F.col("_ctot") + k
+    n = t_r + t_c
+    rpres = F.coalesce(F.col("_rpres"), F.lit(0))
+    plain = n * ((F.col("_xr") + F.col("_A") - F.coalesce(F.col("_apres"), F.lit(0.0))) / t_r
+                 + (F.col("_xc") + F.col("_B") - F.coalesce(F.col("_bpres"), F.lit(0.0))) / t_c) - n
+    # 2x2: the second cell is the other current category, or the one reference-only category
+    second_a = F.when(F.col("_ncur") == 2, F.col("_c2.a")).otherwise(F.col("_rtot") - rpres + 1)
+    second_b = F.when(F.col("_ncur") == 2, F.col("_c2.b")).otherwise(F.lit(1))
+    d = F.abs(F.col("_c1.a") * second_b - second_a * F.col("_c1.b")) / n
+    r1, r2 = F.col("_c1.a") + F.col("_c1.b"), second_a + second_b
+    yates = F.pow(F.greatest(d - 0.5, F.lit(0.0)), 2) * n * (1.0 / r1 + 1.0 / r2) * (1.0 / t_r + 1.0 / t_c)
+    stat = F.when(k == 2, yates).when(k >= 3, plain).otherwise(F.lit(0.0))
+    return x.select(*keys, stat.cast("double").alias("statistic"), (k - 1).cast("long").alias("dof"))
+
+
 def drift_by_period(df: DataFrame, time_col: str, baseline: Column, numeric: Sequence[str],
                     categorical: Sequence[str], unit: str = "week", alpha: float = DEFAULT_ALPHA) -> DataFrame:
     """Every period (``date_trunc(unit)``) of the non-baseline rows against the baseline rows,
     all periods and features in one plan: (period, feature, type, statistic, p_value, drift_detected).
-    Numeric features never repeat the baseline per period (``ks_against_reference``); categorical
-    ones repeat only the baseline's category counts (categories x periods rows)."""
+    Neither numeric (``ks_against_reference``) nor categorical (``chi2_against_reference``)
+    features repeat the baseline per period."""
     parts = []
     if numeric:
         period = F.date_trunc(unit, F.col(time_col)).alias("period")
@@ -226,8 +254,14 @@ def drift_by_period(df: DataFrame, time_col: str, baseline: Column, numeric: Seq
         parts.append(ks.select("period", "feature", F.lit("numerical").alias("type"), "statistic",
                                ks_pvalue_col("statistic", "n_ref", "n_cur").alias("p_value")))
     if categorical:
-        chi = chi2_from_counts(period_counts(df, time_col, baseline, categorical, "string", unit), ["period"])
-        chi = _chi2_finish(chi, alpha)
+        period = F.date_trunc(unit, F.col(time_col)).alias("period")
+        cur = df.where(~baseline | baseline.isNull()).select(period, *categorical)
+        cur_counts = _long(cur, ["period"], categorical, "string").groupBy("period", "feature", "v").agg(
+            F.count(F.lit(1)).alias("c"))
+        ref_counts = _long(df.where(baseline), [], categorical, "string").groupBy("feature", "v").agg(
+            F.count(F.lit(1)).alias("r"))
+        chi = _chi2_finish(_spread(chi2_against_reference(ref_counts, cur_counts, ["period"]), ["period", "feature"]),
+                           alpha)
         parts.append(chi.select("period", "feature", F.lit("categorical").alias("type"), "statistic", "p_value"))
     out = parts[0]
     for p in parts[1:]:

@@ -73,11 +73,10 @@ def window_drift(spark: SparkSession, source_dir: str, schema: StructType | str,
     cur = spark.read.parquet(counts_dir)
     ref = (baseline.where(F.col(category).isNotNull()).groupBy(F.col(category).cast("string").alias("v"))
            .agg(F.count(F.lit(1)).alias("r")))
-    windows = cur.select("window_start").distinct()  # bounded by the calendar
-    counts = (ref.join(F.broadcast(windows), F.lit(True)).select("window_start", "v", "r", F.lit(0).cast("long").alias("c"))
-              .unionByName(cur.select("window_start", F.col("v").cast("string").alias("v"),
-                                      F.lit(0).cast("long").alias("r"), F.col("c").cast("long").alias("c")))
-              .groupBy("window_start", "v").agg(F.sum("r").alias("r"), F.sum("c").alias("c"))
-              .withColumn("feature", F.lit(category)))
-    chi = D.chi2_from_counts(counts, by=["window_start"])
+    # every window against the baseline without repeating the baseline's categories per window
+    chi = D.chi2_against_reference(
+        ref.withColumn("feature", F.lit(category)),
+        cur.select("window_start", F.lit(category).alias("feature"), F.col("v").cast("string").alias("v"),
+                   F.col("c").cast("long").alias("c")),
+        ["window_start"])
     return D._chi2_finish(chi, alpha)

@@ -93,3 +93,28 @@ def test_ks_against_reference_brute_force(spark):
         grid = np.union1d(ref, vs)
         want = max(abs((ref <= g).mean() - (vs <= g).mean()) for g in grid)
         assert got[p] == pytest.approx(want, abs=1e-12)
+
+
+def test_chi2_against_reference_equals_explicit_cells(spark):
+    """Per-group chi-square without repeating the reference equals the explicit union-of-cells form,
+    including 2x2 tables (Yates), single-category groups and categories new in a group."""
+    import random
+    rnd = random.Random(3)
+    ref_rows, cur_rows = [], []
+    for feat, cats in [("f3", list("abcde")), ("f2", list("ab")), ("f2b", list("ab"))]:
+        ref_rows += [(feat, v, rnd.randint(1, 50)) for v in cats]
+        for p in range(6):
+            present = rnd.sample(cats, rnd.randint(1, len(cats))) + (["zz"] if feat == "f3" and p == 5 else [])
+            cur_rows += [(p, feat, v, rnd.randint(0, 40)) for v in present]
+    ref = spark.createDataFrame(ref_rows, "feature string, v string, r long")
+    cur = spark.createDataFrame(cur_rows, "period int, feature string, v string, c long")
+    fast = {(r.period, r.feature): (r.statistic, r.dof) for r in D.chi2_against_reference(ref, cur, ["period"]).collect()}
+    periods = cur.select("period").distinct()
+    cells = (ref.crossJoin(periods).select("period", "feature", "v", "r", F.lit(0).cast("long").alias("c"))
+             .unionByName(cur.select("period", "feature", "v", F.lit(0).cast("long").alias("r"), "c"))
+             .groupBy("period", "feature", "v").agg(F.sum("r").alias("r"), F.sum("c").alias("c")))
+    slow = {(r.period, r.feature): (r.statistic, r.dof) for r in D.chi2_from_counts(cells, ["period"]).collect()}
+    assert set(fast) == set(slow)
+    for key, (stat, dof) in slow.items():
+        assert fast[key][1] == dof
+        assert fast[key][0] == pytest.approx(stat, abs=1e-9)
