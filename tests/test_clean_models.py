@@ -49,3 +49,23 @@ def test_rule_score_cap(spark):
 def test_risk_tiers(spark):
     df = spark.createDataFrame([(0.5,), (0.3,), (0.1,), (None,)], "p double")
     assert [r[0] for r in df.select(risk_tier("p", 0.5)).collect()] == ["HIGH", "MEDIUM", "LOW", None]
+
+
+def test_score_batch_auto_mode_follows_batch_size(spark):
+    from riskspark.operators.score import score_batch
+    rows = [(1000.0 * (i % 5 + 1) + 37 * i, i % 5 + 1, i % 4, i % 7, i % 2) for i in range(40)]
+    df = spark.createDataFrame(rows, "MonthlyIncome double, JobLevel int, YearsInCurrentRole int, YearsAtCompany int, y int")
+    from riskspark.operators.features import scoring_features
+    train = scoring_features(df)
+    prep = M.fit_prep(train, ["income_ratio_to_joblevel_avg", "role_tenure_ratio"], [])
+    model = M.logistic("y").fit(prep.transform(train))
+    table = {1: 900.0, 2: 2100.0, 3: 2900.0, 4: 4300.0, 5: 5200.0}
+    feats = df.drop("y")
+
+    def scores(frame, mode):
+        return sorted(r["AttritionRisk"] for r in score_batch(frame, prep, model, 0.5, mode=mode, reference_table=table).collect())
+
+    small, big = feats.limit(3), feats
+    assert scores(small, "auto") == scores(small, "reference_table")
+    assert scores(big, "auto") == scores(big, "batch_mean")
+    assert scores(big, "auto") != scores(big, "reference_table")
