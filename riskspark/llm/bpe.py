@@ -20,7 +20,7 @@ import pyarrow as pa
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from riskspark.llm.common import Below, Numbered, ragged, slices, table
+from riskspark.llm.common import Below, Numbered, ragged, slices, table, with_column
 
 NONE = np.int32(2**31 - 1)
 BAND = 512  # ranks that are taken out of the inverted index together
@@ -238,8 +238,7 @@ def encode(df: DataFrame, ranks_path: str, pattern: str, text: str = "text", ids
             offsets = np.concatenate([[0], np.cumsum(sizes)]).astype(np.int32)
             yield from rows.append_column(ids, pa.ListArray.from_arrays(pa.array(offsets), pa.array(flat, pa.int32()))).combine_chunks().to_batches()
 
-    schema = df.schema.add(ids, "array<int>")
-    return df.mapInArrow(run, schema)
+    return df.mapInArrow(run, with_column(df, ids, "array<int>"))
 
 
 def decode(df: DataFrame, ranks_path: str, ids: str = "ids", decoded: str = "decoded") -> DataFrame:
@@ -255,7 +254,7 @@ def decode(df: DataFrame, ranks_path: str, ids: str = "ids", decoded: str = "dec
             out = [b"".join(map(tokens.__getitem__, x.values.to_pylist())) if x.is_valid else b"" for x in lists]
             yield from pa.Table.from_batches([batch]).append_column(decoded, pa.array(out, pa.binary())).to_batches()
 
-    return df.mapInArrow(run, df.schema.add(decoded, "binary"))
+    return df.mapInArrow(run, with_column(df, decoded, "binary"))
 
 
 def op2_byte_bpe(spark: SparkSession, sf_dir: str) -> DataFrame:

@@ -14,6 +14,7 @@ import numpy as np
 import pyarrow as pa
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
+from pyspark.sql import types as T
 
 from riskspark.session import ensure_checkpoint_dir, ship_package
 
@@ -70,6 +71,11 @@ class Numbered(dict):
         return n
 
 
+def with_column(df: DataFrame, name: str, kind: str) -> T.StructType:
+    """The schema of ``df`` with one more column."""
+    return T.StructType([*df.schema.fields, *T.StructType.fromDDL(f"`{name}` {kind}").fields])
+
+
 class Below(dict):
     """Numbers its keys -1, -2, ... in order of first sight."""
 
