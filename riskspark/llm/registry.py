@@ -6,7 +6,7 @@ from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
 
-from riskspark.llm import bpe
+from riskspark.llm import bpe, secrets
 
-QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {**bpe.QUERIES}
+QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {**bpe.QUERIES, **secrets.QUERIES}
 SQL: dict[str, str] = {}
