@@ -71,9 +71,10 @@ class Numbered(dict):
         return n
 
 
-def with_column(df: DataFrame, name: str, kind: str) -> T.StructType:
-    """The schema of ``df`` with one more column."""
-    return T.StructType([*df.schema.fields, *T.StructType.fromDDL(f"`{name}` {kind}").fields])
+def with_column(df: DataFrame | T.StructType, name: str, kind: str) -> T.StructType:
+    """The schema of ``df`` (or a schema) with one more column."""
+    fields = df.fields if isinstance(df, T.StructType) else df.schema.fields
+    return T.StructType([*fields, *T.StructType.fromDDL(f"`{name}` {kind}").fields])
 
 
 class Below(dict):

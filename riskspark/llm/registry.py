@@ -6,7 +6,7 @@ from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
 
-from riskspark.llm import bpe, secrets
+from riskspark.llm import bpe, secrets, substrings
 
-QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {**bpe.QUERIES, **secrets.QUERIES}
+QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {**bpe.QUERIES, **secrets.QUERIES, **substrings.QUERIES}
 SQL: dict[str, str] = {}
