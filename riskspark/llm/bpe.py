@@ -23,6 +23,7 @@ from pyspark.sql import functions as F
 from riskspark.llm.common import Below, Numbered, ragged, slices, table, with_column
 
 NONE = np.int32(2**31 - 1)
+SLICE_CHARS = 6_000_000  # bounds the replay's arrays
 BAND = 512  # ranks that are taken out of the inverted index together
 
 
@@ -182,7 +183,7 @@ def encode_slice(texts: list[str], words_of, encode_words) -> tuple[np.ndarray,
     """Ids of all texts one after the other and the number of ids of each text. ``words_of(piece)`` lists
     the words of a piece; ``encode_words(words)`` gives their flat ids and counts."""
     plain, spaced = Numbered({"\n": 0}), Below()  # one counts up and one down, so both fit one array
-    docs = [np.array(split_chunks(t, plain, spaced, 0), np.int64) for t in texts]
+    docs = [np.array(split_chunks(t, plain, spaced, 0), np.int32) for t in texts]
     pieces = [*plain, *(" " + s for s in spaced)]
     index = Numbered()
     spelled = [[index[p]] if p[p[0] == " ":].isalpha() else [index[w] for w in words_of(p)] for p in pieces]
@@ -233,7 +234,7 @@ def encode(df: DataFrame, ranks_path: str, pattern: str, text: str = "text", ids
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         merges, findall = _tools(shared, pattern)
-        for rows, texts in slices(batches, text):
+        for rows, texts in slices(batches, text, SLICE_CHARS):
             flat, sizes = encode_slice(texts, lambda p: findall(p), lambda ws: merges.encode_words([w.encode() for w in ws]))
             offsets = np.concatenate([[0], np.cumsum(sizes)]).astype(np.int32)
             yield from rows.append_column(ids, pa.ListArray.from_arrays(pa.array(offsets), pa.array(flat, pa.int32()))).combine_chunks().to_batches()
