@@ -11,6 +11,7 @@ import uuid
 from collections.abc import Iterable, Iterator
 
 import numpy as np
+import pandas as pd
 import pyarrow as pa
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
@@ -20,7 +21,9 @@ from riskspark.session import ensure_checkpoint_dir, ship_package
 
 SLICE_CHARS = 16_000_000
 
-HEX64 = np.uint64(0xFFFFFFFFFFFFFFFF)
+BITMAP_BITS = 1 << 28  # 32 MB, the most that a bitmap takes
+BITS_PER_KEY = 64
+CELL = 32768  # bits in a row of Spark's bitmap functions
 
 
 def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
@@ -134,3 +137,30 @@ def rolling(h: np.ndarray, k: int) -> np.ndarray:
             return out
         cur = mix(cur[: len(cur) - span] * np.uint64(0xD6E8FEB86659FD93) + cur[span:])
         span *= 2
+
+
+def bitmap(df: DataFrame, column: str, most: int = BITMAP_BITS):
+    """Broadcast bitmap of the low bits of a long column: room for BITS_PER_KEY bits a row up to ``most`` bits, so
+    its size is bounded whatever the table; beyond that it only lets more rows through."""
+    bits = min(most, max(CELL, 1 << (BITS_PER_KEY * df.count()).bit_length()))
+    low = df.select(F.col(column).bitwiseAND(F.lit(bits - 1)).alias("b"))
+    cells = low.groupBy(F.floor(F.col("b") / CELL).alias("cell")).agg(F.expr(f"bitmap_construct_agg(b % {CELL})").alias("bytes"))
+    whole = bytearray(bits // 8)
+    for row in cells.collect():  # at most most / CELL rows of 4 KB
+        whole[row.cell * (CELL // 8):(row.cell + 1) * (CELL // 8)] = row.bytes
+    return df.sparkSession.sparkContext.broadcast(bytes(whole))
+
+
+def bitmap_hits(bits: np.ndarray, keys: np.ndarray) -> np.ndarray:
+    """Whether the low bits of each key (uint64) are set in the bitmap's bytes."""
+    place = keys & np.uint64(len(bits) * 8 - 1)
+    return (bits[place >> np.uint64(3)] >> (place & np.uint64(7)).astype(np.uint8) & np.uint8(1)).astype(bool)
+
+
+def in_bitmap(key: Column, shared) -> Column:
+    """A filter: rows whose key (long) may be in the bitmap."""
+    @F.pandas_udf("boolean")
+    def hit(keys: pd.Series) -> pd.Series:
+        return pd.Series(bitmap_hits(np.frombuffer(shared.value, np.uint8), keys.to_numpy(np.int64).view(np.uint64)))
+
+    return hit(key)

@@ -27,15 +27,13 @@ import pyarrow as pa
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from riskspark.llm.common import materialize, rolling, slices, table, with_column, word_hashes, word_ids
+from riskspark.llm.common import BITS_PER_KEY, bitmap, bitmap_hits, materialize, rolling, slices, table, with_column, word_hashes, word_ids
 
 WINDOW = 35
 PERIOD = 21
 # Perfect difference sets, by period.
 COVERS = {3: (0, 1), 7: (0, 1, 3), 13: (0, 1, 3, 9), 21: (3, 6, 7, 12, 14), 31: (1, 5, 11, 24, 25, 27)}
 MAX_BITS = 1 << 28  # 32 MB
-BITS_PER_ANCHOR = 64
-CELL = 32768  # bits in a row of Spark's bitmap functions
 
 
 def _positions(texts: list[str], k: int) -> tuple[np.ndarray, np.ndarray, np.ndarray, np.ndarray]:
@@ -97,8 +95,7 @@ def _candidates(window: int, period: int, bitmap=None):
         for rows, texts in slices(batches):
             h, offsets, at, a = _anchors(texts, window, period)
             if bits is not None:
-                place = a & np.uint64(len(bits) * 8 - 1)
-                hit = bits[place >> np.uint64(3)] >> (place & np.uint64(7)).astype(np.uint8) & 1
+                hit = bitmap_hits(bits, a)
             else:
                 own = rows.column("anchors")
                 hit = np.zeros(len(at), bool)
@@ -117,16 +114,6 @@ def _candidates(window: int, period: int, bitmap=None):
     return run
 
 
-def _bitmap(kept: DataFrame, bits: int):
-    """The low bits of each anchor as a bitmap on every executor; at most MAX_BITS / 8 bytes."""
-    low = kept.select(F.col("anchor").bitwiseAND(F.lit(bits - 1)).alias("b"))
-    cells = low.groupBy(F.floor(F.col("b") / CELL).alias("cell")).agg(F.expr(f"bitmap_construct_agg(b % {CELL})").alias("bytes"))
-    whole = bytearray(bits // 8)
-    for row in cells.toLocalIterator():
-        whole[row.cell * (CELL // 8):(row.cell + 1) * (CELL // 8)] = row.bytes
-    return kept.sparkSession.sparkContext.broadcast(bytes(whole))
-
-
 def _remove(window: int):
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for rows, texts in slices(batches):
@@ -164,9 +151,8 @@ def remove_repeats(df: DataFrame, window: int = WINDOW, period: int = PERIOD, ma
     keyed = df.select(F.xxhash64(doc_id).alias("key"), F.col(text).alias("text"))
     counts = keyed.select("text").mapInArrow(_anchor_counts(window, period), "anchor long, n long")
     kept = materialize(counts.groupBy("anchor").agg(F.sum("n").alias("n")).filter("n > 1").select("anchor"), "anchors")
-    bits = max(8 * CELL, 1 << (BITS_PER_ANCHOR * kept.count()).bit_length())
-    if bits <= max_bits:
-        around = keyed.mapInArrow(_candidates(window, period, _bitmap(kept, bits)), "w long, key long, n long")
+    if BITS_PER_KEY * kept.count() <= max_bits:
+        around = keyed.mapInArrow(_candidates(window, period, bitmap(kept, "anchor", max_bits)), "w long, key long, n long")
     else:
         own = (keyed.mapInArrow(_anchors_by_key(window, period), "anchor long, key long").join(kept, "anchor")
                .groupBy("key").agg(F.collect_set("anchor").alias("anchors")))
