@@ -6,7 +6,7 @@ from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
 
-from riskspark.llm import bpe, decontaminate, neardup, secrets, substrings
+from riskspark.llm import bpe, decontaminate, neardup, perplexity, secrets, substrings
 
-QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {**decontaminate.QUERIES, **bpe.QUERIES, **secrets.QUERIES, **neardup.QUERIES, **substrings.QUERIES}
+QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {**decontaminate.QUERIES, **bpe.QUERIES, **secrets.QUERIES, **neardup.QUERIES, **perplexity.QUERIES, **substrings.QUERIES}
 SQL: dict[str, str] = {}
