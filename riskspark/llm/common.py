@@ -19,7 +19,7 @@ from pyspark.sql import types as T
 
 from riskspark.session import ensure_checkpoint_dir, ship_package
 
-SLICE_CHARS = 16_000_000
+SLICE_CHARS = 4_000_000
 
 BITMAP_BITS = 1 << 28  # 32 MB, the most that a bitmap takes
 BITS_PER_KEY = 64
