@@ -172,7 +172,7 @@ def fit(docs: DataFrame, labels: DataFrame, sample: int = SAMPLE, features: int
     seen = own.select("toxic", F.explode("features").alias("f")).groupBy("f").agg(F.count(F.lit(1)).alias("n"), F.sum("toxic").alias("ones"))
     n, ones = F.lit(float(sums.n)), F.lit(float(sums.ones))
     gap = F.col("ones") * n - F.col("n") * ones
-    best = seen.filter("n >= 3").withColumn("chi2", gap * gap / (F.col("n") * (n - F.col("n") + 1) * ones * (n - ones)))
+    best = seen.filter("n >= 3").withColumn("chi2", n * gap * gap / (F.col("n") * (n - F.col("n") + 1) * ones * (n - ones)))
     names = np.sort(np.array([r.f for r in best.filter(F.col("chi2") >= LEAST_CHI2).orderBy(F.desc("chi2"), "f").limit(features).collect()], np.int64).view(np.uint64))
     if not len(names):
         return *empty, float(np.log(sums.ones / (sums.n - sums.ones)))
