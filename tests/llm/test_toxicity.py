@@ -1,5 +1,6 @@
 """Toxicity: held-out accuracy, the counterfactual penalty, and edge cases."""
 
+import math
 import random
 import zlib
 
@@ -47,8 +48,9 @@ def test_penalty_lowers_scores_of_neutral_mentions(spark):
     docs, labels = tables(spark, n=1500, biased=True)
     neutral = spark.createDataFrame([(1, "Muslims w1 w2 w3 w1"), (2, "Jews w1 w2 w3 w1"), (3, "w1 w2 w3 w1 idiot")], "doc_id long, text string")
     score = {b: {r.doc_id: r.toxicity for r in X.score(neutral, X.fit(docs, labels, balance=b)).collect()} for b in (0.0, 5.0)}
-    assert score[0.0][1] - score[0.0][2] > 0.2  # the label leans on the group's name
-    assert score[5.0][1] - score[5.0][2] < 0.5 * (score[0.0][1] - score[0.0][2])
+    gap = {b: math.log(v[1] / (1 - v[1])) - math.log(v[2] / (1 - v[2])) for b, v in score.items()}
+    assert gap[0.0] > 1  # the label leans on the group's name
+    assert gap[5.0] < 0.5 * gap[0.0]
     assert score[5.0][3] > 0.5
 
 
