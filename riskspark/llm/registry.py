@@ -6,7 +6,7 @@ from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
 
-from riskspark.llm import bpe, decontaminate, langid, neardup, perplexity, secrets, substrings, toxicity
+from riskspark.llm import bpe, decontaminate, langid, neardup, perplexity, resample, secrets, substrings, toxicity
 
-QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {**decontaminate.QUERIES, **bpe.QUERIES, **secrets.QUERIES, **neardup.QUERIES, **perplexity.QUERIES, **substrings.QUERIES, **toxicity.QUERIES, **langid.QUERIES}
+QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {**decontaminate.QUERIES, **bpe.QUERIES, **secrets.QUERIES, **neardup.QUERIES, **perplexity.QUERIES, **substrings.QUERIES, **toxicity.QUERIES, **langid.QUERIES, **resample.QUERIES}
 SQL: dict[str, str] = {}
