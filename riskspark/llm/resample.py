@@ -61,7 +61,7 @@ def _weigh(shared, buckets: int):
         ratio = shared.value
         for rows, texts in slices(batches):
             bucket, text = places(texts, buckets)
-            w = np.bincount(text, weights=ratio[bucket.astype(np.int64)], minlength=len(texts))
+            w = np.bincount(text, weights=ratio[bucket.astype(np.int64)], minlength=len(texts)).astype(float)
             yield from rows.drop_columns(["text"]).append_column("log_weight", pa.array(w)).combine_chunks().to_batches()
     return run
 
