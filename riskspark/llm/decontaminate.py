@@ -208,6 +208,24 @@ def contamination(docs: DataFrame, items: DataFrame, rate: float = RATE, min_cha
     return out
 
 
+def _clean_rows(shared, rate: float, text: str):
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        if id(shared) not in _READY:
+            _READY.clear()
+            _READY[id(shared)] = (shared, Items(shared.value, rate))
+        items = _READY[id(shared)][1]
+        for rows, texts in slices(batches, text):
+            yield from rows.filter(pa.array([not items.matches(normalise(t)) for t in texts], pa.bool_())).combine_chunks().to_batches()
+    return run
+
+
+def drop_contaminated(docs: DataFrame, items: DataFrame, rate: float = RATE, min_chars: int = MIN_CHARS, block_chars: int = BLOCK_CHARS) -> DataFrame:
+    """The rows of ``docs`` that hold no item within its budget, each row judged by its own text."""
+    for block in item_blocks(items.select("item_id", "text"), block_chars, min_chars):
+        docs = docs.mapInArrow(_clean_rows(docs.sparkSession.sparkContext.broadcast(block), rate, "text"), docs.schema)
+    return docs
+
+
 def op1_decontaminate(spark: SparkSession, sf_dir: str) -> DataFrame:
     """One row per contaminated document and benchmark item: doc_id, item_id, distance, norm_start, norm_end."""
     return contamination(table(spark, sf_dir, "documents"), table(spark, sf_dir, "benchmark"))

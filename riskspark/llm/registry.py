@@ -6,7 +6,10 @@ from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
 
-from riskspark.llm import bpe, decontaminate, langid, neardup, perplexity, resample, secrets, substrings, toxicity
+import corpus_pipeline
+from riskspark.llm import bpe, decontaminate, langid, neardup, perplexity, resample, secrets, substrings, tokenfiles, toxicity
 
-QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {**decontaminate.QUERIES, **bpe.QUERIES, **secrets.QUERIES, **neardup.QUERIES, **perplexity.QUERIES, **substrings.QUERIES, **toxicity.QUERIES, **langid.QUERIES, **resample.QUERIES}
+_MODULES = (decontaminate, bpe, tokenfiles, secrets, toxicity, resample, neardup, perplexity, substrings, langid)
+
+QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {k: f for m in _MODULES for k, f in m.QUERIES.items()} | {"pipeline": corpus_pipeline.run}
 SQL: dict[str, str] = {}

@@ -124,6 +124,15 @@ def redact(df: DataFrame, text: str = "text", mark: str = "[SECRET]") -> DataFra
         a -> concat(a.out, substring(`{text}`, a.pos + 1, length(`{text}`)))))"""))
 
 
+def without_secrets(df: DataFrame) -> DataFrame:
+    """``df`` with the secrets of ``text`` redacted; ``n_chars``, where it is there, counts the new text."""
+    columns = df.columns
+    out = redact(scan(df))
+    if "n_chars" in columns:
+        out = out.withColumn("n_chars", F.when(F.size("secret_spans") > 0, F.length("text")).otherwise(F.col("n_chars")).cast(df.schema["n_chars"].dataType))
+    return out.select(*[F.col(f"`{c}`") if c != "secret_spans" else F.lit(None).cast(df.schema[c].dataType).alias(c) for c in columns])
+
+
 def op4_secret_scan(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Per document: doc_id, n_assign, n_access, n_hex, base_sha256, spans."""
     found = scan(table(spark, sf_dir, "documents").select("doc_id", "text")).drop("text")
