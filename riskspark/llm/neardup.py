@@ -229,3 +229,19 @@ def op7_jaccard_join(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 QUERIES = {"op7_jaccard_join": op7_jaccard_join}
+
+SQL = {"op7_jaccard_join": r"""
+WITH RECURSIVE d AS (SELECT row_number() OVER () AS r, doc_id,
+                  [x FOR x IN string_split_regex(coalesce(text, ''), '[ \t\n\x0B\f\r]+') IF x <> ''] AS ws FROM documents),
+nodes AS (SELECT ws, min(doc_id) AS least, count(*) AS copies, row_number() OVER () AS node FROM d GROUP BY ws),
+shingle AS (SELECT DISTINCT node, array_to_string(ws[i:i + 4], ' ') AS s
+            FROM (SELECT node, ws, unnest(range(1, greatest(len(ws) - 3, 2))) AS i FROM nodes WHERE len(ws) > 0)),
+size AS (SELECT node, count(*) AS n FROM shingle GROUP BY node),
+both_ AS (SELECT a.node AS a, b.node AS b, count(*) AS m FROM shingle a JOIN shingle b ON a.s = b.s AND a.node < b.node GROUP BY 1, 2),
+pair AS (SELECT a, b FROM both_ JOIN size x ON x.node = a JOIN size y ON y.node = b WHERE m >= 0.8 * (x.n + y.n - m) - 1e-9),
+link AS (SELECT a, b FROM pair UNION ALL SELECT b, a FROM pair),
+reach AS (SELECT node AS a, node AS b FROM nodes UNION SELECT reach.a, link.b FROM reach JOIN link ON reach.b = link.a),
+class AS (SELECT a AS node, min(least) AS class_id FROM reach JOIN nodes ON nodes.node = b GROUP BY a),
+links AS (SELECT a AS node, count(*) AS n, sum(copies) AS docs FROM link JOIN nodes ON nodes.node = b GROUP BY a)
+SELECT doc_id, class_id, coalesce(links.n, 0)::BIGINT AS n_links, (coalesce(links.docs, 0) + copies - 1)::BIGINT AS n_linked_docs, doc_id = class_id AS kept
+FROM d JOIN nodes ON d.ws = nodes.ws JOIN class USING (node) LEFT JOIN links USING (node)"""}

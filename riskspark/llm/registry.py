@@ -12,4 +12,4 @@ from riskspark.llm import bpe, decontaminate, langid, neardup, perplexity, resam
 _MODULES = (decontaminate, bpe, tokenfiles, secrets, toxicity, resample, neardup, perplexity, substrings, langid)
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {k: f for m in _MODULES for k, f in m.QUERIES.items()} | {"pipeline": corpus_pipeline.run}
-SQL: dict[str, str] = {}
+SQL: dict[str, str] = {k: q for m in (neardup, substrings) for k, q in m.SQL.items()}

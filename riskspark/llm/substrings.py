@@ -173,3 +173,14 @@ def op9_repeated_passages(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 QUERIES = {"op9_repeated_passages": op9_repeated_passages}
+
+SQL = {"op9_repeated_passages": r"""
+WITH d AS (SELECT row_number() OVER () AS r, doc_id,
+                  [x FOR x IN string_split_regex(coalesce(text, ''), '[ \t\n\x0B\f\r]+') IF x <> ''] AS ws FROM documents),
+win AS (SELECT r, i, array_to_string(ws[i:i + 34], ' ') AS k FROM (SELECT r, ws, unnest(range(1, len(ws) - 33)) AS i FROM d WHERE len(ws) >= 35)),
+twice AS (SELECT k FROM win GROUP BY k HAVING count(*) > 1),
+gone AS (SELECT DISTINCT r, unnest(range(i, i + 35)) AS j FROM win JOIN twice USING (k)),
+words AS (SELECT r, unnest(ws) AS word, generate_subscripts(ws, 1) AS j FROM d),
+kept AS (SELECT r, count(*) AS n, string_agg(word, ' ' ORDER BY j) AS text FROM words ANTI JOIN gone USING (r, j) GROUP BY r)
+SELECT doc_id, len(ws)::BIGINT AS n_words, (len(ws) - coalesce(n, 0))::BIGINT AS n_removed, sha256(coalesce(kept.text, '')) AS kept_sha256
+FROM d LEFT JOIN kept USING (r)"""}
