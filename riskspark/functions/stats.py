@@ -3,8 +3,9 @@
 The statistics themselves (KS distance, chi-square sum) are computed by Spark; only the
 distribution tail is evaluated here, vectorised per Arrow batch through a pandas UDF.
 
-* KS two-sample, two-sided: exact lattice-path probability when max(n, m) <= 10,000, otherwise
-  the Kolmogorov limiting series with Stephens' small-sample factor (our documented choice).
+* KS two-sample, two-sided, by the caller's choice of method, whatever the sample size: ``asymptotic`` (the
+  default), the Kolmogorov limiting series with Stephens' small-sample factor, as a column expression; or
+  ``exact``, the lattice-path probability, n * m steps in a pandas UDF.
 * Chi-square upper tail for integer degrees of freedom in closed form (even: Poisson sum;
   odd: erfc plus a half-integer series), evaluated in log space so large dof do not underflow.
 """
@@ -20,7 +21,8 @@ from pyspark.sql import Column
 from pyspark.sql import functions as F
 from pyspark.sql.types import DoubleType
 
-EXACT_KS_MAX_N = 10_000
+KS_METHODS = ("asymptotic", "exact")
+KS_TERMS = 100
 
 
 def ks_exact_pvalue(d: float, n: int, m: int) -> float:
@@ -66,7 +68,38 @@ def ks_exact_pvalue(d: float, n: int, m: int) -> float:
         return 1.0
     # exact rational arithmetic for the normalisation by C(n+m, n)
     p_inside = Fraction(float(inside_paths)) * (Fraction(2) ** exp2) / math.comb(n + m, n)
-    return float(min(Fraction(1), max(Fraction(0), 1 - p_inside)))
+    p = float(min(Fraction(1), max(Fraction(0), 1 - p_inside)))
+    return p if p > 1e-6 else _ks_tail(h, n, m, a, b)
+
+
+def _ks_tail(h: int, n: int, m: int, a: int, b: int) -> float:
+    """A small P(D >= d), where 1 - P(inside) would be rounding noise: the sum over the first steps that leave the
+    band |i*a - j*b| < h of (paths to the step inside the band) * (paths from there to the end)."""
+    def log_comb(x: int, y: int) -> float:
+        return math.lgamma(x + y + 1) - math.lgamma(x + 1) - math.lgamma(y + 1)
+
+    total = log_comb(n, m)
+    j = np.arange(m + 1, dtype=np.int64)
+    row, exp2, p = np.zeros(m + 1), 0, 0.0
+    before = None
+    for i in range(n + 1):
+        inside = np.abs(i * a - j * b) < h
+        lo, hi = int(np.argmax(inside)), m - int(np.argmax(inside[::-1]))
+        if before is None:
+            row = np.where(inside, 1.0, 0.0)
+        else:
+            for k in range(before, lo):  # steps to the next i that end beyond the band's lower end
+                if row[k] > 0:
+                    p += math.exp(math.log(row[k]) + exp2 * math.log(2) + log_comb(n - i, m - k) - total)
+            row[:lo] = 0.0
+            row = np.cumsum(row) * inside
+        if hi < m and row[hi] > 0:  # the step in j over the band's upper end
+            p += math.exp(math.log(row[hi]) + exp2 * math.log(2) + log_comb(n - i, m - hi - 1) - total)
+        before = lo
+        if row.max() > 2.0 ** 600:
+            row = np.ldexp(row, -600)
+            exp2 += 600
+    return min(1.0, p)
 
 
 def ks_asymptotic_pvalue(d: float, n: int, m: int) -> float:
@@ -78,7 +111,7 @@ def ks_asymptotic_pvalue(d: float, n: int, m: int) -> float:
     if lam < 0.2:
         return 1.0
     total = 0.0
-    for k in range(1, 101):
+    for k in range(1, KS_TERMS + 1):
         term = 2.0 * (-1) ** (k - 1) * math.exp(-2.0 * k * k * lam * lam)
         total += term
         if abs(term) < 1e-16:
@@ -86,13 +119,10 @@ def ks_asymptotic_pvalue(d: float, n: int, m: int) -> float:
     return float(min(1.0, max(0.0, total)))
 
 
-def ks_pvalue(d: float, n: int, m: int) -> float:
+def ks_pvalue(d: float, n: int, m: int, method: str = "asymptotic") -> float:
     if d is None or n is None or m is None or (isinstance(d, float) and math.isnan(d)):
         return float("nan")
-    n, m = int(n), int(m)
-    if max(n, m) <= EXACT_KS_MAX_N:
-        return ks_exact_pvalue(float(d), n, m)
-    return ks_asymptotic_pvalue(float(d), n, m)
+    return (ks_exact_pvalue if method == "exact" else ks_asymptotic_pvalue)(float(d), int(n), int(m))
 
 
 def chi2_sf(x: float, dof: int) -> float:
@@ -119,8 +149,8 @@ def chi2_sf(x: float, dof: int) -> float:
 
 
 @F.pandas_udf(DoubleType())
-def _ks_pvalue_udf(d: pd.Series, n: pd.Series, m: pd.Series) -> pd.Series:
-    return pd.Series([ks_pvalue(a, b, c) for a, b, c in zip(d, n, m)], dtype="float64")
+def _ks_exact_udf(d: pd.Series, n: pd.Series, m: pd.Series) -> pd.Series:
+    return pd.Series([ks_pvalue(a, b, c, "exact") for a, b, c in zip(d, n, m)], dtype="float64")
 
 
 @F.pandas_udf(DoubleType())
@@ -134,11 +164,19 @@ def _ship() -> None:
     ship_package()
 
 
-def ks_pvalue_col(d: Column | str, n: Column | str, m: Column | str) -> Column:
-    _ship()
-    return _ks_pvalue_udf(F.col(d) if isinstance(d, str) else d,
-                          (F.col(n) if isinstance(n, str) else n).cast("long"),
-                          (F.col(m) if isinstance(m, str) else m).cast("long"))
+def ks_pvalue_col(d: Column | str, n: Column | str, m: Column | str, method: str = "asymptotic") -> Column:
+    d, n, m = (F.col(x) if isinstance(x, str) else x for x in (d, n, m))
+    if method not in KS_METHODS:
+        raise ValueError(f"method is one of {KS_METHODS}, not {method!r}")
+    if method == "exact":
+        _ship()
+        return _ks_exact_udf(d, n.cast("long"), m.cast("long"))
+    n, m = n.cast("double"), m.cast("double")
+    en = F.sqrt(n * m / (n + m))
+    lam = (en + 0.12 + 0.11 / en) * d
+    series = F.aggregate(F.sequence(F.lit(1), F.lit(KS_TERMS)), F.lit(0.0), lambda acc, k: acc + F.when(
+        k % 2 == 1, 2.0).otherwise(-2.0) * F.exp(-2.0 * k * k * lam * lam))
+    return F.when((n <= 0) | (m <= 0) | (d <= 0) | (lam < 0.2), F.lit(1.0)).otherwise(F.least(F.lit(1.0), F.greatest(F.lit(0.0), series)))
 
 
 def chi2_sf_col(x: Column | str, dof: Column | str) -> Column:

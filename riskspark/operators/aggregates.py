@@ -147,34 +147,36 @@ def quartiles_by(df: DataFrame, label: str, value: str, exact: bool = True, accu
 
 def histogram_by_class(df: DataFrame, value: str, label: str, lo: float, hi: float, bins: int) -> DataFrame:
     """Equal-width bin counts of a feature by label, with the stacked running count per bin
-    (classes in ascending order). Bins use ``width_bucket`` (1..bins; hi falls in the last bin)."""
+    (classes in ascending order). Bins are 1..bins (hi falls in the last); values below ``lo`` are counted in bin 0
+    (bin_lo null) and values above ``hi`` in bin bins + 1."""
     v = F.col(value).cast("double")
-    b = F.least(F.width_bucket(v, F.lit(lo), F.lit(hi), F.lit(bins)), F.lit(bins)).cast("int")
+    b = F.when(v == F.lit(hi), F.lit(bins)).otherwise(F.width_bucket(v, F.lit(lo), F.lit(hi), F.lit(bins))).cast("int")
     counts = df.where(v.isNotNull()).groupBy(b.alias("bin"), F.col(label).alias("cls")).agg(
         F.count(F.lit(1)).alias("n"))
     # per bin at most #classes rows
     w = Window.partitionBy("bin").orderBy("cls").rowsBetween(Window.unboundedPreceding, Window.currentRow)
     width = (hi - lo) / bins
     return counts.select("bin", "cls", "n", F.sum("n").over(w).alias("stacked"),
-                         (F.lit(lo) + (F.col("bin") - 1) * F.lit(width)).alias("bin_lo"))
+                         F.when(F.col("bin") > 0, F.lit(lo) + (F.col("bin") - 1) * F.lit(width)).alias("bin_lo"))
 
 
 def density_by_class(df: DataFrame, value: str, label: str, lo: float, hi: float, grid: int = 50,
                      pre_bins: int = 1000) -> DataFrame:
-    """A10: Gaussian kernel density per class on a grid, from pre-binned counts (so the cost is
-    bins x grid, not rows x grid). Bandwidth: Scott's rule, sd * n^(-1/5) per class.
+    """A10: Gaussian kernel density per class on a grid over [lo, hi], from counts in bins of the same width on the
+    whole axis (so the cost is bins x grid, not rows x grid, and values outside [lo, hi] weigh in from where
+    they are). Bandwidth: Scott's rule, sd * n^(-1/5) per class.
     Output: cls, x, density (integrates to 1 per class)."""
     v = F.col(value).cast("double")
     width = (hi - lo) / pre_bins
-    b = F.least(F.greatest(F.floor((v - F.lit(lo)) / F.lit(width)), F.lit(0)), F.lit(pre_bins - 1)).cast("int")
+    b = F.floor((v - F.lit(lo)) / F.lit(width))
     base = df.where(v.isNotNull()).select(F.col(label).alias("cls"), v.alias("_v"), b.alias("_b"))
     stats = base.groupBy("cls").agg(F.count(F.lit(1)).alias("_n"), F.stddev_samp("_v").alias("_sd"))
     binned = base.groupBy("cls", "_b").agg(F.count(F.lit(1)).alias("_c"))
     centre = F.lit(lo) + (F.col("_b") + 0.5) * F.lit(width)
     step = (hi - lo) / (grid - 1)
     h = F.col("_sd") * F.pow(F.col("_n").cast("double"), F.lit(-0.2))
-    # each (class, bin) row fans out to the fixed grid: bounded by classes x pre_bins x grid
-    j = (binned.join(F.broadcast(stats), "cls")
+    # each (class, bin) row fans out to the fixed grid
+    j = (binned.join(stats, "cls")
          .withColumn("g", F.explode(F.sequence(F.lit(0), F.lit(grid - 1))))
          .withColumn("x", F.lit(lo) + F.col("g") * F.lit(step)))
     kern = F.exp(-0.5 * F.pow((F.col("x") - centre) / h, 2)) / (h * F.lit(math.sqrt(2 * math.pi)))

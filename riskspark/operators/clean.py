@@ -6,7 +6,7 @@ from collections.abc import Iterable, Mapping, Sequence
 
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
-from pyspark.sql.types import NumericType, StringType
+from pyspark.sql.types import StringType
 
 # The label encoding and the null tokens of a pandas CSV read.
 DEFAULT_LABEL_MAP = {"Yes": 1, "No": 0}
@@ -89,23 +89,50 @@ def unpivot_values(df: DataFrame, ids: Sequence[str], cols: Sequence[str], kind:
 
 def positional_split(df: DataFrame, order_key: str, first_n: int | None = None,
                      cutoff: Column | None = None) -> tuple[DataFrame, DataFrame]:
-    """baseline/current split. With ``cutoff`` (preferred at scale) it is a plain filter;
-    with ``first_n`` the first n rows by ``order_key`` form the baseline: each row gets its
-    position from the bucketed prefix count (no single-task window, no join back). Rows sharing
-    a key value are cut by position, like a positional slice."""
+    """baseline/current split. With ``cutoff`` (preferred at scale) it is a plain filter; with ``first_n`` the
+    first n rows by ``order_key`` (nulls last) form the baseline. Prefix counts over the distinct values find the value at the
+    cut; among the rows that share it, those with the smallest hash of a row number come first. The numbered rows
+    are written once, so both frames see the same order. Rows sharing a key value are cut by position, like a
+    positional slice."""
     if cutoff is not None:
         return df.where(cutoff), df.where(~cutoff | cutoff.isNull())
+    from riskspark.operators.cuts import chosen, hash_cuts, with_cuts
     from riskspark.operators.prefix import running_sums
-
-    ranked = running_sums(df.withColumn("_one", F.lit(1)), order_key, ["_one"])
-    tagged = ranked.withColumn("_first", F.col("cum__one") <= F.lit(int(first_n))).drop("_one", "cum__one", "tot__one")
-    return tagged.where("_first").drop("_first"), tagged.where(~F.col("_first")).drop("_first")
+    from riskspark.session import cut_lineage
+
+    n = int(first_n)
+    if n <= 0:
+        return df.where(F.lit(False)), df
+    rows = cut_lineage(df.withColumn("_row", F.monotonically_increasing_id()))
+    key = F.col(order_key)
+    values = rows.where(key.isNotNull()).groupBy(order_key).agg(F.count(F.lit(1)).alias("_c"))
+    cum = running_sums(values, order_key, ["_c"])
+    hit = (F.col("cum__c") - F.col("_c") < n) & (F.col("cum__c") >= n)
+    # one row: the value at the cut (null: all rows with a key are in the baseline) and how many of its rows are
+    edge = cum.agg(F.max(F.when(hit, key)).alias("_edge"), F.max(F.when(hit, n - F.col("cum__c") + F.col("_c"))).alias("_part"), F.sum("_c").alias("_keyed"))
+    edge = edge.select("_edge", F.coalesce("_part", n - F.coalesce("_keyed", F.lit(0))).cast("long").alias("_need"))
+    marked = rows.crossJoin(F.broadcast(edge))
+    tied = F.coalesce(key.eqNullSafe(F.col("_edge")), F.lit(False))
+    before = key.isNotNull() & (F.col("_edge").isNull() | (key < F.col("_edge")))
+    cuts = hash_cuts(marked.where(tied), ["_need"], ["_row"], 42, [lambda c: F.least(c, F.col("_need"))])
+    first = F.coalesce(before, F.lit(False)) | (tied & chosen(["_row"], 42))
+    out = with_cuts(marked, cuts.drop("_need"), []).withColumn("_first", first)
+    drop = ["_row", "_edge", "_need", "_cuts", "_first"]
+    return out.where("_first").drop(*drop), out.where(~F.col("_first")).drop(*drop)
 
 
 def hash_fraction(key_cols: Sequence[str], fraction: float, seed: int = 42) -> Column:
-    """P13 (fraction): a seeded, deterministic Bernoulli draw keyed by the row's own columns."""
-    return F.pmod(F.xxhash64(F.lit(seed), *[F.col(c) for c in key_cols]), F.lit(1_000_000)) < F.lit(
-        int(round(fraction * 1_000_000)))
+    """P13 (fraction): a seeded, deterministic Bernoulli draw keyed by the row's own columns, in steps of 2^-64."""
+    if fraction >= 1:
+        return F.lit(True)
+    cut = round(fraction * 2**64) - 2**63  # the hash is a signed long
+    return F.lit(False) if fraction <= 0 else F.xxhash64(F.lit(seed), *[F.col(c) for c in key_cols]) < F.lit(min(cut, 2**63 - 1))
+
+
+def hash_uniform(key_cols: Sequence[str | Column], seed: int) -> Column:
+    """A seeded number in [0, 1) from the row's own columns (53 bits)."""
+    h = F.xxhash64(F.lit(seed), *[F.col(c) if isinstance(c, str) else c for c in key_cols])
+    return F.shiftrightunsigned(h, 11).cast("double") / float(2**53)
 
 
 def seeded_sample(df: DataFrame, key_cols: Sequence[str], n: int | None = None, fraction: float | None = None,
@@ -143,7 +170,3 @@ def validate_domains(df: DataFrame, ranges: Mapping[str, tuple[float, float]] |
 def violation_counts(violations: DataFrame) -> DataFrame:
     """P16 summary: violations per column and rule."""
     return violations.groupBy("column", "rule").agg(F.count(F.lit(1)).alias("violations"))
-
-
-def numeric_columns(df: DataFrame) -> list[str]:
-    return [f.name for f in df.schema.fields if isinstance(f.dataType, NumericType)]

@@ -18,7 +18,8 @@ from pyspark.sql import functions as F
 
 from riskspark.functions.exprs import safe_div
 from riskspark.functions.stats import chi2_sf_col, ks_pvalue_col
-from riskspark.operators.clean import hash_fraction
+from riskspark.operators.clean import hash_fraction, hash_uniform
+from riskspark.operators.cuts import chosen, hash_cuts, with_cuts
 from riskspark.operators.prefix import running_sums
 
 SIDE = "_side"
@@ -48,6 +49,10 @@ def _present(ref: DataFrame, cur: DataFrame, cols: Sequence[str]) -> list[str]:
     return [c for c in cols if c in ref.columns and c in cur.columns]
 
 
+REPORT_SCHEMA = ("feature string, type string, test_name string, statistic double, p_value double, "
+                 "drift_detected boolean")
+
+
 def _long(df: DataFrame, ids: Sequence[str], cols: Sequence[str], kind: str) -> DataFrame:
     return (df.select(*ids, *[F.col(c).cast(kind).alias(c) for c in cols])
             .unpivot(list(ids), list(cols), "feature", "v").where(F.col("v").isNotNull()))
@@ -72,19 +77,21 @@ def ks_from_tagged(tagged: DataFrame, cols: Sequence[str], by: Sequence[str] = (
     return ks_from_counts(side_counts(tagged, cols, "double", by), by)
 
 
-def drift_ks(ref: DataFrame, cur: DataFrame, cols: Sequence[str], alpha: float = DEFAULT_ALPHA) -> DataFrame:
-    """KS statistic and p-value per numeric feature (nulls dropped per feature)."""
+def drift_ks(ref: DataFrame, cur: DataFrame, cols: Sequence[str], alpha: float = DEFAULT_ALPHA,
+             method: str = "asymptotic") -> DataFrame:
+    """KS statistic and p-value (``method`` as in functions/stats.py) per numeric feature (nulls dropped per feature)."""
     cols = _present(ref, cur, cols)
     ks = _spread(ks_from_tagged(tag_sides(ref, cur, cols), cols), ["feature"])
-    return ks.withColumn("p_value", ks_pvalue_col("statistic", "n_ref", "n_cur")).withColumn(
+    return ks.withColumn("p_value", ks_pvalue_col("statistic", "n_ref", "n_cur", method)).withColumn(
         "drift_detected", F.col("p_value") < F.lit(alpha))
 
 
 def chi2_from_counts(counts: DataFrame, by: Sequence[str] = ()) -> DataFrame:
     """D2 from side counts over the union of both sides' categories (J2, U1): +1 on every cell,
     expected counts from per-feature totals, Yates on 2x2. (by..., feature, statistic, dof)."""
-    cells = counts.select(*by, "feature", "v", (F.col("r") + F.lit(CELL_SMOOTHING)).alias("o_r"),
-                          (F.col("c") + F.lit(CELL_SMOOTHING)).alias("o_c"))
+    # doubles: products of two counts leave the range of a long
+    cells = counts.select(*by, "feature", "v", (F.col("r") + F.lit(CELL_SMOOTHING)).cast("double").alias("o_r"),
+                          (F.col("c") + F.lit(CELL_SMOOTHING)).cast("double").alias("o_c"))
     keys = [*by, "feature"]
     tot = cells.groupBy(*keys).agg(F.sum("o_r").alias("t_r"), F.sum("o_c").alias("t_c"),
                                    F.count(F.lit(1)).alias("k"))
@@ -126,19 +133,21 @@ def _chi2_finish(chi: DataFrame, alpha: float) -> DataFrame:
 
 
 def drift_report(ref: DataFrame, cur: DataFrame, numeric: Sequence[str], categorical: Sequence[str],
-                 alpha: float = DEFAULT_ALPHA) -> DataFrame:
+                 alpha: float = DEFAULT_ALPHA, method: str = "asymptotic") -> DataFrame:
     """D3: one row per checked feature: feature, type, test_name, statistic, p_value, drift_detected."""
     parts = []
     num = _present(ref, cur, numeric)
     cat = _present(ref, cur, categorical)
     if num:
-        parts.append(drift_ks(ref, cur, num, alpha).select(
+        parts.append(drift_ks(ref, cur, num, alpha, method).select(
             "feature", F.lit("numerical").alias("type"), F.lit(KS_NAME).alias("test_name"),
             "statistic", "p_value", "drift_detected"))
     if cat:
         parts.append(drift_chi2(ref, cur, cat, alpha).select(
             "feature", F.lit("categorical").alias("type"), F.lit(CHI2_NAME).alias("test_name"),
             "statistic", "p_value", "drift_detected"))
+    if not parts:
+        return ref.sparkSession.createDataFrame([], REPORT_SCHEMA)
     out = parts[0]
     for p in parts[1:]:
         out = out.unionByName(p)
@@ -151,7 +160,8 @@ def drift_summary(report: DataFrame, limit: float = DRIFT_SHARE_LIMIT, by: Seque
     s = report.groupBy(*by).agg(F.count_if("drift_detected").alias("drifting_features_count"),
                                 F.count(F.lit(1)).alias("total_features_checked"))
     frac = safe_div("drifting_features_count", "total_features_checked")
-    return s.select(*by, (frac >= F.lit(limit)).alias("drift_detected"),
+    frac = F.coalesce(frac, F.lit(0.0))
+    return s.select(*by, ((frac >= F.lit(limit)) & (F.col("total_features_checked") > 0)).alias("drift_detected"),
                     (frac * 100.0).alias("drifting_features_percentage"),
                     "drifting_features_count", "total_features_checked")
 
@@ -202,12 +212,15 @@ def chi2_against_reference(ref_counts: DataFrame, cur_counts: DataFrame, by: Seq
     part of the categories that are present (found by an equi-join). A 2x2 table (Yates) is closed
     form: |o - e| = |o11 o22 - o12 o21| / N for every cell."""
     keys = [*by, "feature"]
+    # doubles: products of two counts leave the range of a long
+    ref_counts = ref_counts.withColumn("r", F.col("r").cast("double"))
+    cur_counts = cur_counts.withColumn("c", F.col("c").cast("double"))
     ref_stats = ref_counts.groupBy("feature").agg(
         F.count(F.lit(1)).alias("_k0"), F.sum("r").alias("_rtot"),
         F.sum((F.col("r") + 1) ** 2 / (F.col("r") + 2)).alias("_A"), F.sum(1.0 / (F.col("r") + 2)).alias("_B"))
     j = cur_counts.join(ref_counts, ["feature", "v"], "left")  # at most one reference row per cell
     in_ref = F.col("r").isNotNull()
-    o_r = F.coalesce(F.col("r"), F.lit(0)) + 1
+    o_r = F.coalesce(F.col("r"), F.lit(0.0)) + 1
     o_c = F.col("c") + 1
     rv = o_r + o_c
     per = j.groupBy(*keys).agg(
@@ -218,17 +231,17 @@ def chi2_against_reference(ref_counts: DataFrame, cur_counts: DataFrame, by: Seq
         F.sum(F.when(in_ref, 1.0 / (F.col("r") + 2))).alias("_bpres"),
         F.min_by(F.struct(o_r.alias("a"), o_c.alias("b")), F.col("v")).alias("_c1"),
         F.max_by(F.struct(o_r.alias("a"), o_c.alias("b")), F.col("v")).alias("_c2"))
-    x = per.join(F.broadcast(ref_stats), "feature")  # one row per feature
+    x = per.join(ref_stats, "feature")
     k = F.col("_k0") + F.col("_new")
     t_r = F.col("_rtot") + k
     t_c = F.col("_ctot") + k
     n = t_r + t_c
-    rpres = F.coalesce(F.col("_rpres"), F.lit(0))
+    rpres = F.coalesce(F.col("_rpres"), F.lit(0.0))
     plain = n * ((F.col("_xr") + F.col("_A") - F.coalesce(F.col("_apres"), F.lit(0.0))) / t_r
                  + (F.col("_xc") + F.col("_B") - F.coalesce(F.col("_bpres"), F.lit(0.0))) / t_c) - n
     # 2x2: the second cell is the other current category, or the one reference-only category
     second_a = F.when(F.col("_ncur") == 2, F.col("_c2.a")).otherwise(F.col("_rtot") - rpres + 1)
-    second_b = F.when(F.col("_ncur") == 2, F.col("_c2.b")).otherwise(F.lit(1))
+    second_b = F.when(F.col("_ncur") == 2, F.col("_c2.b")).otherwise(F.lit(1.0))
     d = F.abs(F.col("_c1.a") * second_b - second_a * F.col("_c1.b")) / n
     r1, r2 = F.col("_c1.a") + F.col("_c1.b"), second_a + second_b
     yates = F.pow(F.greatest(d - 0.5, F.lit(0.0)), 2) * n * (1.0 / r1 + 1.0 / r2) * (1.0 / t_r + 1.0 / t_c)
@@ -237,7 +250,8 @@ def chi2_against_reference(ref_counts: DataFrame, cur_counts: DataFrame, by: Seq
 
 
 def drift_by_period(df: DataFrame, time_col: str, baseline: Column, numeric: Sequence[str],
-                    categorical: Sequence[str], unit: str = "week", alpha: float = DEFAULT_ALPHA) -> DataFrame:
+                    categorical: Sequence[str], unit: str = "week", alpha: float = DEFAULT_ALPHA,
+                    method: str = "asymptotic") -> DataFrame:
     """Every period (``date_trunc(unit)``) of the non-baseline rows against the baseline rows,
     all periods and features in one plan: (period, feature, type, statistic, p_value, drift_detected).
     Neither numeric (``ks_against_reference``) nor categorical (``chi2_against_reference``)
@@ -252,7 +266,7 @@ def drift_by_period(df: DataFrame, time_col: str, baseline: Column, numeric: Seq
             F.count(F.lit(1)).alias("r"))
         ks = _spread(ks_against_reference(ref_counts, cur_counts, ["period"]), ["period", "feature"])
         parts.append(ks.select("period", "feature", F.lit("numerical").alias("type"), "statistic",
-                               ks_pvalue_col("statistic", "n_ref", "n_cur").alias("p_value")))
+                               ks_pvalue_col("statistic", "n_ref", "n_cur", method).alias("p_value")))
     if categorical:
         period = F.date_trunc(unit, F.col(time_col)).alias("period")
         cur = df.where(~baseline | baseline.isNull()).select(period, *categorical)
@@ -282,14 +296,10 @@ FLIP_SHARE = 0.4
 def exact_pick(df: DataFrame, key: Sequence[str], fraction: float, seed: int, eligible: Column | None = None,
                out: str = "_pick") -> DataFrame:
     """Adds ``out``: exactly round(fraction * n) of the eligible rows (HALF_UP), the ones with the
-    smallest seeded hash of ``key``; ranks come from the bucketed prefix count (no single task)."""
-    elig = eligible if eligible is not None else F.lit(True)
-    tagged = (df.withColumn("_elig", F.coalesce(elig, F.lit(False)))
-              .withColumn("_h", F.xxhash64(F.lit(seed), *[F.col(k) for k in key]).cast("double"))
-              .withColumn("_one", F.lit(1)))
-    ranked = running_sums(tagged, "_h", ["_one"], part_cols=["_elig"])  # two parts
-    pick = F.col("_elig") & (F.col("cum__one") <= F.round(F.col("tot__one") * F.lit(float(fraction))))
-    return ranked.withColumn(out, pick).drop("_elig", "_h", "_one", "cum__one", "tot__one")
+    smallest seeded hash of ``key``, found by a cut value: no row is sorted or moved."""
+    elig = F.coalesce(eligible if eligible is not None else F.lit(True), F.lit(False))
+    cuts = hash_cuts(df.where(elig), [], key, seed, [lambda n: F.round(n * F.lit(float(fraction)))])
+    return with_cuts(df, cuts, []).withColumn(out, elig & chosen(key, seed)).drop("_cuts")
 
 
 def perturb(df: DataFrame, key: Sequence[str], severity: float = 1.0, seed: int = 99,
@@ -314,7 +324,7 @@ def perturb(df: DataFrame, key: Sequence[str], severity: float = 1.0, seed: int
             pick = F.col("_pick")
         else:
             pick = hash_fraction(key, REDRAW_SHARE * severity, seed + 10 * i)
-        u = F.pmod(F.xxhash64(F.lit(seed + 10 * i + 1), *[F.col(k) for k in key]), F.lit(1_000_000)) / 1_000_000.0
+        u = hash_uniform(key, seed + 10 * i + 1)
         draw = None
         acc = 0.0
         for v, w in zip(REDRAW_VALUES, REDRAW_WEIGHTS):

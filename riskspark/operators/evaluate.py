@@ -95,8 +95,8 @@ def roc_auc(df: DataFrame, label: str, score: str, by: Sequence[str] = ()) -> Da
     cs = cumulative_scores(df, label, score, by)
     neg_below = F.col("cum_neg") - F.col("neg")
     return (cs.groupBy(*by).agg(
-        F.sum(F.col("pos") * (neg_below + F.col("neg") / 2.0)).alias("_u"),
-        F.first("tot_pos").alias("_p"), F.first("tot_neg").alias("_n"))
+        F.sum(F.col("pos").cast("double") * (neg_below + F.col("neg") / 2.0)).alias("_u"),
+        F.first("tot_pos").cast("double").alias("_p"), F.first("tot_neg").cast("double").alias("_n"))
         .select(*by, safe_div(F.col("_u"), F.col("_p") * F.col("_n")).alias("roc_auc")))
 
 
@@ -160,52 +160,36 @@ def capture_at_top(df: DataFrame, label: str, score: str, key: str, pct) -> Data
     (ties broken by ``key`` ascending) and report flagged count, positives captured, recall and
     precision: (top_pct, flagged, captured, recall, precision).
 
-    Exact at scale, with no global sort: pass 1 computes prefix sums over distinct scores and one
-    aggregate row holding every cut score; pass 2 ranks by key only the rows tied at a cut score
-    (bucketed prefix counts, partitioned by the few cut scores)."""
+    Exact at scale, with no global sort: prefix sums over distinct scores give the score at each cut (one row
+    per percentage); only the rows tied at a cut score are ranked by key (bucketed prefix counts, a part per
+    percentage). One lazy plan."""
     pcts = [float(p) for p in (pct if isinstance(pct, (list, tuple)) else [pct])]
     y = F.col(label).cast("int")
-    base = df.where(F.col(score).isNotNull() & y.isNotNull())
-    cs = cumulative_scores(base, label, score)
+    base = df.where(F.col(score).isNotNull() & y.isNotNull()).select(
+        F.col(score).cast("double").alias("_score"), F.col(key).alias("_key"), y.alias("_y"))
+    cs = cumulative_scores(base, "_y", "_score")
     n = F.col("tot_pos") + F.col("tot_neg")
     above = n - (F.col("cum_pos") + F.col("cum_neg"))  # rows with a strictly higher score
-    aggs = [F.first("tot_pos").alias("P")]
+    aggs = [F.coalesce(F.first("tot_pos"), F.lit(0)).alias("_P"), F.coalesce(F.first(n), F.lit(0)).alias("_N")]
     for i, p in enumerate(pcts):
         k = F.floor(n * F.lit(p) / F.lit(100.0)).cast("long")
         is_cut = (above < k) & (above + F.col("pos") + F.col("neg") >= k)
-        aggs += [F.first(k).alias(f"k{i}"), F.max(F.when(is_cut, F.col("s"))).alias(f"s{i}"),
-                 F.max(F.when(is_cut, above)).alias(f"a{i}"),
-                 F.max(F.when(is_cut, F.col("tot_pos") - F.col("cum_pos"))).alias(f"p{i}"),
-                 F.max(F.when(is_cut, F.col("pos"))).alias(f"cp{i}"),
-                 F.max(F.when(is_cut, F.col("pos") + F.col("neg"))).alias(f"cn{i}")]
-    head = cs.agg(*aggs).first()  # one row
-    spark = df.sparkSession
-    P_ = int(head["P"] or 0)
-    cuts = [(i, int(head[f"k{i}"] or 0), head[f"s{i}"], int(head[f"a{i}"] or 0), int(head[f"p{i}"] or 0))
-            for i in range(len(pcts))]
-    tie_pos = {i: 0 for i in range(len(pcts))}
-    # when every row tied at the cut is flagged, the cut's own positives are the answer; only a cut
-    # strictly inside a tied group needs the key ranking of pass 2
-    for i, k_, s_, a_, _ in cuts:
-        if s_ is not None and k_ - a_ == int(head[f"cn{i}"] or 0):
-            tie_pos[i] = int(head[f"cp{i}"] or 0)
-    valid = [c for c in cuts if c[2] is not None and c[1] > 0 and c[1] - c[3] < int(head[f"cn{c[0]}"] or 0)]
-    if valid:
-        cut_values = sorted({float(c[2]) for c in valid})
-        s_col = F.col(score).cast("double")
-        tied = (base.where(s_col.isin(cut_values)).groupBy(s_col.alias("_s"), F.col(key).alias("kk"))
-                .agg(F.count_if(y == 1).alias("p1"), F.count(F.lit(1)).alias("c1")))
-        ranked = running_sums(tied, "kk", ["c1"], part_cols=["_s"])  # parts: at most len(pcts) cut scores
-        needs = spark.createDataFrame([(i, float(s_), k_ - a_) for i, k_, s_, a_, _ in valid],
-                                      "i int, _s double, need long")
-        got = (ranked.join(F.broadcast(needs), "_s").where(F.col("cum_c1") <= F.col("need"))
-               .groupBy("i").agg(F.sum("p1").alias("t")).collect())  # at most len(pcts) rows
-        tie_pos.update({r["i"]: int(r["t"]) for r in got})
-    rows = []
-    for i, k_, _, _, pos_above in cuts:
-        captured = pos_above + tie_pos[i]
-        rows.append((pcts[i], k_, captured, captured / P_ if P_ else 0.0, captured / k_ if k_ else 0.0))
-    return spark.createDataFrame(rows, "top_pct double, flagged long, captured long, recall double, precision double")
+        aggs.append(F.max(F.when(is_cut, F.struct(F.col("s"), (k - above).alias("need"),
+                                                  (F.col("tot_pos") - F.col("cum_pos")).alias("pos_above")))).alias(f"c{i}"))
+    head = cs.agg(*aggs)  # one row
+    cuts = head.select("_P", "_N", F.inline(F.array(*[
+        F.struct(F.lit(i).alias("_i"), F.lit(p).alias("top_pct"), F.col(f"c{i}").alias("_cut")) for i, p in enumerate(pcts)])))
+    cuts = cuts.select("_P", "_i", "top_pct", F.floor(F.col("_N") * F.col("top_pct") / 100.0).cast("long").alias("flagged"),
+                       F.col("_cut.s").alias("_at"), F.col("_cut.need").alias("_need"), F.col("_cut.pos_above").alias("_pos_above"))
+    tied = (base.join(F.broadcast(cuts.select("_i", "_at", "_need")), F.col("_score") == F.col("_at"))  # a row per percentage
+            .groupBy("_i", "_need", "_key").agg(F.count_if(F.col("_y") == 1).alias("_p1"), F.count(F.lit(1)).alias("_c1")))
+    got = (running_sums(tied, "_key", ["_c1"], part_cols=["_i"]).where(F.col("cum__c1") <= F.col("_need"))
+           .groupBy("_i").agg(F.sum("_p1").alias("_tied_pos")))
+    captured = (F.coalesce("_pos_above", F.lit(0)) + F.coalesce("_tied_pos", F.lit(0))).cast("long")
+    return cuts.join(got, "_i", "left").select(
+        "top_pct", "flagged", captured.alias("captured"),
+        F.coalesce(safe_div(captured, F.col("_P")), F.lit(0.0)).alias("recall"),
+        F.coalesce(safe_div(captured, F.col("flagged")), F.lit(0.0)).alias("precision"))
 
 
 def metrics_long(metrics: DataFrame, id_col: str = "model") -> DataFrame:

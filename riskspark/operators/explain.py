@@ -4,7 +4,7 @@ from __future__ import annotations
 
 from collections.abc import Sequence
 
-from pyspark.sql import Column, DataFrame
+from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 
@@ -113,4 +113,6 @@ def attribution_summary(df: DataFrame, shap_col: str, names: Sequence[str]) -> D
     long = df.select(F.posexplode(shap_col).alias("i", "v")).select(
         F.element_at(n_arr, F.col("i") + 1).alias("feature"), F.abs("v").alias("a"))
     agg = long.groupBy("feature").agg(F.avg("a").alias("mean_abs"))
-    return agg.orderBy(F.desc("mean_abs"), "feature")
+    # one row a feature: the window without partition is bounded by the feature list
+    ranked = agg.withColumn("rank", F.row_number().over(Window.orderBy(F.desc("mean_abs"), "feature")))
+    return ranked.orderBy("rank")

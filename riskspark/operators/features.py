@@ -19,6 +19,7 @@ SCALE_EPS = 1e-10
 DEFAULT_INCOME_RATIO = 1.0
 DEFAULT_TENURE_RATIO = 0.5
 DEFAULT_LEVEL_AVERAGE = 5000.0
+DEFAULT_LEVEL = 1
 
 
 def group_means(df: DataFrame, value: str, key: str) -> DataFrame:
@@ -68,18 +69,25 @@ def engineer_features(df: DataFrame, income: str = "MonthlyIncome", level: str =
 
 def scoring_features(df: DataFrame, mode: str = "batch_mean", reference_table: Mapping | None = None,
                      income: str = "MonthlyIncome", level: str = "JobLevel",
-                     role_years: str = "YearsInCurrentRole", company_years: str = "YearsAtCompany") -> DataFrame:
-    """M2: scoring-time features. ``batch_mean``: W1 on the batch itself (eps 1e-5);
-    ``reference_table``: J3 against fixed level averages (no eps). Absent inputs give the
-    defaults 1.0 / 0.5 (F4)."""
+                     role_years: str = "YearsInCurrentRole", company_years: str = "YearsAtCompany",
+                     keep_given: bool = False) -> DataFrame:
+    """M2: scoring-time features. ``batch_mean``: W1 on the batch itself (eps 1e-5); ``reference_table``: J3
+    against fixed level averages (no eps), with level 1 where the level column is absent. Absent inputs
+    give the defaults 1.0 / 0.5 (F4). ``keep_given`` keeps ratios that the caller supplies (single
+    entities); otherwise they are computed anew."""
     out = df
-    if income in df.columns and level in df.columns:
-        if mode == "reference_table":
-            out = lookup_ratio(out, income, level, reference_table or {}, "income_ratio_to_joblevel_avg")
-        else:
-            out = ratio_to_group_mean(out, income, level, "income_ratio_to_joblevel_avg")
+    if keep_given and "income_ratio_to_joblevel_avg" in df.columns:
+        pass
+    elif income in df.columns and level in df.columns and mode == "batch_mean":
+        out = ratio_to_group_mean(out, income, level, "income_ratio_to_joblevel_avg")
+    elif income in df.columns and (level in df.columns or not keep_given):
+        leveled = out if level in df.columns else out.withColumn(level, F.lit(DEFAULT_LEVEL))
+        out = lookup_ratio(leveled, income, level, reference_table or {}, "income_ratio_to_joblevel_avg")
+        out = out if level in df.columns else out.drop(level)
     else:
         out = out.withColumn("income_ratio_to_joblevel_avg", F.lit(DEFAULT_INCOME_RATIO))
+    if keep_given and "role_tenure_ratio" in df.columns:
+        return out
     if role_years in df.columns and company_years in df.columns:
         out = offset_ratio(out, role_years, company_years, "role_tenure_ratio")
     else:
@@ -122,23 +130,17 @@ def apply_scaler(df: DataFrame, params: ScalerParams, eps: float = SCALE_EPS, su
                            / (F.lit(params.scale[c]) + F.lit(eps)) for c in params.mean})
 
 
-def scale_with_table(df: DataFrame, params: DataFrame, eps: float = SCALE_EPS) -> DataFrame:
-    """M4 as a distributed join against the parameter table (long form: feature, v, scaled)."""
-    cols = [r["feature"] for r in params.select("feature").collect()]
-    long = df.select(*[F.col(c).cast("double").alias(c) for c in cols]).unpivot([], cols, "feature", "v")
-    return long.join(F.broadcast(params), "feature").select(
-        "feature", "v", ((F.col("v") - F.col("mean")) / (F.col("scale") + F.lit(eps))).alias("scaled"))
-
-
 def fit_one_hot(df: DataFrame, cols: Sequence[str], drop_first: bool = True) -> DataFrame:
-    """M5: sorted distinct categories per column minus the alphabetically first.
-    Distinct values are found by a grouped aggregate on the long form, so a high-cardinality
-    column does not pass through one task. Returns (feature, categories array<string>)."""
+    """M5: sorted distinct categories per column minus the alphabetically first (N8). Distinct values are found by
+    an aggregate on (feature, value); one-hot columns are meant for short category lists, and the list of a
+    column, which names its columns, is one row. Returns (feature, categories array<string>); a column with a
+    single category has no row."""
     long = df.select(*[F.col(c).cast("string").alias(c) for c in cols]).unpivot([], list(cols), "feature", "v")
-    cats = long.where(F.col("v").isNotNull()).groupBy("feature").agg(F.sort_array(F.collect_set("v")).alias("cats"))
+    distinct = long.where(F.col("v").isNotNull()).groupBy("feature", "v").agg(F.count(F.lit(1)).alias("n")).drop("n")
     if drop_first:
-        cats = cats.withColumn("cats", F.slice("cats", 2, 1_000_000))
-    return cats.withColumnRenamed("cats", "categories")
+        first = distinct.groupBy("feature").agg(F.min("v").alias("_first"))
+        distinct = distinct.join(first, "feature").where(F.col("v") != F.col("_first")).drop("_first")
+    return distinct.groupBy("feature").agg(F.sort_array(F.collect_list("v")).alias("categories"))
 
 
 def one_hot_names(categories: Mapping[str, Sequence[str]], order: Sequence[str]) -> list[str]:
@@ -151,9 +153,10 @@ def collect_categories(params: DataFrame) -> dict[str, list[str]]:
 
 
 def apply_one_hot(df: DataFrame, categories: Mapping[str, Sequence[str]], order: Sequence[str] | None = None) -> DataFrame:
-    """M6: one 0/1 double column ``<col>_<value>`` per kept category; unseen values are all zeros."""
+    """M6: one 0/1 double column ``<col>_<value>`` per kept category; unseen and null
+    values are all zeros."""
     order = list(order) if order else list(categories)
-    return df.withColumns({f"{c}_{v}": (F.col(c).cast("string") == F.lit(v)).cast("double")
+    return df.withColumns({f"{c}_{v}": F.coalesce((F.col(c).cast("string") == F.lit(v)).cast("double"), F.lit(0.0))
                            for c in order for v in categories.get(c, [])})
 
 

@@ -1,8 +1,7 @@
 """Splits, class weights and classifiers (M8-M18) on Spark ML.
 
-Stratified split and folds are exact and never rank a class inside one task: rows are ordered by a
-seeded hash through the bucketed prefix count of ``prefix.py`` (a binary label would otherwise be
-two giant window partitions).
+Stratified split and folds are exact and neither sort nor shuffle the rows: each class has cut values of
+a seeded hash (``cuts.py``), and a row is placed by comparing its own hash with them.
 """
 
 from __future__ import annotations
@@ -10,7 +9,6 @@ from __future__ import annotations
 from collections.abc import Sequence
 from dataclasses import dataclass, field
 
-from pyspark.ml import Pipeline, PipelineModel
 from pyspark.ml.classification import GBTClassifier, LogisticRegression
 from pyspark.ml.evaluation import BinaryClassificationEvaluator
 from pyspark.ml.functions import vector_to_array
@@ -19,30 +17,29 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from riskspark.operators import features as W
+from riskspark.operators.clean import hash_uniform
+from riskspark.operators.cuts import chosen, hash_cuts, hashed_key, with_cuts
 from riskspark.operators.prefix import running_sums
 
 
-def _hash_rank(df: DataFrame, label: str, key_cols: Sequence[str], seed: int) -> DataFrame:
-    """Adds ``_rank`` (1..n within the class, by a seeded hash of the key) and ``_n`` (class size)."""
-    h = F.xxhash64(F.lit(seed), *[F.col(c) for c in key_cols]).cast("double")
-    tagged = df.withColumn("_h", h).withColumn("_one", F.lit(1))
-    ranked = running_sums(tagged, "_h", ["_one"], part_cols=[label])
-    return ranked.withColumnRenamed("cum__one", "_rank").withColumnRenamed("tot__one", "_n").drop("_h", "_one")
-
-
 def stratified_split(df: DataFrame, label: str, key_cols: Sequence[str], test_fraction: float = 0.2,
                      seed: int = 42) -> DataFrame:
-    """M8: adds ``is_test``; each class contributes round(test_fraction * n_class) test rows
-    (HALF_UP), chosen by a seeded hash of the key columns."""
-    r = _hash_rank(df, label, key_cols, seed)
-    n_test = F.round(F.col("_n") * F.lit(float(test_fraction)))
-    return r.withColumn("is_test", F.col("_rank") <= n_test).drop("_rank", "_n")
+    """M8: adds ``is_test``; each class (null among them) contributes round(test_fraction * n_class) test rows
+    (HALF_UP), the ones with the smallest seeded hash of the key columns."""
+    cuts = hash_cuts(df, [label], key_cols, seed, [lambda n: F.round(n * F.lit(float(test_fraction)))])
+    return with_cuts(df, cuts, [label]).withColumn("is_test", chosen(key_cols, seed)).drop("_cuts")
 
 
 def stratified_folds(df: DataFrame, label: str, key_cols: Sequence[str], k: int = 5, seed: int = 42) -> DataFrame:
-    """M9: adds ``fold`` in 0..k-1, class shares equal across folds (sizes differ by at most one)."""
-    r = _hash_rank(df, label, key_cols, seed)
-    return r.withColumn("fold", ((F.col("_rank") - 1) % F.lit(k)).cast("int")).drop("_rank", "_n")
+    """M9: adds ``fold`` in 0..k-1, class shares equal across folds (sizes differ by at most one): k ranges of the
+    seeded hash of the key in each class."""
+    targets = [lambda n, j=j: F.floor(n / k) * j + F.least(F.lit(j), n % k) for j in range(1, k)]
+    rows = with_cuts(df, hash_cuts(df, [label], key_cols, seed, targets), [label])
+    own = hashed_key(key_cols, seed)
+    above = F.size(F.filter("_cuts", lambda c: c["cut"] < own))
+    # a target of 0 rows has no cut: every row is beyond it
+    fold = F.when(F.col("_cuts").isNull(), F.lit(k - 1)).otherwise(above + (k - 1) - F.size("_cuts"))
+    return rows.withColumn("fold", fold.cast("int")).drop("_cuts")
 
 
 def class_weights(df: DataFrame, label: str) -> DataFrame:
@@ -152,27 +149,19 @@ def save_model(model, path: str) -> None:
     model.write().overwrite().save(path)
 
 
-def load_pipeline(path: str) -> PipelineModel:
-    return PipelineModel.load(path)
-
-
-def fit_pipeline(stages, df: DataFrame) -> PipelineModel:
-    return Pipeline(stages=list(stages)).fit(df)
-
-
 def oversample_minority(df: DataFrame, features_col: str, label: str, key_cols: Sequence[str], seed: int = 42,
                         out_col: str = "synthetic") -> DataFrame:
     """Synthesise minority rows until the classes are equal, x + u * (neighbour - x).
 
     Scalable neighbour choice (no pair enumeration): minority rows are ordered along a seeded random
     projection of the feature vector (exact ranks through the bucketed prefix count); a row's
-    neighbour is the row next to it in that order (the previous one for the last). Each minority row
+    neighbour is the row next to it in that order (the previous one for the last, itself if it is alone). Each minority row
     makes floor(need / m) synthetic rows, plus one for the first (need mod m) ranks, so exactly
     ``need`` rows are added. u is a seeded hash of (key, copy). Returns the input plus the new rows
     (``synthetic`` = true)."""
     from pyspark.ml.functions import array_to_vector
 
-    counts = {r[label]: r["n"] for r in df.groupBy(label).agg(F.count(F.lit(1)).alias("n")).collect()}  # two rows
+    counts = {r[label]: r["n"] for r in df.where(F.col(label).isNotNull()).groupBy(label).agg(F.count(F.lit(1)).alias("n")).collect()}  # classes
     if len(counts) < 2:
         return df.withColumn(out_col, F.lit(False))
     minority = min(counts, key=lambda c: (counts[c], c))
@@ -191,14 +180,13 @@ def oversample_minority(df: DataFrame, features_col: str, label: str, key_cols:
             .select(*key_cols, label, x.alias("_x"), proj.alias("_p"), F.lit(1).alias("_one")))
     ranked = running_sums(mino, "_p", ["_one"]).select(*key_cols, label, "_x", F.col("cum__one").alias("_rank"))
     nxt = ranked.select(F.col("_rank").alias("_nrank"), F.col("_x").alias("_nx"))
-    # partner: rank + 1, or rank - 1 for the last row (an equi-join: one partner per row)
-    partner = F.when(F.col("_rank") < F.lit(m), F.col("_rank") + 1).otherwise(F.col("_rank") - 1)
+    # partner: rank + 1, or rank - 1 for the last row, or the row itself if it is alone (an equi-join)
+    partner = F.when(F.col("_rank") < F.lit(m), F.col("_rank") + 1).otherwise(F.greatest(F.lit(1), F.col("_rank") - 1))
     paired = ranked.withColumn("_prank", partner).join(nxt, F.col("_prank") == F.col("_nrank"), "inner")
-    per = need // m
-    extra = need % m
-    copies = F.lit(per) + F.when(F.col("_rank") <= F.lit(extra), F.lit(1)).otherwise(F.lit(0))
-    syn = paired.where(copies > 0).withColumn("_j", F.explode(F.sequence(F.lit(1), copies)))
-    u = F.pmod(F.xxhash64(F.lit(seed), *[F.col(c) for c in key_cols], F.col("_j")), F.lit(1_000_000)) / 1_000_000.0
+    # the new rows are numbered first and dealt to the minority rows, so a row's copies are made by many tasks
+    new = df.sparkSession.range(need).select((F.col("id") % m + 1).alias("_of"), (F.floor(F.col("id") / m) + 1).cast("int").alias("_j"))
+    syn = new.join(paired, F.col("_of") == F.col("_rank"))
+    u = hash_uniform([*key_cols, F.col("_j")], seed)
     new_x = F.zip_with("_x", "_nx", lambda a, b: a + u * (b - a))
     synth = syn.select(*[F.col(c) for c in key_cols], F.col(label), array_to_vector(new_x).alias(features_col),
                        F.lit(True).alias(out_col))

@@ -38,16 +38,15 @@ def ranked_view(df: DataFrame, cols: Sequence[str], score: str, tie_key: str, k:
     return ordered.withColumn("rank", F.row_number().over(w)) if k is not None else ordered
 
 
-def score_batch(df: DataFrame, prep, model, threshold: float, mode: str = "auto",
-                reference_table: Mapping | None = None, small_batch: int = 5,
-                feature_kwargs: Mapping | None = None) -> DataFrame:
+def score_batch(df: DataFrame, prep, model, threshold: float, mode: str,
+                reference_table: Mapping | None = None, feature_kwargs: Mapping | None = None) -> DataFrame:
     """SC1/SC2: features by batch mode (M2), schema completion (P9), scaling with the scoring-side
     epsilon (M4), one-hot (M6), model -> adds prediction (int) and risk (double); keeps every input
-    column. ``mode='auto'`` follows the reference's rule: more than ``small_batch`` rows use the
-    batch's own group means, otherwise the reference table (one count, no collect of rows)."""
+    column. ``mode`` is the caller's choice, whatever the size of the batch: ``batch_mean`` (the batch's own
+    group means) or ``reference_table`` (fixed averages, so a row scores alike in any batch)."""
+    if mode not in ("batch_mean", "reference_table"):
+        raise ValueError(f"mode is batch_mean or reference_table, not {mode!r}")
     kw = dict(feature_kwargs or {})
-    if mode == "auto":
-        mode = "batch_mean" if df.limit(small_batch + 1).count() > small_batch else "reference_table"
     feats = W.scoring_features(df, mode=mode, reference_table=reference_table, **kw)
     x = prep.transform(feats, out="_features")
     pred = model.transform(x.withColumnRenamed("_features", "features"))

@@ -76,15 +76,16 @@ def train(df: DataFrame, numeric=tuple(NUMERICAL_COLS), categorical=tuple(CATEGO
     return Trained(prep, models, thresholds, rows)
 
 
-def predict_batch(df: DataFrame, trained: Trained, model: str = "boosted_trees", mode: str = "auto") -> DataFrame:
-    """SC2: adds AttritionPrediction and AttritionRisk, keeping all input columns."""
+def predict_batch(df: DataFrame, trained: Trained, model: str = "boosted_trees", *, mode: str) -> DataFrame:
+    """SC2: adds AttritionPrediction and AttritionRisk, keeping all input columns; ``mode`` as in score_batch."""
     return score_batch(df, trained.prep, trained.models[model], trained.thresholds[model], mode=mode,
                        reference_table=LEVEL_AVERAGES)
 
 
 def predict_one(spark: SparkSession, record: Mapping, schema, trained: Trained, model: str = "boosted_trees") -> DataFrame:
-    """SC1: one entity as a one-row table scored against the reference level averages."""
-    return predict_batch(spark.createDataFrame([dict(record)], schema), trained, model, mode="reference_table")
+    """SC1: one entity as a one-row table scored against the reference level averages; ratios that it brings stay."""
+    return score_batch(spark.createDataFrame([dict(record)], schema), trained.prep, trained.models[model], trained.thresholds[model],
+                       mode="reference_table", reference_table=LEVEL_AVERAGES, feature_kwargs={"keep_given": True})
 
 
 def fairness_attributes():
@@ -101,7 +102,7 @@ def audit_fairness(df: DataFrame, trained: Trained, model: str = "boosted_trees"
 
 def analyze_drift(reference: DataFrame, current: DataFrame, alpha: float = 0.05) -> tuple[DataFrame, DataFrame]:
     """D3/D4 with the reference's feature lists (absent features are skipped)."""
-    report = D.drift_report(reference, current, NUMERICAL_COLS, CATEGORICAL_COLS, alpha)
+    report = D.drift_report(reference, current, NUMERICAL_COLS, CATEGORICAL_COLS, alpha, method="exact")
     return report, D.drift_summary(report)
 
 

@@ -24,15 +24,25 @@ CATEGORICAL = ["lang", "source"]
 LABEL = "quality"
 
 
+def text_features(docs: DataFrame, *keep: str) -> DataFrame:
+    """The features of each document from its own row (batch and stream alike), and the columns ``keep``."""
+    return docs.select(
+        "doc_id", *keep, "lang", "source", F.col("n_chars").cast("double").alias("n_chars"),
+        F.size(F.split(F.trim(F.col("text")), r"\s+")).cast("double").alias("n_words"),
+        F.size(F.split(F.col("text"), "\n")).cast("double").alias("n_lines"),
+        (F.length(F.regexp_replace("text", "[^0-9]", "")) / F.greatest(F.length("text"), F.lit(1))).alias("digit_share"))
+
+
 def doc_features(spark: SparkSession, sf: str) -> DataFrame:
     docs, labels = table(spark, sf, "documents"), table(spark, sf, "labels")
     # join first: text features are computed for labelled documents only (whole texts)
     j = labels.select("doc_id", LABEL).join(docs.select("doc_id", "lang", "source", "n_chars", "text"), "doc_id", "inner")
-    return j.select(
-        "doc_id", LABEL, "lang", "source", F.col("n_chars").cast("double").alias("n_chars"),
-        F.size(F.split(F.trim(F.col("text")), r"\s+")).cast("double").alias("n_words"),
-        F.size(F.split(F.col("text"), "\n")).cast("double").alias("n_lines"),
-        (F.length(F.regexp_replace("text", "[^0-9]", "")) / F.greatest(F.length("text"), F.lit(1))).alias("digit_share"))
+    return text_features(j, LABEL)
+
+
+def all_features(spark: SparkSession, sf: str) -> DataFrame:
+    """Features of every document, labelled or not."""
+    return text_features(table(spark, sf, "documents"))
 
 
 def _prepared(spark, sf):
@@ -111,11 +121,10 @@ def q_model_comparison(spark, sf):
 
 @register("score_batch")
 def q_score_batch(spark, sf):
-    """SC2: score every document with a label-trained model; keeps all input columns."""
-    df, _, _, prep, tr, _ = _prepared(spark, sf)
+    """SC2: score every document, labelled or not, with a label-trained model; keeps all input columns."""
+    _, _, _, prep, tr, _ = _prepared(spark, sf)
     model = _lr_model(tr)
-    feats = df.drop(LABEL)
-    scored = score_batch(feats, prep, model, threshold=0.5, mode="batch_mean",
+    scored = score_batch(all_features(spark, sf), prep, model, threshold=0.5, mode="batch_mean",
                          feature_kwargs={"income": "n_chars", "level": "lang", "role_years": "n_lines",
                                          "company_years": "n_words"})
     return round_all(scored, 6)
@@ -123,9 +132,9 @@ def q_score_batch(spark, sf):
 
 @register("linear_shapley")
 def q_linear_shapley(spark, sf):
-    df, _, _, prep, tr, _ = _prepared(spark, sf)
+    _, _, _, prep, tr, _ = _prepared(spark, sf)
     model = _lr_model(tr)
-    x = prep.transform(df, eps=0.0)
+    x = prep.transform(all_features(spark, sf), eps=0.0)
     names = prep.feature_names
     # background mean of each scaled feature (one aggregate over all rows)
     from pyspark.ml.functions import vector_to_array
@@ -138,9 +147,9 @@ def q_linear_shapley(spark, sf):
 
 @register("tree_shapley_summary")
 def q_tree_shapley_summary(spark, sf):
-    df, _, _, prep, tr, _ = _prepared(spark, sf)
+    _, _, _, prep, tr, _ = _prepared(spark, sf)
     model = M.boosted_trees(LABEL, weight="weight", max_iter=10, max_depth=3).fit(tr)
-    x = prep.transform(df)
+    x = prep.transform(all_features(spark, sf))
     sh = tree_shapley(x, model, "features", ["doc_id"])
     return round_all(X.attribution_summary(sh, "shap", prep.feature_names), 6)
 
@@ -148,9 +157,9 @@ def q_tree_shapley_summary(spark, sf):
 @register("tree_shapley_check")
 def q_tree_shapley_check(spark, sf):
     """Sum rule: max |sum(shap) + base - margin| over all rows (should be ~0)."""
-    df, _, _, prep, tr, _ = _prepared(spark, sf)
+    _, _, _, prep, tr, _ = _prepared(spark, sf)
     model = M.boosted_trees(LABEL, weight="weight", max_iter=10, max_depth=3).fit(tr)
-    sh = tree_shapley(prep.transform(df), model, "features", ["doc_id"])
+    sh = tree_shapley(prep.transform(all_features(spark, sf)), model, "features", ["doc_id"])
     gap = F.abs(F.aggregate("shap", F.lit(0.0), lambda a, b: a + b) + F.col("base") - F.col("margin"))
     return sh.agg(F.count(F.lit(1)).alias("n"), (F.max(gap) < 1e-9).alias("sum_rule_holds"))
 
@@ -217,12 +226,7 @@ def q_stream_model_score(spark, sf):
     model = _lr_model(tr)
 
     def scorer(stream):
-        feats = stream.select(
-            "doc_id", "lang", "source", F.col("n_chars").cast("double").alias("n_chars"),
-            F.size(F.split(F.trim(F.col("text")), r"\\s+")).cast("double").alias("n_words"),
-            F.size(F.split(F.col("text"), "\\n")).cast("double").alias("n_lines"),
-            (F.length(F.regexp_replace("text", "[^0-9]", "")) / F.greatest(F.length("text"), F.lit(1))).alias("digit_share"))
-        pred = M.positive_probability(model.transform(prep.transform(feats)), "p")
+        pred = M.positive_probability(model.transform(prep.transform(text_features(stream))), "p")
         return pred.select("doc_id", "lang", (F.col("p") >= 0.5).cast("int").alias("pred"), "p")
 
     out = score_stream(spark, sf, DOC_SCHEMA, scorer, glob="documents.parquet")

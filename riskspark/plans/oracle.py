@@ -4,6 +4,8 @@ benchmark labels conversations. Doubles are rounded like the Spark side."""
 
 from __future__ import annotations
 
+from riskspark.operators.drift import CHI2_NAME, DRIFT_SHARE_LIMIT, KS_NAME
+
 Y = "CASE WHEN event_type = 'purchase' THEN 1 ELSE 0 END"
 YF = "CASE WHEN event_type = 'purchase' THEN 1.0 ELSE 0.0 END"
 R = "CASE WHEN l_returnflag = 'R' THEN 1.0 ELSE 0.0 END"
@@ -85,16 +87,17 @@ FROM b JOIN f ON b.label = f.label GROUP BY f.label, q1, median, q3"""
 
 ORACLE["histogram_by_class"] = f"""
 WITH c AS (
-  SELECT CAST(LEAST(FLOOR((value - 0.0) / (500.0 - 0.0) * 20) + 1, 20) AS INTEGER) AS bin, {Y} AS cls, COUNT(*) AS n
+  SELECT CAST(CASE WHEN value < 0.0 THEN 0 WHEN value = 500.0 THEN 20 WHEN value > 500.0 THEN 21
+                   ELSE FLOOR((value - 0.0) / (500.0 - 0.0) * 20) + 1 END AS INTEGER) AS bin, {Y} AS cls, COUNT(*) AS n
   FROM events WHERE value IS NOT NULL GROUP BY 1, 2)
 SELECT bin, CAST(cls AS INTEGER) AS cls, n, CAST(SUM(n) OVER (PARTITION BY bin ORDER BY cls) AS BIGINT) AS stacked,
-       ROUND(0.0 + (bin - 1) * {d(25.0)}, 6) AS bin_lo
+       CASE WHEN bin > 0 THEN ROUND(0.0 + (bin - 1) * {d(25.0)}, 6) END AS bin_lo
 FROM c"""
 
 ORACLE["density_by_class"] = f"""
 WITH base AS (
   SELECT CAST({Y} AS INTEGER) AS cls, value AS v,
-         CAST(LEAST(GREATEST(FLOOR((value - 0.0) / {d(0.5)}), 0), 999) AS INTEGER) AS b
+         CAST(FLOOR((value - 0.0) / {d(0.5)}) AS BIGINT) AS b
   FROM events WHERE value IS NOT NULL),
 st AS (SELECT cls, COUNT(*) AS n, STDDEV_SAMP(v) AS sd FROM base GROUP BY cls),
 bn AS (SELECT cls, b, COUNT(*) AS c FROM base GROUP BY cls, b),
@@ -399,6 +402,45 @@ SELECT 'event_type' AS feature, ROUND(stat, 6) AS statistic, dof,
 FROM x"""
 
 
+def _ks_p(stat: str, n: str, m: str) -> str:
+    """Limiting series of the two-sample KS distribution with Stephens' factor."""
+    lam = f"((sqrt({n} * {m} / ({n} + {m})) + 0.12 + 0.11 / sqrt({n} * {m} / ({n} + {m}))) * {stat})"
+    series = f"list_sum([(CASE WHEN k % 2 = 1 THEN 2.0 ELSE -2.0 END) * exp(-2.0 * k * k * {lam} * {lam}) FOR k IN range(1, 101)])"
+    return f"(CASE WHEN {stat} <= 0 OR {lam} < 0.2 THEN CAST(1.0 AS DOUBLE) ELSE least(1.0, greatest(0.0, {series})) END)"
+
+
+def _report_ks(feature: str) -> str:
+    return f"""
+SELECT '{feature}' AS feature, 'numerical' AS type, '{KS_NAME}' AS test_name, stat AS statistic, {_ks_p("stat", "n", "m")} AS p_value
+FROM (SELECT MAX(ABS(cr / tr - cc / tc)) AS stat, MAX(tr) AS n, MAX(tc) AS m
+FROM (SELECT SUM(r) OVER (ORDER BY v) AS cr, SUM(c) OVER (ORDER BY v) AS cc, SUM(r) OVER () AS tr, SUM(c) OVER () AS tc
+      FROM (SELECT CAST({feature} AS DOUBLE) AS v,
+                   CAST(SUM(CASE WHEN ts < TIMESTAMP '2024-01-16' THEN 1 ELSE 0 END) AS DOUBLE) AS r,
+                   CAST(SUM(CASE WHEN ts < TIMESTAMP '2024-01-16' THEN 0 ELSE 1 END) AS DOUBLE) AS c
+            FROM events WHERE {feature} IS NOT NULL GROUP BY 1) a) b)"""
+
+
+_REPORT = " UNION ALL ".join(_report_ks(f) for f in ("value", "user_id", "event_id")) + f"""
+UNION ALL SELECT 'event_type', 'categorical', '{CHI2_NAME}', statistic, p_value FROM (
+WITH c AS (SELECT event_type AS v, SUM(CASE WHEN ts < TIMESTAMP '2024-01-16' THEN 1 ELSE 0 END) + 1 AS o_r,
+                  SUM(CASE WHEN ts < TIMESTAMP '2024-01-16' THEN 0 ELSE 1 END) + 1 AS o_c
+           FROM events WHERE event_type IS NOT NULL GROUP BY 1),
+t AS (SELECT SUM(o_r) AS t_r, SUM(o_c) AS t_c, COUNT(*) AS k FROM c),
+x AS (SELECT SUM(pow(o_r - (o_r + o_c) * t_r / (t_r + t_c), 2) / ((o_r + o_c) * t_r / (t_r + t_c))
+               + pow(o_c - (o_r + o_c) * t_c / (t_r + t_c), 2) / ((o_r + o_c) * t_c / (t_r + t_c))) AS stat FROM c CROSS JOIN t)
+SELECT stat AS statistic, exp(-stat / 2) * (1 + stat / 2) AS p_value FROM x)"""
+
+ORACLE["drift_report"] = f"""
+SELECT feature, type, test_name, ROUND(statistic, 6) AS statistic, ROUND(p_value, 6) AS p_value, p_value < 0.05 AS drift_detected
+FROM ({_REPORT})"""
+
+ORACLE["drift_summary"] = f"""
+SELECT COUNT(*) FILTER (WHERE p_value < 0.05) / CAST(COUNT(*) AS DOUBLE) >= {d(DRIFT_SHARE_LIMIT)} AS drift_detected,
+       ROUND(100.0 * COUNT(*) FILTER (WHERE p_value < 0.05) / CAST(COUNT(*) AS DOUBLE), 6) AS drifting_features_percentage,
+       COUNT(*) FILTER (WHERE p_value < 0.05) AS drifting_features_count, COUNT(*) AS total_features_checked
+FROM ({_REPORT})"""
+
+
 def _period_ks() -> str:
     return """
 WITH b AS (SELECT o_totalprice AS v, CASE WHEN o_orderdate < TIMESTAMP '1996-01-01' THEN NULL ELSE year(o_orderdate) END AS yr
@@ -553,10 +595,9 @@ SELECT quality AS class, (SELECT MAX(n_train) FROM c) AS n, (SELECT MAX(n_train)
 
 # ST2: a daily window is emitted once the watermark (max event time - 1 day) passes its end
 ORACLE["stream_window_drift"] = """
-WITH mx AS (SELECT MAX(ts) - INTERVAL 1 DAY AS wm FROM events),
-cur AS (SELECT CAST(date_trunc('day', ts) AS DATE) AS d, event_type AS v, COUNT(*) AS c
+WITH cur AS (SELECT CAST(date_trunc('day', ts) AS DATE) AS d, event_type AS v, COUNT(*) AS c
         FROM events WHERE event_type IS NOT NULL GROUP BY 1, 2),
-days AS (SELECT DISTINCT d FROM cur CROSS JOIN mx WHERE CAST(d AS TIMESTAMP) + INTERVAL 1 DAY <= wm),
+days AS (SELECT DISTINCT d FROM cur),
 ref AS (SELECT event_type AS v, COUNT(*) AS r FROM events
         WHERE ts < TIMESTAMP '2024-01-08' AND event_type IS NOT NULL GROUP BY 1),
 u AS (SELECT days.d, ref.v, ref.r, 0 AS c FROM ref CROSS JOIN days

@@ -2,8 +2,9 @@
 
 ST1: score files as they land: ``readStream`` with a schema -> stateless scoring -> file sink.
 ST2: drift per tumbling event-time window: watermark + window counts by (window, category) in
-append mode (a window is emitted once the watermark passes its end, so late rows within the delay
-are still counted), then the chi-square per window against a static baseline.
+update mode (late rows within the delay are still counted; the last update of a window stands, also
+where the input ends before the watermark closes it), then the chi-square per window against a
+static baseline. Rows without a category are left out, as in the batch test.
 
 Sinks and checkpoints live under the session's shared checkpoint folder, so a restarted query
 resumes exactly once; nothing is collected to the driver (no memory sink).
@@ -33,17 +34,45 @@ def file_stream(spark: SparkSession, source_dir: str, schema: StructType | str,
 
 
 def run_to_files(stream: DataFrame, name: str, output_mode: str = "append", base: str | None = None,
-                 timeout_s: int = 600) -> str:
-    """Run a streaming query until the available input is processed; returns the sink folder."""
+                 timeout_s: float | None = None) -> str:
+    """Run a streaming query until the available input is processed; returns the sink folder. With a time limit,
+    a query that is not done by then is stopped and TimeoutError raised."""
     spark = stream.sparkSession
     root = base or scratch_path(spark, "streams", f"{name}-{uuid.uuid4().hex}")
     q = (stream.writeStream.format("parquet").outputMode(output_mode)
          .option("checkpointLocation", f"{root}/_checkpoint").option("path", f"{root}/out")
          .trigger(availableNow=True).start())
-    q.awaitTermination(timeout_s)
+    _wait(q, timeout_s)
+    return f"{root}/out"
+
+
+def _wait(q, timeout_s: float | None) -> None:
+    if timeout_s is None:
+        q.awaitTermination()
+    elif not q.awaitTermination(timeout_s):
+        q.stop()
+        raise TimeoutError(f"the stream was not done after {timeout_s} s")
     if q.exception() is not None:
         raise RuntimeError(str(q.exception()))
-    return f"{root}/out"
+
+
+def run_updates(stream: DataFrame, name: str, keys: list[str], timeout_s: float | None = None) -> DataFrame:
+    """Run an aggregating stream in update mode until the available input is processed; returns the last row of each
+    key, also of windows that are still open when the input ends. Each batch replaces its own folder, so a batch
+    that is run again after a failure counts once."""
+    spark = stream.sparkSession
+    root = scratch_path(spark, "streams", f"{name}-{uuid.uuid4().hex}")
+
+    def save(batch: DataFrame, number: int) -> None:
+        batch.withColumn("_batch", F.lit(number)).write.mode("overwrite").parquet(f"{root}/out/batch-{number:010d}")
+
+    q = (stream.writeStream.outputMode("update").option("checkpointLocation", f"{root}/_checkpoint")
+         .foreachBatch(save).trigger(availableNow=True).start())
+    _wait(q, timeout_s)
+    schema = f"{stream.schema.toDDL()}, _batch int"
+    rows = spark.read.schema(schema).option("recursiveFileLookup", True).parquet(f"{root}/out")
+    rest = [c for c in stream.columns if c not in keys]
+    return rows.groupBy(*keys).agg(F.max_by(F.struct(*rest), F.col("_batch")).alias("_last")).select(*keys, "_last.*")
 
 
 def score_stream(spark: SparkSession, source_dir: str, schema: StructType | str, scorer: Callable[[DataFrame], DataFrame],
@@ -57,7 +86,7 @@ def windowed_counts_stream(stream: DataFrame, time_col: str, category: str, wind
                            delay: str = "1 day") -> DataFrame:
     """ST2 (stateful part): counts per (tumbling window, category) with a watermark. Event time must be
     a zoned timestamp for the watermark; a timestamp_ntz column is read in the session time zone."""
-    timed = stream.withColumn("_event_time", F.col(time_col).cast("timestamp"))
+    timed = stream.where(F.col(category).isNotNull()).withColumn("_event_time", F.col(time_col).cast("timestamp"))
     return (timed.withWatermark("_event_time", delay)
             .groupBy(F.window(F.col("_event_time"), window).alias("w"), F.col(category).alias("v"))
             .agg(F.count(F.lit(1)).alias("c"))
@@ -67,10 +96,10 @@ def windowed_counts_stream(stream: DataFrame, time_col: str, category: str, wind
 def window_drift(spark: SparkSession, source_dir: str, schema: StructType | str, time_col: str, category: str,
                  baseline: DataFrame, glob: str | None = None, window: str = "1 day", delay: str = "1 day",
                  alpha: float = D.DEFAULT_ALPHA) -> DataFrame:
-    """ST2: chi-square per closed window of the stream against the baseline's category counts."""
-    counts_dir = run_to_files(windowed_counts_stream(file_stream(spark, source_dir, schema, glob), time_col, category,
-                                                     window, delay), "window-counts")
-    cur = spark.read.parquet(counts_dir)
+    """ST2: chi-square per window of the stream against the baseline's category counts; the windows that are open
+    when the input ends are reported with what they hold."""
+    counts = windowed_counts_stream(file_stream(spark, source_dir, schema, glob), time_col, category, window, delay)
+    cur = run_updates(counts, "window-counts", ["window_start", "window_end", "v"])
     ref = (baseline.where(F.col(category).isNotNull()).groupBy(F.col(category).cast("string").alias("v"))
            .agg(F.count(F.lit(1)).alias("r")))
     # every window against the baseline without repeating the baseline's categories per window

@@ -1,6 +1,8 @@
 """Cleaning order, label encoding, schema completion, stratified split sizes, rules."""
 from pyspark.sql import functions as F
 
+import pytest
+
 from riskspark.operators import clean as P
 from riskspark.operators import explain as X
 from riskspark.operators import models as M
@@ -51,7 +53,7 @@ def test_risk_tiers(spark):
     assert [r[0] for r in df.select(risk_tier("p", 0.5)).collect()] == ["HIGH", "MEDIUM", "LOW", None]
 
 
-def test_score_batch_auto_mode_follows_batch_size(spark):
+def test_score_batch_mode_is_explicit(spark):
     from riskspark.operators.score import score_batch
     rows = [(1000.0 * (i % 5 + 1) + 37 * i, i % 5 + 1, i % 4, i % 7, i % 2) for i in range(40)]
     df = spark.createDataFrame(rows, "MonthlyIncome double, JobLevel int, YearsInCurrentRole int, YearsAtCompany int, y int")
@@ -66,6 +68,11 @@ def test_score_batch_auto_mode_follows_batch_size(spark):
         return sorted(r["AttritionRisk"] for r in score_batch(frame, prep, model, 0.5, mode=mode, reference_table=table).collect())
 
     small, big = feats.limit(3), feats
-    assert scores(small, "auto") == scores(small, "reference_table")
-    assert scores(big, "auto") == scores(big, "batch_mean")
-    assert scores(big, "auto") != scores(big, "reference_table")
+    whole = {tuple(r[c] for c in feats.columns): r["AttritionRisk"] for r in score_batch(big, prep, model, 0.5, mode="reference_table", reference_table=table).collect()}
+    part = score_batch(small, prep, model, 0.5, mode="reference_table", reference_table=table).collect()
+    assert len(part) == 3 and all(r["AttritionRisk"] == whole[tuple(r[c] for c in feats.columns)] for r in part)
+    assert scores(big, "batch_mean") != scores(big, "reference_table")
+    with pytest.raises(TypeError):
+        score_batch(big, prep, model, 0.5)
+    with pytest.raises(ValueError):
+        score_batch(big, prep, model, 0.5, mode="auto")
