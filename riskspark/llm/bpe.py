@@ -109,6 +109,10 @@ class Merges:
                         p = p[(index - first) % 2 == 0]
                 dead = nxt[p]
                 after = nxt[dead]
+                near = np.flatnonzero(after[:-1] == p[1:]) + 1  # pairs right behind another merged pair: the first merge
+                if len(near):  # by itself would make a pair with their left symbol
+                    early = self.rank(np.full(len(near), r, np.int32), sym[p[near]]) < r
+                    again.extend(p[near[early]].tolist())
                 sym[p] = r
                 sym[dead] = -2
                 pair[dead] = NONE

@@ -15,14 +15,16 @@ def _state(edges: DataFrame) -> tuple:
 
 def components(edges: DataFrame) -> DataFrame:
     """(node, label) of every node on an edge (u, v); the label is the least node of its component. A hub's edges
-    are aggregated before the shuffle, and the joins back on the hub can be split by the planner."""
+    are aggregated before the shuffle; the least neighbours are written first, so that both sides of the joins back are
+    plain tables and the planner can split a hub's rows over tasks."""
     cur = materialize(edges.filter("u != v").select(F.greatest("u", "v").alias("u"), F.least("u", "v").alias("v")).distinct(), "edges")
     before = _state(cur)
     while before[0]:
         both = cur.union(cur.select(F.col("v").alias("u"), F.col("u").alias("v")))
-        least = both.groupBy("u").agg(F.min("v").alias("m")).select("u", F.least("u", "m").alias("m"))
+        least = materialize(both.groupBy("u").agg(F.min("v").alias("m")).select("u", F.least("u", "m").alias("m")), "least")
         large = both.join(least, "u").filter("v > u").select(F.col("v").alias("u"), F.col("m").alias("v")).distinct()
-        floor = large.groupBy("u").agg(F.min("v").alias("m"))
+        large = materialize(large, "large")
+        floor = materialize(large.groupBy("u").agg(F.min("v").alias("m")), "floor")
         small = large.join(floor, "u").select(F.when(F.col("v") == F.col("m"), F.col("u")).otherwise(F.col("v")).alias("u"), F.col("m").alias("v"))
         # a node's own link to its least neighbour is the row with v = m; the other rows link its other neighbours
         cur = materialize(small.filter("u != v").distinct(), "edges")
