@@ -13,7 +13,7 @@ from pyspark.ml.classification import GBTClassifier, LogisticRegression
 from pyspark.ml.evaluation import BinaryClassificationEvaluator
 from pyspark.ml.functions import vector_to_array
 from pyspark.ml.tuning import CrossValidator, ParamGridBuilder
-from pyspark.sql import DataFrame
+from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from riskspark.operators import features as W
@@ -52,9 +52,12 @@ def class_weights(df: DataFrame, label: str) -> DataFrame:
         F.try_divide(F.col("neg").cast("double"), F.col("pos")).alias("imbalance"))
 
 
-def with_weights(df: DataFrame, label: str, out: str = "weight") -> DataFrame:
-    w = class_weights(df, label).select(F.col("class").alias(label), F.col("weight").alias(out))
-    return df.join(F.broadcast(w), label, "left")  # one row per class
+def with_weights(df: DataFrame, label: str, out: str = "weight", factors: Sequence[float] = ()) -> DataFrame:
+    """Adds the balanced class weight ``out``, ``unit_weight`` (1.0), and for each factor f ``positive_weight_<100 f>``: f times the
+    imbalance (negatives / positives) for positive rows, 1.0 for the others."""
+    scaled = [F.when(F.col("class") == 1, F.lit(float(f)) * F.col("imbalance")).otherwise(F.lit(1.0)).alias(f"positive_weight_{round(100 * f)}") for f in factors]
+    w = class_weights(df, label).select(F.col("class").alias(label), F.col("weight").alias(out), *scaled)
+    return df.join(w, label, "left").withColumn("unit_weight", F.lit(1.0))
 
 
 @dataclass
@@ -90,6 +93,28 @@ def fit_prep(train: DataFrame, numeric: Sequence[str], categorical: Sequence[str
     return p
 
 
+PREP_SCHEMA = ("numeric array<string>, categorical array<string>, mean map<string,double>, scale map<string,double>, "
+               "categories map<string,array<string>>")
+
+
+def save_prep(spark: SparkSession, prep: Prep, path: str) -> None:
+    """IO8: the fitted preprocessing as one JSON row."""
+    row = (prep.numeric, prep.categorical, prep.scaler.mean, prep.scaler.scale, prep.categories)
+    spark.createDataFrame([row], PREP_SCHEMA).coalesce(1).write.mode("overwrite").json(path)
+
+
+def load_prep(spark: SparkSession, path: str) -> Prep:
+    """The preprocessing that save_prep wrote; FileNotFoundError if it is not there."""
+    from riskspark.sources.io import optional_frame
+
+    rows = optional_frame(spark, path, lambda p: spark.read.schema(PREP_SCHEMA).json(p))
+    row = rows.first() if rows is not None else None
+    if row is None:
+        raise FileNotFoundError(f"no fitted preprocessing at {path}")
+    return Prep(list(row.numeric), list(row.categorical), W.ScalerParams(dict(row["mean"]), dict(row["scale"])),
+                {k: list(v) for k, v in row.categories.items()})
+
+
 def logistic(label: str = "label", weight: str | None = None, reg: float = 0.0, max_iter: int = 100) -> LogisticRegression:
     """L2 logistic regression (regParam = 1 / (C * sum of weights) mirrors liblinear's C)."""
     lr = LogisticRegression(featuresCol="features", labelCol=label, maxIter=max_iter, regParam=reg,
@@ -100,32 +125,40 @@ def logistic(label: str = "label", weight: str | None = None, reg: float = 0.0,
 
 
 def boosted_trees(label: str = "label", weight: str | None = None, max_iter: int = 50, max_depth: int = 3,
-                  step: float = 0.1, subsample: float = 1.0, seed: int = 42) -> GBTClassifier:
-    """Gradient-boosted trees (n_estimators -> maxIter, max_depth, learning_rate -> stepSize,
-    subsample -> subsamplingRate, scale_pos_weight -> weightCol)."""
+                  step: float = 0.1, subsample: float = 1.0, seed: int = 42, feature_subset: str = "all") -> GBTClassifier:
+    """Gradient-boosted trees (n_estimators -> maxIter, max_depth, learning_rate -> stepSize, subsample ->
+    subsamplingRate, colsample -> featureSubsetStrategy (drawn per node), scale_pos_weight -> weightCol)."""
     gbt = GBTClassifier(featuresCol="features", labelCol=label, maxIter=max_iter, maxDepth=max_depth, stepSize=step,
-                        subsamplingRate=subsample, seed=seed)
+                        subsamplingRate=subsample, seed=seed, featureSubsetStrategy=feature_subset)
     if weight:
         gbt.setWeightCol(weight)
     return gbt
 
 
 def grid_search(estimator, grid, train: DataFrame, label: str, fold_col: str = "fold", parallelism: int = 4):
-    """Best mean CV ROC-AUC over the grid with the given fold column, refit on all rows.
+    """Best mean CV ROC-AUC over the grid with the given fold column (0, 1, ... up to its maximum), refit on all rows.
     The evaluator uses every distinct score (numBins=0) instead of down-sampling the curve."""
     ev = BinaryClassificationEvaluator(labelCol=label, rawPredictionCol="rawPrediction", metricName="areaUnderROC",
                                        numBins=0)
     cv = CrossValidator(estimator=estimator, estimatorParamMaps=grid, evaluator=ev, foldCol=fold_col,
-                        parallelism=parallelism, seed=42)
+                        numFolds=train.agg(F.max(fold_col)).first()[0] + 1, parallelism=parallelism, seed=42)
     return cv.fit(train)
 
 
-def lr_grid(lr: LogisticRegression, regs: Sequence[float] = (0.0, 0.01, 0.1, 1.0)):
-    return ParamGridBuilder().addGrid(lr.regParam, list(regs)).build()
+def lr_grid(lr: LogisticRegression, weight_total: float, cs: Sequence[float] = (0.01, 0.1, 1.0, 10.0),
+            weights: Sequence[str] = ("weight", "unit_weight")):
+    """M12 grid: inverse regularisation strengths C (regParam = 1 / (C * sum of weights)) x weight columns, balanced
+    and plain; both kinds of weights add up to the number of rows."""
+    return (ParamGridBuilder().addGrid(lr.regParam, [1.0 / (c * weight_total) for c in cs])
+            .addGrid(lr.weightCol, list(weights)).build())
 
 
-def gbt_grid(gbt: GBTClassifier, iters: Sequence[int] = (20, 50), depths: Sequence[int] = (2, 3)):
-    return ParamGridBuilder().addGrid(gbt.maxIter, list(iters)).addGrid(gbt.maxDepth, list(depths)).build()
+def gbt_grid(gbt: GBTClassifier, iters: Sequence[int] = (50,), depths: Sequence[int] = (3, 4), steps: Sequence[float] = (0.1,),
+             weights: Sequence[str] = ("weight",), subsamples: Sequence[float] = (1.0,), feature_subsets: Sequence[str] = ("all",)):
+    """M13 grid over trees, depth, learning rate, class-weight column, row and column sampling."""
+    return (ParamGridBuilder().addGrid(gbt.maxIter, list(iters)).addGrid(gbt.maxDepth, list(depths)).addGrid(gbt.stepSize, list(steps))
+            .addGrid(gbt.weightCol, list(weights)).addGrid(gbt.subsamplingRate, list(subsamples))
+            .addGrid(gbt.featureSubsetStrategy, list(feature_subsets)).build())
 
 
 def positive_probability(pred: DataFrame, out: str = "p") -> DataFrame:

@@ -108,15 +108,35 @@ def q_grid_search_lr(spark, sf):
     _, _, _, _, tr, te = _prepared(spark, sf)
     folds = cut_lineage(M.stratified_folds(tr, LABEL, ["doc_id"], k=3))
     lr = M.logistic(LABEL, weight="weight")
-    cv = M.grid_search(lr, M.lr_grid(lr, (0.0, 0.01, 0.1)), folds, LABEL, "fold", parallelism=3)
+    cv = M.grid_search(lr, M.lr_grid(lr, float(tr.count()), (0.1, 10.0)), folds, LABEL, "fold", parallelism=3)
     pred = M.positive_probability(cv.bestModel.transform(te), "p")
     return round_all(_metrics_row(pred, "logistic_regression_cv", 0.5).withColumn(
         "best_reg", F.lit(float(cv.bestModel.getRegParam()))), 6)
 
 
+@register("grid_search_gbt")
+def q_grid_search_gbt(spark, sf):
+    """Boosted trees searched over depth, column and row sampling by cross-validated ROC-AUC."""
+    _, _, _, _, tr, te = _prepared(spark, sf)
+    folds = cut_lineage(M.stratified_folds(tr, LABEL, ["doc_id"], k=2))
+    gbt = M.boosted_trees(LABEL, weight="weight")
+    grid = M.gbt_grid(gbt, iters=(5,), depths=(2, 3), feature_subsets=("all", "sqrt"))
+    cv = M.grid_search(gbt, grid, folds, LABEL, "fold", parallelism=4)
+    pred = M.positive_probability(cv.bestModel.transform(te), "p")
+    return round_all(_metrics_row(pred, "boosted_trees_cv", 0.5).withColumn(
+        "best_depth", F.lit(int(cv.bestModel.getMaxDepth()))), 6)
+
+
 @register("model_comparison")
 def q_model_comparison(spark, sf):
-    return q_train_score_lr(spark, sf).unionByName(q_train_score_gbt(spark, sf))
+    """Both models on one preparation of the data."""
+    _, _, _, _, tr, te = _prepared(spark, sf)
+    rows = None
+    for name, est in (("logistic_regression", M.logistic(LABEL, weight="weight", reg=0.01)),
+                      ("boosted_trees", M.boosted_trees(LABEL, weight="weight", max_iter=20, max_depth=3))):
+        row = _metrics_row(M.positive_probability(est.fit(tr).transform(te), "p"), name, 0.5)
+        rows = row if rows is None else rows.unionByName(row)
+    return round_all(rows, 6)
 
 
 @register("score_batch")
@@ -130,6 +150,38 @@ def q_score_batch(spark, sf):
     return round_all(scored, 6)
 
 
+@register("score_batch_facts")
+def q_score_batch_facts(spark, sf):
+    """SC2 checked: every document has a row, its own columns are unchanged, and the prediction is the risk's side of
+    the threshold."""
+    out = q_score_batch(spark, sf)
+    own = round_all(all_features(spark, sf), 6)
+    same = F.lit(True)
+    for c in own.columns:
+        same = same & F.col(c).eqNullSafe(F.col(f"_{c}"))
+    j = out.join(own.withColumnsRenamed({c: f"_{c}" for c in own.columns}), F.col("doc_id") == F.col("_doc_id"))
+    return j.agg(F.count(F.lit(1)).alias("n"), F.bool_and(same).alias("columns_kept"),
+                 F.bool_and(F.col("AttritionRisk").between(0, 1)).alias("risk_in_range"))
+
+
+@register("artifacts_roundtrip")
+def q_artifacts_roundtrip(spark, sf):
+    """IO8: a model and its preprocessing, saved together and loaded, score every document alike."""
+    import uuid
+
+    from pyspark.ml.classification import LogisticRegressionModel
+
+    from riskspark.sources.io import scratch_path
+    _, _, _, prep, tr, _ = _prepared(spark, sf)
+    model, path, docs = _lr_model(tr), scratch_path(spark, "models", uuid.uuid4().hex), all_features(spark, sf)
+    M.save_model(model, f"{path}/model")
+    M.save_prep(spark, prep, f"{path}/preprocessing")
+    back, again = LogisticRegressionModel.load(f"{path}/model"), M.load_prep(spark, f"{path}/preprocessing")
+    a = M.positive_probability(model.transform(prep.transform(docs)), "p1").select("doc_id", "p1")
+    b = M.positive_probability(back.transform(again.transform(docs)), "p2").select("doc_id", "p2")
+    return a.join(b, "doc_id").agg(F.count(F.lit(1)).alias("n"), (F.max(F.abs(F.col("p1") - F.col("p2"))) == 0).alias("identical"))
+
+
 @register("linear_shapley")
 def q_linear_shapley(spark, sf):
     _, _, _, prep, tr, _ = _prepared(spark, sf)
@@ -212,6 +264,25 @@ def q_background_sample(spark, sf):
     return s.select("doc_id", LABEL, vector_to_array("features").alias("x"))
 
 
+@register("stream_equals_batch")
+def q_stream_equals_batch(spark, sf):
+    """ST1 checked: every document scored from the stream has the features and the probability of the batch."""
+    from riskspark.streaming.stream import score_stream
+
+    _, _, _, prep, tr, _ = _prepared(spark, sf)
+    model = _lr_model(tr)
+
+    def scorer(docs):
+        pred = M.positive_probability(model.transform(prep.transform(text_features(docs))), "p")
+        return pred.select("doc_id", "n_words", "n_lines", "digit_share", "p")
+
+    out = score_stream(spark, sf, DOC_SCHEMA, scorer, glob="documents.parquet")
+    batch = scorer(table(spark, sf, "documents")).select(F.struct("doc_id", "n_words", "n_lines", "digit_share", "p").alias("b"))
+    j = out.join(batch, F.col("doc_id") == F.col("b.doc_id"))
+    return j.agg(F.count(F.lit(1)).alias("n"), F.sum("n_words").cast("long").alias("words"),
+                 F.bool_and(F.struct("doc_id", "n_words", "n_lines", "digit_share", "p") == F.col("b")).alias("identical"))
+
+
 DOC_SCHEMA = "doc_id long, text string, lang string, source string, n_chars long"
 
 

@@ -620,6 +620,19 @@ SELECT event_type, n + CASE WHEN event_type = 'click' THEN (SELECT moved FROM v)
                             WHEN event_type = 'view' THEN -(SELECT moved FROM v) ELSE 0 END AS n
 FROM c"""
 
+ORACLE["score_batch_facts"] = """SELECT COUNT(*) AS n, TRUE AS columns_kept, TRUE AS risk_in_range FROM documents"""
+
+ORACLE["artifacts_roundtrip"] = """SELECT COUNT(*) AS n, TRUE AS identical FROM documents"""
+
+ORACLE["tree_shapley_check"] = """SELECT COUNT(*) AS n, TRUE AS sum_rule_holds FROM documents"""
+
+ORACLE["model_roundtrip"] = """
+WITH c AS (SELECT quality, CAST(ROUND(COUNT(*) * 0.2) AS BIGINT) AS k FROM labels JOIN documents USING (doc_id) GROUP BY 1)
+SELECT CAST(SUM(k) AS BIGINT) AS n, TRUE AS identical FROM c"""
+
+ORACLE["stream_equals_batch"] = r"""
+SELECT COUNT(*) AS n, CAST(SUM(len(string_split_regex(trim(text), '\s+'))) AS BIGINT) AS words, TRUE AS identical FROM documents"""
+
 ORACLE["table_shape"] = """SELECT COUNT(*) AS n_rows, 11 AS n_cols FROM lineitem"""
 
 ORACLE["feature_head"] = """

@@ -82,3 +82,26 @@ def test_reports(spark, employees):
     n_exits = df.where("Attrition = 1").count()
     assert reps["exit_reasons_by_department"].agg(F.sum("n")).first()[0] == n_exits
     assert reps["rate_by_work_life_balance"].agg(F.sum("total")).first()[0] == 600
+
+
+def test_search_and_artifacts(spark, employees, tmp_path):
+    df = AT.prepare(employees)
+    trained = AT.train(df, folds=2, gbt_iters=3, lr_axes={"cs": (0.1, 1.0)}, gbt_axes={"depths": (2,), "weights": ("weight", "positive_weight_100")})
+    path = str(tmp_path / "artifacts")
+    AT.save(spark, trained, path)
+    back = AT.load(spark, path)
+    assert back.prep == trained.prep and back.thresholds == trained.thresholds
+    rows = df.drop("Attrition")
+    for name in trained.models:
+        a = AT.predict_batch(rows, trained, name, mode="batch_mean").select("EmployeeNumber", "AttritionRisk").collect()
+        b = AT.predict_batch(rows, back, name, mode="batch_mean").select("EmployeeNumber", "AttritionRisk").collect()
+        assert sorted(a) == sorted(b)
+    with pytest.raises(FileNotFoundError):
+        AT.load(spark, str(tmp_path / "nothing"))
+    schema = ", ".join(f for f in SCHEMA.split(", ") if not f.startswith("Attrition "))
+    record = employees.drop("Attrition").first().asDict()
+    own = AT.predict_one(spark, record, schema, back, "logistic_regression").first()
+    given = AT.predict_one(spark, dict(record, role_tenure_ratio=3.0), schema + ", role_tenure_ratio double", back, "logistic_regression").first()
+    assert given["role_tenure_ratio"] == 3.0 and given["AttritionRisk"] != own["AttritionRisk"]
+    lone = AT.predict_one(spark, dict(record, OverTime=None), schema, back, "logistic_regression").first()
+    assert 0.0 <= lone["AttritionRisk"] <= 1.0  # a null category is all zeros

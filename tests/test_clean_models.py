@@ -76,3 +76,45 @@ def test_score_batch_mode_is_explicit(spark):
         score_batch(big, prep, model, 0.5)
     with pytest.raises(ValueError):
         score_batch(big, prep, model, 0.5, mode="auto")
+
+
+def test_draws_and_splits_keep_small_shares_and_nulls(spark):
+    from riskspark.operators.clean import seeded_sample
+
+    big = spark.range(4_000_000).withColumnRenamed("id", "k")
+    assert 1 <= seeded_sample(big, ["k"], fraction=4e-6).count() <= 60
+    assert seeded_sample(big, ["k"], fraction=0.0).count() == 0 and seeded_sample(big, ["k"], fraction=1.0).count() == 4_000_000
+    rows = spark.createDataFrame([(i, None if i % 4 == 0 else i % 2) for i in range(100)], "k long, y int")
+    s = M.stratified_split(rows, "y", ["k"], 0.2)
+    assert s.count() == 100
+    assert {r["y"]: (r["n"], r["t"]) for r in s.groupBy("y").agg(F.count(F.lit(1)).alias("n"), F.count_if("is_test").alias("t")).collect()} == {None: (25, 5), 1: (50, 10), 0: (25, 5)}
+    f = M.stratified_folds(rows, "y", ["k"], 4).groupBy("y", "fold").count().collect()
+    assert len(f) == 12 and all(c["count"] in (6, 7, 12, 13) for c in f)
+    assert not s._jdf.queryExecution().executedPlan().toString().count("rangepartitioning")
+
+
+def test_positional_split_is_exact_on_a_hot_value(spark):
+    rows = spark.createDataFrame([(5 if i % 3 else i, i % 7) for i in range(900)] + [(None, 1)] * 9, "v int, w int").repartition(4)
+    for n in (0, 100, 700, 900, 905, 2000):
+        a, b = P.positional_split(rows, "v", first_n=n)
+        got = [r["v"] for r in a.collect()]
+        assert len(got) == min(n, 909) and len(got) + b.count() == 909
+        want = sorted((r["v"] is None, r["v"] or 0) for r in rows.collect())[:n]
+        assert sorted((v is None, v or 0) for v in got) == want
+
+
+def test_one_minority_row_is_copied(spark):
+    from pyspark.ml.linalg import Vectors
+
+    rows = [(i, int(i == 0), Vectors.dense([float(i), 1.0])) for i in range(20)]
+    out = M.oversample_minority(spark.createDataFrame(rows, ["k", "y", "features"]), "features", "y", ["k"])
+    assert {r["y"]: r["count"] for r in out.groupBy("y").count().collect()} == {0: 19, 1: 19}
+
+
+def test_one_hot_of_null_is_zero_and_no_category_is_lost(spark):
+    from riskspark.operators import features as W
+
+    df = spark.createDataFrame([("a",), ("b",), ("c",), (None,)], "c string")
+    cats = W.collect_categories(W.fit_one_hot(df, ["c"]))
+    assert cats == {"c": ["b", "c"]}
+    assert [tuple(r)[1:] for r in W.apply_one_hot(df, cats).orderBy("c").collect()] == [(0.0, 0.0), (0.0, 0.0), (1.0, 0.0), (0.0, 1.0)]

@@ -118,3 +118,32 @@ def test_chi2_against_reference_equals_explicit_cells(spark):
     for key, (stat, dof) in slow.items():
         assert fast[key][1] == dof
         assert fast[key][0] == pytest.approx(stat, abs=1e-9)
+
+
+def test_large_counts_do_not_overflow(spark):
+    from riskspark.operators import drift as D
+    from riskspark.operators import evaluate as E
+
+    big = 5_000_000_000
+    cells = spark.createDataFrame([("f", "a", big, big + 7), ("f", "b", 2 * big, big)], "feature string, v string, r long, c long")
+    assert D.chi2_from_counts(cells).first()["statistic"] > 0
+    ref, cur = cells.select("feature", "v", "r"), cells.select(F.lit(1).alias("p"), "feature", "v", "c")
+    got = D.chi2_against_reference(ref, cur, ["p"]).first()["statistic"]
+    assert got == pytest.approx(D.chi2_from_counts(cells).first()["statistic"], rel=1e-9)
+    scores = spark.createDataFrame([(0.1, big, big), (0.9, big, 1)], "s double, pos long, neg long")
+    original = E.score_table
+    E.score_table = lambda *a, **k: scores
+    try:
+        assert 0.5 < E.roc_auc(scores, "x", "s").first()["roc_auc"] < 1
+    finally:
+        E.score_table = original
+
+
+def test_report_of_no_feature_is_empty(spark):
+    from riskspark.operators import drift as D
+
+    a = spark.createDataFrame([(1,)], "x int")
+    report = D.drift_report(a, a, ["absent"], ["gone"])
+    assert report.count() == 0
+    assert D.drift_summary(report).first().asDict() == {"drift_detected": False, "drifting_features_percentage": 0.0,
+                                                         "drifting_features_count": 0, "total_features_checked": 0}

@@ -57,3 +57,21 @@ def test_tree_shap_deep_trees_sum_rule(spark):
     phi, base = tree_shap_batch(trees, weights, x[:50])
     margin = sum(w * _expected(t, x[:50], frozenset(range(8))) for t, w in zip(trees, weights))
     assert np.allclose(phi.sum(axis=1) + base, margin, atol=1e-9)
+
+
+def test_a_stream_with_a_time_limit_raises(spark, tmp_path):
+    import time
+
+    from riskspark.streaming import stream as S
+
+    spark.range(40).repartition(4).write.parquet(str(tmp_path / "in"))
+
+    def slow(batches):
+        for b in batches:
+            time.sleep(3)
+            yield b
+
+    s = S.file_stream(spark, str(tmp_path / "in"), "id long", max_files_per_trigger=1).mapInArrow(slow, "id long")
+    with pytest.raises(TimeoutError):
+        S.run_to_files(s, "slow", timeout_s=1)
+    assert spark.read.parquet(S.run_to_files(s, "slow")).count() == 40
