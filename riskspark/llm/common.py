@@ -20,15 +20,24 @@ from pyspark.sql import types as T
 from riskspark.session import ensure_checkpoint_dir, ship_package
 
 SLICE_CHARS = 4_000_000
+BATCH_BYTES = 4_000_000
 
 BITMAP_BITS = 1 << 28  # 32 MB, the most that a bitmap takes
 BITS_PER_KEY = 64
 CELL = 32768  # bits in a row of Spark's bitmap functions
 
 
+def bound_batches(spark: SparkSession) -> None:
+    """Arrow batches of at most BATCH_BYTES: ten thousand whole texts at once would fill a worker's memory."""
+    key = "spark.sql.execution.arrow.maxBytesPerBatch"
+    if not 0 < int(spark.conf.get(key).rstrip("b")) <= BATCH_BYTES:
+        spark.conf.set(key, str(BATCH_BYTES))
+
+
 def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
     """One of the given tables; also makes the package available to the Python workers."""
     ship_package(spark)
+    bound_batches(spark)
     return spark.read.parquet(f"{sf_dir.rstrip('/')}/{name}.parquet")
 
 
@@ -52,26 +61,19 @@ def held_out(doc_id: str = "doc_id") -> Column:
 
 def slices(batches: Iterable[pa.RecordBatch], text: str = "text", max_chars: int = SLICE_CHARS) -> Iterator[tuple[pa.Table, list[str]]]:
     """(rows, texts) of consecutive rows with at most ``max_chars`` characters together; null text is empty."""
+    held, texts, chars = [], [], 0
     for batch in batches:
-        if not batch.num_rows:
-            continue
-        rows = pa.Table.from_batches([batch])
-        texts = [t or "" for t in batch.column(batch.schema.get_field_index(text)).to_pylist()]
-        start = chars = 0
-        for i, t in enumerate(texts):
+        rows, start = pa.Table.from_batches([batch]), 0
+        own = [t or "" for t in batch.column(batch.schema.get_field_index(text)).to_pylist()]
+        for i, t in enumerate(own):
             if chars and chars + len(t) > max_chars:
-                yield rows.slice(start, i - start), texts[start:i]
-                start, chars = i, 0
+                yield pa.concat_tables([*held, rows.slice(start, i - start)]), texts + own[start:i]
+                held, texts, chars, start = [], [], 0, i
             chars += len(t)
-        yield rows.slice(start), texts[start:]
-
-
-class Numbered(dict):
-    """Numbers its keys in order of first sight."""
-
-    def __missing__(self, key):
-        n = self[key] = len(self)
-        return n
+        held.append(rows.slice(start))
+        texts += own[start:]
+    if texts:
+        yield pa.concat_tables(held), texts
 
 
 def with_column(df: DataFrame | T.StructType, name: str, kind: str) -> T.StructType:
