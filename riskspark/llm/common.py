@@ -76,6 +76,14 @@ def slices(batches: Iterable[pa.RecordBatch], text: str = "text", max_chars: int
         yield pa.concat_tables(held), texts
 
 
+class Numbered(dict):
+    """Numbers its keys in order of first sight."""
+
+    def __missing__(self, key):
+        n = self[key] = len(self)
+        return n
+
+
 def with_column(df: DataFrame | T.StructType, name: str, kind: str) -> T.StructType:
     """The schema of ``df`` (or a schema) with one more column."""
     fields = df.fields if isinstance(df, T.StructType) else df.schema.fields
