@@ -127,7 +127,7 @@ def exact_quantiles(df: DataFrame, group: str, value: str, probs: Sequence[float
 def quartiles_by(df: DataFrame, label: str, value: str, exact: bool = True, accuracy: int = 10_000) -> DataFrame:
     """Box-plot summary by outcome: q1, median, q3, 1.5*IQR whiskers (clipped to data) and
     outlier count. Exact quantiles through prefix counts (scales with a hot group), or
-    ``percentile_approx``. The second pass joins the (few) per-group fences back."""
+    ``percentile_approx``. Whiskers and outliers come from the distinct values and their counts."""
     v = F.col(value).cast("double")
     if exact:
         qs = exact_quantiles(df, label, value, [0.25, 0.5, 0.75]).select(
@@ -135,14 +135,16 @@ def quartiles_by(df: DataFrame, label: str, value: str, exact: bool = True, accu
     else:
         qs = df.groupBy(label).agg(F.percentile_approx(v, [0.25, 0.5, 0.75], accuracy).alias("_q")).select(
             label, F.col("_q")[0].alias("q1"), F.col("_q")[1].alias("median"), F.col("_q")[2].alias("q3"))
-    fences = qs.withColumns({"_lo": F.col("q1") - 1.5 * (F.col("q3") - F.col("q1")),
-                             "_hi": F.col("q3") + 1.5 * (F.col("q3") - F.col("q1"))})
-    j = df.select(label, v.alias("_v")).join(F.broadcast(fences), on=label, how="inner")  # one row per group
+    fences = qs.select(F.col(label).alias("_grp"), "q1", "median", "q3", (F.col("q1") - 1.5 * (F.col("q3") - F.col("q1"))).alias("_lo"),
+                       (F.col("q3") + 1.5 * (F.col("q3") - F.col("q1"))).alias("_hi"))
+    # the distinct values again (the same aggregate as the quantiles', so its exchange is reused), not the rows
+    counts = df.where(v.isNotNull()).groupBy(label, v.alias("_v")).agg(F.count(F.lit(1)).alias("_c"))
+    j = counts.join(fences, F.col(label).eqNullSafe(F.col("_grp")))
     inside = (F.col("_v") >= F.col("_lo")) & (F.col("_v") <= F.col("_hi"))
     return j.groupBy(label, "q1", "median", "q3").agg(
         F.min(F.when(inside, F.col("_v"))).alias("whisker_low"),
         F.max(F.when(inside, F.col("_v"))).alias("whisker_high"),
-        F.count_if(~inside).alias("outliers"))
+        F.sum(F.when(inside, F.lit(0)).otherwise(F.col("_c"))).cast("long").alias("outliers"))
 
 
 def histogram_by_class(df: DataFrame, value: str, label: str, lo: float, hi: float, bins: int) -> DataFrame:

@@ -5,7 +5,7 @@ from __future__ import annotations
 
 from collections.abc import Sequence
 
-from pyspark.sql import Column, DataFrame, Window
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from riskspark.functions.exprs import flag, safe_div
@@ -108,28 +108,23 @@ def rate_by_band(df: DataFrame, label: str, value: str, edges: Sequence[float],
                                              F.round(F.avg(flag(is_pos)) * 100.0, 2).alias("rate_pct")).orderBy("band")
 
 
-def bottom_quartile(df: DataFrame, level: str, pay: str, key: str | None = None, exact: bool = True) -> DataFrame:
-    """Flag rows in the lowest 25% of their level's pay: ``percent_rank < 0.25`` within level.
-    Exact without a per-level window: per (level, pay) counts, prefix sums partitioned by level
-    (bucketed, so a level holding a third of all rows is still split), then
-    percent_rank = (rows with lower pay) / (rows in level - 1)."""
+def bottom_quartile(df: DataFrame, level: str, pay: str) -> DataFrame:
+    """Flag rows in the lowest 25% of their level's pay: ``percent_rank < 0.25`` within level, where
+    percent_rank = (rows with lower pay) / (rows in level - 1) grows with pay. So (level, pay) counts and bucketed
+    prefix sums (a level holding a third of all rows is still split) give one cut pay per level, and the rows are
+    compared with it; they are not shuffled. A null pay is neither in nor out (null)."""
     p = F.col(pay).cast("double")
     counts = df.groupBy(level, p.alias("_pay")).agg(F.count(F.lit(1)).alias("_c"))
     cum = running_sums(counts, "_pay", ["_c"], part_cols=[level])
     lower = F.col("cum__c") - F.col("_c")
-    pr = F.when(F.col("tot__c") > 1, lower / (F.col("tot__c") - 1)).otherwise(F.lit(0.0))
-    flags = cum.select(level, "_pay", pr.alias("pay_percent_rank"))
-    out = df.join(flags, (df[level] == flags[level]) & (p == flags["_pay"]), "left").drop(flags[level]).drop("_pay")
-    return out.withColumn("bottom_quartile", F.col("pay_percent_rank") < F.lit(0.25))
+    low = F.when(F.col("tot__c") > 1, lower / (F.col("tot__c") - 1) < F.lit(0.25)).otherwise(F.lit(True))
+    cuts = cum.where(low).groupBy(F.col(level).alias("_level")).agg(F.max("_pay").alias("_cut"))
+    out = df.join(cuts, df[level].eqNullSafe(cuts["_level"]), "left")
+    flag_ = F.when(p.isNotNull(), F.coalesce(p <= F.col("_cut"), F.lit(False)))
+    return out.withColumn("bottom_quartile", flag_).drop("_level", "_cut")
 
 
 def bottom_quartile_summary(flagged: DataFrame, level: str) -> DataFrame:
     """B10 report: rows and flagged rows per level."""
     return flagged.groupBy(level).agg(F.count(F.lit(1)).alias("n"),
                                       F.count_if("bottom_quartile").alias("bottom_quartile_n")).orderBy(level)
-
-
-def window_percent_rank(df: DataFrame, level: str, pay: str) -> DataFrame:
-    """Reference form of B10 for small data and tests (a window per level)."""
-    w = Window.partitionBy(level).orderBy(F.col(pay).cast("double"))
-    return df.withColumn("pay_percent_rank", F.percent_rank().over(w))

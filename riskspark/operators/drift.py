@@ -81,7 +81,9 @@ def drift_ks(ref: DataFrame, cur: DataFrame, cols: Sequence[str], alpha: float =
              method: str = "asymptotic") -> DataFrame:
     """KS statistic and p-value (``method`` as in functions/stats.py) per numeric feature (nulls dropped per feature)."""
     cols = _present(ref, cur, cols)
-    ks = _spread(ks_from_tagged(tag_sides(ref, cur, cols), cols), ["feature"])
+    ks = ks_from_tagged(tag_sides(ref, cur, cols), cols)
+    if method == "exact":
+        ks = _spread(ks, ["feature"])
     return ks.withColumn("p_value", ks_pvalue_col("statistic", "n_ref", "n_cur", method)).withColumn(
         "drift_detected", F.col("p_value") < F.lit(alpha))
 
@@ -254,28 +256,34 @@ def drift_by_period(df: DataFrame, time_col: str, baseline: Column, numeric: Seq
                     method: str = "asymptotic") -> DataFrame:
     """Every period (``date_trunc(unit)``) of the non-baseline rows against the baseline rows,
     all periods and features in one plan: (period, feature, type, statistic, p_value, drift_detected).
-    Neither numeric (``ks_against_reference``) nor categorical (``chi2_against_reference``)
-    features repeat the baseline per period."""
+    Neither numeric (``ks_against_reference``) nor categorical (``chi2_against_reference``) features repeat the
+    baseline per period. One scan counts every (side, period, feature, value); the counts are written once and both
+    tests read them."""
+    from riskspark.session import cut_lineage
+
+    is_base = F.coalesce(baseline, F.lit(False))
+    values = [F.struct(F.lit(c).alias("feature"), F.col(c).cast("double").alias("n"), F.lit(None).cast("string").alias("s")) for c in numeric]
+    values += [F.struct(F.lit(c).alias("feature"), F.lit(None).cast("double").alias("n"), F.col(c).cast("string").alias("s")) for c in categorical]
+    if not values:
+        raise ValueError("drift_by_period needs a numeric or a categorical feature")
+    long = df.select(is_base.alias("_base"), F.when(~is_base, F.date_trunc(unit, F.col(time_col))).alias("period"), F.inline(F.array(*values)))
+    cells = cut_lineage(long.where(F.col("n").isNotNull() | F.col("s").isNotNull())
+                        .groupBy("_base", "period", "feature", "n", "s").agg(F.count(F.lit(1)).alias("c")))
+
+    def side(kind: str) -> tuple[DataFrame, DataFrame]:
+        own = cells.where(F.col(kind).isNotNull()).select("_base", "period", "feature", F.col(kind).alias("v"), "c")
+        return own.where("_base").select("feature", "v", F.col("c").alias("r")), own.where("not _base").drop("_base")
+
     parts = []
     if numeric:
-        period = F.date_trunc(unit, F.col(time_col)).alias("period")
-        cur = df.where(~baseline | baseline.isNull()).select(period, *numeric)
-        cur_counts = _long(cur, ["period"], numeric, "double").groupBy("period", "feature", "v").agg(
-            F.count(F.lit(1)).alias("c"))
-        ref_counts = _long(df.where(baseline), [], numeric, "double").groupBy("feature", "v").agg(
-            F.count(F.lit(1)).alias("r"))
-        ks = _spread(ks_against_reference(ref_counts, cur_counts, ["period"]), ["period", "feature"])
+        ks = ks_against_reference(*side("n"), ["period"])
+        if method == "exact":
+            ks = _spread(ks, ["period", "feature"])
         parts.append(ks.select("period", "feature", F.lit("numerical").alias("type"), "statistic",
                                ks_pvalue_col("statistic", "n_ref", "n_cur", method).alias("p_value")))
     if categorical:
-        period = F.date_trunc(unit, F.col(time_col)).alias("period")
-        cur = df.where(~baseline | baseline.isNull()).select(period, *categorical)
-        cur_counts = _long(cur, ["period"], categorical, "string").groupBy("period", "feature", "v").agg(
-            F.count(F.lit(1)).alias("c"))
-        ref_counts = _long(df.where(baseline), [], categorical, "string").groupBy("feature", "v").agg(
-            F.count(F.lit(1)).alias("r"))
         # the chi-square tail is a cheap closed form: no need to spread rows before it
-        chi = _chi2_finish(chi2_against_reference(ref_counts, cur_counts, ["period"]), alpha)
+        chi = _chi2_finish(chi2_against_reference(*side("s"), ["period"]), alpha)
         parts.append(chi.select("period", "feature", F.lit("categorical").alias("type"), "statistic", "p_value"))
     out = parts[0]
     for p in parts[1:]:
