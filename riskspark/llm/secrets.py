@@ -31,12 +31,18 @@ SCAN = {"assign": BASE["assign"][0], "access": r"AKIA[A-Z0-9]{12,}", "hex": r"[0
 WINDOW = 20
 # Character classes of the entropy scan: (alphabet, candidate pattern, pattern that a candidate must hold, bits)
 CLASSES = {
-    "entropy_hex": ("0123456789abcdef", r"(?<![A-Za-z0-9+/_-])[0-9a-f]{20,}(?![A-Za-z0-9+/_-])", r"^(?=.*[0-9])(?=.*[a-f])", 3.0),
+    "entropy_hex": ("0123456789abcdef", r"(?<![A-Za-z0-9])[0-9a-f]{20,}(?![A-Za-z0-9])", r"^(?=.*[0-9])(?=.*[a-f])", 3.0),
     "entropy_text": ("ABCDEFGHIJKLMNOPQRSTUVWXYZabcdefghijklmnopqrstuvwxyz0123456789+/_-", r"[A-Za-z0-9+/_-]{20,}", r"^(?=.*[0-9])(?=.*[A-Z])(?=.*[a-z])", 3.8),
+    "entropy_upper_hex": ("0123456789ABCDEF", r"(?<![A-Za-z0-9])[0-9A-F]{20,}(?![A-Za-z0-9])", r"^(?=.*[0-9])(?=.*[A-F])", 3.0),
+    # of random strings of 20 characters in base32 or base36, 99 % reach 3.3 bits; runs of hex digits alone are left to their classes
+    "entropy_upper": ("ABCDEFGHIJKLMNOPQRSTUVWXYZ0123456789", r"(?<![A-Za-z0-9])[A-Z0-9]{20,}(?![A-Za-z0-9])", r"^(?=.*[0-9])(?=.*[G-Z])", 3.3),
+    "entropy_lower": ("abcdefghijklmnopqrstuvwxyz0123456789", r"(?<![A-Za-z0-9])[a-z0-9]{20,}(?![A-Za-z0-9])", r"^(?=.*[0-9])(?=.*[g-z])", 3.3),
 }
-# Strings that look random but are no secrets: placeholders, one or two characters repeated, UUIDs, dates in names.
+# Strings that look random but are no secrets: placeholders, one or two characters repeated, UUIDs, dates in names,
+# a word and a number.
 ALLOW = (r"(?i)example|sample|placeholder|changeme|dummy|xxxx", r"^(.{1,2})\1+.?$",
-         r"(?i)^[0-9a-f]{8}(-[0-9a-f]{4}){3}-[0-9a-f]{12}$", r"(?i)^[a-z]+([-_/][a-z]+)*[-_/]?(19|20)[0-9]{2}[-_/]?[0-9]{0,2}[-_/]?[0-9]{0,2}$")
+         r"(?i)^[0-9a-f]{8}(-[0-9a-f]{4}){3}-[0-9a-f]{12}$", r"(?i)^[a-z]+([-_/][a-z]+)*[-_/]?(19|20)[0-9]{2}[-_/]?[0-9]{0,2}[-_/]?[0-9]{0,2}$",
+         r"(?i)^[a-z]+[0-9]{1,4}$")
 KINDS = (*BASE, *CLASSES)
 SPAN = "array<struct<start:int,kind:int,end:int>>"
 

@@ -2,7 +2,10 @@
 
 import hashlib
 import math
+import random
 import re
+import string
+from collections import Counter
 
 from pyspark.sql import functions as F
 
@@ -87,3 +90,29 @@ def test_empty_table(spark):
     df = spark.createDataFrame([], "doc_id long, text string")
     assert S.scan(df).count() == 0
     assert S.scan(df).filter(F.size("secret_spans") > 0).count() == 0
+
+
+def found_spans(spark, texts):
+    df = spark.createDataFrame(list(enumerate(texts)), "doc_id long, text string")
+    return {r.doc_id: [(S.KINDS[k], texts[r.doc_id][a:b]) for a, k, b in r.secret_spans] for r in S.scan(df).collect()}
+
+
+def test_tokens_of_every_alphabet_are_found(spark):
+    rnd = random.Random(8)
+    alphabets = {"entropy_lower": string.ascii_lowercase + string.digits, "entropy_upper": string.ascii_uppercase + "234567",
+                 "entropy_upper_hex": string.digits + "ABCDEF", "entropy_hex": string.digits + "abcdef"}
+    cases = []
+    for kind, alphabet in alphabets.items():
+        for before in ("key ", "sk_", "key-", "/path/"):
+            n = 24 if kind == "entropy_hex" else 32
+            tokens = iter(lambda: "".join(rnd.choice(alphabet) for _ in range(n)), None)
+            cases += [(kind, before, x) for x, _ in zip((x for x in tokens if set(x) & set(string.digits)), range(25))]
+    got = found_spans(spark, [f"the {before}{token} there" for _, before, token in cases])
+    hits = Counter((kind, before) for i, (kind, before, token) in enumerate(cases) if any(k == kind and x in token for k, x in got[i]))
+    assert all(hits[kind, before] >= 24 for kind, before, _ in cases), hits
+
+
+def test_words_and_identifiers_are_no_tokens(spark):
+    texts = ["internationalization2024 is long", "uncharacteristically7 and ANTIDISESTABLISHMENTARIANISM", "report-from-the-meeting-2024-05-06",
+             "11111111111111111111 and 123456789012345678901234567890", "00000000-0000-4000-8000-123456789abc", "ABABABABABABABABABABABAB"]
+    assert not any(found_spans(spark, texts).values())
