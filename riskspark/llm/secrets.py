@@ -4,7 +4,8 @@ Base kinds are found by pattern. The method adds spans by entropy: candidate str
 character class) are read once with a sliding window of ``WINDOW`` characters; the counts of the window's
 characters and the sum of c*log2(c) change by one entering and one leaving character a step, so the
 Shannon entropy of each window is at hand without recounting. Windows at or above the class's threshold
-are spans (overlapping ones merge). Candidates that match the allow list are passed over.
+are spans (overlapping ones merge). The allow list's anchored patterns judge a whole candidate, which is passed over;
+what the others match is cut out of the candidate, and windows that overlap it are passed over, the rest is read.
 
 Null and empty texts give no spans. Offsets are code points, end exclusive. Rows are handled one by one,
 so repeated rows give repeated results; other columns are kept, except those named like the results.
@@ -65,6 +66,17 @@ def _matches(text: str, pattern: str, group: int) -> str:
         acc -> acc.out)"""
 
 
+def _between(found: str, pattern: str) -> str:
+    """SQL: (start, len, value) of what lies between the matches of ``pattern`` in each of ``found``, its places in the text."""
+    p = _quote(pattern)
+    return f"""flatten(transform({found}, m -> if(not m.value rlike {p}, array(m), aggregate(
+        zip_with(split(m.value, {p}, -1), regexp_extract_all(m.value, {p}, 0), (gap, cut) -> named_struct('gap', gap, 'cut', coalesce(cut, ''))),
+        named_struct('pos', m.start, 'out', cast(array() as array<struct<start:int,len:int,value:string>>)),
+        (acc, x) -> named_struct('pos', acc.pos + length(x.gap) + length(x.cut),
+            'out', array_append(acc.out, named_struct('start', acc.pos, 'len', length(x.gap), 'value', x.gap))),
+        acc -> acc.out))))"""
+
+
 def _base_spans(text: str, kind: str) -> str:
     least, group = BASE[kind][2], BASE[kind][1]
     return f"""if({text} rlike {_quote(SCAN[kind])},
@@ -78,7 +90,10 @@ def _entropy_spans(text: str, kind: str, window: int, allow: tuple[str, ...], bi
     bits = usual if bits is None else bits
     f = "array(" + ",".join(repr(c * math.log2(c)) + "D" if c else "0.0D" for c in range(window + 1)) + ")"
     most = repr((math.log2(window) - bits) * window + 1e-9) + "D"  # H = log2(window) - sum(c log2 c) / window
-    allowed = " or ".join(f"c.value rlike {_quote(a)}" for a in allow) or "false"
+    allowed = " or ".join(f"c.value rlike {_quote(a)}" for a in allow if "^" in a) or "false"
+    found = f"filter({_matches(text, pattern, 0)}, c -> not ({allowed}))"
+    cut = "|".join(f"(?:{a})" for a in allow if "^" not in a)
+    found = _between(found, cut) if cut else found
     windows = f"""aggregate(
         transform(split(c.value, ''), ch -> instr({_quote(alphabet)}, ch) - 1),
         named_struct('i', 0, 'codes', transform(split(c.value, ''), ch -> instr({_quote(alphabet)}, ch) - 1),
@@ -101,14 +116,14 @@ def _entropy_spans(text: str, kind: str, window: int, allow: tuple[str, ...], bi
                    array_append(a.out, named_struct('start', c.start + a.i + 1 - {window}, 'kind', {KINDS.index(kind)}, 'end', c.start + a.i + 1))))
         ))[0])[0])[0]"""
     return f"""if({text} rlike {_quote(pattern)},
-        cast(flatten(transform(filter({_matches(text, pattern, 0)}, c -> c.value rlike {_quote(holds)} and not ({allowed})),
+        cast(flatten(transform(filter({found}, c -> c.len >= {window} and c.value rlike {_quote(holds)}),
             c -> {windows.format(step=step)})) as {SPAN}),
         cast(array() as {SPAN}))"""
 
 
 def scan(df: DataFrame, text: str = "text", window: int = WINDOW, allow: tuple[str, ...] = ALLOW, bits: dict[str, float] | None = None) -> DataFrame:
     """``df`` with ``secret_spans``: array of (start, kind as number in KINDS, end), by start, then kind.
-    ``window`` is the entropy window, ``allow`` the patterns of harmless candidates, ``bits`` thresholds by class."""
+    ``window`` is the entropy window, ``allow`` the patterns of harmless candidates (with '^') or parts, ``bits`` thresholds by class."""
     t = f"coalesce(`{text}`, '')"
     found = [_base_spans(t, k) for k in BASE] + [_entropy_spans(t, k, window, allow, (bits or {}).get(k)) for k in CLASSES]
     return df.withColumn("secret_spans", F.expr(f"array_sort(concat({', '.join(found)}))"))

@@ -116,3 +116,11 @@ def test_words_and_identifiers_are_no_tokens(spark):
     texts = ["internationalization2024 is long", "uncharacteristically7 and ANTIDISESTABLISHMENTARIANISM", "report-from-the-meeting-2024-05-06",
              "11111111111111111111 and 123456789012345678901234567890", "00000000-0000-4000-8000-123456789abc", "ABABABABABABABABABABABAB"]
     assert not any(found_spans(spark, texts).values())
+
+
+def test_allowed_part_leaves_the_rest_of_a_run(spark):
+    key = "aB3dE5gH7jK9mN1pQ4sT6vW8yZ0"
+    texts = [f"/samples/{key}", f"{key}/example-{key}", f"{key}xxxx{key}", f"see dummy_{key}", "EXAMPLEaB3dE5gH7jK9mN1pQ4", f"example/sample-{key[:19]}"]
+    got = {i: "".join(x for _, x in v) for i, v in found_spans(spark, texts).items()}
+    assert [got[i].count(key) for i in range(6)] == [1, 2, 2, 1, 0, 0]
+    assert "example" not in got[1] and "xxxx" not in got[2] and got[4] == ""
