@@ -36,6 +36,22 @@ def q_sql_file_reports(spark, sf):
     return out
 
 
+@register("sql_file_report_rows")
+def q_sql_file_report_rows(spark, sf):
+    """All rows of the reports, a row for each measure: report, key columns as text, measure, value."""
+    _views(spark, sf)
+    out = None
+    for i, (_, res) in enumerate(IO.run_sql_file(spark, DRIVER_SQL)):
+        if isinstance(res, Exception):
+            raise res
+        measures = [c for c in res.columns if c in ("rate_pct", "n", "avg_quantity", "avg_price", "total", "avg_acctbal") or (c == "returned" and i == 2)]
+        keys = F.concat_ws("/", *[F.col(c).cast("string") for c in res.columns if c not in measures])
+        part = res.select(F.lit(i + 1).alias("idx"), keys.alias("row_key"), F.explode(F.array(*[
+            F.struct(F.lit(c).alias("measure"), F.col(c).cast("double").alias("value")) for c in measures])).alias("m")).select("idx", "row_key", "m.*")
+        out = part if out is None else out.unionByName(part)
+    return out
+
+
 @register("sql_report_join")
 def q_sql_report_join(spark, sf):
     _views(spark, sf)
@@ -52,17 +68,33 @@ def q_json_metadata(spark, sf):
     return round_all(IO.scaling_table(IO.read_metadata(spark, path)), 6)
 
 
-@register("csv_roundtrip")
-def q_csv_roundtrip(spark, sf):
-    ev = table(spark, sf, "events").select("event_id", "event_type", "value", "props")
+EVENTS_SCHEMA = "event_id long, ts timestamp_ntz, user_id long, event_type string, value double, props string"
+
+
+def _csv_and_back(spark, sf):
+    """All columns of the events, and the same after a round trip through CSV."""
+    ev = table(spark, sf, "events")
     path = IO.scratch_path(spark, "csv", uuid.uuid4().hex)
     IO.write_table(ev, path, fmt="csv")
-    back = IO.read_csv(spark, path, "event_id long, event_type string, value double, props string")
+    return ev, IO.read_csv(spark, path, EVENTS_SCHEMA)
+
+
+@register("csv_roundtrip")
+def q_csv_roundtrip(spark, sf):
+    _, back = _csv_and_back(spark, sf)
     return round_all(back.agg(F.count(F.lit(1)).alias("n"), F.sum("value").alias("sum_value"),
                               F.count_if(F.col("props").isNull()).alias("null_props")), 4)
 
 
-EVENTS_SCHEMA = "event_id long, ts timestamp_ntz, user_id long, event_type string, value double, props string"
+@register("csv_roundtrip_rows")
+def q_csv_roundtrip_rows(spark, sf):
+    """The round trip compared row by row: rows of the source, and how many of them were lost, or added, on the way
+    (rows that differ in any column count as both; repeated rows count each time)."""
+    ev, back = _csv_and_back(spark, sf)
+    both = ev.withColumn("d", F.lit(1)).unionByName(back.select(ev.columns).withColumn("d", F.lit(-1)))
+    rows = both.groupBy(*ev.columns).agg(F.sum("d").alias("d"), F.count_if(F.col("d") == 1).alias("n"))
+    return rows.agg(F.coalesce(F.sum("n"), F.lit(0)).alias("n"), F.coalesce(F.sum(F.greatest("d", F.lit(0))), F.lit(0)).alias("lost"),
+                    F.coalesce(F.sum(F.greatest(-F.col("d"), F.lit(0))), F.lit(0)).alias("added"))
 
 
 @register("stream_score")

@@ -562,6 +562,40 @@ WHERE o.o_orderstatus = 'F' GROUP BY 1, 2"""),
 ORACLE["sql_file_reports"] = "\nUNION ALL\n".join(
     f"SELECT {i + 1} AS idx, '{t}' AS title, COUNT(*) AS n_rows FROM ({q}) t{i}" for i, (t, q) in enumerate(_DRIVER_SQL))
 
+ORACLE["sql_file_report_rows"] = """
+WITH r1 AS (
+  SELECT o.o_orderpriority || '/' || l.l_linestatus AS row_key, COUNT(*) AS n,
+         ROUND(AVG(CASE WHEN l.l_returnflag = 'R' THEN 1.0::DOUBLE ELSE 0.0::DOUBLE END) * 100, 2) AS rate_pct
+  FROM lineitem l JOIN orders o ON l.l_orderkey = o.o_orderkey GROUP BY o.o_orderpriority, l.l_linestatus
+), r2 AS (
+  SELECT CAST(CASE WHEN l_returnflag = 'R' THEN 1 ELSE 0 END AS VARCHAR) AS row_key,
+         ROUND(AVG(l_quantity), 2) AS avg_quantity, ROUND(AVG(l_extendedprice), 2) AS avg_price FROM lineitem GROUP BY 1
+), r3 AS (
+  SELECT CAST(l_linenumber AS VARCHAR) AS row_key, COUNT(*) AS total, COUNT(*) FILTER (WHERE l_returnflag = 'R') AS returned,
+         ROUND(AVG(CASE WHEN l_returnflag = 'R' THEN 1.0::DOUBLE ELSE 0.0::DOUBLE END) * 100, 2) AS rate_pct
+  FROM lineitem GROUP BY 1
+), r4 AS (
+  SELECT c.c_mktsegment || '/' || o.o_orderpriority AS row_key, COUNT(*) AS n, ROUND(AVG(c.c_acctbal), 2) AS avg_acctbal
+  FROM customer c JOIN orders o ON c.c_custkey = o.o_custkey WHERE o.o_orderstatus = 'F' GROUP BY c.c_mktsegment, o.o_orderpriority
+)
+SELECT 1 AS idx, row_key, 'rate_pct' AS measure, CAST(rate_pct AS DOUBLE) AS value FROM r1
+UNION ALL
+SELECT 1 AS idx, row_key, 'n' AS measure, CAST(n AS DOUBLE) AS value FROM r1
+UNION ALL
+SELECT 2 AS idx, row_key, 'avg_quantity' AS measure, CAST(avg_quantity AS DOUBLE) AS value FROM r2
+UNION ALL
+SELECT 2 AS idx, row_key, 'avg_price' AS measure, CAST(avg_price AS DOUBLE) AS value FROM r2
+UNION ALL
+SELECT 3 AS idx, row_key, 'total' AS measure, CAST(total AS DOUBLE) AS value FROM r3
+UNION ALL
+SELECT 3 AS idx, row_key, 'returned' AS measure, CAST(returned AS DOUBLE) AS value FROM r3
+UNION ALL
+SELECT 3 AS idx, row_key, 'rate_pct' AS measure, CAST(rate_pct AS DOUBLE) AS value FROM r3
+UNION ALL
+SELECT 4 AS idx, row_key, 'n' AS measure, CAST(n AS DOUBLE) AS value FROM r4
+UNION ALL
+SELECT 4 AS idx, row_key, 'avg_acctbal' AS measure, CAST(avg_acctbal AS DOUBLE) AS value FROM r4"""
+
 ORACLE["sql_report_join"] = """
 SELECT c.c_mktsegment, o.o_orderpriority, COUNT(*) AS n, ROUND(AVG(c.c_acctbal), 2) AS avg_acctbal
 FROM customer c INNER JOIN orders o ON c.c_custkey = o.o_custkey
@@ -574,6 +608,9 @@ ORACLE["json_metadata"] = ORACLE["scale_fit"]
 ORACLE["csv_roundtrip"] = """
 SELECT COUNT(*) AS n, ROUND(SUM(value), 4) AS sum_value, COUNT(*) FILTER (WHERE props IS NULL) AS null_props FROM events"""
 
+# what a whole round trip must give: every row, none lost, none added
+ORACLE["csv_roundtrip_rows"] = "SELECT COUNT(*) AS n, CAST(0 AS BIGINT) AS lost, CAST(0 AS BIGINT) AS added FROM events"
+
 ORACLE["stream_score"] = ORACLE["risk_tier"]
 
 ORACLE["metric_table_long"] = "\nUNION ALL\n".join(f"""

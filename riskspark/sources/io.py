@@ -12,12 +12,15 @@ from pyspark.sql.types import (ArrayType, DoubleType, MapType, StringType, Struc
 
 from riskspark.operators.clean import NULL_TOKENS, normalise_null_tokens
 
+# microseconds are kept (Spark's own formats cut them to milliseconds); quotes inside a value are doubled, as pandas writes them
+CSV_TIMES = {"timestampFormat": "yyyy-MM-dd'T'HH:mm:ss.SSSSSSXXX", "timestampNTZFormat": "yyyy-MM-dd'T'HH:mm:ss.SSSSSS"}
+
 
 def read_csv(spark: SparkSession, path: str, schema: StructType | str | None = None, header: bool = True,
              null_tokens: Sequence[str] = tuple(NULL_TOKENS)) -> DataFrame:
     """IO1: header CSV with an explicit schema (no inference pass at scale). Text tokens that a
     pandas reader treats as missing become null (N11)."""
-    reader = spark.read.option("header", header).option("mode", "PERMISSIVE")
+    reader = spark.read.option("header", header).option("mode", "PERMISSIVE").option("escape", '"')
     if schema is not None:
         reader = reader.schema(schema)
     else:
@@ -32,7 +35,7 @@ def write_table(df: DataFrame, path: str, fmt: str = "parquet", partition_by: Se
     if partition_by:
         w = w.partitionBy(*partition_by)
     if fmt == "csv":
-        w.option("header", True).csv(path)
+        w.option("header", True).option("escape", '"').options(**CSV_TIMES).csv(path)
     else:
         w.format(fmt).save(path)
 

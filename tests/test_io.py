@@ -47,3 +47,19 @@ def test_metrics_report_and_optional_input(spark, tmp_path):
 def test_records_to_frame(spark):
     df = IO.frame_from_records(spark, [{"Age": 30}, {"Age": 41, "Gender": "Female"}], "Age int, Gender string")
     assert [r["Gender"] for r in df.orderBy("Age").collect()] == [None, "Female"]
+
+
+def test_csv_round_trip_writes_all_columns_and_sees_a_changed_one(spark, tmp_path, monkeypatch):
+    from datetime import datetime
+
+    from riskspark.plans import io_queries as Q
+
+    rows = [(1, datetime(2024, 1, 2, 3, 4, 5, 678901), 7, "a,b", 0.1, '{"k": "v \\"q\\""}'), (2, None, None, None, None, None),
+            (1, datetime(2024, 1, 2, 3, 4, 5, 678901), 7, "a,b", 0.1, '{"k": "v \\"q\\""}')]
+    spark.createDataFrame(rows, Q.EVENTS_SCHEMA).write.parquet(str(tmp_path / "events.parquet"))
+    assert Q.q_csv_roundtrip_rows(spark, str(tmp_path)).first().asDict() == {"n": 3, "lost": 0, "added": 0}
+    ev, back = Q._csv_and_back(spark, str(tmp_path))
+    assert sorted(back.columns) == sorted(ev.columns)
+    real = IO.write_table
+    monkeypatch.setattr(IO, "write_table", lambda df, *a, **k: real(df.withColumn("user_id", df.user_id + 1), *a, **k))
+    assert Q.q_csv_roundtrip_rows(spark, str(tmp_path)).first().asDict() == {"n": 3, "lost": 2, "added": 2}
