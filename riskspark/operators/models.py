@@ -153,9 +153,11 @@ def lr_grid(lr: LogisticRegression, weight_total: float, cs: Sequence[float] = (
             .addGrid(lr.weightCol, list(weights)).build())
 
 
-def gbt_grid(gbt: GBTClassifier, iters: Sequence[int] = (50,), depths: Sequence[int] = (3, 4), steps: Sequence[float] = (0.1,),
-             weights: Sequence[str] = ("weight",), subsamples: Sequence[float] = (1.0,), feature_subsets: Sequence[str] = ("all",)):
-    """M13 grid over trees, depth, learning rate, class-weight column, row and column sampling."""
+def gbt_grid(gbt: GBTClassifier, iters: Sequence[int] = (100, 150, 200), depths: Sequence[int] = (3, 4, 5), steps: Sequence[float] = (0.03, 0.05, 0.1),
+             weights: Sequence[str] = ("unit_weight", "positive_weight_75", "positive_weight_100"), subsamples: Sequence[float] = (0.8, 1.0),
+             feature_subsets: Sequence[str] = ("0.8", "all")):
+    """M13 grid over trees, depth, learning rate, class-weight column (with_weights, factors 0.75 and 1.0), row and column
+    sampling. The defaults are the reference's 324 points."""
     return (ParamGridBuilder().addGrid(gbt.maxIter, list(iters)).addGrid(gbt.maxDepth, list(depths)).addGrid(gbt.stepSize, list(steps))
             .addGrid(gbt.weightCol, list(weights)).addGrid(gbt.subsamplingRate, list(subsamples))
             .addGrid(gbt.featureSubsetStrategy, list(feature_subsets)).build())

@@ -36,6 +36,9 @@ NUMERICAL_COLS = [
 ]
 LABEL = "Attrition"
 KEY = "EmployeeNumber"
+# what train() searches by default: the reference's depths and positive weights, one value of its other axes (gbt_grid's defaults are all)
+TRAIN_AXES = {"depths": (3, 4, 5), "steps": (0.1,), "weights": ("unit_weight", "positive_weight_75", "positive_weight_100"),
+              "subsamples": (1.0,), "feature_subsets": ("all",)}
 POSITIVE_FACTORS = (0.75, 1.0)  # fixed values: shares of the imbalance in the positive weight
 LEVEL_AVERAGES = {1: 2800.0, 2: 5400.0, 3: 9800.0, 4: 15500.0, 5: 19100.0}
 
@@ -56,7 +59,8 @@ def prepare(raw: DataFrame) -> DataFrame:
 def train(df: DataFrame, numeric=tuple(NUMERICAL_COLS), categorical=tuple(CATEGORICAL_COLS), label: str = LABEL,
           key: str = KEY, folds: int = 5, gbt_iters: int = 50, lr_axes: Mapping | None = None, gbt_axes: Mapping | None = None) -> Trained:
     """M8-M15 + E1-E6: stratified 80/20 split, preprocessing fitted on train, both models searched by mean
-    cross-validated ROC-AUC (``lr_axes``, ``gbt_axes``: the axes of models.lr_grid and gbt_grid), thresholds of best
+    cross-validated ROC-AUC (``lr_axes``, ``gbt_axes``: the axes of models.lr_grid and gbt_grid, here TRAIN_AXES where
+    not given), thresholds of best
     F1 on out-of-fold probabilities of the best ones, metrics on the holdout."""
     split = cut_lineage(M.stratified_split(df, label, [key], 0.2))
     train_df, test_df = split.where(~F.col("is_test")), split.where("is_test")
@@ -66,7 +70,7 @@ def train(df: DataFrame, numeric=tuple(NUMERICAL_COLS), categorical=tuple(CATEGO
     te = cut_lineage(prep.transform(test_df))
     lr, gbt = M.logistic(label, weight="weight"), M.boosted_trees(label, weight="weight", max_iter=gbt_iters, max_depth=3)
     grids = {"logistic_regression": (lr, M.lr_grid(lr, float(tr.count()), **(lr_axes or {}))),
-             "boosted_trees": (gbt, M.gbt_grid(gbt, **{"iters": (gbt_iters,), **(gbt_axes or {})}))}
+             "boosted_trees": (gbt, M.gbt_grid(gbt, **{"iters": (gbt_iters,), **TRAIN_AXES, **(gbt_axes or {})}))}
     models, thresholds, rows = {}, {}, None
     for name, (base, grid) in grids.items():
         scores = M.grid_search(base, grid, tr, label, "fold").avgMetrics if len(grid) > 1 else [0.0]
