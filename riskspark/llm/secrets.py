@@ -30,6 +30,8 @@ BASE = {
 SCAN = {"assign": BASE["assign"][0], "access": r"AKIA[A-Z0-9]{12,}", "hex": r"[0-9a-f]{32,}"}
 
 WINDOW = 20
+STRETCH = 512  # windows that are read with one set of counts
+RUN = 256  # elements of an array whose running sums are taken together
 # Character classes of the entropy scan: (alphabet, candidate pattern, pattern that a candidate must hold, bits)
 CLASSES = {
     "entropy_hex": ("0123456789abcdef", r"(?<![A-Za-z0-9])[0-9a-f]{20,}(?![A-Za-z0-9])", r"^(?=.*[0-9])(?=.*[a-f])", 3.0),
@@ -40,9 +42,10 @@ CLASSES = {
     "entropy_lower": ("abcdefghijklmnopqrstuvwxyz0123456789", r"(?<![A-Za-z0-9])[a-z0-9]{20,}(?![A-Za-z0-9])", r"^(?=.*[0-9])(?=.*[g-z])", 3.3),
 }
 # Strings that look random but are no secrets: placeholders, one or two characters repeated, UUIDs, dates in names,
-# a word and a number.
+# a word and a number. A group that repeats without bound must be possessive: Java's matcher goes one call deeper for
+# each round of any other, and a long candidate would end the JVM.
 ALLOW = (r"(?i)example|sample|placeholder|changeme|dummy|xxxx", r"^(.{1,2})\1+.?$",
-         r"(?i)^[0-9a-f]{8}(-[0-9a-f]{4}){3}-[0-9a-f]{12}$", r"(?i)^[a-z]+([-_/][a-z]+)*[-_/]?(19|20)[0-9]{2}[-_/]?[0-9]{0,2}[-_/]?[0-9]{0,2}$",
+         r"(?i)^[0-9a-f]{8}(-[0-9a-f]{4}){3}-[0-9a-f]{12}$", r"(?i)^[a-z]++(?:[-_/][a-z]++)*+[-_/]?(19|20)[0-9]{2}[-_/]?[0-9]{0,2}[-_/]?[0-9]{0,2}$",
          r"(?i)^[a-z]+[0-9]{1,4}$")
 KINDS = (*BASE, *CLASSES)
 SPAN = "array<struct<start:int,kind:int,end:int>>"
@@ -52,29 +55,43 @@ def _quote(s: str) -> str:
     return "'" + s.replace("\\", "\\\\").replace("'", "\\'") + "'"
 
 
+def _let(name: str, value: str, body: str) -> str:
+    """SQL: ``body`` with ``name`` standing for ``value``, which is worked out once."""
+    return f"transform(array({value}), {name} -> {body})[0]"
+
+
+def _starts(sizes: str, first: str = "0") -> str:
+    """SQL: running sums of an array before each element, in blocks, so that no long array is appended to."""
+    inner = f"""transform(sequence(0, cast((size(z) - 1) div {RUN} as int)), b -> aggregate(slice(z, b * {RUN} + 1, {RUN}),
+        named_struct('pos', 0, 'out', cast(array() as array<int>)), (a, x) -> named_struct('pos', a.pos + x, 'out', array_append(a.out, a.pos))))"""
+    before = f"""aggregate(runs, named_struct('pos', {first}, 'out', cast(array() as array<int>)),
+        (a, r) -> named_struct('pos', a.pos + r.pos, 'out', array_append(a.out, a.pos)), a -> a.out)"""
+    return _let("z", sizes, _let("runs", inner, _let("before", before, "flatten(zip_with(runs, before, (r, p) -> transform(r.out, q -> q + p)))")))
+
+
 def _matches(text: str, pattern: str, group: int) -> str:
     """SQL: array of (start, len, value) of all matches: the pieces between matches give the places."""
     p = _quote(pattern)
-    return f"""aggregate(
-        filter(zip_with(split({text}, {p}, -1),
-                        zip_with(regexp_extract_all({text}, {p}, 0), regexp_extract_all({text}, {p}, {group}),
-                                 (found, part) -> named_struct('found', found, 'part', part)),
-                        (gap, m) -> named_struct('gap', gap, 'found', m.found, 'part', m.part)), x -> x.found is not null),
-        named_struct('pos', 0, 'out', cast(array() as array<struct<start:int,len:int,value:string>>)),
-        (acc, x) -> named_struct('pos', acc.pos + length(x.gap) + length(x.found),
-            'out', array_append(acc.out, named_struct('start', acc.pos + length(x.gap), 'len', length(x.found), 'value', x.part))),
-        acc -> acc.out)"""
+    found = f"""filter(zip_with(zip_with(split({text}, {p}, -1), regexp_extract_all({text}, {p}, 0), (gap, found) -> named_struct('gap', length(gap), 'len', length(found))),
+        regexp_extract_all({text}, {p}, {group}), (x, part) -> named_struct('gap', x.gap, 'len', x.len, 'part', part)), x -> x.len is not null)"""
+    return _let("found", found, f"""zip_with(found, {_starts("transform(found, x -> x.gap + x.len)")},
+        (x, s) -> named_struct('start', s + x.gap, 'len', x.len, 'value', x.part))""")
 
 
 def _between(found: str, pattern: str) -> str:
     """SQL: (start, len, value) of what lies between the matches of ``pattern`` in each of ``found``, its places in the text."""
     p = _quote(pattern)
-    return f"""flatten(transform({found}, m -> if(not m.value rlike {p}, array(m), aggregate(
-        zip_with(split(m.value, {p}, -1), regexp_extract_all(m.value, {p}, 0), (gap, cut) -> named_struct('gap', gap, 'cut', coalesce(cut, ''))),
-        named_struct('pos', m.start, 'out', cast(array() as array<struct<start:int,len:int,value:string>>)),
-        (acc, x) -> named_struct('pos', acc.pos + length(x.gap) + length(x.cut),
-            'out', array_append(acc.out, named_struct('start', acc.pos, 'len', length(x.gap), 'value', x.gap))),
-        acc -> acc.out))))"""
+    pieces = f"""zip_with(split(m.value, {p}, -1), regexp_extract_all(m.value, {p}, 0), (gap, cut) -> named_struct('gap', gap, 'len', length(gap) + coalesce(length(cut), 0)))"""
+    cut = _let("pieces", pieces, f"""zip_with(pieces, {_starts("transform(pieces, x -> x.len)", "m.start")},
+        (x, s) -> named_struct('start', s, 'len', length(x.gap), 'value', x.gap))""")
+    return f"flatten(transform({found}, m -> if(not m.value rlike {p}, array(m), {cut})))"
+
+
+def _merged(spans: str) -> str:
+    """SQL: spans in order, neighbours that touch or overlap made one: each begins where the one before ends earlier."""
+    heads = "filter(transform(own, (x, i) -> if(i = 0 or x.start > get(own, i - 1).end, i, -1)), i -> i >= 0)"
+    return _let("own", spans, _let("heads", heads, """transform(heads, (h, j) -> named_struct('start', get(own, h).start, 'kind', get(own, h).kind,
+        'end', get(own, coalesce(get(heads, j + 1), size(own)) - 1).end))"""))
 
 
 def _base_spans(text: str, kind: str) -> str:
@@ -94,30 +111,32 @@ def _entropy_spans(text: str, kind: str, window: int, allow: tuple[str, ...], bi
     found = f"filter({_matches(text, pattern, 0)}, c -> not ({allowed}))"
     cut = "|".join(f"(?:{a})" for a in allow if "^" not in a)
     found = _between(found, cut) if cut else found
-    windows = f"""aggregate(
-        transform(split(c.value, ''), ch -> instr({_quote(alphabet)}, ch) - 1),
-        named_struct('i', 0, 'codes', transform(split(c.value, ''), ch -> instr({_quote(alphabet)}, ch) - 1),
-            'counts', array_repeat(0, {len(alphabet)}), 'sum', 0.0D, 'out', cast(array() as {SPAN})),
-        (a, code) -> {{step}},
+    # a stretch is STRETCH windows of a candidate: a step's cost depends on it, not on the candidate's length
+    stretch = f"""aggregate(
+        slice(zip_with(z, concat(array_repeat(-1, {window}), z), (code, old) -> named_struct('code', code, 'old', old)), 1, size(z)),
+        named_struct('i', 0, 'counts', array_repeat(0, {len(alphabet)}), 'sum', 0.0D, 'out', cast(array() as {SPAN})),
+        (a, x) -> {{step}},
         a -> a.out)"""
     # one step: `old` leaves (or -1), `code` enters; n_old and n_in are their counts before
-    step = f"""transform(array(named_struct('old', if(a.i >= {window}, element_at(a.codes, a.i - {window} + 1), -1))), o ->
-        transform(array(named_struct('n_old', if(o.old < 0, 0, element_at(a.counts, o.old + 1)),
-                                     'n_in', element_at(a.counts, code + 1) - if(o.old = code, 1, 0))), n ->
-        transform(array(a.sum + if(o.old < 0, 0.0D, element_at({f}, n.n_old) - element_at({f}, n.n_old + 1))
+    step = f"""transform(array(named_struct('n_old', if(x.old < 0, 0, element_at(a.counts, x.old + 1)),
+                                     'n_in', element_at(a.counts, x.code + 1) - if(x.old = x.code, 1, 0))), n ->
+        transform(array(a.sum + if(x.old < 0, 0.0D, element_at({f}, n.n_old) - element_at({f}, n.n_old + 1))
                         + element_at({f}, n.n_in + 2) - element_at({f}, n.n_in + 1)), s ->
-        named_struct('i', a.i + 1, 'codes', a.codes,
-            'counts', transform(a.counts, (v, k) -> v + if(k = code, 1, 0) - if(k = o.old, 1, 0)),
+        named_struct('i', a.i + 1,
+            'counts', transform(a.counts, (v, k) -> v + if(k = x.code, 1, 0) - if(k = x.old, 1, 0)),
             'sum', s,
             'out', if(a.i + 1 < {window} or s > {most}, a.out,
-                if(size(a.out) > 0 and element_at(a.out, -1).end >= c.start + a.i + 1 - {window},
+                if(size(a.out) > 0 and element_at(a.out, -1).end >= at + a.i + 1 - {window},
                    array_append(slice(a.out, 1, size(a.out) - 1),
-                        named_struct('start', element_at(a.out, -1).start, 'kind', {KINDS.index(kind)}, 'end', c.start + a.i + 1)),
-                   array_append(a.out, named_struct('start', c.start + a.i + 1 - {window}, 'kind', {KINDS.index(kind)}, 'end', c.start + a.i + 1))))
-        ))[0])[0])[0]"""
+                        named_struct('start', element_at(a.out, -1).start, 'kind', {KINDS.index(kind)}, 'end', at + a.i + 1)),
+                   array_append(a.out, named_struct('start', at + a.i + 1 - {window}, 'kind', {KINDS.index(kind)}, 'end', at + a.i + 1))))
+        ))[0])[0]"""
+    windows = _let("codes", f"transform(split(c.value, ''), ch -> instr({_quote(alphabet)}, ch) - 1)", _merged(f"""cast(flatten(transform(
+        sequence(0, cast((c.len - {window}) div {STRETCH} as int)), b -> {_let("at", f"c.start + b * {STRETCH}",
+            _let("z", f"slice(codes, b * {STRETCH} + 1, {STRETCH + window - 1})", stretch.format(step=step)))})) as {SPAN})"""))
     return f"""if({text} rlike {_quote(pattern)},
         cast(flatten(transform(filter({found}, c -> c.len >= {window} and c.value rlike {_quote(holds)}),
-            c -> {windows.format(step=step)})) as {SPAN}),
+            c -> {windows})) as {SPAN}),
         cast(array() as {SPAN}))"""
 
 
@@ -138,11 +157,12 @@ def written(spans: str) -> Column:
 def redact(df: DataFrame, text: str = "text", mark: str = "[SECRET]") -> DataFrame:
     """``df`` (as scan() returns it) with each span of ``text`` replaced by ``mark``; spans that touch or overlap
     are one. Texts without spans, null among them, stay as they are."""
-    return df.withColumn(text, F.expr(f"""if(size(secret_spans) = 0, `{text}`, aggregate(secret_spans,
-        named_struct('pos', 0, 'out', ''),
-        (a, s) -> if(s.start <= a.pos and a.pos > 0, named_struct('pos', greatest(a.pos, s.end), 'out', a.out),
-            named_struct('pos', s.end, 'out', concat(a.out, substring(`{text}`, a.pos + 1, s.start - a.pos), {_quote(mark)}))),
-        a -> concat(a.out, substring(`{text}`, a.pos + 1, length(`{text}`)))))"""))
+    whole = """aggregate(secret_spans, cast(array() as array<struct<start:int,end:int>>), (a, s) -> if(size(a) > 0 and s.start <= element_at(a, -1).end,
+        array_append(slice(a, 1, size(a) - 1), named_struct('start', element_at(a, -1).start, 'end', greatest(element_at(a, -1).end, s.end))),
+        array_append(a, named_struct('start', s.start, 'end', s.end))))"""
+    parts = f"""concat(array_join(transform(cuts, (c, i) -> substring(`{text}`, coalesce(get(cuts, i - 1).end, 0) + 1, c.start - coalesce(get(cuts, i - 1).end, 0))), {_quote(mark)}),
+        {_quote(mark)}, substring(`{text}`, element_at(cuts, -1).end + 1, length(`{text}`)))"""
+    return df.withColumn(text, F.expr(f"if(size(secret_spans) = 0, `{text}`, {_let('cuts', whole, parts)})"))
 
 
 def without_secrets(df: DataFrame) -> DataFrame:

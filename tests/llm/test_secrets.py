@@ -124,3 +124,46 @@ def test_allowed_part_leaves_the_rest_of_a_run(spark):
     got = {i: "".join(x for _, x in v) for i, v in found_spans(spark, texts).items()}
     assert [got[i].count(key) for i in range(6)] == [1, 2, 2, 1, 0, 0]
     assert "example" not in got[1] and "xxxx" not in got[2] and got[4] == ""
+
+
+def fast_entropy(v, window, bits):
+    """Merged windows of ``bits`` or more, by counts that change with each character."""
+    counts, total, runs = Counter(), 0.0, []
+    f = [0.0] + [c * math.log2(c) for c in range(1, window + 2)]
+    for i, ch in enumerate(v):
+        if i >= window:
+            old = v[i - window]
+            total += f[counts[old] - 1] - f[counts[old]]
+            counts[old] -= 1
+        total += f[counts[ch] + 1] - f[counts[ch]]
+        counts[ch] += 1
+        if i + 1 >= window and math.log2(window) - total / window >= bits - 1e-12:
+            if runs and runs[-1][1] >= i + 1 - window:
+                runs[-1][1] = i + 1
+            else:
+                runs.append([i + 1 - window, i + 1])
+    return [tuple(r) for r in runs]
+
+
+def test_long_candidates(spark):
+    """Candidates of a million characters: no deep recursion in the matcher, spans as by a plain reading."""
+    rnd = random.Random(4)
+    n = 1_000_000
+    draw = lambda letters, size: "".join(rnd.choices(letters, k=size))
+    texts = ["ab-" * 2000 + "1A", "ab-" * (n // 3) + "2024-01-02", "ab-" * (n // 3) + "1A", draw(string.ascii_letters + string.digits + "+/", n),
+             draw("0123456789abcdef", n), "AB" * (n // 2), "a" * n, "x9Qw8Er7Ty6Ui5Op4As3 " * 20_000, "".join(draw(string.ascii_lowercase + "0", 30) + "a" * 40 for _ in range(3000)),
+             " ".join(draw(string.digits + "ABCDEF", 34) for _ in range(20_000)), "token=abcdefgh1 " * 30_000]
+    df = spark.createDataFrame(list(enumerate(texts)), "doc_id long, text string").repartition(11)
+    rows = {r.doc_id: r for r in S.redact(S.scan(df)).collect()}
+    got = {i: [tuple(s) for s in r.secret_spans] for i, r in rows.items()}
+    kind = {k: i for i, k in enumerate(S.KINDS)}
+    assert got[0] == got[1] == got[2] == got[5] == got[6] == []
+    assert [(a, b) for a, k, b in got[3] if k == kind["entropy_text"]] == fast_entropy(texts[3], S.WINDOW, 3.8)
+    assert [(a, b) for a, k, b in got[4] if k == kind["entropy_hex"]] == fast_entropy(texts[4], S.WINDOW, 3.0)
+    assert got[4][0][1] == kind["hex"] and got[4][0][2] == n
+    assert [(a, b) for a, k, b in got[8] if k == kind["entropy_lower"]] == fast_entropy(texts[8], S.WINDOW, 3.3)
+    want = [(m.start() + a, m.start() + b) for m in re.finditer("[0-9A-F]+", texts[9]) if re.search("[A-F]", m.group()) and re.search("[0-9]", m.group())
+            for a, b in fast_entropy(m.group(), S.WINDOW, 3.0)]
+    assert [(a, b) for a, k, b in got[9] if k == kind["entropy_upper_hex"]] == want
+    assert len([1 for _, k, _ in got[10] if k == kind["assign"]]) == 30_000
+    assert rows[10].text == "[SECRET] " * 30_000
