@@ -32,11 +32,11 @@ class Order0:
     def __init__(self, seen: np.ndarray, lanes: int):
         """``seen``: ids so far, a row for each step, a column for each lane."""
         steps = len(seen)
-        keys = np.sort((np.arange(lanes, dtype=np.int64)[None, : seen.shape[1]] << 17 | seen).reshape(-1))
+        keys = np.sort((np.arange(lanes, dtype=np.int64)[None, : seen.shape[1]] << 32 | seen).reshape(-1))
         first = np.flatnonzero(np.concatenate([[True], keys[1:] != keys[:-1]])) if len(keys) else np.zeros(0, np.int64)
         self.keys = keys[first]
         self.count = np.diff(np.append(first, len(keys)))
-        self.lane = self.keys >> 17
+        self.lane = self.keys >> 32
         self.begin = first - self.lane * steps  # every lane has ``steps`` ids
         self.ends = self.lane * (steps + 1) + self.begin  # one axis for all lanes, rising
         self.escape = np.bincount(self.lane, minlength=lanes) + 1
@@ -46,7 +46,7 @@ class Order0:
         """(start, width, known) of ids; unknown ones get the escape interval."""
         if not len(self.keys):
             return np.zeros(ids.shape, np.int64), np.ones(ids.shape, np.int64), np.zeros(ids.shape, bool)
-        key = lane << 17 | ids
+        key = lane << 32 | ids
         i = np.minimum(np.searchsorted(self.keys, key), len(self.keys) - 1)
         known = self.keys[i] == key
         return np.where(known, self.begin[i], self.steps), np.where(known, self.count[i], self.escape[lane]), known
@@ -57,7 +57,7 @@ class Order0:
         if not len(self.keys):
             return np.zeros(len(target), np.int64), np.zeros(len(target), np.int64), np.ones(len(target), np.int64), known
         i = np.maximum(np.searchsorted(self.ends, lane * (self.steps + 1) + np.minimum(target, self.steps - 1), side="right") - 1, 0)
-        return (self.keys[i] & 0x1FFFF, np.where(known, self.begin[i], self.steps), np.where(known, self.count[i], self.escape[lane]), known)
+        return (self.keys[i] & 0xFFFFFFFF, np.where(known, self.begin[i], self.steps), np.where(known, self.count[i], self.escape[lane]), known)
 
 
 class Mixer:
@@ -97,31 +97,42 @@ def _grid(ids: np.ndarray, block: int) -> tuple[np.ndarray, np.ndarray]:
     return np.ascontiguousarray(full.reshape(lanes, block).T), lens
 
 
+def digits(kinds: int) -> list[tuple[int, int]]:
+    """(shift, number of values) of the symbols that a new id takes: one up to 2^16 different ids, else two."""
+    return [(0, kinds)] if kinds <= 1 << 16 else [(16, (kinds - 1 >> 16) + 1), (0, 1 << 16)]
+
+
 def _epochs(block: int) -> list[tuple[int, int]]:
     cuts = [0, *(e for e in EPOCHS if e < block), block]
     return list(zip(cuts, cuts[1:]))
 
 
+def settle(lo: np.ndarray, w: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
+    """(lanes whose interval [lo, lo + w) has settled its upper 32 bits or grew narrow, the width that they go on with).
+    A narrow interval across a border is cut at it. A settled one of exactly 2^32 goes on as one less: it would be 0
+    when shifted."""
+    settled = (lo ^ (lo + w - np.uint64(1))) < TOP
+    k = np.flatnonzero(settled | (w < LOW24))
+    return k, np.where(settled[k], np.minimum(w[k], MASK), (~lo[k] + np.uint64(1)) & MASK)
+
+
 def encode_blocks(ids: np.ndarray, kinds: int, block: int = BLOCK) -> list[np.ndarray]:
-    """The 32-bit words of each block; ``ids`` are below ``kinds`` (at most 2^16)."""
+    """The 32-bit words of each block; ``ids`` are below ``kinds`` (at most 2^32)."""
     if not len(ids):
         return []
     grid, lens = _grid(ids, block)
     lanes = len(lens)
     low, width = np.zeros(lanes, np.uint64), np.full(lanes, ~np.uint64(0))
-    out, used = np.zeros((lanes, 2 * block + 4), np.uint32), np.zeros(lanes, np.int64)
+    out, used = np.zeros((lanes, 4 * block + 4), np.uint32), np.zeros(lanes, np.int64)  # at most four symbols an id, a word each
     mixer = Mixer(lanes)
 
     def put(lane, start, freq, total):
         r = width[lane] // total
         lo, w = low[lane] + start * r, freq * r
-        settled = (lo ^ (lo + w - np.uint64(1))) < TOP
-        go = settled | (w < LOW24)
-        if go.any():
-            k = np.flatnonzero(go)
-            at = np.arange(len(lo))[k] if isinstance(lane, slice) else lane[k]
-            a, b = lo[k], w[k]
-            b = np.where(settled[k], b, (~a + np.uint64(1)) & MASK)  # up to the border that the interval crosses
+        k, b = settle(lo, w)
+        if len(k):
+            at = k if isinstance(lane, slice) else lane[k]
+            a = lo[k]
             out[at, used[at]] = (a >> WORD).astype(np.uint32)
             used[at] += 1
             lo[k], w[k] = a << WORD, b << WORD
@@ -156,8 +167,8 @@ def encode_blocks(ids: np.ndarray, kinds: int, block: int = BLOCK) -> list[np.nd
                 if table.steps:
                     put(miss, start0[row, miss], width0[row, miss], total0[miss])
                 new = miss[~known0[row, miss]]
-                if len(new):
-                    put(new, x[new].astype(np.uint64), np.uint64(1), np.uint64(kinds))
+                for shift, many in digits(kinds) if len(new) else ():
+                    put(new, (x[new] >> shift & 0xFFFF).astype(np.uint64), np.uint64(1), np.uint64(many))
     out[lane_ids, used] = (low >> WORD).astype(np.uint32)
     out[lane_ids, used + 1] = (low & MASK).astype(np.uint32)
     return [out[i, : used[i] + 2] for i in range(lanes)]
@@ -183,13 +194,10 @@ def decode_blocks(blocks: list[np.ndarray], lens: np.ndarray, kinds: int, block:
 
     def take(lane, r, start, freq):
         lo, w = low[lane] + start * r, freq * r
-        settled = (lo ^ (lo + w - np.uint64(1))) < TOP
-        go = settled | (w < LOW24)
-        if go.any():
-            k = np.flatnonzero(go)
-            at = np.arange(len(lo))[k] if isinstance(lane, slice) else lane[k]
-            a, b = lo[k], w[k]
-            b = np.where(settled[k], b, (~a + np.uint64(1)) & MASK)
+        k, b = settle(lo, w)
+        if len(k):
+            at = k if isinstance(lane, slice) else lane[k]
+            a = lo[k]
             code[at] = code[at] << WORD | words[at, np.minimum(used[at], longest + 2)]
             used[at] += 1
             lo[k], w[k] = a << WORD, b << WORD
@@ -226,9 +234,11 @@ def decode_blocks(blocks: list[np.ndarray], lens: np.ndarray, kinds: int, block:
                     x[miss] = got
                     new = miss[~known]
                 if len(new):
-                    goal, r = target(new, np.uint64(kinds))
+                    x[new] = 0
+                for shift, many in digits(kinds) if len(new) else ():
+                    goal, r = target(new, np.uint64(many))
                     take(new, r, goal, np.uint64(1))
-                    x[new] = goal.astype(np.int64)
+                    x[new] |= goal.astype(np.int64) << shift
             grid[t, :n] = x
             mixer.learn(x, choice)
     return np.concatenate([grid[: lens[i], i] for i in range(lanes)])
@@ -238,8 +248,6 @@ def write_segment(doc_ids: list[int | None], lengths: np.ndarray, ids: np.ndarra
     """One segment: whole documents one after the other."""
     ids = np.asarray(ids, np.int64)
     kinds = np.flatnonzero(np.bincount(ids)) if len(ids) else ids
-    if len(kinds) > 1 << 16:
-        raise ValueError("a segment holds at most 65536 different ids")
     place = np.zeros(int(kinds[-1]) + 1 if len(kinds) else 1, np.int64)
     place[kinds] = np.arange(len(kinds))
     dense = place[ids]

@@ -1,13 +1,15 @@
 """Operator 3: token ids as files of range-coded segments.
 
-Documents are put in order of doc_id (a range partitioning; null ids come first, equal ids are ordered by text).
+Documents are put in order of doc_id (a range partitioning; null ids come first, equal ids are ordered by the first
+HEAD_CHARS characters of the text, then by its hash).
 Each task tokenizes its rows with the tokenizers library, ends each document with the end id, and codes runs of
 whole documents as segments (rangecoder.py). Segments are written as rows of uncompressed Parquet files (part,
 segment number, number of ids, segment), since Spark's writers and readers reach every store that a cluster uses
 and commit files only when a task has succeeded. Reading decodes the segments, checks each block's checksum, and
 places documents by the running sum of ids over parts, then over the segments of a part.
 
-Null text is empty and gives the end id alone. A document is never split over segments.
+Null text is empty and gives the end id alone. The strings of the tokenizer's special tokens in a text give their ids,
+as in the library. A document is never split over segments; a segment may hold any number of different ids.
 """
 
 from __future__ import annotations
@@ -28,6 +30,7 @@ from riskspark.llm.common import ragged, scratch, slices, table
 from riskspark.llm.rangecoder import BLOCK, read_segment, write_segment
 
 END_ID = 2
+HEAD_CHARS = 64
 SEGMENT_CHARS = 8_000_000
 FILE_SCHEMA = "part int, segment long, n_ids long, data binary"
 _READY: dict[int, tuple] = {}
@@ -39,9 +42,7 @@ def _tokenizer(shared):
 
     if id(shared) not in _READY:
         _READY.clear()
-        tokenizer = Tokenizer.from_buffer(shared.value)
-        tokenizer.encode_special_tokens = True  # their strings in a text are ordinary text
-        _READY[id(shared)] = (shared, tokenizer)
+        _READY[id(shared)] = (shared, Tokenizer.from_buffer(shared.value))
     return _READY[id(shared)][1]
 
 
@@ -70,7 +71,10 @@ def write_tokens(docs: DataFrame, path: str, tokenizer_path: str, end_id: int =
     """Write the ids of ``docs`` (doc_id, text) to ``path`` in ascending doc_id order."""
     with open(tokenizer_path, "rb") as f:  # a file of fixed size
         shared = docs.sparkSession.sparkContext.broadcast(f.read())
-    ordered = docs.select("doc_id", "text").repartitionByRange("doc_id").sortWithinPartitions(F.col("doc_id").asc_nulls_first(), "text")
+    # many rows with one id (null among them) are dealt on by their texts' beginnings, hashes and places in the input
+    rows = docs.select("doc_id", "text", F.substring("text", 1, HEAD_CHARS).alias("_head"), F.xxhash64("text").alias("_h"), F.monotonically_increasing_id().alias("_tie"))
+    by = [F.col(c).asc_nulls_first() for c in ("doc_id", "_head", "_h", "_tie")]
+    ordered = rows.repartitionByRange(*by).sortWithinPartitions(*by).select("doc_id", "text")
     ordered.mapInArrow(_write(shared, end_id, chars, block), FILE_SCHEMA).write.option("compression", "uncompressed").parquet(path)
 
 

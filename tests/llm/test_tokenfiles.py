@@ -14,7 +14,7 @@ from riskspark.llm import tokenfiles as F
 
 
 @pytest.mark.parametrize("n", [0, 1, 2, 63, 64, 65, 255, 257, 2047, 2048, 2049, 9000])
-@pytest.mark.parametrize("kinds", [1, 2, 300, 65535])
+@pytest.mark.parametrize("kinds", [1, 2, 300, 65535, 65536, 65537, 1 << 20])
 def test_round_trip(n, kinds):
     rng = np.random.default_rng(n + kinds)
     for ids in (rng.integers(0, kinds, n), (rng.zipf(1.3, n) % kinds), np.resize(np.arange(min(kinds, 7)), n)):
@@ -25,8 +25,6 @@ def test_round_trip(n, kinds):
 @given(st.lists(st.lists(st.integers(0, 70000), max_size=200), max_size=12), st.integers(2, 90))
 def test_documents_round_trip(docs, block):
     ids = np.array([x for d in docs for x in d], np.int64)
-    if len(set(ids.tolist())) > 65536:
-        return
     names = [None if i % 3 == 2 else -i for i in range(len(docs))]
     got, lengths, out = R.read_segment(R.write_segment(names, np.array([len(d) for d in docs], np.int64), ids, block))
     assert got == names and lengths.tolist() == [len(d) for d in docs] and out.tolist() == ids.tolist()
@@ -43,6 +41,50 @@ def test_blocks_are_independent_and_checked():
         R.read_segment(bytes(broken))
 
 
+def test_more_than_65536_kinds():
+    ids = np.random.default_rng(5).permutation(200_000)
+    assert (R.read_segment(R.write_segment([1], np.array([len(ids)]), ids))[2] == ids).all()
+
+
+def test_settled_interval_of_exactly_a_word_goes_on():
+    """An aligned interval of 2^32 has settled its upper half; shifted as it is, its width would be 0."""
+    lo, w = np.array([5 << 32, 5 << 32, (6 << 32) - 9, 7 << 32], np.uint64), np.array([1 << 32, 1 << 33, 100, 9], np.uint64)
+    k, width = R.settle(lo, w)
+    assert k.tolist() == [0, 2, 3] and width.tolist() == [(1 << 32) - 1, 9, 9]
+    assert (width << np.uint64(32) > 0).all()
+
+
+def coder(total_of, freq_of, steps):
+    """Drives the coder's own steps with chosen symbols of one lane; returns whether width ever was 0."""
+    low, width = np.zeros(1, np.uint64), np.full(1, ~np.uint64(0))
+    for i in range(steps):
+        total, freq = total_of(i), freq_of(i)
+        r = width // np.uint64(total)
+        low, width = low + np.uint64(i % (total - freq + 1)) * r, np.uint64(freq) * r
+        k, b = R.settle(low, width)
+        if len(k):
+            low, width = low << np.uint64(32), b << np.uint64(32)
+        if not width[0]:
+            return True
+    return False
+
+
+def test_width_never_vanishes():
+    with np.errstate(over="ignore"):
+        # after a narrow interval is cut at a border, the width is a small multiple of 2^32: shares of it are whole words
+        for total in (*range(2, 70), 255, 256, 257, 4096, 65536):
+            assert not coder(lambda i: total, lambda i: 1, 3000)
+            assert not coder(lambda i: 2 + i % total, lambda i: 1, 3000)
+
+
+@settings(max_examples=150, deadline=None)
+@given(st.integers(1, 70000), st.integers(2, 70), st.integers(1, 400), st.integers(0, 2**31))
+def test_small_blocks_round_trip(kinds, block, n, seed):
+    rng = np.random.default_rng(seed)
+    ids = np.where(rng.random(n) < 0.5, rng.integers(0, kinds, n), rng.integers(0, min(kinds, 3), n))
+    assert (R.read_segment(R.write_segment([5], np.array([n]), ids, block))[2] == ids).all()
+
+
 def test_repetition_is_predicted():
     ids = np.resize(np.random.default_rng(2).integers(0, 50000, 50), 40000)
     assert len(R.write_segment([1], np.array([40000]), ids)) < 0.3 * 2 * 40000
@@ -53,7 +95,6 @@ def test_files_equal_the_library(spark, tmp_path):
     ids = [*range(100, 100 + len(texts) - 2), 100, None]
     df = spark.createDataFrame([(d, t, 1, "x") for d, t in zip(ids, texts)], "doc_id long, text string, start int, part string").repartition(5)
     t = Tokenizer.from_file(P.path("byte_bpe_50k.json"))
-    t.encode_special_tokens = True
     for chars, block in ((F.SEGMENT_CHARS, R.BLOCK), (200, 16)):
         path = str(tmp_path / f"tokens{chars}")
         F.write_tokens(df, path, P.path("byte_bpe_50k.json"), chars=chars, block=block)
@@ -73,3 +114,28 @@ def test_files_equal_the_library(spark, tmp_path):
 def test_empty_table(spark, tmp_path):
     F.write_tokens(spark.createDataFrame([], "doc_id long, text string"), str(tmp_path / "none"), P.path("byte_bpe_50k.json"))
     assert F.read_tokens(spark, str(tmp_path / "none")).count() == 0
+
+
+def test_special_strings_and_pieces_equal_the_plain_library_call(spark, tmp_path):
+    special = list(Tokenizer.from_file(P.path("byte_bpe_50k.json")).get_added_tokens_decoder().values())
+    marks = [s.content for s in special] or ["<|endoftext|>"]
+    texts = [f"a {m} b" for m in marks] + [m for m in marks] + [f"x{m}{m} {m}y\n{m} \n z" for m in marks] + [f" {m} " for m in marks] + ["very " * 200_000 + marks[0]]
+    df = spark.createDataFrame(list(enumerate(texts)), "doc_id long, text string")
+    F.write_tokens(df, str(tmp_path / "t"), P.path("byte_bpe_50k.json"))
+    t = Tokenizer.from_file(P.path("byte_bpe_50k.json"))
+    got = {r.doc_id: list(r.ids) for r in F.read_tokens(spark, str(tmp_path / "t")).collect()}
+    assert got == {i: [*t.encode(x, add_special_tokens=False).ids, F.END_ID] for i, x in enumerate(texts)}
+
+
+def test_many_rows_of_one_id_are_dealt(spark, tmp_path):
+    df = spark.range(20_000).selectExpr("cast(null as long) as doc_id", "concat('text ', id % 500) as text").repartition(8)
+    spark.conf.set("spark.sql.adaptive.coalescePartitions.enabled", "false")  # so little would be put into one task
+    try:
+        F.write_tokens(df, str(tmp_path / "t"), P.path("byte_bpe_50k.json"))
+    finally:
+        spark.conf.set("spark.sql.adaptive.coalescePartitions.enabled", "true")
+    parts = spark.read.parquet(str(tmp_path / "t")).groupBy("part").sum("n_ids").collect()
+    sizes = [r[1] for r in parts]
+    assert len(sizes) >= 4 and max(sizes) < 2.5 * sum(sizes) / len(sizes)
+    out = F.read_tokens(spark, str(tmp_path / "t"))
+    assert out.count() == 20_000 and out.agg({"start": "max"}).first()[0] + out.orderBy("start", ascending=False).first().n_tokens == sum(sizes)
