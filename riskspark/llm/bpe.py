@@ -4,7 +4,8 @@ The words of a slice of the corpus (the distinct matches of the split pattern) a
 array of symbols. An inverted index leads from each token pair (by its rank) to the word positions
 where it stands; merges are applied in rank order to all words at once, and only the two neighbours of
 a merged pair are looked up again and enter the index. Documents are then looked up word by word, so
-the replay costs by distinct words. Words are independent, so the slicing does not change a result.
+the replay costs by distinct words; a worker remembers up to KNOWN_WORDS of them for its later slices.
+Words are independent, so neither the slicing nor the memory changes a result.
 
 Null text is empty and gives no ids. Repeated rows are encoded each; other columns are not read.
 """
@@ -12,11 +13,13 @@ Null text is empty and gives no ids. Repeated rows are encoded each; other colum
 from __future__ import annotations
 
 import base64
+import heapq
 from collections import defaultdict
-from collections.abc import Iterator
+from collections.abc import Callable, Iterator
 
 import numpy as np
 import pyarrow as pa
+import pyarrow.compute as pc
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
@@ -24,6 +27,8 @@ from riskspark.llm.common import Below, Numbered, ragged, slices, table, with_co
 
 NONE = np.int32(2**31 - 1)
 BAND = 512  # ranks that are taken out of the inverted index together
+KNOWN_WORDS = 400_000  # words (of at most KNOWN_CHARS characters) that a worker remembers, some 100 MB
+KNOWN_CHARS = 64
 
 
 def load_ranks(path: str) -> dict[bytes, int]:
@@ -90,9 +95,12 @@ class Merges:
             later = [(ranks[~here], at[~here])]
             ranks, at = ranks[here], at[here]
             at = at[np.argsort(ranks, kind="stable")]
-            bounds = np.concatenate([[0], np.cumsum(np.bincount(ranks - low, minlength=BAND))]).tolist()
+            held = np.bincount(ranks - low, minlength=BAND)
+            bounds = np.concatenate([[0], np.cumsum(held)]).tolist()
             added: dict[int, list[int]] = defaultdict(list)  # positions that merges of this band add to it
-            for r in range(low, low + BAND):
+            todo = (np.flatnonzero(held) + low).tolist()  # ranks that occur, a heap: rising at first
+            while todo:
+                r = heapq.heappop(todo)
                 p = at[bounds[r - low]:bounds[r - low + 1]]
                 if r in added:
                     p = np.concatenate([p, np.array(added.pop(r), p.dtype)])
@@ -131,6 +139,8 @@ class Merges:
                     if k < r:
                         again.append(x)
                     elif k < low + BAND:
+                        if k not in added:
+                            heapq.heappush(todo, k)
                         added[k].append(x)
                     elif k != NONE:
                         single.append((k, x))
@@ -163,6 +173,35 @@ class Merges:
         return out, n
 
 
+class Remembered:
+    """An encoder of words that asks ``encode`` only for those it has not met yet. It remembers at most ``most`` words,
+    the first ones of at most ``longest`` characters; the others are encoded each time."""
+
+    def __init__(self, encode: Callable[[list[str]], tuple[np.ndarray, np.ndarray]], most: int = KNOWN_WORDS, longest: int = KNOWN_CHARS):
+        self.encode, self.most, self.longest = encode, most, longest
+        self.index: dict[str, int] = {}
+        self.flat, self.counts = np.zeros(0, np.int32), np.zeros(0, np.int64)
+
+    def __call__(self, words: list[str]) -> tuple[np.ndarray, np.ndarray]:
+        get = self.index.get
+        at = np.fromiter((get(w, -1) for w in words), np.int64, len(words))
+        new = np.flatnonzero(at < 0)
+        fresh = [words[i] for i in new.tolist()]
+        flat, counts = self.encode(fresh) if fresh else (np.zeros(0, np.int32), np.zeros(0, np.int64))
+        at[new] = len(self.counts) + np.arange(len(new))
+        both, sizes = np.concatenate([self.flat, flat]), np.concatenate([self.counts, counts])
+        starts = np.cumsum(sizes) - sizes
+        out = both[ragged(starts[at], sizes[at])], sizes[at]
+        if fresh and len(self.index) < self.most:
+            short = [i for i, w in enumerate(fresh) if len(w) <= self.longest][: self.most - len(self.index)]
+            kept = np.array(short, np.int64)
+            own = np.cumsum(counts) - counts
+            self.index.update(zip((fresh[i] for i in short), range(len(self.counts), len(self.counts) + len(short))))
+            self.flat = np.concatenate([self.flat, flat[ragged(own[kept], counts[kept])]])
+            self.counts = np.concatenate([self.counts, counts[kept]])
+        return out
+
+
 def split_chunks(text: str, plain: Numbered, spaced: Below, newline: int) -> list[int]:
     """Numbers of the pieces of a text at the borders where no match of the pattern can cross: before a
     space or around a line end that stands alone between two other characters. ``spaced`` holds pieces
@@ -224,7 +263,7 @@ def _tools(shared, pattern: str):
     if key not in _READY:
         _READY.clear()
         merges = Merges({base64.b64decode(a): int(b) for a, b in map(bytes.split, shared.value.splitlines())})
-        _READY[key] = (shared, merges, regex.compile(pattern).findall)
+        _READY[key] = (shared, Remembered(lambda words: merges.encode_words([w.encode() for w in words])), regex.compile(pattern).findall)
     return _READY[key][1:]
 
 
@@ -236,9 +275,9 @@ def encode(df: DataFrame, ranks_path: str, pattern: str, text: str = "text", ids
     df = df.drop(ids)
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        merges, findall = _tools(shared, pattern)
+        encode_words, findall = _tools(shared, pattern)
         for rows, texts in slices(batches, text):
-            flat, sizes = encode_slice(texts, lambda p: findall(p), lambda ws: merges.encode_words([w.encode() for w in ws]))
+            flat, sizes = encode_slice(texts, findall, encode_words)
             offsets = np.concatenate([[0], np.cumsum(sizes)]).astype(np.int32)
             yield from rows.append_column(ids, pa.ListArray.from_arrays(pa.array(offsets), pa.array(flat, pa.int32()))).combine_chunks().to_batches()
 
@@ -252,11 +291,19 @@ def decode(df: DataFrame, ranks_path: str, ids: str = "ids", decoded: str = "dec
     df = df.drop(decoded)
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        tokens = {int(b): base64.b64decode(a) for a, b in map(bytes.split, shared.value.splitlines())}
+        ranks = {int(b): base64.b64decode(a) for a, b in map(bytes.split, shared.value.splitlines())}
+        tokens = pa.array([ranks.get(i) for i in range(max(ranks) + 1)], pa.binary())
         for batch in batches:
             lists = batch.column(batch.schema.get_field_index(ids))
-            out = [b"".join(map(tokens.__getitem__, x.values.to_pylist())) if x.is_valid else b"" for x in lists]
-            yield from pa.Table.from_batches([batch]).append_column(decoded, pa.array(out, pa.binary())).to_batches()
+            sizes = pc.fill_null(pc.list_value_length(lists), 0).to_numpy(zero_copy_only=False)
+            spelled = tokens.take(lists.flatten())  # all documents' tokens one after the other
+            if spelled.null_count:
+                raise ValueError("an id that is no token")
+            ends = np.frombuffer(spelled.buffers()[1], np.int32, len(spelled) + 1, spelled.offset * 4) if len(spelled) else np.zeros(1, np.int32)
+            offsets = ends[np.concatenate([[0], np.cumsum(sizes)])]
+            data = spelled.buffers()[2] if len(spelled) else pa.py_buffer(b"")
+            out = pa.Array.from_buffers(pa.binary(), len(lists), [None, pa.py_buffer(offsets.astype(np.int32)), data])
+            yield from pa.Table.from_batches([batch]).append_column(decoded, out).to_batches()
 
     return df.mapInArrow(run, with_column(df, decoded, "binary"))
 

@@ -25,7 +25,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql.window import Window
 
-from riskspark.llm.bpe import encode_slice
+from riskspark.llm.bpe import Remembered, encode_slice
 from riskspark.llm.common import ragged, scratch, slices, table
 from riskspark.llm.rangecoder import BLOCK, read_segment, write_segment
 
@@ -36,25 +36,28 @@ FILE_SCHEMA = "part int, segment long, n_ids long, data binary"
 _READY: dict[int, tuple] = {}
 
 
-def _tokenizer(shared):
+def _tools(shared):
+    """The encoder of pieces by the tokenizer of a broadcast file, which remembers pieces from slice to slice."""
     os.environ["TOKENIZERS_PARALLELISM"] = "false"  # Spark runs a task per core already
     from tokenizers import Tokenizer
 
     if id(shared) not in _READY:
         _READY.clear()
-        _READY[id(shared)] = (shared, Tokenizer.from_buffer(shared.value))
+        tokenizer = Tokenizer.from_buffer(shared.value)
+
+        def encode_pieces(pieces: list[str]) -> tuple[np.ndarray, np.ndarray]:
+            ids = [e.ids for e in tokenizer.encode_batch_fast(pieces, add_special_tokens=False)]
+            return np.array([x for own in ids for x in own], np.int32), np.fromiter(map(len, ids), np.int64, len(ids))
+
+        _READY[id(shared)] = (shared, Remembered(encode_pieces))
     return _READY[id(shared)][1]
 
 
 def _write(shared, end_id: int, chars: int, block: int):
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        tokenizer = _tokenizer(shared)
+        encode_words = _tools(shared)
         part, number = TaskContext.get().partitionId(), 0
 
-        def encode_words(pieces: list[str]) -> tuple[np.ndarray, np.ndarray]:
-            ids = [e.ids for e in tokenizer.encode_batch_fast(pieces, add_special_tokens=False)]
-            return np.array([x for own in ids for x in own], np.int32), np.fromiter(map(len, ids), np.int64, len(ids))
-
         for rows, texts in slices(batches, "text", chars):
             # the pieces end where no match of the byte-level pattern crosses, so each is encoded once a slice
             flat, sizes = encode_slice(texts, lambda p: [p], encode_words)

@@ -86,3 +86,30 @@ def test_query_operators(spark, tmp_path, extra):
 def test_empty_table(spark):
     df = spark.createDataFrame([], "doc_id long, text string")
     assert B.decode(B.encode(df, PATH, P.PATTERN), PATH).count() == 0
+
+
+def test_remembered_words_give_the_same(spark):
+    """Words met in an earlier slice, too long to remember, or beyond the bound are encoded alike."""
+    import random
+
+    merges = MERGES
+    plain = lambda ws: merges.encode_words([w.encode() for w in ws])
+    asked = []
+    known = B.Remembered(lambda ws: (asked.extend(ws), plain(ws))[1], most=50, longest=6)
+    rnd = random.Random(2)
+    for _ in range(30):
+        words = list({"".join(rnd.choices("abcé ", k=rnd.randint(1, 9))) for _ in range(rnd.randint(0, 20))})
+        flat, counts = known(words)
+        want = plain(words)
+        assert flat.tolist() == want[0].tolist() and counts.tolist() == want[1].tolist()
+    assert len(known.index) == 50 and len(asked) > len(set(asked))
+
+
+def test_decode_of_slices_nulls_and_wrong_ids(spark):
+    path = P.path("byte_bpe_multi_50k.tiktoken")
+    df = spark.createDataFrame([(1, [72, 0]), (2, None), (3, []), (4, [5])], "k int, ids array<int>").coalesce(1)
+    ranks = {r: t for t, r in B.load_ranks(path).items()}
+    got = {r.k: bytes(r.decoded) for r in B.decode(df, path).where("k != 1").collect()}
+    assert got == {2: b"", 3: b"", 4: ranks[5]}
+    with pytest.raises(Exception, match="no token"):
+        B.decode(spark.createDataFrame([([10**6],)], "ids array<int>"), path).collect()
