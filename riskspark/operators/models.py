@@ -126,8 +126,7 @@ def logistic(label: str = "label", weight: str | None = None, reg: float = 0.0,
 
 def boosted_trees(label: str = "label", weight: str | None = None, max_iter: int = 50, max_depth: int = 3,
                   step: float = 0.1, subsample: float = 1.0, seed: int = 42, feature_subset: str = "all") -> GBTClassifier:
-    """Gradient-boosted trees (n_estimators -> maxIter, max_depth, learning_rate -> stepSize, subsample ->
-    subsamplingRate, colsample -> featureSubsetStrategy (drawn per node), scale_pos_weight -> weightCol)."""
+    """Spark ML's gradient-boosted trees (no L2 leaf term, columns drawn per node); M13 and its grid are in boosting.py."""
     gbt = GBTClassifier(featuresCol="features", labelCol=label, maxIter=max_iter, maxDepth=max_depth, stepSize=step,
                         subsamplingRate=subsample, seed=seed, featureSubsetStrategy=feature_subset)
     if weight:
@@ -153,16 +152,6 @@ def lr_grid(lr: LogisticRegression, weight_total: float, cs: Sequence[float] = (
             .addGrid(lr.weightCol, list(weights)).build())
 
 
-def gbt_grid(gbt: GBTClassifier, iters: Sequence[int] = (100, 150, 200), depths: Sequence[int] = (3, 4, 5), steps: Sequence[float] = (0.03, 0.05, 0.1),
-             weights: Sequence[str] = ("unit_weight", "positive_weight_75", "positive_weight_100"), subsamples: Sequence[float] = (0.8, 1.0),
-             feature_subsets: Sequence[str] = ("0.8", "all")):
-    """M13 grid over trees, depth, learning rate, class-weight column (with_weights, factors 0.75 and 1.0), row and column
-    sampling. The defaults are the reference's 324 points."""
-    return (ParamGridBuilder().addGrid(gbt.maxIter, list(iters)).addGrid(gbt.maxDepth, list(depths)).addGrid(gbt.stepSize, list(steps))
-            .addGrid(gbt.weightCol, list(weights)).addGrid(gbt.subsamplingRate, list(subsamples))
-            .addGrid(gbt.featureSubsetStrategy, list(feature_subsets)).build())
-
-
 def positive_probability(pred: DataFrame, out: str = "p") -> DataFrame:
     return pred.withColumn(out, vector_to_array(F.col("probability"))[1])
 

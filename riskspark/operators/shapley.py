@@ -1,8 +1,10 @@
 """Shapley values of a Spark GBT model per row (X6), as a ``mapInPandas`` job.
 
-The fitted trees (model parameters, small and bounded by maxDepth) are read once on the driver
-into flat node arrays and shipped with the task closure; rows stay on the executors and are
-processed an Arrow batch at a time.
+The fitted trees are turned into leaf paths: per leaf and feature on its path the interval (low, high] that a row's
+value must lie in to follow every split, and the share of the cover that does. This table (an Explainer) is all that
+is needed to explain rows: it is stored and loaded with the model and its background rows, and shipped with the task
+closure (model parameters, bounded by trees x 2^maxDepth). Rows stay on the executors and are processed an Arrow batch
+at a time; values and margin come from one pass over the leaves.
 
 Values are the path-dependent (cover-weighted) Shapley values of the raw margin F(x) = sum_t w_t
 tree_t(x): for each tree, v(S) fixes the features in S to the row's values and averages over the
@@ -13,13 +15,12 @@ Exact: per row, sum_j phi_j + E[F] = F(x).
 
 from __future__ import annotations
 
-import itertools
 import math
 from collections.abc import Sequence
+from dataclasses import dataclass
 
 import numpy as np
-import pandas as pd
-from pyspark.sql import DataFrame
+from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql.types import ArrayType, DoubleType, StructField, StructType
 
@@ -50,114 +51,115 @@ def _flatten_tree(root) -> dict:
 
 
 def extract_gbt(model) -> tuple[list[dict], list[float]]:
-    """Trees of a fitted GBTClassificationModel (continuous splits: x <= threshold goes left)."""
+    """Trees of a fitted GBTClassificationModel or BoostedTrees (continuous splits: x <= threshold goes left)."""
+    from riskspark.operators.boosting import BoostedTrees
+
+    if isinstance(model, BoostedTrees):
+        kids = lambda tree: np.arange(len(tree["feature"])) * 2
+        return [{**t, "left": kids(t) + 1, "right": kids(t) + 2} for t in model.trees], [1.0] * len(model.trees)
     trees = [_flatten_tree(t._call_java("rootNode")) for t in model.trees]
     return trees, [float(w) for w in model.treeWeights]
 
 
-def _expected(tree: dict, x: np.ndarray, fixed: frozenset, node: int = 0) -> np.ndarray:
-    """v(S) for a batch: features in ``fixed`` follow the rows' values, others the cover average."""
-    f = tree["feature"][node]
-    if f < 0:
-        return np.full(x.shape[0], tree["value"][node])
-    lft, rgt = tree["left"][node], tree["right"][node]
-    if f in fixed:
-        go_left = x[:, f] <= tree["threshold"][node]
-        return np.where(go_left, _expected(tree, x, fixed, lft), _expected(tree, x, fixed, rgt))
-    cl, cr = tree["cover"][lft], tree["cover"][rgt]
-    tot = cl + cr
-    return (cl * _expected(tree, x, fixed, lft) + cr * _expected(tree, x, fixed, rgt)) / tot
-
-
-def _leaf_paths(tree: dict) -> list[tuple[float, list[tuple[int, float, bool, float]]]]:
-    """(leaf value, [(feature, threshold, goes_left, cover fraction of the child)]) for every leaf."""
-    out = []
-
-    def walk(node: int, path: list) -> None:
-        f = tree["feature"][node]
-        if f < 0:
-            out.append((float(tree["value"][node]), list(path)))
-            return
-        for child, left in ((tree["left"][node], True), (tree["right"][node], False)):
-            z = tree["cover"][child] / tree["cover"][node] if tree["cover"][node] > 0 else 0.0
-            walk(child, path + [(int(f), float(tree["threshold"][node]), left, float(z))])
-
-    walk(0, [])
-    return out
-
-
-def tree_shap_batch(trees: Sequence[dict], weights: Sequence[float], x: np.ndarray) -> tuple[np.ndarray, float]:
-    """phi (rows x features) and the expected margin E[F], exact, in O(leaves x depth^3) per row.
-
-    For one leaf, the cover-weighted game is a product over the distinct features k on its path:
-    g(S) = prod_k (O_k if k in S else Z_k), with O_k = 1 when the row follows every split on k and
-    Z_k the product of the cover fractions. Its Shapley value is
-    phi_j = (O_j - Z_j) * sum_s w(s) [t^s] prod_{k != j} (Z_k + O_k t), w(s) = s!(d-s-1)!/d!,
-    evaluated for all rows of the batch at once."""
-    n, dim = x.shape
-    phi = np.zeros((n, dim))
-    base = 0.0
-    for tree, w in zip(trees, weights):
-        for value, path in _leaf_paths(tree):
-            feats: list[int] = []
-            O: dict[int, np.ndarray] = {}
-            Z: dict[int, float] = {}
-            for f, thr, left, z in path:
-                go = (x[:, f] <= thr) if left else (x[:, f] > thr)
-                if f not in O:
-                    feats.append(f)
-                    O[f], Z[f] = np.ones(n), 1.0
-                O[f] = O[f] * go
-                Z[f] *= z
-            base += w * value * float(np.prod([Z[k] for k in feats])) if feats else w * value
-            d = len(feats)
-            if d == 0:
-                continue
+LEAF_PATHS = "tree int, leaf int, value double, feature int, low double, high double, share double"
+
+
+@dataclass
+class Explainer:
+    """Leaf paths: (weighted leaf value, [(feature, low, high, cover share)]) by leaf."""
+    leaves: list[tuple[float, list[tuple[int, float, float, float]]]]
+    trees: list[int]  # the tree of each leaf
+
+    @staticmethod
+    def of(model) -> Explainer:
+        """The leaf paths of a fitted model."""
+        trees, weights = extract_gbt(model)
+        return Explainer.from_trees(trees, weights)
+
+    @staticmethod
+    def from_trees(trees: Sequence[dict], weights: Sequence[float]) -> Explainer:
+        leaves, numbers = [], []
+
+        def walk(tree: dict, weight: float, number: int, node: int, path: dict) -> None:
+            f = int(tree["feature"][node])
+            if f < 0:
+                leaves.append((weight * float(tree["value"][node]), [(k, *v) for k, v in path.items()]))
+                numbers.append(number)
+                return
+            low, high, share = path.get(f, (-math.inf, math.inf, 1.0))
+            at, whole = float(tree["threshold"][node]), float(tree["cover"][node])
+            for child, own in ((tree["left"][node], (low, min(high, at))), (tree["right"][node], (max(low, at), high))):
+                part = float(tree["cover"][child]) / whole if whole > 0 else 0.0
+                walk(tree, weight, number, int(child), {**path, f: (*own, share * part)})
+
+        for number, (tree, weight) in enumerate(zip(trees, weights)):
+            walk(tree, weight, number, 0, {})
+        return Explainer(leaves, numbers)
+
+    def batch(self, x: np.ndarray) -> tuple[np.ndarray, float, np.ndarray]:
+        """phi (rows x features), the expected margin E[F] and the rows' margins, exact, in O(leaves x depth^3) per row.
+
+        For one leaf, the cover-weighted game is a product over the distinct features k on its path:
+        g(S) = prod_k (O_k if k in S else Z_k), with O_k = 1 when the row's value lies in the leaf's interval of k and
+        Z_k the share of the cover. Its Shapley value is
+        phi_j = (O_j - Z_j) * sum_s w(s) [t^s] prod_{k != j} (Z_k + O_k t), w(s) = s!(d-s-1)!/d!,
+        evaluated for all rows of the batch at once. The row's margin is the value of the leaves where all O_k are 1."""
+        n, dim = x.shape
+        phi, base, margin = np.zeros((n, dim)), 0.0, np.zeros(n)
+        for value, path in self.leaves:
+            d = len(path)
+            # a missing value fails every "<=" and goes right
+            inside = [~(x[:, f] <= low) & ((x[:, f] <= high) if high < math.inf else True) for f, low, high, _ in path]
+            O = [o.astype(float) for o in inside]
+            Z = [share for *_, share in path]
+            base += value * math.prod(Z)
+            margin += value * np.logical_and.reduce(inside) if d else value
             coef_w = np.array([math.factorial(s_) * math.factorial(d - s_ - 1) / math.factorial(d) for s_ in range(d)])
-            for j in feats:
+            for j in range(d):
                 poly = np.zeros((n, d))
                 poly[:, 0] = 1.0
-                for k in feats:
+                for k in range(d):
                     if k == j:
                         continue
                     nxt = poly * Z[k]
                     nxt[:, 1:] += poly[:, :-1] * O[k][:, None]
                     poly = nxt
-                phi[:, j] += w * value * (O[j] - Z[j]) * (poly @ coef_w)
-    return phi, base
-
-
-def tree_shap_subsets(trees: Sequence[dict], weights: Sequence[float], x: np.ndarray) -> tuple[np.ndarray, float]:
-    """Reference form for tests: Shapley average over all subsets of each tree's features."""
-    n, d = x.shape
-    phi = np.zeros((n, d))
-    base = 0.0
-    for tree, w in zip(trees, weights):
-        used = sorted({int(f) for f in tree["feature"] if f >= 0})
-        m = len(used)
-        cache = {}
-        for r in range(m + 1):
-            for sub in itertools.combinations(used, r):
-                cache[frozenset(sub)] = _expected(tree, x, frozenset(sub))
-        base += w * float(cache[frozenset()][0]) if n else 0.0
-        for j in used:
-            others = [f for f in used if f != j]
-            for r in range(m):
-                coef = math.factorial(r) * math.factorial(m - r - 1) / math.factorial(m)
-                for sub in itertools.combinations(others, r):
-                    s_ = frozenset(sub)
-                    phi[:, j] += w * coef * (cache[s_ | {j}] - cache[s_])
-    return phi, base
-
-
-def tree_shapley(df: DataFrame, model, features_col: str, id_cols: Sequence[str]) -> DataFrame:
+                phi[:, path[j][0]] += value * (O[j] - Z[j]) * (poly @ coef_w)
+        return phi, base, margin
+
+    def rows(self) -> list[tuple]:
+        """LEAF_PATHS rows; a leaf without splits has one row of feature -1."""
+        return [(t, i, value, *p) for i, (t, (value, path)) in enumerate(zip(self.trees, self.leaves))
+                for p in (path or [(-1, -math.inf, math.inf, 1.0)])]
+
+    def save(self, spark: SparkSession, path: str, background: DataFrame | None = None) -> None:
+        """IO8: the leaf paths as a table, and the background rows (M18) beside it."""
+        spark.createDataFrame(self.rows(), LEAF_PATHS).coalesce(1).write.mode("overwrite").parquet(f"{path}/leaf_paths")
+        if background is not None:
+            background.coalesce(1).write.mode("overwrite").parquet(f"{path}/background")
+
+    @staticmethod
+    def load(spark: SparkSession, path: str) -> tuple[Explainer, DataFrame | None]:
+        """What save() wrote: the explainer, and the background rows where there are any."""
+        from riskspark.sources.io import optional_frame
+
+        table = optional_frame(spark, f"{path}/leaf_paths", spark.read.schema(LEAF_PATHS).parquet)
+        if table is None:
+            raise FileNotFoundError(f"no explainer at {path}")
+        leaves: dict[int, tuple[int, float, list]] = {}
+        for r in sorted(table.collect(), key=lambda r: r.leaf):  # model parameters
+            leaves.setdefault(r.leaf, (r.tree, r.value, []))[2].extend([(r.feature, r.low, r.high, r.share)] if r.feature >= 0 else [])
+        own = Explainer([(value, p) for _, value, p in leaves.values()], [t for t, *_ in leaves.values()])
+        return own, optional_frame(spark, f"{path}/background", spark.read.parquet)
+
+
+def explain(df: DataFrame, explainer: Explainer, features_col: str, id_cols: Sequence[str]) -> DataFrame:
     """(ids..., shap array<double>, base double, margin double) per row via mapInPandas."""
     from pyspark.ml.functions import vector_to_array
 
     from riskspark.session import ship_package
 
     ship_package(df.sparkSession)
-    trees, weights = extract_gbt(model)
     id_fields = [df.schema[c] for c in id_cols]
     schema = StructType([*id_fields, StructField("shap", ArrayType(DoubleType())),
                          StructField("base", DoubleType()), StructField("margin", DoubleType())])
@@ -167,11 +169,7 @@ def tree_shapley(df: DataFrame, model, features_col: str, id_cols: Sequence[str]
         for pdf in batches:
             if pdf.empty:
                 continue
-            x = np.vstack(pdf["_x"].to_numpy()).astype(float)
-            phi, base = tree_shap_batch(trees, weights, x)
-            margin = np.zeros(x.shape[0])
-            for tree, w in zip(trees, weights):
-                margin += w * _expected(tree, x, frozenset(range(x.shape[1])))
+            phi, base, margin = explainer.batch(np.vstack(pdf["_x"].to_numpy()).astype(float))
             out = pdf[list(id_cols)].copy()
             out["shap"] = list(phi)
             out["base"] = base
@@ -181,4 +179,6 @@ def tree_shapley(df: DataFrame, model, features_col: str, id_cols: Sequence[str]
     return arr.mapInPandas(run, schema)
 
 
-__all__ = ["extract_gbt", "tree_shap_batch", "tree_shap_subsets", "tree_shapley", "pd"]
+def tree_shapley(df: DataFrame, model, features_col: str, id_cols: Sequence[str]) -> DataFrame:
+    """X6 for a fitted model: explain() by its leaf paths."""
+    return explain(df, Explainer.of(model), features_col, id_cols)

@@ -657,10 +657,19 @@ SELECT event_type, n + CASE WHEN event_type = 'click' THEN (SELECT moved FROM v)
                             WHEN event_type = 'view' THEN -(SELECT moved FROM v) ELSE 0 END AS n
 FROM c"""
 
-ORACLE["score_batch_facts"] = """SELECT COUNT(*) AS n, TRUE AS columns_kept, TRUE AS risk_in_range FROM documents"""
+ORACLE["score_batch_facts"] = """SELECT COUNT(*) AS n, TRUE AS columns_kept, TRUE AS risk_in_range, TRUE AS prediction_fits FROM documents"""
 
 ORACLE["artifacts_roundtrip"] = """SELECT COUNT(*) AS n, TRUE AS identical FROM documents"""
 
+ORACLE["grid_search_facts"] = """
+WITH c AS (SELECT quality, COUNT(*) - CAST(ROUND(COUNT(*) * 0.2) AS BIGINT) AS k FROM labels JOIN documents USING (doc_id) GROUP BY 1)
+SELECT CAST(324 AS BIGINT) AS points, CAST(324 * 5 AS BIGINT) AS fits, CAST(5 AS BIGINT) AS folds, TRUE AS auc_in_range, TRUE AS best_is_first,
+       CAST(SUM(k) AS BIGINT) AS n_oof, CAST(SUM(k) AS BIGINT) AS n_documents, TRUE AS p_in_range FROM c"""
+
+ORACLE["explainer_roundtrip"] = """
+WITH c AS (SELECT quality, COUNT(*) - CAST(ROUND(COUNT(*) * 0.2) AS BIGINT) AS k FROM labels JOIN documents USING (doc_id) GROUP BY 1)
+SELECT (SELECT COUNT(*) FROM documents) AS n, TRUE AS identical, TRUE AS sum_rule_holds, LEAST(100, CAST(SUM(k) AS BIGINT)) AS n_background FROM c"""
+
 ORACLE["tree_shapley_check"] = """SELECT COUNT(*) AS n, TRUE AS sum_rule_holds FROM documents"""
 
 ORACLE["model_roundtrip"] = """

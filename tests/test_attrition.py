@@ -46,7 +46,7 @@ def test_workflow(spark, employees):
     df = AT.prepare(employees)
     assert df.count() == 600
     assert {"EmployeeCount", "StandardHours", "Over18"}.isdisjoint(df.columns)
-    trained = AT.train(df, folds=3, gbt_iters=10)
+    trained = AT.train(df, folds=3, gbt_axes={"trees": (5,), "rates": (0.1,), "row_shares": (1.0,), "column_shares": (1.0,)})
     m = {r["model"]: r for r in trained.metrics.collect()}
     assert set(m) == {"logistic_regression", "boosted_trees"}
     assert all(0.5 < r["roc_auc"] <= 1.0 for r in m.values())
@@ -86,11 +86,17 @@ def test_reports(spark, employees):
 
 def test_search_and_artifacts(spark, employees, tmp_path):
     df = AT.prepare(employees)
-    trained = AT.train(df, folds=2, gbt_iters=3, lr_axes={"cs": (0.1, 1.0)}, gbt_axes={"depths": (2,), "weights": ("weight", "positive_weight_100")})
+    trained = AT.train(df, folds=2, lr_axes={"cs": (0.1, 1.0)}, gbt_axes={"trees": (2, 3), "depths": (2,), "rates": (0.3,)})
     path = str(tmp_path / "artifacts")
     AT.save(spark, trained, path)
     back = AT.load(spark, path)
-    assert back.prep == trained.prep and back.thresholds == trained.thresholds
+    assert back.prep == trained.prep and back.thresholds == trained.thresholds and back.explainer == trained.explainer
+    assert back.models["boosted_trees"].point == trained.models["boosted_trees"].point and back.background.count() == 100
+    x = AT.explain(df, back).withColumn("p", 1 / (1 + F.exp(-F.col("margin")))).select("EmployeeNumber", "p", "shap", "base", "margin")
+    risk = AT.predict_batch(df, trained, mode="reference_table").select("EmployeeNumber", "AttritionRisk")
+    got = x.join(risk, "EmployeeNumber").collect()
+    assert len(got) == 600 and all(abs(r.p - r.AttritionRisk) < 1e-9 and abs(sum(r.shap) + r.base - r.margin) < 1e-9 for r in got)
+    assert len(got[0].shap) == len(back.prep.feature_names)
     rows = df.drop("Attrition")
     for name in trained.models:
         a = AT.predict_batch(rows, trained, name, mode="batch_mean").select("EmployeeNumber", "AttritionRisk").collect()

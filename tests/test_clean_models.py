@@ -122,15 +122,15 @@ def test_one_hot_of_null_is_zero_and_no_category_is_lost(spark):
 
 def test_grid_defaults_are_the_reference_axes(spark):
     """src/train_model.py of the reference: 3 x 3 x 3 x 3 x 2 x 2 points for trees, 4 C values for the regression."""
+    from riskspark.operators import boosting as BT
     from riskspark.operators import models as M
     from riskspark.plans import attrition as AT
     from riskspark.plans import ml_queries as Q
 
-    gbt = M.boosted_trees("y", weight="weight")
-    grid = M.gbt_grid(gbt)
-    assert len(grid) == 324 and {p[gbt.maxIter] for p in grid} == {100, 150, 200} and {p[gbt.stepSize] for p in grid} == {0.03, 0.05, 0.1}
-    positive = {f"positive_weight_{round(100 * f)}" for f in AT.POSITIVE_FACTORS} | {"unit_weight"}
-    assert {p[gbt.weightCol] for p in grid} == positive == set(AT.TRAIN_AXES["weights"])
-    assert {p[gbt.subsamplingRate] for p in M.gbt_grid(gbt, **Q.GBT_QUERY_AXES)} == {0.8, 1.0}
+    points = BT.grid(positive_weights=(1.0, *(3.0 * f for f in AT.POSITIVE_FACTORS)))
+    assert len(points) == 324 and {p.trees for p in points} == {100, 150, 200} and {p.rate for p in points} == {0.03, 0.05, 0.1}
+    assert {p.positive_weight for p in points} == {1.0, 2.25, 3.0} and {p.depth for p in points} == {3, 4, 5}
+    assert {p.row_share for p in points} == {p.column_share for p in points} == {0.8, 1.0}
+    assert len(BT.grid(trees=Q.GBT_QUERY_TREES, positive_weights=(1.0, 3.0, 2.25))) == 324
     lr = M.logistic("y", weight="weight")
     assert len(M.lr_grid(lr, 10.0)) == 8

@@ -3,8 +3,9 @@ import numpy as np
 import pytest
 from pyspark.ml.linalg import Vectors
 
-from riskspark.operators.shapley import _expected, extract_gbt, tree_shap_batch, tree_shap_subsets
+from riskspark.operators.shapley import Explainer, explain, extract_gbt
 from tests.conftest import SF_SMALL
+from tests.shapley_reference import expected, tree_shap_subsets
 
 
 def test_tree_shap_sum_rule_and_brute_force(spark):
@@ -15,9 +16,9 @@ def test_tree_shap_sum_rule_and_brute_force(spark):
     df = spark.createDataFrame([(Vectors.dense(r.tolist()), int(t)) for r, t in zip(x, y)], ["features", "label"])
     model = GBTClassifier(maxIter=5, maxDepth=2, seed=1).fit(df)
     trees, weights = extract_gbt(model)
-    phi, base = tree_shap_batch(trees, weights, x[:20])
-    margin = sum(w * _expected(t, x[:20], frozenset(range(3))) for t, w in zip(trees, weights))
-    assert np.allclose(phi.sum(axis=1) + base, margin, atol=1e-10)
+    phi, base, followed = Explainer.from_trees(trees, weights).batch(x[:20])
+    margin = sum(w * expected(t, x[:20], frozenset(range(3))) for t, w in zip(trees, weights))
+    assert np.allclose(phi.sum(axis=1) + base, margin, atol=1e-10) and np.allclose(followed, margin, atol=1e-10)
     # Spark's own margin: probability = 1 / (1 + exp(-2F))
     # equal to the Shapley average over all feature subsets of each tree
     phi_s, base_s = tree_shap_subsets(trees, weights, x[:20])
@@ -54,8 +55,8 @@ def test_tree_shap_deep_trees_sum_rule(spark):
     df = spark.createDataFrame([(Vectors.dense(r.tolist()), int(t)) for r, t in zip(x, y)], ["features", "label"])
     model = GBTClassifier(maxIter=4, maxDepth=6, seed=3).fit(df)
     trees, weights = extract_gbt(model)
-    phi, base = tree_shap_batch(trees, weights, x[:50])
-    margin = sum(w * _expected(t, x[:50], frozenset(range(8))) for t, w in zip(trees, weights))
+    phi, base, _ = Explainer.from_trees(trees, weights).batch(x[:50])
+    margin = sum(w * expected(t, x[:50], frozenset(range(8))) for t, w in zip(trees, weights))
     assert np.allclose(phi.sum(axis=1) + base, margin, atol=1e-9)
 
 
@@ -75,3 +76,27 @@ def test_a_stream_with_a_time_limit_raises(spark, tmp_path):
     with pytest.raises(TimeoutError):
         S.run_to_files(s, "slow", timeout_s=1)
     assert spark.read.parquet(S.run_to_files(s, "slow")).count() == 40
+
+
+def test_explainer_round_trip_and_missing_values(spark, tmp_path):
+    from riskspark.operators.boosting import Boosting, Point
+
+    rng = np.random.default_rng(3)
+    x = rng.normal(size=(150, 4))
+    x[::7, 1] = np.nan
+    y = (np.nan_to_num(x[:, 1], nan=2.0) + x[:, 0] > 0).astype(int)
+    df = spark.createDataFrame([(i, Vectors.dense(r.tolist()), int(t)) for i, (r, t) in enumerate(zip(x, y))], ["k", "features", "label"])
+    fit = Boosting(df, "features", "label", ["k"]).fit([Point(6, 3)])
+    model = fit.model(Point(6, 3))
+    fit.close()
+    own = Explainer.of(model)
+    own.save(spark, str(tmp_path / "e"), df.limit(10))
+    back, background = Explainer.load(spark, str(tmp_path / "e"))
+    assert back == own and background.count() == 10
+    rows = explain(df, back, "features", ["k"]).orderBy("k").collect()
+    assert np.allclose([r.margin for r in rows], model.margins(x), atol=1e-12)
+    assert np.allclose([sum(r.shap) + r.base for r in rows], model.margins(x), atol=1e-9)
+    phi, base = tree_shap_subsets(*extract_gbt(model), x[1:7])
+    assert np.allclose([r.shap for r in rows[1:7]], phi, atol=1e-9) and abs(rows[0].base - base) < 1e-9
+    with pytest.raises(FileNotFoundError):
+        Explainer.load(spark, str(tmp_path / "none"))
