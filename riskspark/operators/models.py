@@ -174,17 +174,18 @@ def save_model(model, path: str) -> None:
 
 
 def oversample_minority(df: DataFrame, features_col: str, label: str, key_cols: Sequence[str], seed: int = 42,
-                        out_col: str = "synthetic") -> DataFrame:
+                        out_col: str = "synthetic", k: int = 5) -> DataFrame:
     """Synthesise minority rows until the classes are equal, x + u * (neighbour - x).
 
-    Scalable neighbour choice (no pair enumeration): minority rows are ordered along a seeded random
-    projection of the feature vector (exact ranks through the bucketed prefix count); a row's
-    neighbour is the row next to it in that order (the previous one for the last, itself if it is alone). Each minority row
-    makes floor(need / m) synthetic rows, plus one for the first (need mod m) ranks, so exactly
-    ``need`` rows are added. u is a seeded hash of (key, copy). Returns the input plus the new rows
-    (``synthetic`` = true)."""
+    Each minority row has a rank by the hash of its key; it makes floor(need / m) synthetic rows, plus one for the
+    first (need mod m) ranks, so exactly ``need`` rows are added. The neighbour of each new row is drawn, by a hash of
+    (key, copy), from the row's ``k`` nearest minority rows (neighbours.knn, exact); a row without others is copied. u is a seeded hash, too.
+    Returns the input plus the new rows (``synthetic`` = true)."""
     from pyspark.ml.functions import array_to_vector
 
+    from riskspark.operators.neighbours import knn
+    from riskspark.session import cut_lineage
+
     counts = {r[label]: r["n"] for r in df.where(F.col(label).isNotNull()).groupBy(label).agg(F.count(F.lit(1)).alias("n")).collect()}  # classes
     if len(counts) < 2:
         return df.withColumn(out_col, F.lit(False))
@@ -193,25 +194,16 @@ def oversample_minority(df: DataFrame, features_col: str, label: str, key_cols:
     base = df.withColumn(out_col, F.lit(False))
     if need == 0:
         return base
-    x = vector_to_array(F.col(features_col))
-    dim = len(df.select(features_col).first()[0])
-    import random
-
-    rnd = random.Random(seed)
-    proj_vec = F.array(*[F.lit(rnd.gauss(0.0, 1.0)) for _ in range(dim)])
-    proj = F.aggregate(F.zip_with(x, proj_vec, lambda a, b: a * b), F.lit(0.0), lambda s, v: s + v)
-    mino = (df.where(F.col(label) == F.lit(minority))
-            .select(*key_cols, label, x.alias("_x"), proj.alias("_p"), F.lit(1).alias("_one")))
-    ranked = running_sums(mino, "_p", ["_one"]).select(*key_cols, label, "_x", F.col("cum__one").alias("_rank"))
-    nxt = ranked.select(F.col("_rank").alias("_nrank"), F.col("_x").alias("_nx"))
-    # partner: rank + 1, or rank - 1 for the last row, or the row itself if it is alone (an equi-join)
-    partner = F.when(F.col("_rank") < F.lit(m), F.col("_rank") + 1).otherwise(F.greatest(F.lit(1), F.col("_rank") - 1))
-    paired = ranked.withColumn("_prank", partner).join(nxt, F.col("_prank") == F.col("_nrank"), "inner")
+    mino = df.where(F.col(label) == F.lit(minority)).select(*key_cols, label, features_col, F.xxhash64(F.lit(seed), *key_cols).alias("_h"), F.lit(1).alias("_one"))
+    ranked = cut_lineage(running_sums(mino, "_h", ["_one"]).select(*key_cols, label, features_col, F.col("cum__one").alias("_rank")))
+    near = knn(ranked, features_col, "_rank", k).select("_rank", F.col("neighbours.id").alias("_near"))
     # the new rows are numbered first and dealt to the minority rows, so a row's copies are made by many tasks
-    new = df.sparkSession.range(need).select((F.col("id") % m + 1).alias("_of"), (F.floor(F.col("id") / m) + 1).cast("int").alias("_j"))
-    syn = new.join(paired, F.col("_of") == F.col("_rank"))
+    new = df.sparkSession.range(need).select((F.col("id") % m + 1).alias("_rank"), (F.floor(F.col("id") / m) + 1).cast("int").alias("_j"))
+    own = ranked.join(near, "_rank", "left").withColumn("_x", vector_to_array(F.col(features_col))).drop(features_col)
+    drawn = F.pmod(F.xxhash64(F.lit(seed + 1), *key_cols, "_j"), F.size("_near")).cast("int")
+    syn = new.join(own, "_rank").withColumn("_partner", F.when(F.size("_near") > 0, F.get("_near", drawn)).otherwise(F.col("_rank")))
+    partner = ranked.select(F.col("_rank").alias("_partner"), vector_to_array(F.col(features_col)).alias("_nx"))
     u = hash_uniform([*key_cols, F.col("_j")], seed)
     new_x = F.zip_with("_x", "_nx", lambda a, b: a + u * (b - a))
-    synth = syn.select(*[F.col(c) for c in key_cols], F.col(label), array_to_vector(new_x).alias(features_col),
-                       F.lit(True).alias(out_col))
+    synth = syn.join(partner, "_partner").select(*[F.col(c) for c in key_cols], F.col(label), array_to_vector(new_x).alias(features_col), F.lit(True).alias(out_col))
     return base.select(*key_cols, label, features_col, out_col).unionByName(synth)
