@@ -167,7 +167,7 @@ def density_by_class(df: DataFrame, value: str, label: str, lo: float, hi: float
     """A10: Gaussian kernel density per class on a grid over [lo, hi], from counts in bins of the same width on the
     whole axis (so the cost is bins x grid, not rows x grid, and values outside [lo, hi] weigh in from where
     they are). Bandwidth: Scott's rule, sd * n^(-1/5) per class.
-    Output: cls, x, density (integrates to 1 per class)."""
+    Output: cls, x, density (integrates to 1 per class; null for a class without spread: one row or equal values)."""
     v = F.col(value).cast("double")
     width = (hi - lo) / pre_bins
     b = F.floor((v - F.lit(lo)) / F.lit(width))
@@ -181,6 +181,7 @@ def density_by_class(df: DataFrame, value: str, label: str, lo: float, hi: float
     j = (binned.join(stats, "cls")
          .withColumn("g", F.explode(F.sequence(F.lit(0), F.lit(grid - 1))))
          .withColumn("x", F.lit(lo) + F.col("g") * F.lit(step)))
+    h = F.when(h > 0, h)  # otherwise there is no curve
     kern = F.exp(-0.5 * F.pow((F.col("x") - centre) / h, 2)) / (h * F.lit(math.sqrt(2 * math.pi)))
     return j.groupBy("cls", "g", "x").agg((F.sum(F.col("_c") * kern) / F.first("_n")).alias("density")).drop("g")
 

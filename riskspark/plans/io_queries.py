@@ -36,12 +36,65 @@ def q_sql_file_reports(spark, sf):
     return out
 
 
+RUNTIME_SQL = """
+-- Lines by flag
+SELECT l_returnflag, COUNT(*) AS n FROM lineitem GROUP BY l_returnflag;
+-- Quantity per line of no order
+SELECT l_linenumber, SUM(l_quantity) / (COUNT(*) - COUNT(l_orderkey)) AS share FROM lineitem GROUP BY l_linenumber;
+-- A table that is not there
+SELECT * FROM no_such_table;
+-- Orders by status
+SELECT o_orderstatus, COUNT(*) AS n FROM orders GROUP BY o_orderstatus
+"""
+
+
+@register("sql_runtime_errors")
+def q_sql_runtime_errors(spark, sf):
+    """IO5: the second statement fails while it runs, the third at analysis; the others give their rows."""
+    _views(spark, sf)
+    out = None
+    for i, (title, res) in enumerate(IO.run_sql_text(spark, RUNTIME_SQL)):
+        if isinstance(res, Exception):
+            part = spark.createDataFrame([(i + 1, title, None, IO.error_class(res))], "idx int, title string, n_rows long, error string")
+        else:
+            part = res.agg(F.count(F.lit(1)).alias("n_rows")).select(F.lit(i + 1).alias("idx"), F.lit(title).alias("title"), "n_rows", F.lit(None).cast("string").alias("error"))
+        out = part if out is None else out.unionByName(part)
+    return out
+
+
+@register("json_report")
+def q_json_report(spark, sf):
+    """IO6: a report written as JSON and read back."""
+    import uuid
+
+    from riskspark.plans.queries import all_queries
+
+    report, path = all_queries()["rate_by_two_keys"](spark, sf), IO.scratch_path(spark, "reports", uuid.uuid4().hex)
+    IO.write_json_report(report, path)
+    return spark.read.schema(report.schema).json(path)
+
+
+@register("scored_export")
+def q_scored_export(spark, sf):
+    """IO3: events with their score and prediction written as CSV, read back and compared with the table row by row."""
+    import uuid
+
+    from riskspark.plans.tables import events_labeled
+
+    own = events_labeled(spark, sf).select("event_id", "user_id", "event_type", "value", "y", "yhat")
+    path = IO.scratch_path(spark, "exports", uuid.uuid4().hex)
+    IO.write_table(own, path, "csv")
+    back = IO.read_csv(spark, path, own.schema)
+    j = own.join(back.select("event_id", F.struct(*own.columns).alias("b")), "event_id")
+    return j.agg(F.count(F.lit(1)).alias("n"), F.sum("yhat").cast("long").alias("flagged"), F.bool_and(F.struct(*own.columns).eqNullSafe(F.col("b"))).alias("identical"))
+
+
 @register("sql_file_report_rows")
 def q_sql_file_report_rows(spark, sf):
     """All rows of the reports, a row for each measure: report, key columns as text, measure, value."""
     _views(spark, sf)
     out = None
-    for i, (_, res) in enumerate(IO.run_sql_file(spark, DRIVER_SQL)):
+    for i, (_, res) in enumerate(IO.run_sql_file(spark, DRIVER_SQL, execute=False)):
         if isinstance(res, Exception):
             raise res
         measures = [c for c in res.columns if c in ("rate_pct", "n", "avg_quantity", "avg_price", "total", "avg_acctbal") or (c == "returned" and i == 2)]
@@ -55,7 +108,7 @@ def q_sql_file_report_rows(spark, sf):
 @register("sql_report_join")
 def q_sql_report_join(spark, sf):
     _views(spark, sf)
-    return IO.run_sql_file(spark, DRIVER_SQL)[3][1]
+    return IO.run_sql_file(spark, DRIVER_SQL, execute=False)[3][1]
 
 
 @register("json_metadata")
@@ -120,3 +173,13 @@ def q_stream_window_drift(spark, sf):
     res = window_drift(spark, sf, EVENTS_SCHEMA, "ts", "event_type", base, glob="events.parquet")
     return round_all(res.select(F.to_date("window_start").alias("window_start"), "feature", "statistic", "dof",
                                 "p_value", "drift_detected"), 6)
+
+
+@register("stream_window_ks")
+def q_stream_window_ks(spark, sf):
+    """ST2 numeric: KS of ``value`` per daily window of the events stream against the first week."""
+    from riskspark.streaming.stream import window_ks
+
+    base = table(spark, sf, "events").where(F.col("ts") < F.lit("2024-01-08").cast("timestamp_ntz"))
+    res = window_ks(spark, sf, EVENTS_SCHEMA, "ts", "value", base, glob="events.parquet")
+    return round_all(res.select(F.to_date("window_start").alias("window_start"), "feature", "statistic", F.col("n_ref").cast("long").alias("n_ref"), F.col("n_cur").cast("long").alias("n_cur")), 6)

@@ -282,6 +282,18 @@ def q_smote_counts(spark, sf):
                                                          F.count_if("synthetic").alias("n_synthetic"))
 
 
+@register("nearest_parts")
+def q_nearest_parts(spark, sf):
+    """M16's neighbours: the 5 nearest parts of each part by size and retail price, exact, ties by key."""
+    from pyspark.ml.functions import array_to_vector
+
+    from riskspark.operators.neighbours import knn
+    parts = table(spark, sf, "part").select("p_partkey", array_to_vector(F.array(F.col("p_size").cast("double"), F.col("p_retailprice").cast("double"))).alias("features"))
+    near = knn(parts, "features", "p_partkey", 5)
+    rows = near.select("p_partkey", F.posexplode("neighbours").alias("place", "near"))
+    return round_all(rows.select("p_partkey", (F.col("place") + 1).alias("place"), F.col("near.id").alias("near_partkey"), F.col("near.distance").alias("distance")), 6)
+
+
 @register("model_roundtrip")
 def q_model_roundtrip(spark, sf):
     """IO8: a fitted model saved to the shared folder and loaded back scores identically."""

@@ -691,3 +691,31 @@ FROM r ORDER BY l_orderkey, l_linenumber, l_partkey, price_ratio LIMIT 5"""
 ORACLE["flagged_count"] = """
 SELECT COUNT(*) FILTER (WHERE value >= 50) AS flagged, COUNT(*) AS total,
        ROUND(CAST(COUNT(*) FILTER (WHERE value >= 50) AS DOUBLE) / COUNT(*), 6) AS fraction FROM events"""
+
+ORACLE["nearest_parts"] = """
+WITH d AS (SELECT a.p_partkey, b.p_partkey AS near_partkey,
+                  sqrt((CAST(a.p_size AS DOUBLE) - b.p_size) * (CAST(a.p_size AS DOUBLE) - b.p_size)
+                       + (CAST(a.p_retailprice AS DOUBLE) - b.p_retailprice) * (CAST(a.p_retailprice AS DOUBLE) - b.p_retailprice)) AS distance
+           FROM part a JOIN part b ON a.p_partkey <> b.p_partkey),
+r AS (SELECT *, ROW_NUMBER() OVER (PARTITION BY p_partkey ORDER BY distance, near_partkey) AS place FROM d)
+SELECT p_partkey, CAST(place AS INTEGER) AS place, near_partkey, ROUND(distance, 6) AS distance FROM r WHERE place <= 5"""
+
+ORACLE["sql_runtime_errors"] = """
+SELECT 1 AS idx, 'Lines by flag' AS title, COUNT(DISTINCT l_returnflag) AS n_rows, CAST(NULL AS VARCHAR) AS error FROM lineitem
+UNION ALL SELECT 2, 'Quantity per line of no order', NULL, 'DIVIDE_BY_ZERO'
+UNION ALL SELECT 3, 'A table that is not there', NULL, 'TABLE_OR_VIEW_NOT_FOUND'
+UNION ALL SELECT 4, 'Orders by status', COUNT(DISTINCT o_orderstatus), NULL FROM orders"""
+
+ORACLE["json_report"] = ORACLE["rate_by_two_keys"]
+
+ORACLE["scored_export"] = """
+SELECT COUNT(*) AS n, CAST(SUM(CASE WHEN value >= 50 THEN 1 ELSE 0 END) AS BIGINT) AS flagged, TRUE AS identical FROM events"""
+
+ORACLE["stream_window_ks"] = """
+WITH cur AS (SELECT CAST(date_trunc('day', ts) AS DATE) AS d, value AS v, COUNT(*) AS c FROM events WHERE value IS NOT NULL GROUP BY 1, 2),
+ref AS (SELECT value AS v, COUNT(*) AS r FROM events WHERE ts < TIMESTAMP '2024-01-08' AND value IS NOT NULL GROUP BY 1),
+u AS (SELECT days.d, ref.v, ref.r, 0 AS c FROM ref CROSS JOIN (SELECT DISTINCT d FROM cur) days UNION ALL SELECT d, v, 0, c FROM cur),
+m AS (SELECT d, v, SUM(r) AS r, SUM(c) AS c FROM u GROUP BY d, v),
+cum AS (SELECT d, SUM(r) OVER w AS cr, SUM(c) OVER w AS cc, SUM(r) OVER (PARTITION BY d) AS tr, SUM(c) OVER (PARTITION BY d) AS tc FROM m WINDOW w AS (PARTITION BY d ORDER BY v))
+SELECT d AS window_start, 'value' AS feature, ROUND(MAX(ABS(CAST(cr AS DOUBLE) / tr - CAST(cc AS DOUBLE) / tc)), 6) AS statistic,
+       CAST(MAX(tr) AS BIGINT) AS n_ref, CAST(MAX(tc) AS BIGINT) AS n_cur FROM cum GROUP BY d"""

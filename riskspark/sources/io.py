@@ -57,20 +57,41 @@ def split_sql(text: str) -> list[tuple[str, str]]:
     return out
 
 
-def run_sql_text(spark: SparkSession, text: str) -> list[tuple[str, DataFrame | Exception]]:
-    """IO5: run each statement; an error is reported for that statement and the rest go on."""
+def executed(df: DataFrame) -> DataFrame:
+    """The result of ``df``, written to the shared folder and read back in its order. A command without columns has run already."""
+    import uuid
+
+    if not df.columns:
+        return df
+    path, names = scratch_path(df.sparkSession, "results", uuid.uuid4().hex), df.columns
+    # numbered columns: a statement may name two alike
+    own = df.toDF(*[f"c{i}" for i in range(len(names))]).withColumn("at", F.monotonically_increasing_id())
+    own.write.parquet(path)
+    return df.sparkSession.read.schema(own.schema).parquet(path).orderBy("at").drop("at").toDF(*names)
+
+
+def run_sql_text(spark: SparkSession, text: str, execute: bool = True) -> list[tuple[str, DataFrame | Exception]]:
+    """IO5: run each statement under its own guard; an error, at analysis or at run time, is reported for that statement
+    and the rest go on. Without ``execute`` the results stay lazy, and only errors of analysis are caught."""
     results = []
     for title, stmt in split_sql(text):
         try:
-            results.append((title, spark.sql(stmt)))
+            df = spark.sql(stmt)
+            results.append((title, executed(df) if execute else df))
         except Exception as e:  # noqa: BLE001 - reported per query, like the reference
             results.append((title, e))
     return results
 
 
-def run_sql_file(spark: SparkSession, path: str) -> list[tuple[str, DataFrame | Exception]]:
+def run_sql_file(spark: SparkSession, path: str, execute: bool = True) -> list[tuple[str, DataFrame | Exception]]:
     with open(path, encoding="utf-8") as fh:
-        return run_sql_text(spark, fh.read())
+        return run_sql_text(spark, fh.read(), execute)
+
+
+def error_class(e: Exception) -> str:
+    """The engine's name of an error, or the exception's type."""
+    condition = getattr(e, "getCondition", lambda: None)()
+    return condition or type(e).__name__
 
 
 def write_json_report(df: DataFrame, path: str) -> None:

@@ -4,7 +4,8 @@ ST1: score files as they land: ``readStream`` with a schema -> stateless scoring
 ST2: drift per tumbling event-time window: watermark + window counts by (window, category) in
 update mode (late rows within the delay are still counted; the last update of a window stands, also
 where the input ends before the watermark closes it), then the chi-square per window against a
-static baseline. Rows without a category are left out, as in the batch test.
+static baseline. Rows without a category are left out, as in the batch test. Numeric features: the same
+state by (window, value), then the KS test per window.
 
 Sinks and checkpoints live under the session's shared checkpoint folder, so a restarted query
 resumes exactly once; nothing is collected to the driver (no memory sink).
@@ -109,3 +110,22 @@ def window_drift(spark: SparkSession, source_dir: str, schema: StructType | str,
                    F.col("c").cast("long").alias("c")),
         ["window_start"])
     return D._chi2_finish(chi, alpha)
+
+
+def window_ks(spark: SparkSession, source_dir: str, schema: StructType | str, time_col: str, value: str, baseline: DataFrame,
+              glob: str | None = None, window: str = "1 day", delay: str = "1 day", alpha: float = D.DEFAULT_ALPHA, method: str = "asymptotic") -> DataFrame:
+    """ST2 for a numeric feature: the two-sample KS test of each window of the stream against the baseline. The state is the count
+    of each (window, value), which the watermark bounds to the open windows; each batch's updates replace the counts
+    before, so windows that are open when the input ends are reported with what they hold. The windows' values and the
+    baseline's are merged in one value order, the baseline is not repeated per window. Missing values are left out."""
+    from riskspark.functions.stats import ks_pvalue_col
+
+    stream = file_stream(spark, source_dir, schema, glob).where(~F.isnan(F.col(value).cast("double")))
+    counts = windowed_counts_stream(stream.withColumn(value, F.col(value).cast("double")), time_col, value, window, delay)
+    cur = run_updates(counts, "window-values", ["window_start", "window_end", "v"])
+    base = baseline.select(F.col(value).cast("double").alias("v")).where(F.col("v").isNotNull() & ~F.isnan("v"))
+    ref = base.groupBy("v").agg(F.count(F.lit(1)).alias("r")).select(F.lit(value).alias("feature"), "v", "r")
+    ks = D.ks_against_reference(ref, cur.select("window_start", F.lit(value).alias("feature"), "v", F.col("c").cast("long").alias("c")), ["window_start"])
+    if method == "exact":
+        ks = D._spread(ks, ["window_start", "feature"])
+    return ks.withColumn("p_value", ks_pvalue_col("statistic", "n_ref", "n_cur", method)).withColumn("drift_detected", F.col("p_value") < F.lit(alpha))

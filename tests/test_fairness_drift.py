@@ -147,3 +147,35 @@ def test_report_of_no_feature_is_empty(spark):
     assert report.count() == 0
     assert D.drift_summary(report).first().asDict() == {"drift_detected": False, "drifting_features_percentage": 0.0,
                                                          "drifting_features_count": 0, "total_features_checked": 0}
+
+
+def test_density_of_a_class_without_spread_is_null(spark):
+    from riskspark.operators import aggregates as A
+
+    rows = [(0, 5.0), (0, 5.0), (1, 3.0), (2, 1.0), (2, 2.0), (2, 4.0)]
+    out = A.density_by_class(spark.createDataFrame(rows, "y int, v double"), "v", "y", 0.0, 10.0, grid=11).collect()
+    assert len(out) == 33 and all((r["density"] is None) == (r["cls"] != 2) for r in out)
+
+
+def test_window_ks_equals_batch(spark, tmp_path):
+    """Late rows, an open last window, nulls and NaN: statistic and p-value of each window as by the batch test."""
+    import datetime as dt
+    import random
+
+    from riskspark.operators import drift as D
+    from riskspark.streaming.stream import window_ks
+
+    rnd = random.Random(1)
+    day = dt.datetime(2024, 1, 1)
+    rows = [(day + dt.timedelta(hours=rnd.randint(0, 24 * 6 - 1)), rnd.choice([None, float("nan"), round(rnd.gauss(0, 1), 1)])) for _ in range(1500)]
+    schema = "ts timestamp_ntz, x double"
+    df = spark.createDataFrame(rows, schema)
+    df.orderBy("ts").repartition(6).write.parquet(str(tmp_path / "in"))
+    base = df.where("ts < '2024-01-03'")
+    for method in ("asymptotic", "exact"):
+        got = {r.window_start.date(): r for r in window_ks(spark, str(tmp_path / "in"), schema, "ts", "x", base, delay="10 days", method=method).collect()}
+        assert len(got) == 6
+        for d, r in got.items():
+            own = df.where((F.col("ts").cast("date") == F.lit(d)) & ~F.isnan("x"))
+            want = D.drift_ks(base.where(~F.isnan("x")), own, ["x"], method=method).first()
+            assert abs(r.statistic - want.statistic) < 1e-12 and abs(r.p_value - want.p_value) < 1e-9 and r.drift_detected == want.drift_detected

@@ -63,3 +63,23 @@ def test_csv_round_trip_writes_all_columns_and_sees_a_changed_one(spark, tmp_pat
     real = IO.write_table
     monkeypatch.setattr(IO, "write_table", lambda df, *a, **k: real(df.withColumn("user_id", df.user_id + 1), *a, **k))
     assert Q.q_csv_roundtrip_rows(spark, str(tmp_path)).first().asDict() == {"n": 3, "lost": 2, "added": 2}
+
+
+def test_statements_are_run_under_their_own_guard(spark, tmp_path):
+    from riskspark.sources import io as IO
+
+    spark.range(10).createOrReplaceTempView("ten")
+    text = "-- a\nSELECT id, id AS id FROM ten ORDER BY id DESC; -- b\nSELECT 1 / (id - id) FROM ten; CREATE OR REPLACE TEMP VIEW five AS SELECT * FROM ten WHERE id < 5; SELECT COUNT(*) AS n FROM five"
+    got = IO.run_sql_text(spark, text)
+    assert [r[0] for r in got[0][1].collect()] == list(range(9, -1, -1)) and got[0][1].columns == ["id", "id"]
+    assert IO.error_class(got[1][1]) == "DIVIDE_BY_ZERO" and got[2][1].columns == [] and got[3][1].first().n == 5
+    lazy = IO.run_sql_text(spark, text, execute=False)
+    assert not isinstance(lazy[1][1], Exception) and IO.error_class(ValueError("x")) == "ValueError"
+
+
+def test_json_report(spark, tmp_path):
+    from riskspark.sources import io as IO
+
+    df = spark.createDataFrame([("a", 1.5, None), ("b", None, [1, 2])], "k string, x double, l array<int>")
+    IO.write_json_report(df, str(tmp_path / "r"))
+    assert sorted(spark.read.schema(df.schema).json(str(tmp_path / "r")).collect(), key=str) == sorted(df.collect(), key=str)
