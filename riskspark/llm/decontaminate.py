@@ -7,9 +7,10 @@ one pass over a document (Aho-Corasick); each hit gives a stretch of the documen
 bit-parallel distance looks for the whole item.
 
 Items are a stated query set: they are read in blocks of at most ``block_chars`` characters, and each
-block is held against all documents, so what is broadcast is bounded by that parameter. Items with
-fewer than ``min_chars`` characters (after normalising), empty and null ones are not searched: a few
-letters say nothing. Null and empty documents match nothing. Repeated items and rows are matched each.
+block is held against all documents, so what is broadcast is bounded by that parameter. An item too short for
+one edit is its own piece and must stand between word borders (a few letters inside a word say nothing). Empty and
+null items are not searched; ``min_chars`` leaves out shorter ones (after normalising), which it does not by default.
+Null and empty documents match nothing. Repeated items and rows are matched each.
 """
 
 from __future__ import annotations
@@ -22,7 +23,7 @@ from pyspark.sql import DataFrame, SparkSession
 from riskspark.llm.common import slices, table
 
 RATE = 0.05
-MIN_CHARS = 20
+MIN_CHARS = 0
 BLOCK_CHARS = 16_000_000
 RESULT = "doc_id long, item_id long, distance long, norm_start long, norm_end long"
 
@@ -37,6 +38,11 @@ def pieces(item: str, k: int) -> list[tuple[int, str]]:
     return [(a, item[a:b]) for a, b in zip(cuts, cuts[1:])]
 
 
+def bounded(text: str, start: int, end: int) -> bool:
+    """Whether a passage begins and ends at word borders."""
+    return not (start > 0 and text[start - 1].isalnum() and text[start].isalnum()) and not (end < len(text) and text[end].isalnum() and text[end - 1].isalnum())
+
+
 class Pattern:
     """Myers' bit vectors of one item: finds the end with the least distance in a stretch of text."""
 
@@ -130,6 +136,11 @@ class Items:
         for i, starts in stretches.items():
             number, item, k = self.items[i]
             best = None
+            if not k:  # the piece is the item
+                at = next((a for a in sorted(starts) if bounded(text, a, a + len(item))), None)
+                if at is not None:
+                    out.append((number, 0, at, at + len(item)))
+                continue
             spans: list[list[int]] = []
             for at in sorted(starts):  # stretches that overlap are read once
                 a, b = max(0, at - k), min(len(text), at + len(item) + k)
@@ -185,7 +196,7 @@ def item_blocks(items: DataFrame, block_chars: int, min_chars: int) -> Iterator[
     chars = 0
     for row in items.toLocalIterator():
         t = normalise(row.text)
-        if len(t) < min_chars:
+        if len(t) < max(1, min_chars):
             continue
         if block and chars + len(t) > block_chars:
             yield block

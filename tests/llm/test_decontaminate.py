@@ -1,6 +1,7 @@
 """Pigeonhole edit matching against a plain dynamic program."""
 
 import random
+import re
 
 from riskspark.llm import decontaminate as D
 
@@ -47,6 +48,9 @@ def tables():
         inner = edited(rnd, item, rnd.randint(0, 2 * budget))
         docs.append((3 + i, text + " " + inner.replace(" ", rnd.choice([" ", "\n", "  "])) + " " + text[::-1]))
     docs += [(3, docs[3][1]), (None, items[2][1])]
+    items += [(13, "x = 12 mm"), (14, "é"), (15, "-")]
+    docs += [(70, "a SHORT\nstory"), (71, "shorter, ashort"), (72, "shorts short"), (73, "so X =  12 mm."), (74, "x = 12 mmm"), (75, "né é"), (76, "ab-cd"), (77, "short"),
+             (78, ("zq " * 100_000) + items[0][1][1:])]
     return docs, items
 
 
@@ -58,10 +62,12 @@ def test_equals_dynamic_program(spark):
     for doc_id, text in docs:
         for item_id, item in items:
             n = D.normalise(item)
-            if len(n) >= D.MIN_CHARS:
-                got = sellers(n, D.normalise(text))
+            if 0 < int(D.RATE * len(n)):
+                got = sellers(n, D.normalise(text)) if doc_id != 78 else 0 if item_id in (0, 11) else 99
                 if got <= int(D.RATE * len(n)):
-                    want.append((doc_id, item_id, got))
+                    want.append((doc_id, item_id, got if doc_id != 78 else 1))
+            elif n and re.search((r"(?<![^\W_])" if n[0].isalnum() else "") + re.escape(n) + (r"(?![^\W_])" if n[-1].isalnum() else ""), D.normalise(text)):
+                want.append((doc_id, item_id, 0))
     for block_chars in (10**6, 100):  # one block, and one item a block
         out = D.contamination(d, i, block_chars=block_chars).collect()
         assert sorted(((r.doc_id, r.item_id, r.distance) for r in out), key=str) == sorted(want, key=str)
@@ -69,7 +75,9 @@ def test_equals_dynamic_program(spark):
     named = dict(items)
     for r in out:
         assert edit_distance(D.normalise(named[r.item_id]), D.normalise(texts[r.doc_id])[r.norm_start:r.norm_end]) == r.distance
-    assert len({w[2] for w in want}) > 3
+    assert len({w[2] for w in want}) > 3 and {w[:2] for w in want} >= {(70, 10), (72, 10), (73, 13), (75, 14), (76, 15), (77, 10)}
+    assert not {(71, 10), (74, 13)} & {w[:2] for w in want}
+    assert {r.item_id for r in D.contamination(d, i, min_chars=20).collect()}.isdisjoint({10, 13, 14, 15})
 
 
 def test_empty_tables(spark):
