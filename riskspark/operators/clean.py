@@ -87,12 +87,26 @@ def unpivot_values(df: DataFrame, ids: Sequence[str], cols: Sequence[str], kind:
     return long.where(F.col("v").isNotNull()) if drop_null else long
 
 
+def file_position(df: DataFrame) -> Column | None:
+    """(file, row in the file) of each row of a Parquet scan and of filters and projections of it, the same in every
+    run; None for other frames."""
+    from pyspark.errors import AnalysisException
+
+    place = F.struct(F.col("_metadata.file_path").alias("file"), F.col("_metadata.row_index").alias("row"))
+    try:
+        df.select(place).schema  # noqa: B018 - only looked up
+    except AnalysisException:
+        return None
+    return place
+
+
 def positional_split(df: DataFrame, order_key: str, first_n: int | None = None,
                      cutoff: Column | None = None) -> tuple[DataFrame, DataFrame]:
     """baseline/current split. With ``cutoff`` (preferred at scale) it is a plain filter; with ``first_n`` the
     first n rows by ``order_key`` (nulls last) form the baseline. Prefix counts over the distinct values find the value at the
-    cut; among the rows that share it, those with the smallest hash of a row number come first. The numbered rows
-    are written once, so both frames see the same order. Rows sharing a key value are cut by position, like a
+    cut; among the rows that share it, those with the smallest hash of the row's place come first. Rows of Parquet files
+    have a place of their own (file and row in it), so nothing is written; others are numbered and
+    written once, so both frames see the same order. Rows sharing a key value are cut by position, like a
     positional slice."""
     if cutoff is not None:
         return df.where(cutoff), df.where(~cutoff | cutoff.isNull())
@@ -103,7 +117,8 @@ def positional_split(df: DataFrame, order_key: str, first_n: int | None = None,
     n = int(first_n)
     if n <= 0:
         return df.where(F.lit(False)), df
-    rows = cut_lineage(df.withColumn("_row", F.monotonically_increasing_id()))
+    place = file_position(df)
+    rows = cut_lineage(df.withColumn("_row", F.monotonically_increasing_id())) if place is None else df.withColumn("_row", place)
     key = F.col(order_key)
     values = rows.where(key.isNotNull()).groupBy(order_key).agg(F.count(F.lit(1)).alias("_c"))
     cum = running_sums(values, order_key, ["_c"])

@@ -13,7 +13,7 @@ from __future__ import annotations
 
 from collections.abc import Mapping, Sequence
 
-from pyspark.sql import Column, DataFrame
+from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from riskspark.functions.exprs import safe_div
@@ -251,37 +251,38 @@ def chi2_against_reference(ref_counts: DataFrame, cur_counts: DataFrame, by: Seq
     return x.select(*keys, stat.cast("double").alias("statistic"), (k - 1).cast("long").alias("dof"))
 
 
-def drift_by_period(df: DataFrame, time_col: str, baseline: Column, numeric: Sequence[str],
-                    categorical: Sequence[str], unit: str = "week", alpha: float = DEFAULT_ALPHA,
-                    method: str = "asymptotic") -> DataFrame:
-    """Every period (``date_trunc(unit)``) of the non-baseline rows against the baseline rows,
-    all periods and features in one plan: (period, feature, type, statistic, p_value, drift_detected).
-    Neither numeric (``ks_against_reference``) nor categorical (``chi2_against_reference``) features repeat the
-    baseline per period. One scan counts every (side, period, feature, value); the counts are written once and both
-    tests read them."""
-    from riskspark.session import cut_lineage
+STATE_SCHEMA = "_base boolean, period timestamp, feature string, n double, s string, c long"
 
+
+def count_periods(df: DataFrame, time_col: str, baseline: Column, numeric: Sequence[str], categorical: Sequence[str], unit: str = "week") -> DataFrame:
+    """D7's counts in one scan: rows of every (side, period, feature, value); ``_base`` marks the baseline's, which
+    have no period. Counts of parts of a table add up to those of the whole."""
     is_base = F.coalesce(baseline, F.lit(False))
     values = [F.struct(F.lit(c).alias("feature"), F.col(c).cast("double").alias("n"), F.lit(None).cast("string").alias("s")) for c in numeric]
     values += [F.struct(F.lit(c).alias("feature"), F.lit(None).cast("double").alias("n"), F.col(c).cast("string").alias("s")) for c in categorical]
     if not values:
-        raise ValueError("drift_by_period needs a numeric or a categorical feature")
+        raise ValueError("drift by period needs a numeric or a categorical feature")
     long = df.select(is_base.alias("_base"), F.when(~is_base, F.date_trunc(unit, F.col(time_col))).alias("period"), F.inline(F.array(*values)))
-    cells = cut_lineage(long.where(F.col("n").isNotNull() | F.col("s").isNotNull())
-                        .groupBy("_base", "period", "feature", "n", "s").agg(F.count(F.lit(1)).alias("c")))
+    return (long.where(F.col("n").isNotNull() | F.col("s").isNotNull())
+            .groupBy("_base", "period", "feature", "n", "s").agg(F.count(F.lit(1)).alias("c")))
+
 
+def drift_of_counts(cells: DataFrame, alpha: float = DEFAULT_ALPHA, method: str = "asymptotic", kinds: Sequence[str] = ("n", "s")) -> DataFrame:
+    """D7 from counts (as count_periods gives them): (period, feature, type, statistic, p_value, drift_detected).
+    Neither numeric (``ks_against_reference``) nor categorical (``chi2_against_reference``) features repeat the
+    baseline per period."""
     def side(kind: str) -> tuple[DataFrame, DataFrame]:
         own = cells.where(F.col(kind).isNotNull()).select("_base", "period", "feature", F.col(kind).alias("v"), "c")
         return own.where("_base").select("feature", "v", F.col("c").alias("r")), own.where("not _base").drop("_base")
 
     parts = []
-    if numeric:
+    if "n" in kinds:
         ks = ks_against_reference(*side("n"), ["period"])
         if method == "exact":
             ks = _spread(ks, ["period", "feature"])
         parts.append(ks.select("period", "feature", F.lit("numerical").alias("type"), "statistic",
                                ks_pvalue_col("statistic", "n_ref", "n_cur", method).alias("p_value")))
-    if categorical:
+    if "s" in kinds:
         # the chi-square tail is a cheap closed form: no need to spread rows before it
         chi = _chi2_finish(chi2_against_reference(*side("s"), ["period"]), alpha)
         parts.append(chi.select("period", "feature", F.lit("categorical").alias("type"), "statistic", "p_value"))
@@ -291,6 +292,33 @@ def drift_by_period(df: DataFrame, time_col: str, baseline: Column, numeric: Seq
     return out.withColumn("drift_detected", F.col("p_value") < F.lit(alpha))
 
 
+def drift_by_period(df: DataFrame, time_col: str, baseline: Column, numeric: Sequence[str],
+                    categorical: Sequence[str], unit: str = "week", alpha: float = DEFAULT_ALPHA,
+                    method: str = "asymptotic") -> DataFrame:
+    """Every period (``date_trunc(unit)``) of the non-baseline rows against the baseline rows,
+    all periods and features in one plan: (period, feature, type, statistic, p_value, drift_detected).
+    One scan counts; the counts are written once and both tests read them."""
+    from riskspark.session import cut_lineage
+
+    cells = cut_lineage(count_periods(df, time_col, baseline, numeric, categorical, unit))
+    return drift_of_counts(cells, alpha, method, ["n"] * bool(numeric) + ["s"] * bool(categorical))
+
+
+def add_to_state(df: DataFrame, path: str, batch: str, time_col: str, baseline: Column, numeric: Sequence[str], categorical: Sequence[str],
+                 unit: str = "week") -> None:
+    """D7 as a stored state: the counts of these rows, written as ``batch`` of the state at ``path``. Reads these rows only; a batch
+    that is written again (after a failure) replaces itself, so every batch counts once."""
+    count_periods(df, time_col, baseline, numeric, categorical, unit).write.mode("overwrite").parquet(f"{path}/batch={batch}")
+
+
+def drift_from_state(spark: SparkSession, path: str, alpha: float = DEFAULT_ALPHA, method: str = "asymptotic") -> DataFrame:
+    """D7 of all batches of a stored state: the report of one run over all their rows, which are not read again."""
+    from riskspark.session import cut_lineage
+
+    cells = spark.read.schema(STATE_SCHEMA).parquet(path).groupBy("_base", "period", "feature", "n", "s").agg(F.sum("c").alias("c"))
+    return drift_of_counts(cut_lineage(cells), alpha, method)
+
+
 # The drift simulation's rules (shift 5*s, income x (1 - 0.15*s), 0.5*s of rows get a
 # satisfaction drawn with weights 0.35/0.35/0.20/0.10 for 1/2/3/4, 0.4*s of "No" overtime become "Yes").
 SHIFT_PER_SEVERITY = 5

@@ -134,3 +134,24 @@ def test_grid_defaults_are_the_reference_axes(spark):
     assert len(BT.grid(trees=Q.GBT_QUERY_TREES, positive_weights=(1.0, 3.0, 2.25))) == 324
     lr = M.logistic("y", weight="weight")
     assert len(M.lr_grid(lr, 10.0)) == 8
+
+
+def test_positional_split_of_files_writes_nothing(spark, tmp_path, monkeypatch):
+    """Rows of Parquet files are cut by file and row number; both frames are the same on every read."""
+    import riskspark.session as session
+
+    rows = [(i, None if i % 10 == 9 else i % 7) for i in range(1000)]
+    spark.createDataFrame(rows, "k long, v int").repartition(6).write.parquet(str(tmp_path / "t"))
+    df = spark.read.parquet(str(tmp_path / "t"))
+    monkeypatch.setattr(session, "cut_lineage", lambda *a, **b: 1 / 0)
+    for own in (df, df.where("k >= 100").withColumn("w", F.col("v") * 2)):
+        total = own.count()
+        for n in (1, 150, 500, total - 1, total + 5):
+            a, b = P.positional_split(own, "v", n)
+            first = {r.k for r in a.collect()}
+            assert len(first) == min(n, total) and first == {r.k for r in a.collect()}
+            rest = {r.k for r in b.collect()}
+            assert not first & rest and len(first | rest) == total and a.columns == own.columns
+            last = max(((r.v is None, r.v or 0) for r in a.collect()))
+            assert all((r.v is None, r.v or 0) >= last for r in b.collect())
+    assert P.file_position(spark.range(3)) is None and P.file_position(df.groupBy("v").count()) is None

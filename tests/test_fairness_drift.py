@@ -179,3 +179,25 @@ def test_window_ks_equals_batch(spark, tmp_path):
             own = df.where((F.col("ts").cast("date") == F.lit(d)) & ~F.isnan("x"))
             want = D.drift_ks(base.where(~F.isnan("x")), own, ["x"], method=method).first()
             assert abs(r.statistic - want.statistic) < 1e-12 and abs(r.p_value - want.p_value) < 1e-9 and r.drift_detected == want.drift_detected
+
+
+def test_stored_counts_give_the_report_of_a_full_run(spark, tmp_path):
+    import datetime as dt
+    import random
+
+    rnd = random.Random(4)
+    rows = [(dt.datetime(2024, 1, 1) + dt.timedelta(hours=rnd.randint(0, 24 * 20)), rnd.choice([None, rnd.gauss(0, 1)]), rnd.choice(["a", "b", "c", None])) for _ in range(2000)]
+    df = spark.createDataFrame(rows, "ts timestamp, x double, s string")
+    base = F.col("ts") < "2024-01-05"
+    args = ("ts", base, ["x"], ["s"], "day")
+    path = str(tmp_path / "state")
+    cuts = ["2024-01-01", "2024-01-08", "2024-01-15", "2024-02-01"]
+    for i, (a, b) in enumerate(zip(cuts, cuts[1:])):
+        new = df.where((F.col("ts") >= a) & (F.col("ts") < b))
+        for _ in range(2):  # a batch that is run again counts once
+            D.add_to_state(new, path, f"b{i}", *args)
+    got = D.drift_from_state(spark, path).orderBy("period", "feature").collect()
+    want = D.drift_by_period(df, *args).orderBy("period", "feature").collect()
+    assert len(got) == len(want) > 20
+    for g, w in zip(got, want):
+        assert g[:3] == w[:3] and abs(g.statistic - w.statistic) < 1e-12 and abs(g.p_value - w.p_value) < 1e-9
