@@ -27,7 +27,7 @@ from riskspark.llm.common import Below, Numbered, ragged, slices, table, with_co
 
 NONE = np.int32(2**31 - 1)
 BAND = 512  # ranks that are taken out of the inverted index together
-KNOWN_WORDS = 400_000  # words (of at most KNOWN_CHARS characters) that a worker remembers, some 100 MB
+KNOWN_WORDS = 100_000  # words (of at most KNOWN_CHARS characters) that a worker remembers, some 25 MB
 KNOWN_CHARS = 64
 
 
