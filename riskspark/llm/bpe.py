@@ -29,6 +29,7 @@ NONE = np.int32(2**31 - 1)
 BAND = 512  # ranks that are taken out of the inverted index together
 KNOWN_WORDS = 100_000  # words (of at most KNOWN_CHARS characters) that a worker remembers, some 25 MB
 KNOWN_CHARS = 64
+ENCODE_CHARS = 2_000_000  # characters whose words are replayed together
 
 
 def load_ranks(path: str) -> dict[bytes, int]:
@@ -276,7 +277,7 @@ def encode(df: DataFrame, ranks_path: str, pattern: str, text: str = "text", ids
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         encode_words, findall = _tools(shared, pattern)
-        for rows, texts in slices(batches, text):
+        for rows, texts in slices(batches, text, ENCODE_CHARS):
             flat, sizes = encode_slice(texts, findall, encode_words)
             offsets = np.concatenate([[0], np.cumsum(sizes)]).astype(np.int32)
             yield from rows.append_column(ids, pa.ListArray.from_arrays(pa.array(offsets), pa.array(flat, pa.int32()))).combine_chunks().to_batches()
