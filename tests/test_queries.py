@@ -7,7 +7,7 @@ import __spark_entry__ as entry
 from riskspark.plans.tables import TABLES
 from tests.conftest import SF_SMALL
 
-HEAVY = {"oof_threshold", "grid_search_lr", "model_comparison", "train_score_gbt", "tree_shapley_summary",
+HEAVY = {"oof_threshold", "grid_search_facts", "grid_search_lr", "model_comparison", "train_score_gbt", "tree_shapley_summary",
          "linear_shapley", "score_batch", "train_score_lr", "stream_window_drift", "drift_summary", "drift_report"}
 
 
