@@ -90,9 +90,53 @@ def test_repeated_rows_and_empty_table(spark):
     assert N.one_per_class(none).count() == 0
 
 
-def test_recall_of_the_stop_depth():
-    assert N.stop_depth(0.8, 16, 8, 0.998) == 5
-    assert N.stop_depth(0.8, 16, 8, 0.99) == 6
+def test_depth_needs_expected_and_measured_recall():
+    assert N.stop_depth({}) == 5  # nothing measured: the expected recall decides
+    assert N.stop_depth({}, recall=0.99) == 6
+    assert N.stop_depth({8: 900, 5: 100}) == 5
+    assert N.stop_depth({8: 900, 4: 3}) == 4
+    assert N.stop_depth({8: 997, 0: 3}) == 1  # no depth finds them: the shortest
+    assert N.stop_depth({8: 999, 0: 1}) == 5
+
+
+def pairs(words, seed):
+    """250 texts of ``words`` different words, each with one more word in a second text; ids from 50 by 50 and odd ones."""
+    rnd = random.Random(seed)
+    texts = [" ".join(f"w{rnd.randrange(10**9)}" for _ in range(words)) for _ in range(250)]
+    return [row for i, t in enumerate(texts) for row in ((50 * (i + 1), t), (10**6 + 2 * i + 1, t + " end"))]
+
+
+def test_depth_follows_the_measured_recall(spark):
+    """Texts of 4 and 5 shingles (similarity 0.8), of which two pairs share no five minhashes of a tree, are searched by
+    shorter prefixes than those of 56 and 57, and lose no link."""
+    depth = {}
+    for words in (8, 60):
+        df = spark.createDataFrame(pairs(words, 9), "doc_id long, text string")
+        rows = {r.depth: r for r in N.recall_by_depth(df).collect()}
+        assert {r.pairs for r in rows.values()} == {250}
+        measured = [rows[d].measured for d in range(1, 9)]
+        assert measured == sorted(measured, reverse=True)
+        for d, r in rows.items():
+            assert abs(r.expected - (1 - (1 - 0.8**d) ** 16)) < 1e-12
+            if words == 8:  # the expected recall is that of these texts
+                assert abs(r.measured - r.expected) < 0.05
+        depth[words] = next(d for d, r in rows.items() if r.stop)
+        assert rows[depth[words]].measured >= N.RECALL
+        out = {r.doc_id: r.n_links for r in N.similar_texts(df).collect()}
+        assert list(out.values()) == [1] * 500
+    assert depth == {8: 4, 60: 5}
+
+
+def test_sample_is_bounded_and_reads_whole_texts(spark):
+    rows = [(50 * i, "a b c d e f g h") for i in range(1, 40)] + [(None, "x"), (7, "y"), (50, None), (100, "")]
+    df = spark.createDataFrame(rows, "doc_id long, text string")
+    assert N.query_texts(df, most=10) == ["a b c d e f g h"] * 10
+    assert len(N.query_texts(df, chars=45)) == 3
+    assert N.query_texts(df.filter("doc_id = 7")) == []
+    word = "long " * 200_000
+    long = spark.createDataFrame([(50, word + "tail of it"), (51, word + "other tail"), (52, "b " * 100)], "doc_id long, text string")
+    got = {r.doc_id: r.n_links for r in N.similar_texts(long).collect()}
+    assert got == {50: 0, 51: 0, 52: 0}  # one shingle of repeats each, the tails differ
 
 
 def test_components(spark):
@@ -112,8 +156,8 @@ def test_components(spark):
     assert got == {x: find(x) for a, b in edges if a != b for x in (a, b)}
 
 
-def test_stated_miss_rate_is_that_of_the_bands():
+def test_stated_miss_rate_is_that_of_the_trees():
     """The README's figures for an isolated pair: 0.17 % at 0.8, 0.008 % at 0.85."""
-    depth = N.stop_depth()
+    depth = N.stop_depth({})
     miss = [100 * (1 - s**depth) ** N.TREES for s in (0.8, 0.85)]
     assert (depth, round(miss[0], 2), round(miss[1], 3)) == (5, 0.17, 0.008)
