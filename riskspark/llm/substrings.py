@@ -13,8 +13,8 @@ of a match around its anchor is all windows that hold the anchor); their counts
 
 The kept anchors reach step 2 as a bitmap of at most ``MAX_BITS`` bits (a false hit costs a row, never a
 result), or, where there are too many for it, by a join on the anchor. Both ways give the same rows.
-Documents meet their windows through a hash of ``doc_id``: equal or null ids share a set, which is
-harmless because a window in it repeats whoever asks. Null text has no words and keeps an empty text.
+Documents meet their windows through a hash of their id and text, so that a set holds the windows of one text: null or
+equal ids of different texts share none, and equal rows share one, which is the same for each. Null text has no words and keeps an empty text.
 Equal rows are occurrences of their own, so repeated rows repeat each other's windows.
 """
 
@@ -148,7 +148,7 @@ def remove_repeats(df: DataFrame, window: int = WINDOW, period: int = PERIOD, ma
     if period > window:
         raise ValueError("period must not exceed window")
     df = df.drop("n_words", "n_removed", "kept_text", "key", "repeated")
-    keyed = df.select(F.xxhash64(doc_id).alias("key"), F.col(text).alias("text"))
+    keyed = df.select(F.xxhash64(doc_id, text).alias("key"), F.col(text).alias("text"))
     counts = keyed.select("text").mapInArrow(_anchor_counts(window, period), "anchor long, n long")
     kept = materialize(counts.groupBy("anchor").agg(F.sum("n").alias("n")).filter("n > 1").select("anchor"), "anchors")
     if BITS_PER_KEY * kept.count() <= max_bits:
@@ -159,7 +159,7 @@ def remove_repeats(df: DataFrame, window: int = WINDOW, period: int = PERIOD, ma
         around = keyed.join(own, "key").mapInArrow(_candidates(window, period), "w long, key long, n long")
     twice = around.groupBy("w").agg(F.sum("n").alias("n")).filter("n > 1").select("w")
     repeated = around.select("w", "key").join(twice, "w").groupBy("key").agg(F.collect_set("w").alias("repeated"))
-    joined = df.withColumn("key", F.xxhash64(doc_id)).join(repeated, "key", "left")
+    joined = df.withColumn("key", F.xxhash64(doc_id, text)).join(repeated, "key", "left")
     if text != "text":
         joined = joined.withColumn("text", F.col(text))
     schema = with_column(with_column(with_column(joined.drop("key", "repeated"), "n_words", "long"), "n_removed", "long"), "kept_text", "string")

@@ -62,3 +62,15 @@ def test_query_and_empty_table(spark, tmp_path):
     got = {r.doc_id: (r.n_words, r.n_removed, r.kept_sha256) for r in S.op9_repeated_passages(spark, str(tmp_path)).collect()}
     assert [got[i] for i in range(len(texts))] == [(n, g, hashlib.sha256(k.encode()).hexdigest()) for n, g, k in brute(texts, 35)]
     assert S.remove_repeats(spark.createDataFrame([], "doc_id long, text string")).count() == 0
+
+
+def test_null_ids_share_no_set(spark):
+    """Pairs of texts with a passage of their own, all without an id, and copies of one row."""
+    texts = []
+    for i in range(150):
+        passage = " ".join(f"p{i}-{j}" for j in range(40))
+        texts += [f"a{i} {passage}", f"{passage} b{i}"]
+    texts += ["c " * 50] * 30
+    df = spark.createDataFrame([(None, t, i) for i, t in enumerate(texts)], "doc_id long, text string, place int").repartition(4)
+    got = {r.place: (r.n_words, r.n_removed, r.kept_text) for r in S.remove_repeats(df).collect()}
+    assert [got[i] for i in range(len(texts))] == brute(texts, 35)
