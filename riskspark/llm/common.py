@@ -7,6 +7,7 @@ per distinct word and documents become integer arrays.
 
 from __future__ import annotations
 
+import ctypes
 import uuid
 from collections.abc import Iterable, Iterator
 
@@ -59,6 +60,14 @@ def held_out(doc_id: str = "doc_id") -> Column:
     return F.coalesce(F.crc32(F.col(doc_id).cast("string").cast("binary")) % 5 == 0, F.lit(True))
 
 
+def give_back() -> None:
+    """Return freed memory to the system: a worker lives on for later tasks and stages."""
+    pa.default_memory_pool().release_unused()
+    trim = getattr(ctypes.CDLL(None), "malloc_trim", None)
+    if trim is not None:
+        trim(0)
+
+
 def slices(batches: Iterable[pa.RecordBatch], text: str = "text", max_chars: int = SLICE_CHARS) -> Iterator[tuple[pa.Table, list[str]]]:
     """(rows, texts) of consecutive rows with at most ``max_chars`` characters together; null text is empty."""
     held, texts, chars = [], [], 0
@@ -74,6 +83,8 @@ def slices(batches: Iterable[pa.RecordBatch], text: str = "text", max_chars: int
         texts += own[start:]
     if texts:
         yield pa.concat_tables(held), texts
+    held, texts = [], []
+    give_back()
 
 
 class Numbered(dict):

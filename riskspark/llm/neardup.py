@@ -45,7 +45,7 @@ RECALL = 0.998
 BLOCK = 256
 SAMPLE_TEXTS = 256
 SAMPLE_CHARS = 2_000_000
-MARK_BITS = 24
+MARK_BITS = 22
 
 
 def expected_recall(depth: int, threshold: float = THRESHOLD, trees: int = TREES) -> float:
