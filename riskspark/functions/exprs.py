@@ -90,13 +90,6 @@ def normalise(arr: str | Column) -> Column:
     return F.transform(a, lambda x: x / total)
 
 
-def any_of(conds: Iterable[Column]) -> Column:
-    out = None
-    for c in conds:
-        out = c if out is None else (out | c)
-    return out if out is not None else F.lit(False)
-
-
 def round_all(df, digits: int = 6, cols: Iterable[str] | None = None):
     """Round every double column (for engine-independent comparison)."""
     names = set(cols) if cols is not None else None

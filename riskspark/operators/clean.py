@@ -79,14 +79,6 @@ def conform(df: DataFrame, cols: Sequence[str]) -> DataFrame:
     return df.select(*cols)
 
 
-def unpivot_values(df: DataFrame, ids: Sequence[str], cols: Sequence[str], kind: str = "double",
-                   drop_null: bool = True) -> DataFrame:
-    """Long form (ids..., feature, v) with per-feature null removal."""
-    long = df.select(*ids, *[F.col(c).cast(kind).alias(c) for c in cols]).unpivot(
-        list(ids), list(cols), "feature", "v")
-    return long.where(F.col("v").isNotNull()) if drop_null else long
-
-
 def file_position(df: DataFrame) -> Column | None:
     """(file, row in the file) of each row of a Parquet scan and of filters and projections of it, the same in every
     run; None for other frames."""

@@ -49,12 +49,6 @@ def rule_contributions(df: DataFrame, rules: Sequence[tuple[Column, str, float]]
     return df.withColumn("contributions", F.when(F.size(fired) > 0, fired).otherwise(base))
 
 
-def contributions_long(df: DataFrame, id_cols: Sequence[str]) -> DataFrame:
-    """X1 long form: (ids..., rank, factor, value)."""
-    return df.select(*id_cols, F.posexplode("contributions").alias("rank", "c")).select(
-        *id_cols, "rank", "c.factor", "c.value")
-
-
 def rule_score(increments: Sequence[tuple[Column, float]], base: float = 0.05, cap: float = 0.95) -> Column:
     """min(cap, base + sum of the increments whose condition holds)."""
     total = F.lit(float(base))

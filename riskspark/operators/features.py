@@ -2,14 +2,17 @@
 
 from __future__ import annotations
 
-from collections.abc import Mapping, Sequence
+from collections.abc import Iterator, Mapping, Sequence
 from dataclasses import dataclass, field
 
 from pyspark.ml.feature import VectorAssembler
-from pyspark.sql import Column, DataFrame
+from pyspark.ml.linalg import VectorUDT
+from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
+from pyspark.sql import types as T
 
 from riskspark.functions.exprs import offset_div
+from riskspark.session import cut_lineage
 
 # The guard constants of the reference's ratios and scaler.
 GROUP_MEAN_EPS = 1e-5
@@ -160,6 +163,63 @@ def apply_one_hot(df: DataFrame, categories: Mapping[str, Sequence[str]], order:
                            for c in order for v in categories.get(c, [])})
 
 
+PART_BITS = 33  # of monotonically_increasing_id(): the lower 33 bits count the rows of a partition
+
+
+def category_index(df: DataFrame, cols: Sequence[str], drop_first: bool = True) -> tuple[DataFrame, int]:
+    """M5 for category lists of any length: ((feature, value, index), number of indexes). Values are numbered in sorted
+    order within a column and the columns in the order of ``cols``, like ``one_hot_names``; the first value of a column has
+    no row if ``drop_first``. The list stays a table: values are dealt by ranges of (feature, value), numbered within
+    their partition, and shifted by the counts of the partitions before. Nulls are no category."""
+    long = df.select(*[F.col(c).cast("string").alias(c) for c in cols]).unpivot([], list(cols), "feature", "value")
+    distinct = long.where(F.col("value").isNotNull()).groupBy("feature", "value").agg(F.count(F.lit(1)).alias("_n")).drop("_n")
+    ranged = distinct.repartitionByRange("feature", "value").sortWithinPartitions("feature", "value")
+    rows = cut_lineage(ranged.withColumn("_at", F.monotonically_increasing_id())).withColumn("_part", F.shiftright("_at", PART_BITS))
+    runs = rows.groupBy("feature", "_part").agg(F.min("_at").alias("_lo"), F.count(F.lit(1)).alias("_n"))
+    earlier = Window.partitionBy("feature").orderBy("_part").rowsBetween(Window.unboundedPreceding, -1)  # a row a partition
+    runs = runs.withColumn("_shift", F.coalesce(F.sum("_n").over(earlier), F.lit(0)) - F.col("_lo"))
+    sizes = {r["feature"]: r["_n"] for r in runs.groupBy("feature").agg(F.sum("_n").alias("_n")).collect()}  # a row a column
+    skip, first, size = int(drop_first), {}, 0
+    for c in cols:
+        first[c] = size
+        size += max(0, sizes.get(c, 0) - skip)
+    placed = rows.join(runs.drop("_lo", "_n"), ["feature", "_part"]).withColumn("_pos", F.col("_at") + F.col("_shift") - skip)
+    return placed.where("_pos >= 0").select("feature", "value", (F.col("_pos") + lookup("feature", first, 0)).cast("int").alias("index")), size
+
+
+def one_hot_indices(df: DataFrame, index: DataFrame, cols: Sequence[str], out: str = "indices") -> DataFrame:
+    """M6 for category lists of any length: ``df`` with the ascending places of the ones of each row (array of int).
+    The index is joined column by column, broadcast or shuffled by its measured size; unseen and null values have no one."""
+    places = [f"_place_{i}" for i in range(len(cols))]
+    for c, place in zip(cols, places):
+        own = index.where(F.col("feature") == c).select(F.col("value").alias(f"{place}_v"), F.col("index").alias(place))
+        df = df.join(own, F.col(c).cast("string") == F.col(f"{place}_v"), "left").drop(f"{place}_v")
+    return df.withColumn(out, F.array_compact(F.array(*places))).drop(*places)
+
+
+def sparse_ones(df: DataFrame, size: int, indices: str = "indices", out: str = "features") -> DataFrame:
+    """M7: sparse vectors of ``size`` places with ones at ``indices`` (null: none). A column named ``out`` is replaced."""
+    df = df.drop(out)
+    schema = T.StructType([*df.schema.fields, T.StructField(out, VectorUDT())])
+
+    def run(batches: Iterator) -> Iterator:
+        import numpy as np
+        import pyarrow as pa
+        import pyarrow.compute as pc
+
+        kind = pa.struct([("type", pa.int8()), ("size", pa.int32()), ("indices", pa.list_(pa.int32())), ("values", pa.list_(pa.float64()))])
+        for batch in batches:
+            own = pc.fill_null(batch.column(batch.schema.get_field_index(indices)), [])
+            offsets = np.concatenate([[0], np.cumsum(pc.list_value_length(own).to_numpy(zero_copy_only=False))]).astype(np.int32)
+            flat = own.flatten()
+            parts = [pa.array(np.zeros(len(own), np.int8)), pa.array(np.full(len(own), size, np.int32)),
+                     pa.ListArray.from_arrays(pa.array(offsets), flat), pa.ListArray.from_arrays(pa.array(offsets), pa.array(np.ones(len(flat))))]
+            vectors = pa.StructArray.from_arrays(parts, fields=list(kind))
+            yield pa.RecordBatch.from_arrays([*batch.columns, vectors], names=[*batch.schema.names, out])
+
+    return df.mapInArrow(run, schema)
+
+
 def assemble(df: DataFrame, feature_names: Sequence[str], out: str = "features") -> DataFrame:
     """M7: vector in ``feature_names`` order; nulls kept as NaN (handleInvalid='keep')."""
     cast = df.withColumns({c: F.col(c).cast("double") for c in feature_names})

@@ -719,3 +719,45 @@ m AS (SELECT d, v, SUM(r) AS r, SUM(c) AS c FROM u GROUP BY d, v),
 cum AS (SELECT d, SUM(r) OVER w AS cr, SUM(c) OVER w AS cc, SUM(r) OVER (PARTITION BY d) AS tr, SUM(c) OVER (PARTITION BY d) AS tc FROM m WINDOW w AS (PARTITION BY d ORDER BY v))
 SELECT d AS window_start, 'value' AS feature, ROUND(MAX(ABS(CAST(cr AS DOUBLE) / tr - CAST(cc AS DOUBLE) / tc)), 6) AS statistic,
        CAST(MAX(tr) AS BIGINT) AS n_ref, CAST(MAX(tc) AS BIGINT) AS n_cur FROM cum GROUP BY d"""
+
+_LINE_AVERAGE = "CASE {} WHEN 1 THEN 20000.0 WHEN 2 THEN 30000.0 WHEN 3 THEN 40000.0 WHEN 4 THEN 50000.0 WHEN 5 THEN 60000.0 ELSE 5000.0 END"
+
+ORACLE["engineered_features"] = """
+SELECT l_orderkey, l_linenumber, l_partkey, l_suppkey, l_quantity, l_extendedprice,
+       ROUND(l_extendedprice / (AVG(l_extendedprice) OVER (PARTITION BY l_linenumber) + 1e-5), 6) AS income_ratio_to_joblevel_avg,
+       ROUND(l_quantity / (CAST(l_suppkey AS DOUBLE) + 1.0), 6) AS role_tenure_ratio
+FROM lineitem"""
+
+ORACLE["scoring_features"] = f"""
+WITH r AS (SELECT l_linestatus, l_quantity / (CAST(l_suppkey AS DOUBLE) + 1.0) AS tenure,
+                  l_extendedprice / (AVG(l_extendedprice) OVER (PARTITION BY l_linenumber) + 1e-5) AS batch,
+                  l_extendedprice / {_LINE_AVERAGE.format("l_linenumber")} AS fixed_, l_extendedprice / {_LINE_AVERAGE.format("1")} AS first_
+           FROM lineitem)
+SELECT way, l_linestatus, COUNT(*) AS n, ROUND(AVG(ratio), 6) AS income_ratio, ROUND(MAX(t), 6) AS max_tenure
+FROM (SELECT 'batch' AS way, l_linestatus, batch AS ratio, tenure AS t FROM r UNION ALL SELECT 'table', l_linestatus, fixed_, tenure FROM r
+      UNION ALL SELECT 'no level', l_linestatus, first_, tenure FROM r
+      UNION ALL SELECT 'none', l_linestatus, CAST(1.0 AS DOUBLE), CAST(0.5 AS DOUBLE) FROM r) GROUP BY 1, 2"""
+
+ORACLE["onehot_indices"] = """
+WITH v AS (SELECT DISTINCT 0 AS f, event_type AS value FROM events WHERE event_type IS NOT NULL
+           UNION ALL SELECT DISTINCT 1, CAST(user_id AS VARCHAR) FROM events WHERE user_id IS NOT NULL),
+k AS (SELECT f, value FROM (SELECT f, value, ROW_NUMBER() OVER (PARTITION BY f ORDER BY value) AS pos FROM v) WHERE pos > 1),
+i AS (SELECT f, value, ROW_NUMBER() OVER (ORDER BY f, value) - 1 AS place FROM k)
+SELECT event_id, concat_ws(',', a.place, b.place) AS places, (SELECT COUNT(*) FROM k) AS width
+FROM events LEFT JOIN i a ON a.f = 0 AND a.value = event_type LEFT JOIN i b ON b.f = 1 AND b.value = CAST(user_id AS VARCHAR)"""
+
+ORACLE["report_texts"] = """
+SELECT o_orderkey, concat_ws('_', 'prio', o_orderpriority) AS dummy, o_orderstatus AS part, strftime(o_orderdate, '%Y-%m-%d') AS day,
+       printf('%.2f%%', o_custkey / 1000.0 * 100.0) AS pct, '$' || format('{:,}', CAST(round_even(o_totalprice, 0) AS BIGINT)) AS money,
+       ROUND(o_totalprice / (o_totalprice + o_custkey + 1.0), 6) AS share
+FROM orders"""
+
+ORACLE["drifting_features"] = f"""
+SELECT CAST(ROW_NUMBER() OVER (ORDER BY feature) - 1 AS INTEGER) AS place, feature FROM ({_REPORT}) WHERE p_value < 0.05"""
+
+ORACLE["sample_facts"] = """
+SELECT LEAST(100, COUNT(*)) AS n, LEAST(100, COUNT(*)) AS n_distinct, LEAST(100, COUNT(*)) AS n_inside, LEAST(100, COUNT(*)) AS n_again,
+       TRUE AS tenth_is_fair FROM events"""
+
+ORACLE["optional_input"] = """
+SELECT 'given' AS input, COUNT(*) AS n FROM supplier UNION ALL SELECT 'default', COUNT(*) FROM part"""

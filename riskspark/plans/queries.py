@@ -539,4 +539,5 @@ def q_roi_rows(spark, sf):
 def all_queries() -> dict[str, Query]:
     from riskspark.plans import ml_queries  # noqa: F401  (registers the model queries)
     from riskspark.plans import io_queries  # noqa: F401
+    from riskspark.plans import fact_queries  # noqa: F401
     return dict(QUERIES)

@@ -121,7 +121,7 @@ def test_one_hot_of_null_is_zero_and_no_category_is_lost(spark):
 
 
 def test_grid_defaults_are_the_reference_axes(spark):
-    """src/train_model.py of the reference: 3 x 3 x 3 x 3 x 2 x 2 points for trees, 4 C values for the regression."""
+    """The reference's axes: 3 x 3 x 3 x 3 x 2 x 2 points for trees, 4 C values for the regression."""
     from riskspark.operators import boosting as BT
     from riskspark.operators import models as M
     from riskspark.plans import attrition as AT

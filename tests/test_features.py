@@ -1,6 +1,8 @@
 """Golden vectors of the reference's feature test (4 rows) and scaling/one-hot rules."""
 import pytest
 
+from pyspark.sql import functions as F
+
 from riskspark.operators import features as W
 
 
@@ -41,3 +43,28 @@ def test_lookup_with_default(spark):
     df = spark.createDataFrame([(1, 2800.0), (9, 5000.0)], "JobLevel int, MonthlyIncome double")
     out = W.lookup_ratio(df, "MonthlyIncome", "JobLevel", {1: 2800.0}, "r").select("r").collect()
     assert [r[0] for r in out] == [1.0, 1.0]
+
+
+def test_category_index_of_a_long_list(spark):
+    """50,000 values in many partitions get the places of their sorted order; nulls and unseen values have no one."""
+    n = 50_000
+    df = spark.range(n).select(F.concat(F.lit("v"), F.col("id") % n).alias("a"), F.when(F.col("id") % 3 > 0, F.col("id") % 3).alias("b")).repartition(16)
+    index, size = W.category_index(df, ["a", "b"])
+    assert size == n - 1 + 1
+    got = {(r.feature, r.value): r["index"] for r in index.collect()}
+    names = sorted(f"v{i}" for i in range(n))
+    assert got == {**{("a", v): i for i, v in enumerate(names[1:])}, ("b", "2"): n - 1}
+    new = spark.createDataFrame([(1, "v7", "2", 0), (2, "v0", "1", 0), (3, None, None, 0), (4, "unseen", "2", 0)], "k int, a string, b string, features int")
+    rows = {r.k: r for r in W.sparse_ones(W.one_hot_indices(new, index, ["a", "b"]), size).collect()}
+    assert rows[1].indices == [got["a", "v7"], n - 1] and rows[2].indices == [] and rows[3].indices == [] and rows[4].indices == [n - 1]
+    assert rows[1].features.size == n and list(rows[1].features.indices) == rows[1].indices and list(rows[1].features.values) == [1.0, 1.0]
+    assert rows[3].features.numNonzeros() == 0
+
+
+def test_category_index_equals_the_named_columns(spark):
+    df = spark.createDataFrame([("x", 1), ("y", 2), ("z", None), (None, 2), ("x", 10)], "a string, b int")
+    names = W.one_hot_names(W.collect_categories(W.fit_one_hot(df, ["b", "a"])), ["b", "a"])
+    index, size = W.category_index(df, ["b", "a"])
+    assert {f"{r.feature}_{r.value}": r["index"] for r in index.collect()} == {n: i for i, n in enumerate(names)} and size == len(names)
+    empty, none = W.category_index(df.where("false"), ["a", "b"])
+    assert none == 0 and empty.count() == 0
