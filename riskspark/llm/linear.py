@@ -18,8 +18,18 @@ class Rows:
     def back(self, g: np.ndarray) -> np.ndarray:
         return np.bincount(self.index, weights=self.value * g[self.row], minlength=self.dim)
 
+    def _norms(self) -> np.ndarray:
+        return np.bincount(self.row, weights=self.value**2, minlength=self.n)
+
     def top_norm(self) -> float:
-        return float(np.bincount(self.row, weights=self.value**2, minlength=max(1, self.n)).max()) if self.n else 0.0
+        return float(self._norms().max()) if self.n else 0.0
+
+    def mean_norm(self, share: np.ndarray | None = None) -> float:
+        """Mean squared length of the rows, by ``share`` (which sums to 1) or of equal rows: no eigenvalue of the mean
+        outer product of the rows is above it, while a single long row hardly moves it."""
+        if not self.n:
+            return 0.0
+        return float(self._norms().mean() if share is None else (share * self._norms()).sum())
 
 
 def descend(gradient, dim: int, lipschitz: float, steps: int) -> np.ndarray:
@@ -63,6 +73,6 @@ def logistic(rows: Rows, y: np.ndarray, weight: np.ndarray, reg: float, steps: i
             out += left.back(change) - right.back(change)
         return np.append(out, g.sum())
 
-    steep = 0.25 * (rows.top_norm() + 1) + reg + (4 * balance * (left.top_norm() + right.top_norm()) if pairs else 0)
+    steep = 0.25 * (rows.mean_norm(share) + 1) + reg + (4 * balance * (left.mean_norm() + right.mean_norm()) if pairs else 0)
     wb = descend(gradient, rows.dim + 1, steep, steps)
     return wb[:-1], float(wb[-1])

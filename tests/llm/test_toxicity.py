@@ -44,6 +44,25 @@ def test_held_out_accuracy_and_edges(spark):
     assert all(0 < r.toxicity < 0.5 for r in null)
 
 
+def test_long_texts_do_not_slow_the_fit(spark):
+    """Rare insults are learned although some labelled texts are very long; a text of a million characters is scored."""
+    rnd = random.Random(8)
+    docs, labels = [], []
+    for i in range(600):
+        words = ["w" + str(int(rnd.paretovariate(0.6)) % 3000) for _ in range(40_000 if i % 150 == 0 else rnd.randint(5, 60))]
+        toxic = int(i % 5 == 1)
+        if toxic:
+            words.insert(rnd.randrange(len(words)), "insult" + "abcdefgh"[i // 5 % 8] + "zzz")
+        docs.append((i, " ".join(words)))
+        labels.append((i, toxic))
+    docs += [(1000, "w1 w2 " * 160_000 + "insultazzz"), (1001, "w1 w2 " * 160_000)]
+    docs, labels = spark.createDataFrame(docs, "doc_id long, text string"), spark.createDataFrame(labels, "doc_id long, toxic int")
+    got = {r.doc_id: r.toxicity for r in X.score(docs, X.fit(docs, labels)).collect()}
+    known = {r.doc_id: r.toxic for r in labels.collect()}
+    assert all((got[i] >= 0.5) == bool(t) for i, t in known.items())
+    assert got[1000] > got[1001] and got[1001] < 0.5
+
+
 def test_penalty_lowers_scores_of_neutral_mentions(spark):
     docs, labels = tables(spark, n=1500, biased=True)
     neutral = spark.createDataFrame([(1, "Muslims w1 w2 w3 w1"), (2, "Jews w1 w2 w3 w1"), (3, "w1 w2 w3 w1 idiot")], "doc_id long, text string")
@@ -98,7 +117,7 @@ def plain_scores(docs, labels, balance):
     x = matrix(bags)
     forms = [(k, s) for k, (t, _) in enumerate(rows) for s in X.swapped(t or "")]
     change = x[[k for k, _ in forms]] - matrix([counts(s) for _, s in forms]) if forms else np.zeros((0, len(names)))
-    norm = lambda m: float((m**2).sum(axis=1).max()) if len(m) else 0.0
+    norm = lambda m: float((m**2).sum(axis=1).mean()) if len(m) else 0.0
     pairs = len(forms) if balance else 0
     steep = 0.25 * (norm(x) + 1) + X.REG
     if pairs:
