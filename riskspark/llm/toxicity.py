@@ -25,7 +25,7 @@ from riskspark.llm.common import bitmap, held_out, in_bitmap, materialize, ragge
 from riskspark.llm.linear import Rows, logistic
 
 SAMPLE = 16_000
-FEATURES = 4096
+FEATURES = 65_536
 PREFIXES = (5, 7)
 LEAST_CHI2 = 20.0
 REG = 1e-5
