@@ -160,35 +160,40 @@ def capture_at_top(df: DataFrame, label: str, score: str, key: str, pct) -> Data
     (ties broken by ``key`` ascending) and report flagged count, positives captured, recall and
     precision: (top_pct, flagged, captured, recall, precision).
 
-    Exact at scale, with no global sort: prefix sums over distinct scores give the score at each cut (one row
-    per percentage); only the rows tied at a cut score are ranked by key (bucketed prefix counts, a part per
-    percentage). One lazy plan."""
+    Exact at scale, with no global sort: prefix sums over distinct scores give the score at each cut. They run when the
+    call is made, once, and leave a row per percentage on the driver; the cut scores then reach the
+    scan as a filter, so that only the rows tied at a cut are read again and ranked by key (bucketed prefix counts, a
+    part per percentage) when the result is."""
     pcts = [float(p) for p in (pct if isinstance(pct, (list, tuple)) else [pct])]
     y = F.col(label).cast("int")
     base = df.where(F.col(score).isNotNull() & y.isNotNull()).select(
         F.col(score).cast("double").alias("_score"), F.col(key).alias("_key"), y.alias("_y"))
     cs = cumulative_scores(base, "_y", "_score")
-    n = F.col("tot_pos") + F.col("tot_neg")
-    above = n - (F.col("cum_pos") + F.col("cum_neg"))  # rows with a strictly higher score
-    aggs = [F.coalesce(F.first("tot_pos"), F.lit(0)).alias("_P"), F.coalesce(F.first(n), F.lit(0)).alias("_N")]
-    for i, p in enumerate(pcts):
-        k = F.floor(n * F.lit(p) / F.lit(100.0)).cast("long")
-        is_cut = (above < k) & (above + F.col("pos") + F.col("neg") >= k)
-        aggs.append(F.max(F.when(is_cut, F.struct(F.col("s"), (k - above).alias("need"),
-                                                  (F.col("tot_pos") - F.col("cum_pos")).alias("pos_above")))).alias(f"c{i}"))
-    head = cs.agg(*aggs)  # one row
-    cuts = head.select("_P", "_N", F.inline(F.array(*[
-        F.struct(F.lit(i).alias("_i"), F.lit(p).alias("top_pct"), F.col(f"c{i}").alias("_cut")) for i, p in enumerate(pcts)])))
-    cuts = cuts.select("_P", "_i", "top_pct", F.floor(F.col("_N") * F.col("top_pct") / 100.0).cast("long").alias("flagged"),
-                       F.col("_cut.s").alias("_at"), F.col("_cut.need").alias("_need"), F.col("_cut.pos_above").alias("_pos_above"))
-    tied = (base.join(F.broadcast(cuts.select("_i", "_at", "_need")), F.col("_score") == F.col("_at"))  # a row per percentage
+    cs = cs.select(F.col("s").alias("_at"), (F.col("tot_pos") + F.col("tot_neg")).cast("long").alias("_N"), F.col("tot_pos").cast("long").alias("_P"),
+                   (F.col("tot_pos") - F.col("cum_pos")).cast("long").alias("_pos_above"), (F.col("tot_neg") - F.col("cum_neg")).cast("long").alias("_neg_above"),
+                   (F.col("pos") + F.col("neg")).cast("long").alias("_here"))
+    wanted = F.array(*[F.struct(F.lit(i).alias("i"), F.floor(F.col("_N") * F.lit(p) / F.lit(100.0)).cast("long").alias("k")) for i, p in enumerate(pcts)])
+    above = F.col("_pos_above") + F.col("_neg_above")  # rows with a strictly higher score
+    hits = F.filter(wanted, lambda t: (above < t["k"]) & (above + F.col("_here") >= t["k"]))
+    found = cs.select("_at", "_P", "_pos_above", above.alias("_above"), F.inline(hits)).collect()  # at most a row per percentage
+    cut = {r.i: r for r in found}  # a percentage without a cut flags no row
+    positives = found[0]["_P"] if found else 0
+    kinds = ("int", "double", "long", "double", "long", "long")
+    names = ("_i", "top_pct", "flagged", "_at", "_need", "_pos_above")
+    rows = [(i, p, c["k"], c["_at"], c["k"] - c["_above"], c["_pos_above"]) if (c := cut.get(i)) else (i, p, 0, None, None, None) for i, p in enumerate(pcts)]
+    cuts = df.sparkSession.range(1).select(F.inline(F.array(*[
+        F.struct(*[F.lit(v).cast(t).alias(c) for v, t, c in zip(r, kinds, names)]) for r in rows])))  # a row per percentage
+    at = [r["_at"] for r in found]
+    # zeros of either sign, and NaN, are equal here, but need not be in a file's statistics: such cuts stay out of the scan
+    tied = base if any(v == 0 or v != v for v in at) else base.where(F.col("_score").isin(at))
+    tied = (tied.join(F.broadcast(cuts.select("_i", "_at", "_need")), F.col("_score") == F.col("_at"))
             .groupBy("_i", "_need", "_key").agg(F.count_if(F.col("_y") == 1).alias("_p1"), F.count(F.lit(1)).alias("_c1")))
     got = (running_sums(tied, "_key", ["_c1"], part_cols=["_i"]).where(F.col("cum__c1") <= F.col("_need"))
            .groupBy("_i").agg(F.sum("_p1").alias("_tied_pos")))
     captured = (F.coalesce("_pos_above", F.lit(0)) + F.coalesce("_tied_pos", F.lit(0))).cast("long")
     return cuts.join(got, "_i", "left").select(
         "top_pct", "flagged", captured.alias("captured"),
-        F.coalesce(safe_div(captured, F.col("_P")), F.lit(0.0)).alias("recall"),
+        F.coalesce(safe_div(captured, F.lit(positives)), F.lit(0.0)).alias("recall"),
         F.coalesce(safe_div(captured, F.col("flagged")), F.lit(0.0)).alias("precision"))
 
 

@@ -84,6 +84,21 @@ def test_capture_at_top_matches_row_number(spark):
     assert got["captured"] == top.agg(F.sum("y")).first()[0]
 
 
+def test_capture_at_top_cuts_ties_zeros_nan_and_empty(spark):
+    """Many rows tied at the cut, signed zeros, NaN (the highest score), no row flagged, no rows at all."""
+    nan = float("nan")
+    rows = [(i, i % 3 == 0, 0.5) for i in range(300)] + [(300 + i, i % 2 == 0, [0.0, -0.0, nan, 0.9][i % 4]) for i in range(100)]
+    rows += [(900, None, 0.9), (901, True, None)]
+    df = spark.createDataFrame([(i, None if y is None else int(y), s) for i, y, s in rows], "id long, y int, s double").repartition(5)
+    order = sorted([r for r in rows if r[1] is not None and r[2] is not None], key=lambda r: (r[2] == r[2], -r[2] if r[2] == r[2] else 0, r[0]))
+    total = sum(r[1] for r in order)
+    for r in E.capture_at_top(df, "y", "s", "id", [0.1, 5, 50, 90, 100]).collect():
+        k = int(len(order) * r.top_pct / 100)
+        want = sum(x[1] for x in order[:k])
+        assert (r.flagged, r.captured, r.recall, r.precision) == (k, want, want / total, want / k if k else 0.0)
+    assert [tuple(r) for r in E.capture_at_top(df.limit(0), "y", "s", "id", 10).collect()] == [(10.0, 0, 0, 0.0, 0.0)]
+
+
 def test_best_threshold_first_max_lowest(spark):
     df = spark.createDataFrame([(1, 0.9), (0, 0.8), (1, 0.7), (0, 0.1)], "y int, s double")
     r = E.best_f1_threshold(df, "y", "s").first()
