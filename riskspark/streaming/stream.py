@@ -26,7 +26,11 @@ from riskspark.sources.io import scratch_path
 
 def file_stream(spark: SparkSession, source_dir: str, schema: StructType | str, glob: str | None = None,
                 max_files_per_trigger: int | None = None) -> DataFrame:
+    """A stream of the Parquet files in a folder, with ``glob`` those of that name. A table of that name may also be a folder of
+    part files, as Spark writes it: then these are the files."""
     reader = spark.readStream.schema(schema)
+    if glob and _is_folder(spark, f"{source_dir.rstrip('/')}/{glob}"):
+        source_dir, glob = f"{source_dir.rstrip('/')}/{glob}", None
     if glob:
         reader = reader.option("pathGlobFilter", glob)
     if max_files_per_trigger:
@@ -34,6 +38,12 @@ def file_stream(spark: SparkSession, source_dir: str, schema: StructType | str,
     return reader.parquet(source_dir)
 
 
+def _is_folder(spark: SparkSession, path: str) -> bool:
+    target = spark._jvm.org.apache.hadoop.fs.Path(path)
+    files = target.getFileSystem(spark._jsc.hadoopConfiguration())
+    return files.exists(target) and files.getFileStatus(target).isDirectory()
+
+
 def run_to_files(stream: DataFrame, name: str, output_mode: str = "append", base: str | None = None,
                  timeout_s: float | None = None) -> str:
     """Run a streaming query until the available input is processed; returns the sink folder. With a time limit,
@@ -79,8 +89,8 @@ def run_updates(stream: DataFrame, name: str, keys: list[str], timeout_s: float
 def score_stream(spark: SparkSession, source_dir: str, schema: StructType | str, scorer: Callable[[DataFrame], DataFrame],
                  glob: str | None = None) -> DataFrame:
     """ST1: stateless scoring of arriving files; returns the scored output as a batch frame."""
-    out = run_to_files(scorer(file_stream(spark, source_dir, schema, glob)), "score")
-    return spark.read.parquet(out)
+    scored = scorer(file_stream(spark, source_dir, schema, glob))
+    return spark.read.schema(scored.schema).parquet(run_to_files(scored, "score"))
 
 
 def windowed_counts_stream(stream: DataFrame, time_col: str, category: str, window: str = "1 day",

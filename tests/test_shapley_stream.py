@@ -47,6 +47,23 @@ def test_stream_restart_is_exactly_once(spark, tmp_path):
     assert spark.read.parquet(out2).count() == n1 == spark.read.parquet(f"{SF_SMALL}/events.parquet").count()
 
 
+def test_streams_read_a_table_that_is_a_folder_of_parts(spark, tmp_path):
+    """One file, a folder of part files, a pattern of file names and a folder without rows."""
+    from riskspark.streaming import stream as S
+
+    rows = spark.range(40).selectExpr("id", "id * 2 AS v")
+    rows.repartition(4).write.parquet(str(tmp_path / "parts" / "t.parquet"))
+    rows.where("id < 0").write.parquet(str(tmp_path / "none" / "t.parquet"))
+    rows.coalesce(1).write.parquet(str(tmp_path / "one"))
+    (name,) = [p.name for p in (tmp_path / "one").glob("*.parquet")]
+    scorer = lambda df: df.selectExpr("id", "v + 1 AS w")
+    want = [(i, 2 * i + 1) for i in range(40)]
+    for folder, glob in (("parts", "t.parquet"), ("parts/", "t.parquet"), ("one", name), ("one", "*.parquet"), ("one", None)):
+        out = S.score_stream(spark, str(tmp_path) + "/" + folder, "id long, v long", scorer, glob)
+        assert out.columns == ["id", "w"] and sorted(map(tuple, out.collect())) == want
+    assert S.score_stream(spark, str(tmp_path / "none"), "id long, v long", scorer, "t.parquet").collect() == []
+
+
 def test_tree_shap_deep_trees_sum_rule(spark):
     from pyspark.ml.classification import GBTClassifier
     rng = np.random.default_rng(1)
