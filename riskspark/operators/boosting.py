@@ -4,15 +4,16 @@ Spark's own boosted trees have no L2 leaf term and draw columns per node, and a
 point and fold. Here all models of a grid (one for each point and fold, and one on all rows) grow side by side:
 
 1. features are cut into at most ``max_bins`` bins once (all their values where there are few, quantiles else), rows
-   become bytes;
+   become bytes; rows of the same bins and label are one cell, which keeps the keys and folds of its rows (a row is drawn by its own
+   key) and has one margin for each model. Cells are runs of rows sorted by range, so a frequent one is several;
 2. each level of each tree is one Spark job for all models: tasks add up gradients and hessians by (model, node,
-   feature, bin) over their rows; the sums are shuffled by groups of models, added, and each group's tasks find the best split of
+   feature, bin) over their cells; the sums are shuffled by groups of models, added, and each group's tasks find the best split of
    every node, so only splits reach the driver (a row for each group of models);
 3. a model with fewer trees is the beginning of one with more, so numbers of trees are read off at stages of one fit;
-4. every CHECKPOINT trees the rows' margins are written, which bounds what a job has to score anew and what a lost
+4. every CHECKPOINT trees the cells' margins are written, which bounds what a job has to score anew and what a lost
    executor costs.
 
-What is held per row grows with the number of models (8 bytes each), not with the trees. The trees on the driver
+What is held per cell grows with the number of models (8 bytes each), not with the trees. The trees on the driver
 are bounded by models x trees x 2^(depth + 1).
 
 Gradients: p - y and p (1 - p) of the logistic loss, times the positive weight for rows of class 1. A leaf is worth
@@ -39,9 +40,13 @@ from riskspark.session import shuffle_partitions
 
 CHECKPOINT = 4
 MESSAGE = 4_000_000  # bytes of sums that one task adds up: models are dealt into so many groups
-WORK = 100_000  # rows x models for which a task is worth its start
-BLOCK = 400_000  # rows x models that a task handles at once
+WORK = 400_000  # cells x models for which a task is worth its start
+MOST = 8_000_000  # cells x models of a task, where there are more than the cores take at WORK each: each task sends its own sums
+BLOCK = 400_000  # cells x models that a task handles at once
+READ = 4_000_000  # cells x models that a task reads at once
+PATTERNS = 128  # features that take at most so many values together are added up together
 TIE = 1e-9
+CELLS = "_x binary, _y int, _keys binary, _folds binary, _m binary"
 
 
 @dataclass(frozen=True)
@@ -121,25 +126,44 @@ class Forest:
         return Forest(*(x[models, begin:end].copy() for x in (self.feature, self.cut, self.value, self.cover)))
 
 
-def descend(forest: Forest, tree: int, x: np.ndarray, levels: int) -> np.ndarray:
-    """Node of each row (of ``x``, bins) in each model's tree after at most ``levels`` splits."""
-    n, m = len(x), len(forest.feature)
-    feature, cut = forest.feature[:, tree], forest.cut[:, tree]
-    node, model, row = np.zeros((n, m), np.int64), np.arange(m)[None, :], np.arange(n)[:, None]
-    for _ in range(levels):
-        f = feature[model, node]
-        right = x[row, np.maximum(f, 0)] > cut[model, node]
-        node = np.where(f >= 0, 2 * node + 1 + right, node)
-    return node
+def places(forest: Forest, tree: int, x: np.ndarray, levels: int) -> np.ndarray:
+    """Place (models, cells) among the nodes of the level after ``levels`` splits of each model's tree (``x``: bins by feature and cell); from a
+    leaf above that level cells go left."""
+    place = np.zeros((len(forest.feature), x.shape[1]), np.uint8 if levels <= 8 else np.uint32)
+    for level in range(levels):
+        right = np.zeros(place.shape, bool)
+        for k in range(2**level):
+            f, c = forest.feature[:, tree, 2**level - 1 + k], forest.cut[:, tree, 2**level - 1 + k].astype(np.uint8)
+            own = np.flatnonzero(f >= 0)
+            if len(own) == len(f):
+                right |= (x[f] > c[:, None]) & (place == k)
+            elif len(own):
+                right[own] |= (x[f[own]] > c[own, None]) & (place[own] == k)
+        place = 2 * place + right
+    return place
 
 
 def add_trees(margins: np.ndarray, forest: Forest, x: np.ndarray, depth: int) -> np.ndarray:
-    model = np.arange(len(forest.feature))[None, :]
+    """Margins (models, cells) after the trees of ``forest``."""
+    m, width = len(forest.feature), 2**depth
     for t in range(forest.feature.shape[1]):
-        margins = margins + forest.value[:, t][model, descend(forest, t, x, depth)]
+        value = forest.value[:, t].copy()
+        for node in range(width - 1):  # what a leaf is worth, down to the last level
+            value[:, 2 * node + 1] = np.where(forest.feature[:, t, node] >= 0, value[:, 2 * node + 1], value[:, node])
+        at = places(forest, t, x, depth) + np.arange(m, dtype=np.int64)[:, None] * width
+        margins = margins + value[:, width - 1:].reshape(-1)[at]
     return margins
 
 
+def reached(forest: Forest, level: int) -> np.ndarray:
+    """(models, nodes of the level): whether all nodes above split, in the first tree."""
+    out = np.ones((len(forest.feature), 1), bool)
+    for above in range(level):
+        split = forest.feature[:, 0, 2**above - 1:2 ** (above + 1) - 1] >= 0
+        out = np.repeat(out & split, 2, axis=1)
+    return out
+
+
 @dataclass(frozen=True)
 class Models:
     """What the models are: arrays by model."""
@@ -153,17 +177,52 @@ class Models:
         return Models(tuple(self.points[i] for i in own), tuple(self.folds[i] for i in own))
 
 
-def _rows(batches: Iterator[pa.RecordBatch], dim: int, models: int) -> Iterator[tuple[np.ndarray, ...]]:
-    """(bins, labels, folds, keys, margins) of blocks of rows; no margins yet: zeros."""
-    step = max(1, BLOCK // models)
+def _binary(column: pa.Array) -> tuple[np.ndarray, np.ndarray]:
+    """Bytes and offsets of a binary column without nulls."""
+    offsets = np.frombuffer(column.buffers()[1], np.int64 if pa.types.is_large_binary(column.type) else np.int32)[column.offset:column.offset + len(column) + 1]
+    return np.frombuffer(column.buffers()[2], np.uint8)[offsets[0]:offsets[-1]], offsets - offsets[0]
+
+
+@dataclass
+class Cells:
+    x: np.ndarray  # bins: features, cells
+    y: np.ndarray
+    key: np.ndarray  # of the rows
+    fold: np.ndarray
+    cell: np.ndarray
+    margins: np.ndarray  # cells, models
+
+    def counts(self, drawn: np.ndarray) -> np.ndarray:
+        return np.bincount(self.cell[drawn], minlength=len(self.y)).astype(float)
+
+
+def _cells(batches: Iterator[pa.RecordBatch], dim: int, models: int) -> Iterator[Cells]:
+    """Blocks of cells; no margins yet: zeros."""
+    step = max(1, READ // models)
     for batch in batches:
         for i in range(0, batch.num_rows, step):
             part = batch.slice(i, step)
             col = lambda name: part.column(part.schema.get_field_index(name))  # noqa: B023, E731
-            x = np.frombuffer(b"".join(col("_x").to_pylist()), np.uint8).reshape(part.num_rows, dim)
-            held = col("_m")
-            m = np.zeros((part.num_rows, models)) if held.null_count else np.frombuffer(b"".join(held.to_pylist()), np.float64).reshape(part.num_rows, models)
-            yield x, col("_y").to_numpy().astype(float), col("_fold").to_numpy(), col("_k").to_numpy().view(np.uint64), m
+            n, (keys, ends) = part.num_rows, _binary(col("_keys"))
+            margins = np.zeros((n, models)) if col("_m").null_count else _binary(col("_m"))[0].view(np.float64).reshape(n, models)
+            yield Cells(np.ascontiguousarray(_binary(col("_x"))[0].reshape(n, dim).T), col("_y").to_numpy().astype(float), keys.view(np.uint64),
+                        _binary(col("_folds"))[0].view(np.int32), np.repeat(np.arange(n), np.diff(ends) // 8), margins)
+
+
+def _pack(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+    """Runs of sorted rows with the same bins and label."""
+    for batch in batches:
+        n = batch.num_rows
+        if not n:
+            continue
+        x, y, key, fold = (batch.column(batch.schema.get_field_index(c)) for c in ("_x", "_y", "_k", "_fold"))
+        ids = x.dictionary_encode().indices.to_numpy()
+        label, key, fold = y.to_numpy(), key.to_numpy(), fold.to_numpy().astype(np.int32)
+        begin = np.flatnonzero(np.r_[True, (ids[1:] != ids[:-1]) | (label[1:] != label[:-1])])
+        end = np.r_[begin[1:], n]
+        packed = lambda v: pa.array([v[a:b].tobytes() for a, b in zip(begin, end)], pa.binary())
+        yield pa.record_batch([x.take(pa.array(begin)), pa.array(label[begin], pa.int32()), packed(key), packed(fold), pa.nulls(len(begin), pa.binary())],
+                              ["_x", "_y", "_keys", "_folds", "_m"])
 
 
 def _bin(cuts: list[np.ndarray]):
@@ -178,22 +237,59 @@ def _bin(cuts: list[np.ndarray]):
     return run
 
 
-def split_sums(x, y, fold, keys, margins, forest: Forest, level: int, tree: int, models: Models, bins: list[int], seed: int) -> list[np.ndarray]:
-    """Sums (models, nodes of the level, bins, 2) of gradients and hessians over these rows: the whole (one bin), then of each
-    feature the bins but the last, which the whole gives."""
-    m, width = len(models.folds), 2**level
-    p = 1.0 / (1.0 + np.exp(-margins))
-    w = np.where(y[:, None] == 1, models.array("positive_weight")[None, :], 1.0)
-    node = descend(forest, 0, x, level) - (width - 1)
-    seen = (fold[:, None] != np.array(models.folds)[None, :]) & (draw(keys, tree, seed)[:, None] < models.array("row_share")[None, :]) & (node >= 0)
-    at = np.flatnonzero(seen)
-    row = at // m
-    g, h = (w * (p - y[:, None])).reshape(-1)[at], (w * p * (1.0 - p)).reshape(-1)[at]
-    base = (at % m) * width + node.reshape(-1)[at]
-    out = [np.stack([np.bincount(base, g, m * width), np.bincount(base, h, m * width)], -1).reshape(m, width, 1, 2)]
+def _packs(x: np.ndarray, bins: list[int]) -> list[tuple[np.ndarray, np.ndarray, list[int]]]:
+    """Features in packs: number of its pattern for each cell, a cell of each pattern, features."""
+    out: list[tuple[np.ndarray, np.ndarray, list[int]]] = []
+    code, first, own = np.zeros(x.shape[1], np.int64), np.zeros(1, np.int64), []
     for j, b in enumerate(bins):
-        key = base * b + x[row, j]
-        out.append(np.stack([np.bincount(key, g, m * width * b), np.bincount(key, h, m * width * b)], -1).reshape(m, width, b, 2)[:, :, :-1])
+        if b < 2:
+            continue
+        for _ in range(2):
+            both = code * b + x[j]
+            there = np.flatnonzero(np.bincount(both, minlength=len(first) * b))
+            if len(there) <= PATTERNS or not own:
+                break
+            out.append((code, first, own))
+            code, first, own = np.zeros(x.shape[1], np.int64), np.zeros(1, np.int64), []
+        number = np.zeros(len(first) * b, np.int64)
+        number[there] = np.arange(len(there))
+        code, first, own = number[both], np.zeros(len(there), np.int64), [*own, j]
+        first[code] = np.arange(len(code))
+    return [*out, (code, first, own)]
+
+
+def split_sums(cells: Cells, own: np.ndarray, since: Forest, forest: Forest, level: int, depth: int, tree: int, models: Models, bins: list[int], seed: int) -> np.ndarray:
+    """Sums (models, nodes of the level, 1 + bins, 2) of gradients and hessians over these cells: the whole, then of each
+    feature the bins but the last, which the whole gives. ``own`` are the models' numbers among the margins."""
+    width, starts = 2**level, np.cumsum([1, *(b - 1 for b in bins)])
+    out = np.zeros((len(own), width, starts[-1], 2))
+    number, share, folds = draw(cells.key, tree, seed), models.array("row_share"), np.array(models.folds)
+    seen = {(s, f): i for i, (s, f) in enumerate(dict.fromkeys(zip(share.tolist(), folds.tolist())))}
+    counts = np.stack([cells.counts((number < s) & (cells.fold != f)) for s, f in seen])
+    counted = np.array([seen[k] for k in zip(share.tolist(), folds.tolist())])
+    weight, positive, alive = models.array("positive_weight"), cells.y == 1, reached(forest, level)
+    packs = []
+    for code, first, features in _packs(cells.x, bins):
+        places_of = np.concatenate([np.arange(starts[j], starts[j + 1]) for j in features]) if features else np.zeros(0, np.int64)
+        has = np.concatenate([cells.x[j, first][:, None] == np.arange(bins[j] - 1)[None, :] for j in features], axis=1) if features else np.zeros((1, 0))
+        packs.append((code, len(first), places_of, has.astype(float)))
+    step = max(1, BLOCK // max(1, len(cells.y)))
+    for i in range(0, len(own), step):
+        some = slice(i, min(len(own), i + step))
+        m = some.stop - i
+        margins = add_trees(np.ascontiguousarray(cells.margins[:, own[some]].T), since.part(0, since.feature.shape[1], some), cells.x, depth)
+        p = 1.0 / (1.0 + np.exp(-margins))
+        w = np.where(positive[None, :], weight[some, None], 1.0) * counts[counted[some]]
+        g, h = (w * (p - cells.y[None, :])).reshape(-1), (w * p * (1.0 - p)).reshape(-1)
+        base = places(forest.part(0, 1, some), 0, cells.x, level) + np.arange(m, dtype=np.int64)[:, None] * width
+        for n, (code, size, at, has) in enumerate(packs):
+            key = (base * size + code[None, :]).reshape(-1)
+            for k, v in enumerate((g, h)):
+                added = np.bincount(key, v, m * width * size).reshape(m * width, size)
+                out[some, :, at, k] = (added @ has).reshape(m, width, len(at))
+                if not n:
+                    out[some, :, 0, k] = added.sum(axis=1).reshape(m, width)
+    out[~alive] = 0.0  # below a leaf
     return out
 
 
@@ -222,16 +318,15 @@ def best_splits(sums: list[np.ndarray], allowed: np.ndarray, l2: float, min_chil
     return out
 
 
-def _level(cuts_n, all_models: int, open_: np.ndarray, models: Models, since: Forest, forest: Forest, level: int, depth: int, tree: int, seed: int, groups: list[np.ndarray]):
-    """Map side of a level: this task's sums for the models ``open_``, one message for each group of them."""
+def _level(cuts_n, all_models: int, own: np.ndarray, models: Models, since: Forest, forest: Forest, level: int, depth: int, tree: int, seed: int, groups: list[np.ndarray]):
+    """Map side of a level: this task's sums for the models ``own``, one message for each group of them."""
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         whole = None
-        for x, y, fold, keys, margins in _rows(batches, len(cuts_n), all_models):
-            own = split_sums(x, y, fold, keys, add_trees(margins[:, open_], since, x, depth), forest, level, tree, models, cuts_n, seed)
-            whole = own if whole is None else [a + b for a, b in zip(whole, own)]
+        for cells in _cells(batches, len(cuts_n), all_models):
+            sums = split_sums(cells, own, since, forest, level, depth, tree, models, cuts_n, seed)
+            whole = sums if whole is None else whole + sums
         if whole is not None:
-            data = [b"".join(s[g].tobytes() for s in whole) for g in groups]
-            yield pa.record_batch({"group": pa.array(range(len(groups)), pa.int32()), "data": pa.array(data, pa.binary())})
+            yield pa.record_batch({"group": pa.array(range(len(groups)), pa.int32()), "data": pa.array([whole[g].tobytes() for g in groups], pa.binary())})
     return run
 
 
@@ -243,41 +338,58 @@ def _choose(cuts_n, width: int, groups: list[np.ndarray], allowed: np.ndarray, l
             for g, data in zip(batch.column(0).to_pylist(), batch.column(1)):
                 own = np.frombuffer(data.as_buffer(), np.float64)
                 added[g] = added[g] + own if g in added else own
+        ends = np.cumsum([1, *(b - 1 for b in cuts_n)])
         for g, flat in added.items():
-            n, at, sums = len(groups[g]), 0, []
-            for b in (1, *(b - 1 for b in cuts_n)):
-                size = n * width * b * 2
-                sums.append(flat[at:at + size].reshape(n, width, b, 2))
-                at += size
+            sums = np.split(flat.reshape(len(groups[g]), width, ends[-1], 2), ends[:-1], axis=2)
             yield pa.record_batch({"group": pa.array([g], pa.int32()), "data": pa.array([best_splits(sums, allowed[groups[g]], l2, min_child).tobytes()], pa.binary())})
     return run
 
 
 def _advance(models: int, dim: int, since: Forest, depth: int):
-    """Rows with the margins after the trees of ``since``."""
+    """Cells with the margins after the trees of ``since``."""
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        step = max(1, BLOCK // models)
         for batch in batches:
-            for i in range(0, batch.num_rows, step):
-                part = batch.slice(i, step)
-                for x, *_, margins in _rows(iter([part]), dim, models):
-                    new = add_trees(margins, since, x, depth)
+            for i in range(0, batch.num_rows, max(1, READ // models)):
+                part = batch.slice(i, max(1, READ // models))
+                for cells in _cells(iter([part]), dim, models):
+                    step = max(1, BLOCK // len(cells.y))
+                    new = np.empty(cells.margins.shape)
+                    for j in range(0, models, step):
+                        some = slice(j, min(models, j + step))
+                        new[:, some] = add_trees(np.ascontiguousarray(cells.margins[:, some].T), since.part(0, since.feature.shape[1], some), cells.x, depth).T
                     yield part.set_column(part.schema.get_field_index("_m"), "_m", pa.array([r.tobytes() for r in new], pa.binary()))
     return run
 
 
-def _held_out(models: Models, dim: int, keep: list[str], config: np.ndarray):
-    """Per row and model that has not seen it: kept columns, config, margin as probability."""
+def _held_out(models: Models, dim: int, config: np.ndarray):
+    """Per config and fold: the distinct probabilities by the model that has not seen the fold's rows, with numbers of rows of
+    class 1 and others."""
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         folds = np.array(models.folds)
-        step = max(1, BLOCK // len(folds))
+        for cells in _cells(batches, dim, len(folds)):
+            positive = cells.y == 1
+            for f in set(folds.tolist()):
+                n = cells.counts(cells.fold == f)
+                at = np.flatnonzero(n)
+                own = np.flatnonzero(folds == f) if len(at) else []
+                found = [np.unique(1.0 / (1.0 + np.exp(-cells.margins[at, m])), return_inverse=True) for m in own]
+                if found:
+                    size = [len(p) for p, _ in found]
+                    pos, neg = (np.concatenate([np.bincount(place, n[at] * c[at], len(p)) for p, place in found]).astype(np.int64) for c in (positive, ~positive))
+                    yield pa.record_batch([pa.array(np.repeat(config[own], size), pa.int32()), pa.array(np.full(sum(size), f), pa.int32()),
+                                           pa.array(np.concatenate([p for p, _ in found])), pa.array(pos), pa.array(neg)], ["config", "_fold", "p", "pos", "neg"])
+    return run
+
+
+def _out_of_fold(forest: Forest, folds: np.ndarray, dim: int, depth: int, keep: list[str]):
+    """Per row: kept columns and the probability by the model of its fold (of one point's models)."""
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
-            for i in range(0, batch.num_rows, step):
-                part = batch.slice(i, step)
-                for _, _, fold, _, margins in _rows(iter([part]), dim, len(folds)):
-                    row, model = np.nonzero(fold[:, None] == folds[None, :])
-                    kept = part.select(keep).take(pa.array(row))
-                    yield pa.record_batch([*kept.columns, pa.array(config[model], pa.int32()), pa.array(1.0 / (1.0 + np.exp(-margins[row, model])))], [*keep, "config", "p"])
+            if batch.num_rows:
+                x = _binary(batch.column(batch.schema.get_field_index("_x")))[0].reshape(batch.num_rows, dim)
+                margins = add_trees(np.zeros((len(folds), len(x))), forest, np.ascontiguousarray(x.T), depth)
+                model, row = np.nonzero(folds[:, None] == batch.column(batch.schema.get_field_index("_fold")).to_numpy()[None, :])
+                yield pa.record_batch([*batch.select(keep).take(pa.array(row)).columns, pa.array(1.0 / (1.0 + np.exp(-margins[model, row])))], [*keep, "p_oof"])
     return run
 
 
@@ -308,20 +420,22 @@ class Boosting:
         self.keep = list(dict.fromkeys([*key_cols, *keep]))
         self.cuts = fit_bins(df, features_col, max_bins)
         self.bins = [len(c) + 1 for c in self.cuts]
-        fold = F.col(fold_col).cast("int") if fold_col else F.lit(0)
+        fold = F.coalesce(F.col(fold_col).cast("int"), F.lit(-2)) if fold_col else F.lit(0)  # without a fold: seen by all models
         own = df.select(*self.keep, F.col(label).cast("int").alias("_y"), fold.alias("_fold"), F.xxhash64(*key_cols).alias("_k"),
-                        vector_to_array(F.col(features_col)).alias("_features"), F.lit(None).cast("binary").alias("_m"))
+                        vector_to_array(F.col(features_col)).alias("_features"))
         self.schema = StructType([StructField("_x", BinaryType()) if f.name == "_features" else f for f in own.schema.fields])
-        start = self._write(own.mapInArrow(_bin(self.cuts), self.schema), "start")
+        start = self._write(own.mapInArrow(_bin(self.cuts), self.schema), "start", self.schema)
         self.rows, last = start.agg(F.count(F.lit(1)), F.max("_fold")).first()
         self.folds = (last or 0) + 1 if fold_col else 0
+        runs = start.select("_x", "_y", "_k", "_fold").repartitionByRange(shuffle_partitions(self.spark), "_x", "_y", "_k").sortWithinPartitions("_x", "_y", "_k")
+        self.cells = self._write(runs.mapInArrow(_pack, CELLS), "cells").count()
 
-    def _write(self, df: DataFrame, name: str) -> DataFrame:
+    def _write(self, df: DataFrame, name: str, schema: StructType | str = CELLS) -> DataFrame:
         df.write.mode("overwrite").parquet(f"{self.root}/{name}")
-        return self._read(name)
+        return self._read(name, schema)
 
-    def _read(self, name: str) -> DataFrame:
-        return self.spark.read.schema(self.schema).parquet(f"{self.root}/{name}")
+    def _read(self, name: str, schema: StructType | str = CELLS) -> DataFrame:
+        return self.spark.read.schema(schema).parquet(f"{self.root}/{name}")
 
     def fit(self, points: Sequence[Point], whole: bool = True) -> GridFit:
         """Grows every point's models: one for each fold, and with ``whole`` one on all rows."""
@@ -333,9 +447,10 @@ class Boosting:
         n, depth, dim = len(models.folds), max(c.depth for c in configs), len(self.bins)
         forest = Forest.empty(n, stages[-1], depth)
         deep, rate, ends = models.array("depth"), models.array("rate"), np.array([last[c] for c in models.points])
-        # a row's work is that of all models: rows are spread by it, to at most as many tasks as shuffles have
-        tasks = min(shuffle_partitions(self.spark), max(1, -(-self.rows * n // WORK)))
-        state, at, name = self._read("start").repartition(tasks, "_k").persist(), 0, "start"
+        # a cell's work is that of all models: cells are spread by it, to at most as many tasks as shuffles have
+        work, cores = self.cells * n, self.spark.sparkContext.defaultParallelism
+        tasks = max(1, min(shuffle_partitions(self.spark), -(-work // WORK), max(cores, -(-work // MOST))))
+        state, at, name = self._read("cells").repartitionByRange(tasks, "_x", "_y").persist(), 0, "start"
         for tree in range(stages[-1]):
             now = forest.part(tree, tree + 1)
             shares = {s: columns_of(tree, s, dim, self.seed) for s in set(models.array("column_share").tolist())}
@@ -354,7 +469,7 @@ class Boosting:
                 self._grow(now, best, level, np.isin(np.arange(n), own), rate)
             forest.feature[:, tree], forest.cut[:, tree], forest.value[:, tree], forest.cover[:, tree] = (x[:, 0] for x in (now.feature, now.cut, now.value, now.cover))
             if (tree + 1) % CHECKPOINT == 0 or tree + 1 in stages:
-                after = self._write(state.mapInArrow(_advance(n, dim, forest.part(at, tree + 1), depth), self.schema), f"after-{tree + 1}")
+                after = self._write(state.mapInArrow(_advance(n, dim, forest.part(at, tree + 1), depth), CELLS), f"after-{tree + 1}")
                 state.unpersist()
                 if name != "start" and int(name.split("-")[1]) not in stages:
                     drop_path(self.spark, f"{self.root}/{name}")
@@ -389,26 +504,24 @@ class GridFit:
     stages: list[int]
 
     def held_out(self, stage: int) -> DataFrame:
-        """Key columns, label, fold, config and probability of every row by the models that have not seen it."""
+        """Config, fold, probabilities of the fold's rows by the config's model that has not seen them, and numbers of rows of
+        class 1 and others; a probability may come more than once."""
         b = self.boosting
         config = np.array([self.configs.index(p) for p in self.models.points])
-        rows = b._read(f"after-{stage}")
-        keep = [*b.keep, "_y", "_fold"]
-        schema = StructType([rows.schema[c] for c in keep] + StructType.fromDDL("config int, p double").fields)
-        return rows.mapInArrow(_held_out(self.models, len(b.bins), keep, config), schema)
+        return b._read(f"after-{stage}").mapInArrow(_held_out(self.models, len(b.bins), config), "config int, _fold int, p double, pos long, neg long")
 
     def scores(self) -> DataFrame:
         """One row for each point: its number and axes, roc_auc by fold, mean_auc and rank (first point on ties)."""
         from pyspark.sql import Window
 
-        from riskspark.operators.evaluate import roc_auc
+        from riskspark.operators.evaluate import roc_auc_of_counts
 
         spark = self.boosting.spark
-        parts = [self.held_out(s).select(F.lit(s).alias("trees"), "config", "_fold", "_y", "p") for s in self.stages]
+        parts = [self.held_out(s).withColumn("trees", F.lit(s)) for s in self.stages]
         rows = parts[0]
         for p in parts[1:]:
             rows = rows.unionByName(p)
-        auc = roc_auc(rows, "_y", "p", by=["trees", "config", "_fold"])
+        auc = roc_auc_of_counts(rows, "p", "pos", "neg", by=["trees", "config", "_fold"])
         by_point = auc.groupBy("trees", "config").agg(F.sort_array(F.collect_list(F.struct(F.col("_fold").alias("fold"), "roc_auc"))).alias("folds"), F.avg("roc_auc").alias("mean_auc"))
         axes = [(i, self.configs.index(replace(p, trees=0)), *asdict(p).values()) for i, p in enumerate(self.points)]
         names = spark.createDataFrame(axes, "point int, config int, trees int, depth int, rate double, positive_weight double, row_share double, column_share double")
@@ -421,9 +534,13 @@ class GridFit:
 
     def out_of_fold(self, point: Point) -> DataFrame:
         """Key columns, label and ``p_oof`` of every row by the model of its fold."""
-        own = self.configs.index(replace(point, trees=0))
-        rows = self.held_out(point.trees).where(F.col("config") == own)
-        return rows.select(*self.boosting.keep, *([F.col("_y").alias(self.boosting.label)] if self.boosting.label not in self.boosting.keep else []), F.col("p").alias("p_oof"))
+        b = self.boosting
+        own = np.array([i for i, (p, f) in enumerate(zip(self.models.points, self.models.folds)) if p == replace(point, trees=0) and f >= 0], int)
+        rows = b._read("start", b.schema)
+        keep = list(dict.fromkeys([*b.keep, "_y"]))
+        schema = StructType([rows.schema[c] for c in keep] + StructType.fromDDL("p_oof double").fields)
+        scored = rows.mapInArrow(_out_of_fold(self.forest.part(0, point.trees, own), np.array(self.models.folds)[own], len(b.bins), max(c.depth for c in self.configs), keep), schema)
+        return scored.select(*b.keep, *([F.col("_y").alias(b.label)] if b.label not in b.keep else []), "p_oof")
 
     def model(self, point: Point, fold: int = -1) -> BoostedTrees:
         """The point's model on all rows, or the one that has not seen ``fold``."""

@@ -92,7 +92,16 @@ def cumulative_scores(df: DataFrame, label: str, score: str, by: Sequence[str] =
 
 def roc_auc(df: DataFrame, label: str, score: str, by: Sequence[str] = ()) -> DataFrame:
     """P(score_pos > score_neg) + P(tie)/2, exact, per ``by`` group."""
-    cs = cumulative_scores(df, label, score, by)
+    return _auc(cumulative_scores(df, label, score, by), by)
+
+
+def roc_auc_of_counts(df: DataFrame, score: str, pos: str, neg: str, by: Sequence[str] = ()) -> DataFrame:
+    """E2 of rows that stand for ``pos`` positive and ``neg`` negative rows of one score; a score may come more than once."""
+    table = df.where(F.col(score).isNotNull()).groupBy(*by, F.col(score).cast("double").alias("s")).agg(F.sum(pos).alias("pos"), F.sum(neg).alias("neg"))
+    return _auc(running_sums(table, "s", ["pos", "neg"], part_cols=by), by)
+
+
+def _auc(cs: DataFrame, by: Sequence[str]) -> DataFrame:
     neg_below = F.col("cum_neg") - F.col("neg")
     return (cs.groupBy(*by).agg(
         F.sum(F.col("pos").cast("double") * (neg_below + F.col("neg") / 2.0)).alias("_u"),

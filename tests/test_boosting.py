@@ -148,3 +148,31 @@ def test_grid_and_bounds(spark):
     fit = B.Boosting(one, "features", "label", ["k"]).fit([B.Point(2, 3)])
     assert [r[:3] for r in fit.model(B.Point(2, 3)).rows()] == [(0, 0, -1), (1, 0, -1)]
     fit.close()
+
+
+def test_equal_rows_are_one_cell(spark, monkeypatch):
+    """40 different rows, 600 times in all: work goes by cell, and draws, folds, splits and probabilities are those of the single rows."""
+    monkeypatch.setattr(B, "CHECKPOINT", 3)
+    x, y = make(40, 3)
+    pick = np.r_[np.arange(40), np.zeros(200, int), np.random.default_rng(1).integers(0, 40, 360)]  # one of them frequent
+    x, y = x[pick], y[pick]
+    rows = [(i, Vectors.dense(v), int(c), None if i % 50 == 49 else i % 3) for i, (v, c) in enumerate(zip(x, y))]
+    df = spark.createDataFrame(rows, ["k", "features", "label", "fold"])
+    boost = B.Boosting(df.repartition(5), "features", "label", ["k"], "fold")
+    assert boost.rows == 600 and boost.cells < 60
+    fit = boost.fit(POINTS)
+    keys, fold = keys_of(spark, 600), np.array([-2 if r[3] is None else r[3] for r in rows])
+    for point in POINTS:
+        for f in (-1, 0, 2):
+            margin, trees = plain(x, y, keys, point, boost.cuts, masks=fold != f)
+            model = fit.model(point, f)
+            assert len(model.rows()) == sum(map(len, trees)) and np.allclose(model.margins(x), margin, atol=1e-9)
+    scores = {r.point: {f.fold: f.roc_auc for f in r.folds} for r in fit.scores().collect()}
+    for i, point in enumerate(POINTS):
+        oof = {r.k: r.p_oof for r in fit.out_of_fold(point).collect()}
+        assert sorted(oof) == [i for i in range(600) if fold[i] >= 0]  # a row without a fold trains all models
+        for f in range(3):
+            p = np.array([oof[k] for k in np.flatnonzero(fold == f)])
+            pos, neg = p[y[fold == f] == 1], p[y[fold == f] == 0]
+            assert abs(scores[i][f] - ((pos[:, None] > neg).mean() + 0.5 * (pos[:, None] == neg).mean())) < 1e-9
+    fit.close()
