@@ -23,10 +23,11 @@ import pyarrow.compute as pc
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from riskspark.llm.common import Below, Numbered, ragged, slices, table, with_column
+from riskspark.llm.common import Numbered, ragged, slices, table, with_column
 
 NONE = np.int32(2**31 - 1)
 BAND = 512  # ranks that are taken out of the inverted index together
+PLACES = 1 << 18  # pieces of texts that are looked up together
 KNOWN_WORDS = 100_000  # words (of at most KNOWN_CHARS characters) that a worker remembers, some 25 MB
 KNOWN_CHARS = 64
 ENCODE_CHARS = 2_000_000  # characters whose words are replayed together
@@ -203,31 +204,54 @@ class Remembered:
         return out
 
 
-def split_chunks(text: str, plain: Numbered, spaced: Below, newline: int) -> list[int]:
-    """Numbers of the pieces of a text at the borders where no match of the pattern can cross: before a
-    space or around a line end that stands alone between two other characters. ``spaced`` holds pieces
-    that follow a space."""
-    if not text:
-        return []
-    if "  " in text or "\n\n" in text or " \n" in text or "\n " in text or text[0] in " \n" or text[-1] in " \n" \
-            or len(text.split()) != text.count(" ") + text.count("\n") + 1:  # then other white space stands between words
-        return [plain[text]]
-    out: list[int] = []
-    for line in text.split("\n"):
-        head, *rest = line.split(" ")
-        out.append(plain[head])
-        out.extend(map(spaced.__getitem__, rest))
-        out.append(newline)
-    out.pop()
-    return out
+def _splits(text: str) -> bool:
+    """Whether a text holds only single spaces and line ends, each between two other characters."""
+    return not ("  " in text or "\n\n" in text or " \n" in text or "\n " in text or text[0] in " \n" or text[-1] in " \n"
+                or len(text.split()) != text.count(" ") + text.count("\n") + 1)  # then other white space stands between words
+
+
+def _strings(column: pa.LargeStringArray) -> list[str]:
+    ends = np.frombuffer(column.buffers()[1], np.int64, len(column) + 1, column.offset * 8).tolist() if len(column) else [0]
+    data = column.buffers()[2].to_pybytes() if len(column) else b""
+    return [data[a:b].decode() for a, b in zip(ends, ends[1:])]
+
+
+def split_pieces(texts: list[str]) -> tuple[list[str], np.ndarray, np.ndarray]:
+    """(distinct pieces, number of the piece at each place, places of each text). Texts are cut at the borders where no
+    match of the pattern can cross: before a space or around a line end that stands alone between two other characters.
+    Other texts are one piece."""
+    whole, single = Numbered(), [i for i, t in enumerate(texts) if t and not _splits(t)]
+    numbers = np.array([whole[texts[i]] for i in single], np.int64)
+    lens = np.zeros(len(texts), np.int64)
+    lens[single] = 1
+    cut = np.flatnonzero((lens == 0) & np.fromiter(map(bool, texts), bool, len(texts)))
+    lines = pc.replace_substring(pa.array([texts[i] for i in cut.tolist()], pa.large_string()), pattern="\n", replacement=" \n ")
+    words = pc.split_pattern(lines, pattern=" ")
+    lens[cut] = pc.list_value_length(words).to_numpy()
+    coded = words.flatten().dictionary_encode()
+    code = coded.indices.to_numpy().astype(np.int64)
+    line_end = code == pc.index(coded.dictionary, pa.scalar("\n", pa.large_string())).as_py()
+    plain = line_end.copy()  # the others follow a space
+    plain[(np.cumsum(lens[cut]) - lens[cut])] = True
+    plain[1:] |= line_end[:-1]
+    code = 2 * code + plain
+    used = np.flatnonzero(np.bincount(code, minlength=1))
+    place = np.zeros(int(used[-1]) + 1 if len(code) else 1, np.int64)
+    place[used] = np.arange(len(used))
+    spelled = _strings(coded.dictionary)
+    pieces = [spelled[c >> 1] if c & 1 else " " + spelled[c >> 1] for c in used.tolist()] if len(code) else []
+    if not single:
+        return pieces, place[code], lens
+    at, starts = np.empty(int(lens.sum()), np.int64), np.cumsum(lens) - lens
+    at[ragged(starts[cut], lens[cut])] = place[code]
+    at[starts[single]] = len(pieces) + numbers
+    return [*pieces, *whole], at, lens
 
 
 def encode_slice(texts: list[str], words_of, encode_words) -> tuple[np.ndarray, np.ndarray]:
     """Ids of all texts one after the other and the number of ids of each text. ``words_of(piece)`` lists
     the words of a piece; ``encode_words(words)`` gives their flat ids and counts."""
-    plain, spaced = Numbered({"\n": 0}), Below()  # one counts up and one down, so both fit one array
-    docs = [np.array(split_chunks(t, plain, spaced, 0), np.int32) for t in texts]
-    pieces = [*plain, *(" " + s for s in spaced)]
+    pieces, at, places = split_pieces(texts)
     index = Numbered()
     spelled = [[index[p]] if p[p[0] == " ":].isalpha() else [index[w] for w in words_of(p)] for p in pieces]
     flat, counts = encode_words(list(index))
@@ -238,20 +262,11 @@ def encode_slice(texts: list[str], words_of, encode_words) -> tuple[np.ndarray,
     piece_word = np.repeat(np.arange(len(pieces)), lens)
     piece_n = np.bincount(piece_word, weights=counts[word], minlength=len(pieces)).astype(np.int64)
     piece_start = np.cumsum(piece_n) - piece_n
-    n_plain = len(plain)
-    ids, sizes, group = [], np.zeros(len(texts), np.int64), []
-    for i, d in enumerate(docs):
-        group.append(d)
-        if i + 1 == len(docs) or (i + 1) % 256 == 0:
-            at = np.concatenate(group)
-            at = np.where(at >= 0, at, n_plain - 1 - at)
-            n = piece_n[at]
-            ids.append(piece_flat[ragged(piece_start[at], n)])
-            total = np.concatenate([[0], np.cumsum(n)])
-            ends = np.cumsum([len(x) for x in group])
-            sizes[i + 1 - len(group):i + 1] = np.diff(total[np.concatenate([[0], ends])])
-            group = []
-    return (np.concatenate(ids) if ids else np.zeros(0, np.int32)), sizes
+    n = piece_n[at]
+    ids = [piece_flat[ragged(piece_start[at[i:i + PLACES]], n[i:i + PLACES])] for i in range(0, len(at), PLACES)]
+    total = np.concatenate([[0], np.cumsum(n)])
+    ends = np.cumsum(places)
+    return (np.concatenate(ids) if ids else np.zeros(0, np.int32)), total[ends] - total[ends - places]
 
 
 _READY: dict[tuple, tuple] = {}  # per worker process: the tables made from the broadcast ranks

@@ -2,9 +2,11 @@
 
 A block's next id is predicted by the id that last followed the same two ids (order 2), the id that last followed
 the same one (order 1), and the counts of the block's ids so far (order 0, counted anew at the block's EPOCHS). The
-weights of the three adapt to how often each was right in the same situation. An id that the block has not
-counted yet is coded as one of the segment's ids. Each block starts from nothing and has a checksum of its own, so
-any block can be read by itself. Blocks are lanes of numpy arrays: one step codes one id of every block.
+weights of the three adapt to how often each was right in the same situation. The order that is taken and the id's place in
+the counts are one interval, so an id is one step; an id that the block has not
+counted yet is then coded as one of the segment's ids. Each block starts from nothing and has a checksum of its own, so
+any block can be read by itself. Blocks are lanes of numpy arrays: one step codes one id of every block. A writer knows
+all ids, so it works out the intervals for whole blocks first, and only narrows them step by step.
 
 A segment: magic, version, sizes, the ids that occur (rising), doc ids and lengths, a table of blocks
 (ids, words, crc32 of the ids as little-endian 32-bit numbers), the blocks' 32-bit words.
@@ -20,81 +22,112 @@ import numpy as np
 BLOCK = 2048
 EPOCHS = (64, 256, 1024)
 SLOTS = 2048
+MOST_BLOCK = (1 << 16) - 1  # ids of a block: its place in the head, and an interval's total stays below 2^32
+GROUP = 1 << 15  # ids whose intervals are worked out together
+VERSION = 2
 MAGIC = b"TIDR"
 HEAD = struct.Struct("<4sHHIIII")  # magic, version, block size, ids, different ids, documents, blocks
-TOP, LOW24, WORD = np.uint64(1 << 32), np.uint64(1 << 24), np.uint64(32)
+TOP, WORD, ONE = np.uint64(1 << 32), np.uint64(32), np.uint64(1)
 MASK = np.uint64((1 << 32) - 1)
+# weights of a situation, 21 bits each (order 2, order 1, order 0): all one at first, and what each choice adds
+FIELD, FIELDS = np.uint64((1 << 21) - 1), (np.uint64(21), np.uint64(42))
+EVEN, STEPS = np.uint64(1 | 1 << 21 | 1 << 42), np.array([2, 2 << 21, 2 << 42], np.uint64)
 
 
 class Order0:
-    """Counts of each lane's ids so far, as intervals: sorted keys (lane, id), counts, starts within the lane."""
-
-    def __init__(self, seen: np.ndarray, lanes: int):
-        """``seen``: ids so far, a row for each step, a column for each lane."""
-        steps = len(seen)
-        keys = np.sort((np.arange(lanes, dtype=np.int64)[None, : seen.shape[1]] << 32 | seen).reshape(-1))
-        first = np.flatnonzero(np.concatenate([[True], keys[1:] != keys[:-1]])) if len(keys) else np.zeros(0, np.int64)
-        self.keys = keys[first]
-        self.count = np.diff(np.append(first, len(keys)))
-        self.lane = self.keys >> 32
-        self.begin = first - self.lane * steps  # every lane has ``steps`` ids
-        self.ends = self.lane * (steps + 1) + self.begin  # one axis for all lanes, rising
-        self.escape = np.bincount(self.lane, minlength=lanes) + 1
-        self.steps = steps
+    """Counts of each lane's ids so far, as intervals: a lane's ids in order, so that a place in them tells the id."""
+
+    def __init__(self, seen: np.ndarray):
+        """``seen``: ids so far, a row for each lane."""
+        lanes, self.steps = seen.shape
+        rows = np.sort(seen, axis=1)
+        head = np.ones(rows.shape, bool)
+        head[:, 1:] = rows[:, 1:] != rows[:, :-1]
+        self.first = np.flatnonzero(head)
+        self.count = np.diff(np.append(self.first, rows.size))
+        self.rows = rows.reshape(-1)
+        self.escape = head.sum(axis=1) + 1 if self.steps else np.ones(lanes, np.int64)
+        self.total = (self.escape + self.steps).astype(np.uint64)
 
     def intervals(self, ids: np.ndarray, lane: np.ndarray) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
-        """(start, width, known) of ids; unknown ones get the escape interval."""
-        if not len(self.keys):
-            return np.zeros(ids.shape, np.int64), np.ones(ids.shape, np.int64), np.zeros(ids.shape, bool)
+        """(start, width, known) of ids; unknown ones get the escape interval. Fast where ``lane`` rises."""
+        if not self.steps:
+            return np.zeros(len(ids), np.int64), np.ones(len(ids), np.int64), np.zeros(len(ids), bool)
+        keys = (self.first // self.steps) << 32 | self.rows[self.first]
         key = lane << 32 | ids
-        i = np.minimum(np.searchsorted(self.keys, key), len(self.keys) - 1)
-        known = self.keys[i] == key
-        return np.where(known, self.begin[i], self.steps), np.where(known, self.count[i], self.escape[lane]), known
-
-    def find(self, target: np.ndarray, lane: np.ndarray) -> tuple[np.ndarray, np.ndarray, np.ndarray, np.ndarray]:
-        """(id, start, width, known) of the interval that holds each target."""
-        known = target < self.steps
-        if not len(self.keys):
-            return np.zeros(len(target), np.int64), np.zeros(len(target), np.int64), np.ones(len(target), np.int64), known
-        i = np.maximum(np.searchsorted(self.ends, lane * (self.steps + 1) + np.minimum(target, self.steps - 1), side="right") - 1, 0)
-        return (self.keys[i] & 0xFFFFFFFF, np.where(known, self.begin[i], self.steps), np.where(known, self.count[i], self.escape[lane]), known)
-
-
-class Mixer:
-    """Order-1 and order-2 predictions and the weights of the three orders, for all lanes."""
-
-    def __init__(self, lanes: int):
-        lane = np.arange(lanes, dtype=np.int64)
-        self.follow1, self.follow2 = np.full(lanes * SLOTS, -1, np.int32), np.full(lanes * SLOTS, -1, np.int32)
-        self.base, self.cases = lane * SLOTS, lane * 5
-        self.right = np.ones((lanes * 5, 3), np.int64)  # times that order 2, 1, 0 was taken, by situation
-
-    def predict(self, one: np.ndarray, two: np.ndarray):
-        """Looks up the predictions after ``one`` (last id) and ``two`` (the id before)."""
-        n = len(one)
-        self.slot1 = self.base[:n] + (one & (SLOTS - 1))
-        self.slot2 = self.base[:n] + ((one * 40503 + two * 30011 >> 3) & (SLOTS - 1))
-        c1, c2 = self.follow1[self.slot1], self.follow2[self.slot2]
-        have1, have2 = c1 >= 0, c2 >= 0
-        self.case = self.cases[:n] + have1 + 2 * have2 + ((c1 == c2) & have2)
-        self.c1, self.c2 = c1, c2
-        self.w = self.right[self.case]
-        return self.w
-
-    def learn(self, ids: np.ndarray, choice: np.ndarray) -> None:
-        self.right[self.case, choice] += 2
-        self.follow1[self.slot1] = ids
-        self.follow2[self.slot2] = ids
-
-
-def _grid(ids: np.ndarray, block: int) -> tuple[np.ndarray, np.ndarray]:
+        i = np.minimum(np.searchsorted(keys, key), len(keys) - 1)
+        known = keys[i] == key
+        return np.where(known, self.first[i] % self.steps, self.steps), np.where(known, self.count[i], self.escape[lane]), known
+
+    def cells(self) -> np.ndarray:
+        """For each place of each lane's counts: id, start (16 bits), width (16 bits)."""
+        own = self.rows[self.first] << 32 | (self.first % max(self.steps, 1)) << 16 | self.count
+        return np.repeat(own.astype(np.uint64), self.count)
+
+
+def _rows(ids: np.ndarray, block: int) -> tuple[np.ndarray, np.ndarray]:
+    """The blocks as rows, the last one filled up with zeros, and their lengths."""
     lanes = -(-len(ids) // block)
     full = np.zeros(lanes * block, np.int64)
     full[: len(ids)] = ids
     lens = np.full(lanes, block)
-    if lanes:
-        lens[-1] = len(ids) - (lanes - 1) * block
-    return np.ascontiguousarray(full.reshape(lanes, block).T), lens
+    lens[-1] = len(ids) - (lanes - 1) * block
+    return full.reshape(lanes, block), lens
+
+
+def _slot2(one: np.ndarray, two: np.ndarray) -> np.ndarray:
+    return (one * 40503 + two * 30011 >> 3) & (SLOTS - 1)
+
+
+def _followed(slot: np.ndarray, rows: np.ndarray) -> np.ndarray:
+    """For each place of each row the id that last stood at the same slot before, or -1."""
+    lanes, block = rows.shape
+    bits = (block - 1).bit_length()
+    key = np.sort((slot << bits | np.arange(block)).astype(np.uint32), axis=1)  # SLOTS and a block take 27 bits
+    at = ((key & np.uint32((1 << bits) - 1)).astype(np.int64) + np.arange(lanes)[:, None] * block).reshape(-1)
+    key >>= np.uint32(bits)
+    ids = rows.reshape(-1)[at]
+    last = np.full(rows.shape, -1, np.int64)
+    last[:, 1:] = np.where(key[:, 1:] == key[:, :-1], ids.reshape(rows.shape)[:, :-1], -1)
+    out = np.empty(rows.size, np.int64)
+    out[at] = last.reshape(-1)
+    return out.reshape(rows.shape)
+
+
+def _intervals(rows: np.ndarray, block: int) -> tuple[np.ndarray, np.ndarray, np.ndarray, np.ndarray]:
+    """(start, width, total, new) of each id of each row; a new one is coded as one of the segment's ids after that."""
+    one, two = np.zeros_like(rows), np.zeros_like(rows)
+    one[:, 1:], two[:, 2:] = rows[:, :-1], rows[:, :-2]
+    c1, c2 = _followed(one & (SLOTS - 1), rows), _followed(_slot2(one, two), rows)
+    have2 = c2 >= 0
+    case = (c1 >= 0) + 2 * have2 + ((c1 == c2) & have2)
+    hit2 = rows == c2
+    hit1 = (rows == c1) & ~hit2
+    step = STEPS.take(2 - 2 * hit2 - hit1)
+    taken = np.full(rows.shape, EVEN)
+    for k in range(5):
+        own = np.where(case == k, step, np.uint64(0))
+        taken += np.where(case == k, np.cumsum(own, axis=1) - own, np.uint64(0))
+    w2, w1, w0 = _weights(taken)  # of order 2, 1, 0
+    start, width, new = np.zeros(rows.shape, np.uint64), np.ones(rows.shape, np.uint64), ~(hit2 | hit1)
+    scale = np.ones(rows.shape, np.uint64)
+    for begin, end in _epochs(block):
+        table = Order0(rows[:, :begin])
+        scale[:, begin:end] = table.total[:, None]
+        at = np.flatnonzero(new[:, begin:end])
+        lane = at // (end - begin)
+        at = at - lane * (end - begin) + lane * block + begin
+        start.reshape(-1)[at], width.reshape(-1)[at], known = table.intervals(rows.reshape(-1)[at], lane)
+        new.reshape(-1)[at] = ~known
+    a, b = w2 * scale, (w2 + w1) * scale
+    start = np.where(hit2, np.uint64(0), np.where(hit1, a, b + w0 * start))
+    width = np.where(hit2, a, np.where(hit1, b - a, w0 * width))
+    return start, width, b + w0 * scale, new
+
+
+def _weights(taken: np.ndarray) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
+    """Weights of order 2, 1, 0: twice the times that each was taken, and one."""
+    return taken & FIELD, taken >> FIELDS[0] & FIELD, taken >> FIELDS[1]
 
 
 def digits(kinds: int) -> list[tuple[int, int]]:
@@ -109,22 +142,26 @@ def _epochs(block: int) -> list[tuple[int, int]]:
 
 def settle(lo: np.ndarray, w: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
     """(lanes whose interval [lo, lo + w) has settled its upper 32 bits or grew narrow, the width that they go on with).
-    A narrow interval across a border is cut at it. A settled one of exactly 2^32 goes on as one less: it would be 0
-    when shifted."""
-    settled = (lo ^ (lo + w - np.uint64(1))) < TOP
-    k = np.flatnonzero(settled | (w < LOW24))
-    return k, np.where(settled[k], np.minimum(w[k], MASK), (~lo[k] + np.uint64(1)) & MASK)
+    A narrow interval (at most 2^32; a total is below that) across a border is cut at it. A settled one of exactly 2^32 goes on
+    as one less: it would be 0 when shifted."""
+    k = np.flatnonzero(w <= TOP)  # a wider one can't be settled
+    a, v = lo[k], w[k]
+    return k, np.where((a ^ (a + (v - ONE))) < TOP, np.minimum(v, MASK), (~a + ONE) & MASK)
 
 
 def encode_blocks(ids: np.ndarray, kinds: int, block: int = BLOCK) -> list[np.ndarray]:
-    """The 32-bit words of each block; ``ids`` are below ``kinds`` (at most 2^32)."""
+    """The 32-bit words of each block; ``ids`` are below ``kinds`` (at most 2^31)."""
     if not len(ids):
         return []
-    grid, lens = _grid(ids, block)
+    rows, lens = _rows(ids, block)
     lanes = len(lens)
+    start, freq, total = (np.empty((block, lanes), np.uint32) for _ in range(3))
+    fresh = np.empty((block, lanes), bool)
+    many = max(1, GROUP // block)
+    for i in range(0, lanes, many):
+        start[:, i:i + many], freq[:, i:i + many], total[:, i:i + many], fresh[:, i:i + many] = (x.T for x in _intervals(rows[i:i + many], block))
     low, width = np.zeros(lanes, np.uint64), np.full(lanes, ~np.uint64(0))
-    out, used = np.zeros((lanes, 4 * block + 4), np.uint32), np.zeros(lanes, np.int64)  # at most four symbols an id, a word each
-    mixer = Mixer(lanes)
+    out, used = np.zeros((lanes, 3 * block + 4), np.uint32), np.zeros(lanes, np.int64)  # at most three symbols an id, a word each
 
     def put(lane, start, freq, total):
         r = width[lane] // total
@@ -138,37 +175,15 @@ def encode_blocks(ids: np.ndarray, kinds: int, block: int = BLOCK) -> list[np.nd
             lo[k], w[k] = a << WORD, b << WORD
         low[lane], width[lane] = lo, w
 
-    zero = np.zeros(lanes, np.int64)
+    for t in range(block):
+        n = lanes if lens[-1] > t else lanes - 1  # the last lane may be shorter
+        if not n:
+            break
+        put(slice(0, n), *(x[t, :n].astype(np.uint64) for x in (start, freq, total)))
+        new = np.flatnonzero(fresh[t, :n])
+        for shift, values in digits(kinds) if len(new) else ():
+            put(new, (rows[new, t] >> shift & 0xFFFF).astype(np.uint64), ONE, np.uint64(values))
     lane_ids = np.arange(lanes)
-    for begin, end in _epochs(block):
-        n_seen = lanes if lens[-1] >= begin else lanes - 1  # the last lane may be shorter
-        table = Order0(grid[:begin, :n_seen] if begin else np.zeros((0, lanes), np.int64), lanes)
-        total0 = (table.escape + table.steps).astype(np.uint64)
-        part = grid[begin:end]
-        start0, width0, known0 = table.intervals(part, np.broadcast_to(lane_ids, part.shape))
-        start0, width0 = start0.astype(np.uint64), width0.astype(np.uint64)
-        for t in range(begin, end):
-            n = lanes if lens[-1] > t else lanes - 1
-            if not n:
-                break
-            x = grid[t, :n]
-            w = mixer.predict(grid[t - 1, :n] if t else zero[:n], grid[t - 2, :n] if t > 1 else zero[:n])
-            hit2 = x == mixer.c2
-            hit1 = (x == mixer.c1) & ~hit2
-            choice = 2 - 2 * hit2 - hit1
-            w0, w1, w2 = w[:, 0], w[:, 1], w[:, 2]
-            start = np.where(hit2, 0, np.where(hit1, w0, w0 + w1)).astype(np.uint64)
-            freq = np.where(hit2, w0, np.where(hit1, w1, w2)).astype(np.uint64)
-            put(slice(0, n), start, freq, (w0 + w1 + w2).astype(np.uint64))
-            mixer.learn(x, choice)
-            miss = np.flatnonzero(choice == 2)
-            if len(miss):
-                row = t - begin
-                if table.steps:
-                    put(miss, start0[row, miss], width0[row, miss], total0[miss])
-                new = miss[~known0[row, miss]]
-                for shift, many in digits(kinds) if len(new) else ():
-                    put(new, (x[new] >> shift & 0xFFFF).astype(np.uint64), np.uint64(1), np.uint64(many))
     out[lane_ids, used] = (low >> WORD).astype(np.uint32)
     out[lane_ids, used + 1] = (low & MASK).astype(np.uint32)
     return [out[i, : used[i] + 2] for i in range(lanes)]
@@ -179,18 +194,17 @@ def decode_blocks(blocks: list[np.ndarray], lens: np.ndarray, kinds: int, block:
     if not blocks:
         return np.zeros(0, np.int64)
     lanes = len(blocks)
-    longest = max(map(len, blocks))
-    words = np.zeros((lanes, longest + 3), np.uint64)
+    width_ = max(map(len, blocks)) + 3
+    words = np.zeros((lanes, width_), np.uint32)
     for i, b in enumerate(blocks):
         words[i, : len(b)] = b
     low, width = np.zeros(lanes, np.uint64), np.full(lanes, ~np.uint64(0))
-    code, used = words[:, 0] << WORD | words[:, 1], np.full(lanes, 2)
-    mixer = Mixer(lanes)
+    code, used = words[:, 0].astype(np.uint64) << WORD | words[:, 1], np.full(lanes, 2)
+    words, first = words.reshape(-1), np.arange(lanes) * width_
     grid = np.zeros((block, lanes), np.int64)
-
-    def target(lane, total):
-        r = width[lane] // total
-        return np.minimum((code[lane] - low[lane]) // r, total - np.uint64(1)), r
+    bases, cases = np.arange(lanes, dtype=np.int64) * SLOTS, np.arange(lanes, dtype=np.int64) * 5
+    follow1, follow2 = np.full(lanes * SLOTS, -1, np.int32), np.full(lanes * SLOTS, -1, np.int32)
+    taken = np.full(lanes * 5, EVEN)
 
     def take(lane, r, start, freq):
         lo, w = low[lane] + start * r, freq * r
@@ -198,7 +212,7 @@ def decode_blocks(blocks: list[np.ndarray], lens: np.ndarray, kinds: int, block:
         if len(k):
             at = k if isinstance(lane, slice) else lane[k]
             a = lo[k]
-            code[at] = code[at] << WORD | words[at, np.minimum(used[at], longest + 2)]
+            code[at] = code[at] << WORD | words[first[at] + np.minimum(used[at], width_ - 1)]
             used[at] += 1
             lo[k], w[k] = a << WORD, b << WORD
         low[lane], width[lane] = lo, w
@@ -206,46 +220,59 @@ def decode_blocks(blocks: list[np.ndarray], lens: np.ndarray, kinds: int, block:
     zero = np.zeros(lanes, np.int64)
     last = int(lens[-1])
     for begin, end in _epochs(block):
-        n_seen = lanes if last >= begin else lanes - 1
-        table = Order0(grid[:begin, :n_seen] if begin else np.zeros((0, lanes), np.int64), lanes)
-        total0 = (table.escape + table.steps).astype(np.uint64)
+        table = Order0(grid[:begin].T)
+        cells, steps = table.cells(), table.steps
+        escape = table.escape.astype(np.uint64)
         for t in range(begin, end):
             n = lanes if last > t else lanes - 1
             if not n:
                 break
-            w = mixer.predict(grid[t - 1, :n] if t else zero[:n], grid[t - 2, :n] if t > 1 else zero[:n])
-            w0, w1, w2 = w[:, 0], w[:, 1], w[:, 2]
-            goal, r = target(slice(0, n), (w0 + w1 + w2).astype(np.uint64))
-            goal = goal.astype(np.int64)
-            hit2 = goal < w0
-            hit1 = ~hit2 & (goal < w0 + w1)
-            choice = 2 - 2 * hit2 - hit1
-            start = np.where(hit2, 0, np.where(hit1, w0, w0 + w1)).astype(np.uint64)
-            freq = np.where(hit2, w0, np.where(hit1, w1, w2)).astype(np.uint64)
+            one, two = grid[t - 1, :n] if t else zero[:n], grid[t - 2, :n] if t > 1 else zero[:n]
+            slot1, slot2 = bases[:n] + (one & (SLOTS - 1)), bases[:n] + _slot2(one, two)
+            c1, c2 = follow1.take(slot1), follow2.take(slot2)
+            have2 = c2 >= 0
+            case = cases[:n] + ((c1 >= 0).view(np.int8) + (have2.view(np.int8) << 1) + ((c1 == c2) & have2).view(np.int8))
+            before = taken.take(case)
+            w2, w1, w0 = _weights(before)
+            scale = table.total[:n]
+            a, b = w2 * scale, (w2 + w1) * scale
+            total = b + w0 * scale
+            r = width[:n] // total
+            goal = np.minimum((code[:n] - low[:n]) // r, total - ONE)
+            known2, miss = goal < a, goal >= b
+            start, freq = a * ~known2, np.where(known2, a, b - a)
+            x = np.where(known2, c2, c1)
+            missed = np.flatnonzero(miss)
+            place = (goal[missed] - b[missed]) // w0[missed]
+            known = place < np.uint64(steps)
+            new = missed[~known]
+            if len(new):
+                start[new] = b[new] + w0[new] * np.uint64(steps)
+                freq[new] = w0[new] * escape[new]
+                x[new] = 0
+                missed, place = missed[known], place[known]
+            if len(missed):
+                cell = cells.take(missed * steps + place.astype(np.int64))
+                x[missed] = cell >> WORD
+                start[missed] = b[missed] + w0[missed] * (cell >> np.uint64(16) & np.uint64(0xFFFF))
+                freq[missed] = w0[missed] * (cell & np.uint64(0xFFFF))
             take(slice(0, n), r, start, freq)
-            x = np.where(hit2, mixer.c2, mixer.c1).astype(np.int64)
-            miss = np.flatnonzero(choice == 2)
-            if len(miss):
-                new = miss
-                if table.steps:
-                    goal, r = target(miss, total0[miss])
-                    got, start, freq, known = table.find(goal.astype(np.int64), miss)
-                    take(miss, r, start.astype(np.uint64), freq.astype(np.uint64))
-                    x[miss] = got
-                    new = miss[~known]
-                if len(new):
-                    x[new] = 0
-                for shift, many in digits(kinds) if len(new) else ():
-                    goal, r = target(new, np.uint64(many))
-                    take(new, r, goal, np.uint64(1))
-                    x[new] |= goal.astype(np.int64) << shift
+            for shift, values in digits(kinds) if len(new) else ():
+                r = width[new] // np.uint64(values)
+                goal = np.minimum((code[new] - low[new]) // r, np.uint64(values - 1))
+                take(new, r, goal, ONE)
+                x[new] |= goal.astype(np.int32) << shift
             grid[t, :n] = x
-            mixer.learn(x, choice)
+            follow1[slot1] = x
+            follow2[slot2] = x
+            taken[case] = before + STEPS.take((~known2).view(np.int8) + miss.view(np.int8))
     return np.concatenate([grid[: lens[i], i] for i in range(lanes)])
 
 
 def write_segment(doc_ids: list[int | None], lengths: np.ndarray, ids: np.ndarray, block: int = BLOCK) -> bytes:
     """One segment: whole documents one after the other."""
+    if not 0 < block <= MOST_BLOCK:
+        raise ValueError(f"a block holds 1 to {MOST_BLOCK} ids")
     ids = np.asarray(ids, np.int64)
     kinds = np.flatnonzero(np.bincount(ids)) if len(ids) else ids
     place = np.zeros(int(kinds[-1]) + 1 if len(kinds) else 1, np.int64)
@@ -256,7 +283,7 @@ def write_segment(doc_ids: list[int | None], lengths: np.ndarray, ids: np.ndarra
     table = np.array([(min(block, len(ids) - i * block), len(b), zlib.crc32(raw[i * block:(i + 1) * block].tobytes())) for i, b in enumerate(blocks)], "<u4")
     known = np.array([d is not None for d in doc_ids], bool)
     return b"".join([
-        HEAD.pack(MAGIC, 1, block, len(ids), len(kinds), len(lengths), len(blocks)), kinds.astype("<u4").tobytes(),
+        HEAD.pack(MAGIC, VERSION, block, len(ids), len(kinds), len(lengths), len(blocks)), kinds.astype("<u4").tobytes(),
         np.array([d if d is not None else 0 for d in doc_ids], "<i8").tobytes(), np.packbits(known).tobytes(),
         np.asarray(lengths).astype("<u4").tobytes(), table.tobytes(), *(b.astype("<u4").tobytes() for b in blocks)])
 
@@ -265,7 +292,7 @@ def read_segment(data: bytes, only: list[int] | None = None) -> tuple[list[int |
     """(doc ids, lengths, ids) of a segment, or with ``only`` the ids of these blocks (rising numbers). A block whose
     checksum does not match raises ValueError."""
     magic, version, block, n_ids, n_kinds, n_docs, n_blocks = HEAD.unpack_from(data)
-    if magic != MAGIC or version != 1:
+    if magic != MAGIC or version != VERSION:
         raise ValueError("not a token segment")
     at = HEAD.size
 

@@ -11,6 +11,7 @@ from tokenizers import Tokenizer
 
 from riskspark.llm import rangecoder as R
 from riskspark.llm import tokenfiles as F
+from riskspark.llm.bpe import encode_slice
 
 
 @pytest.mark.parametrize("n", [0, 1, 2, 63, 64, 65, 255, 257, 2047, 2048, 2049, 9000])
@@ -139,3 +140,36 @@ def test_many_rows_of_one_id_are_dealt(spark, tmp_path):
     assert len(sizes) >= 4 and max(sizes) < 2.5 * sum(sizes) / len(sizes)
     out = F.read_tokens(spark, str(tmp_path / "t"))
     assert out.count() == 20_000 and out.agg({"start": "max"}).first()[0] + out.orderBy("start", ascending=False).first().n_tokens == sum(sizes)
+
+
+def test_marks_at_the_end_of_a_word_are_encoded_apart():
+    """A word is asked of the library once, whatever marks end it; ids are those of the plain call."""
+    class Shared:
+        with open(P.path("byte_bpe_50k.json"), "rb") as f:
+            value = f.read()
+
+    encode_words, parts = F._tools(Shared())
+    asked, plain = [], encode_words.encode
+    encode_words.encode = lambda ws: (asked.extend(ws), plain(ws))[1]
+    words = ["word", "Été", "x9", "it's", "don't", "日本", "ﬀ", "a²", "'s", "'", "$", "x<|endoftext|>", "<|endoftext|>!", "a.b", "Ж"]
+    marks = ["", ".", "!!", ",***", "'", "'.", "''s", "'s", '"', "|>", "…", "_", "-\u00a0-"]
+    rnd = np.random.default_rng(3)
+    texts = ["", *(w + m for w in words for m in marks), "\n", " a", "a ", "a\n\nb", "a\tb. c", "a \n b", "a\u2003b! c", "a\x1cb! c", "one.\ntwo, three\n!four"]
+    texts += [rnd.choice([" ", "\n"]).join(rnd.choice(words) + rnd.choice(marks[:-1]) for _ in range(50)) for _ in range(40)]
+    t = Tokenizer.from_file(P.path("byte_bpe_50k.json"))
+    want = [t.encode(x, add_special_tokens=False).ids for x in texts]
+    for _ in range(2):
+        flat, sizes = encode_slice(texts, parts, encode_words)
+        assert sizes.tolist() == list(map(len, want)) and flat.tolist() == [x for own in want for x in own]
+    assert asked.count(" word") == asked.count("word") == 1 and not {"word.", " word!!", " Été,***"} & set(asked)
+
+
+def test_bound_of_a_block():
+    ids = np.arange(5)
+    for block in (0, R.MOST_BLOCK + 1):
+        with pytest.raises(ValueError):
+            R.write_segment([1], np.array([5]), ids, block)
+    ids = np.random.default_rng(8).zipf(1.1, 30_000) % 70_000  # in one lane: totals far beyond 2^24
+    ids[10_000:20_000] = 7
+    for block, n in ((R.MOST_BLOCK, 30_000), (1, 300)):
+        assert (R.read_segment(R.write_segment([1], np.array([n]), ids[:n], block))[2] == ids[:n]).all()
