@@ -1,5 +1,7 @@
 """The grid of boosted trees against a plain numpy version."""
 
+from dataclasses import astuple
+
 import numpy as np
 import pytest
 from pyspark.ml.linalg import Vectors
@@ -176,3 +178,20 @@ def test_equal_rows_are_one_cell(spark, monkeypatch):
             pos, neg = p[y[fold == f] == 1], p[y[fold == f] == 0]
             assert abs(scores[i][f] - ((pos[:, None] > neg).mean() + 0.5 * (pos[:, None] == neg).mean())) < 1e-9
     fit.close()
+
+
+def test_queries_search_the_whole_grid(spark, monkeypatch):
+    """grid_search_gbt and grid_search_facts: every point of the reference's grid, with all its trees, on 5 folds."""
+    from itertools import product
+
+    from riskspark.plans import ml_queries as Q
+    x, y = make(60, 4)
+    tr = spark.createDataFrame([(i, Vectors.dense(v), int(c)) for i, (v, c) in enumerate(zip(x, y))], ["doc_id", "features", Q.LABEL])
+    seen = []
+    monkeypatch.setattr(B.Boosting, "fit", lambda self, points, whole=True: seen.append((points, whole, self.folds, self.rows)))
+    Q._searched_trees(tr)
+    [(points, whole, folds, rows)] = seen
+    r = (len(y) - sum(y)) / sum(y)
+    assert whole and folds == 5 and rows == 60
+    want = sorted(product((100, 150, 200), (3, 4, 5), (0.03, 0.05, 0.1), (1.0, r, 0.75 * r), (0.8, 1.0), (0.8, 1.0)))
+    assert len(points) == 324 and np.allclose(sorted(astuple(p) for p in points), want)
