@@ -1,7 +1,9 @@
 """Boosted trees with second-order gain (M13) and the search of a whole grid in one pass.
 
 Spark's own boosted trees have no L2 leaf term and draw columns per node, and a grid of them is one fit for each
-point and fold. Here all models of a grid (one for each point and fold, and one on all rows) grow side by side:
+point and fold. Here all models of a grid (one for each point and fold, and one on all rows) grow side by side. Cells of at most HELD
+bytes are sent to every task, which grows its share of the models to the end (``_whole``: one Spark job); larger ones stay where they
+are and the models' sums are sent, level by level (steps 2 and 4). Both give the same trees, but for the order of additions:
 
 1. features are cut into at most ``max_bins`` bins once (all their values where there are few, quantiles else), rows
    become bytes; rows of the same bins and label are one cell, which keeps the keys and folds of its rows (a row is drawn by its own
@@ -13,8 +15,8 @@ point and fold. Here all models of a grid (one for each point and fold, and one
 4. every CHECKPOINT trees the cells' margins are written, which bounds what a job has to score anew and what a lost
    executor costs.
 
-What is held per cell grows with the number of models (8 bytes each), not with the trees. The trees on the driver
-are bounded by models x trees x 2^(depth + 1).
+What is held per cell grows with the number of models (8 bytes each), not with the trees. The trees (models x trees x
+2^(depth + 1) nodes) are on the driver where cells stay, and else in a table, of which the models that are asked for are read.
 
 Gradients: p - y and p (1 - p) of the logistic loss, times the positive weight for rows of class 1. A leaf is worth
 -G / (H + l2) x rate; a split's gain is GL^2/(HL + l2) + GR^2/(HR + l2) - G^2/(H + l2) and must be positive, both
@@ -45,8 +47,16 @@ MOST = 8_000_000  # cells x models of a task, where there are more than the core
 BLOCK = 400_000  # cells x models that a task handles at once
 READ = 4_000_000  # cells x models that a task reads at once
 PATTERNS = 128  # features that take at most so many values together are added up together
+HELD = 128_000_000  # bytes of cells up to which tasks hold them all and the models are dealt out
+TRIES = 80_000_000  # cells x models x trees of a task that holds all cells
+START = 1_000_000  # cells x models x trees for which such a task is worth its start
+RENEW = 20  # trees after which exp(-margin) is worked out anew
+NEAR = 65_536  # cells x models that such a task adds up at once: what stays in a core's own memory
+TOGETHER = 12  # models whose splits such a task looks for at once, or more where the cells are few
 TIE = 1e-9
 CELLS = "_x binary, _y int, _keys binary, _folds binary, _m binary"
+BUNDLE = "x binary, y binary, rows binary, keys binary, folds binary"
+GROWN = "model int, stage int, p double, pos long, neg long, feature binary, cut binary, value binary, cover binary"
 
 
 @dataclass(frozen=True)
@@ -131,27 +141,37 @@ def places(forest: Forest, tree: int, x: np.ndarray, levels: int) -> np.ndarray:
     leaf above that level cells go left."""
     place = np.zeros((len(forest.feature), x.shape[1]), np.uint8 if levels <= 8 else np.uint32)
     for level in range(levels):
-        right = np.zeros(place.shape, bool)
-        for k in range(2**level):
-            f, c = forest.feature[:, tree, 2**level - 1 + k], forest.cut[:, tree, 2**level - 1 + k].astype(np.uint8)
-            own = np.flatnonzero(f >= 0)
-            if len(own) == len(f):
-                right |= (x[f] > c[:, None]) & (place == k)
-            elif len(own):
-                right[own] |= (x[f[own]] > c[own, None]) & (place[own] == k)
-        place = 2 * place + right
+        place = _below(place, forest, tree, x, level)
     return place
 
 
+def _below(place: np.ndarray, forest: Forest, tree: int, x: np.ndarray, level: int) -> np.ndarray:
+    """Places among the nodes below those of ``level``."""
+    right = np.zeros(place.shape, bool)
+    for k in range(2**level):
+        f, c = forest.feature[:, tree, 2**level - 1 + k], forest.cut[:, tree, 2**level - 1 + k].astype(np.uint8)
+        own = np.flatnonzero(f >= 0)
+        if len(own) == len(f):
+            right |= (x[f] > c[:, None]) & (place == k)
+        elif len(own):
+            right[own] |= (x[f[own]] > c[own, None]) & (place[own] == k)
+    return 2 * place + right
+
+
+def _leaves(forest: Forest, tree: int, depth: int) -> np.ndarray:
+    """(models, nodes after ``depth`` splits): what a row that comes there is worth."""
+    value = forest.value[:, tree].copy()
+    for node in range(2**depth - 1):  # what a leaf is worth, down to the last level
+        value[:, 2 * node + 1] = np.where(forest.feature[:, tree, node] >= 0, value[:, 2 * node + 1], value[:, node])
+    return value[:, 2**depth - 1:2 ** (depth + 1) - 1]
+
+
 def add_trees(margins: np.ndarray, forest: Forest, x: np.ndarray, depth: int) -> np.ndarray:
     """Margins (models, cells) after the trees of ``forest``."""
     m, width = len(forest.feature), 2**depth
     for t in range(forest.feature.shape[1]):
-        value = forest.value[:, t].copy()
-        for node in range(width - 1):  # what a leaf is worth, down to the last level
-            value[:, 2 * node + 1] = np.where(forest.feature[:, t, node] >= 0, value[:, 2 * node + 1], value[:, node])
         at = places(forest, t, x, depth) + np.arange(m, dtype=np.int64)[:, None] * width
-        margins = margins + value[:, width - 1:].reshape(-1)[at]
+        margins = margins + _leaves(forest, t, depth).reshape(-1)[at]
     return margins
 
 
@@ -237,7 +257,7 @@ def _bin(cuts: list[np.ndarray]):
     return run
 
 
-def _packs(x: np.ndarray, bins: list[int]) -> list[tuple[np.ndarray, np.ndarray, list[int]]]:
+def _packs(x: np.ndarray, bins: list[int], most: int = PATTERNS) -> list[tuple[np.ndarray, np.ndarray, list[int]]]:
     """Features in packs: number of its pattern for each cell, a cell of each pattern, features."""
     out: list[tuple[np.ndarray, np.ndarray, list[int]]] = []
     code, first, own = np.zeros(x.shape[1], np.int64), np.zeros(1, np.int64), []
@@ -247,7 +267,7 @@ def _packs(x: np.ndarray, bins: list[int]) -> list[tuple[np.ndarray, np.ndarray,
         for _ in range(2):
             both = code * b + x[j]
             there = np.flatnonzero(np.bincount(both, minlength=len(first) * b))
-            if len(there) <= PATTERNS or not own:
+            if len(there) <= most or not own:
                 break
             out.append((code, first, own))
             code, first, own = np.zeros(x.shape[1], np.int64), np.zeros(1, np.int64), []
@@ -293,28 +313,34 @@ def split_sums(cells: Cells, own: np.ndarray, since: Forest, forest: Forest, lev
     return out
 
 
-def best_splits(sums: list[np.ndarray], allowed: np.ndarray, l2: float, min_child: float) -> np.ndarray:
-    """(models, nodes, 7): feature (-1: none), cut, gain, GL, HL, G, H of the best split of each node; ``allowed`` says by
-    (model, feature) which features may be used."""
-    m, width = sums[0].shape[:2]
-    out = np.zeros((m, width, 7))
+def all_cuts(bins: Sequence[int]) -> np.ndarray:
+    """(2, cuts): feature and number of each cut, feature by feature."""
+    return np.concatenate([np.zeros((2, 0), int), *(np.stack([np.full(b - 1, j), np.arange(b - 1)]) for j, b in enumerate(bins))], axis=1)
+
+
+def best_splits(left: np.ndarray, total: np.ndarray, cuts: np.ndarray, allowed: np.ndarray, l2: float, min_child: float) -> np.ndarray:
+    """(models, nodes, 7): feature (-1: none), cut, gain, GL, HL, G, H of the best split of each node. ``left``: gradients and hessians
+    (2, models, nodes, cuts) up to each of the ``cuts``; ``total``: those of the nodes; ``allowed`` says by (model, feature) which features
+    may be used."""
+    out = np.zeros((*total.shape[1:], 7))
     out[..., 0] = -1
-    total = sums[0][:, :, 0]
-    out[..., 5:] = total
-    whole = total[..., 0] ** 2 / (total[..., 1] + l2)
-    for j, s in enumerate(sums[1:]):
-        left = np.cumsum(s, axis=2)
-        if not left.shape[2]:
-            continue
-        right = total[:, :, None] - left
-        gain = left[..., 0] ** 2 / (left[..., 1] + l2) + right[..., 0] ** 2 / (right[..., 1] + l2) - whole[:, :, None]
-        ok = (left[..., 1] >= min_child) & (right[..., 1] >= min_child) & allowed[:, j][:, None, None]
-        gain = np.where(ok, gain, -np.inf)
-        top = gain.max(axis=2)
-        first = (gain >= (top - TIE * np.abs(top))[:, :, None]).argmax(axis=2)
-        better = top > np.maximum(out[..., 2] * (1 + TIE), TIE)
-        pick = np.take_along_axis(left, first[:, :, None, None].repeat(2, 3), 2)[:, :, 0]
-        out[better] = np.concatenate([np.full((*top.shape, 1), j), first[..., None], top[..., None], pick, total], -1)[better]
+    out[..., 5], out[..., 6] = total
+    if not cuts.shape[1]:
+        return out
+    right = total[..., None] - left
+    ok = (left[1] >= min_child) & (right[1] >= min_child) & allowed[:, None, cuts[0]]
+    gain, other = left[0] ** 2, right[0] ** 2
+    gain /= left[1] + l2
+    other /= right[1] + l2
+    gain += other
+    gain -= (total[0] ** 2 / (total[1] + l2))[..., None]
+    gain[~ok] = -np.inf
+    top = gain.max(axis=2)
+    first = (gain >= (top - TIE * np.abs(top))[..., None]).argmax(axis=2)
+    better = top > TIE
+    m, k = np.nonzero(better)
+    at = first[m, k]
+    out[m, k, 0], out[m, k, 1], out[m, k, 2], out[m, k, 3], out[m, k, 4] = cuts[0, at], cuts[1, at], top[m, k], left[0, m, k, at], left[1, m, k, at]
     return out
 
 
@@ -340,8 +366,9 @@ def _choose(cuts_n, width: int, groups: list[np.ndarray], allowed: np.ndarray, l
                 added[g] = added[g] + own if g in added else own
         ends = np.cumsum([1, *(b - 1 for b in cuts_n)])
         for g, flat in added.items():
-            sums = np.split(flat.reshape(len(groups[g]), width, ends[-1], 2), ends[:-1], axis=2)
-            yield pa.record_batch({"group": pa.array([g], pa.int32()), "data": pa.array([best_splits(sums, allowed[groups[g]], l2, min_child).tobytes()], pa.binary())})
+            total, *sums = np.split(np.moveaxis(flat.reshape(len(groups[g]), width, ends[-1], 2), 3, 0), ends[:-1], axis=3)
+            left = np.concatenate([np.cumsum(x, axis=3) for x in sums], axis=3)
+            yield pa.record_batch({"group": pa.array([g], pa.int32()), "data": pa.array([best_splits(left, total[..., 0], all_cuts(cuts_n), allowed[groups[g]], l2, min_child).tobytes()], pa.binary())})
     return run
 
 
@@ -361,6 +388,189 @@ def _advance(models: int, dim: int, since: Forest, depth: int):
     return run
 
 
+def _enter(now: Forest, best: np.ndarray, level: int, open_: np.ndarray, rate: np.ndarray, l2: float) -> None:
+    """Enters a level's splits, and the values that their children have as leaves."""
+    width = 2**level
+    nodes = np.arange(width) + width - 1
+    leaf = lambda g, h: -g / (h + l2) * rate[:, None]
+    g_left, h_left, g, h = (best[..., i] for i in (3, 4, 5, 6))
+    if level == 0:
+        now.value[:, 0, 0], now.cover[:, 0, 0] = np.where(open_, leaf(g, h)[:, 0], 0.0), h[:, 0]
+    split = (best[..., 0] >= 0) & open_[:, None]
+    now.feature[:, 0, nodes] = np.where(split, best[..., 0], -1)
+    now.cut[:, 0, nodes] = np.where(split, best[..., 1], 0)
+    for child, cg, ch in ((2 * nodes + 1, g_left, h_left), (2 * nodes + 2, g - g_left, h - h_left)):
+        now.value[:, 0, child] = np.where(split, leaf(cg, ch), 0.0)
+        now.cover[:, 0, child] = np.where(split, ch, 0.0)
+
+
+def _bundle(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+    """A row of bytes for each batch of cells."""
+    for batch in batches:
+        if batch.num_rows:
+            x, y, keys, folds = (batch.column(batch.schema.get_field_index(c)) for c in ("_x", "_y", "_keys", "_folds"))
+            (key, ends), number = _binary(keys), lambda v: np.asarray(v).astype(np.int32)
+            yield pa.record_batch([pa.array([v.tobytes()], pa.binary()) for v in (_binary(x)[0], number(y), number(np.diff(ends) // 8), key, _binary(folds)[0])],
+                                  ["x", "y", "rows", "keys", "folds"])
+
+
+class Held:
+    """All cells of the table, those of equal bins and different labels as one: its rows count by fold and label."""
+
+    def __init__(self, bundles: list[dict[str, bytes]], bins: list[int], folds: Sequence[int]):
+        join = lambda name, kind: np.frombuffer(b"".join(b[name] for b in bundles), kind)
+        y, rows = join("y", np.int32), join("rows", np.int32)
+        x = join("x", np.uint8).reshape(len(y), len(bins))
+        first, cell = np.unique(np.ascontiguousarray(x).view(f"V{len(bins)}")[:, 0], return_index=True, return_inverse=True)[1:]
+        self.x = np.ascontiguousarray(x[first].T)
+        self.labels, label = np.unique(y, return_inverse=True)
+        self.key, fold = join("keys", np.uint64), join("folds", np.int32)
+        self.folds = sorted(set(folds))
+        known = np.searchsorted(self.folds, fold)
+        known[~np.isin(fold, self.folds)] = len(self.folds)  # seen by all models
+        place = (known * len(self.labels) + np.repeat(label, rows)) * len(first) + np.repeat(cell, rows)
+        order = np.argsort(place, kind="stable")
+        self.place, self.key = place[order], self.key[order]
+        self.all = self.counts(np.ones(len(self.place)))
+        self.packs, at = [], np.cumsum([0, *(b - 1 for b in bins)])
+        for code, cells, features in _packs(self.x, bins, int(np.clip(len(first) // 32, PATTERNS, 320))):
+            column = np.concatenate([np.arange(at[j], at[j + 1]) for j in features]) if features else np.zeros(0, np.int64)
+            upto = np.concatenate([self.x[j, cells][:, None] <= np.arange(bins[j] - 1)[None, :] for j in features], axis=1) if features else np.zeros((1, 0))
+            self.packs.append((code, len(cells), column, upto.astype(float)))
+        self.cuts, self.tiles = all_cuts(bins), {}
+
+    def counts(self, drawn: np.ndarray) -> np.ndarray:
+        """Drawn rows by (fold, label, cell); ``drawn``: 1 or 0 for each row."""
+        shape = len(self.folds) + 1, len(self.labels), self.x.shape[1]
+        return np.bincount(self.place, drawn, shape[0] * shape[1] * shape[2]).reshape(shape)
+
+    def drawn(self, tree: int, share: float, seed: int) -> np.ndarray:
+        if share >= 1.0:
+            return self.all
+        return self.counts(np.concatenate([(draw(self.key[i:i + READ], tree, seed) < share).astype(float) for i in range(0, len(self.key), READ)]))
+
+    def codes(self, models: int) -> list[np.ndarray]:
+        """Patterns of the cells by pack, repeated for so many models."""
+        if models not in self.tiles:
+            self.tiles[models] = [np.tile(code, models) for code, *_ in self.packs]
+        return self.tiles[models]
+
+    def sums(self, slots: int, slot: np.ndarray | None, codes: list[np.ndarray], g: np.ndarray, h: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
+        """Gradients and hessians of cells by slot, up to each cut (2, slots, cuts) and in all (2, slots); no slot: the only one."""
+        left, total = np.empty((2, slots, self.cuts.shape[1])), np.empty((2, slots))
+        for n, (code, (_, size, column, upto)) in enumerate(zip(codes, self.packs)):
+            key = code if slot is None else slot * size + code
+            for k, v in enumerate((g, h)):
+                added = np.bincount(key, v, slots * size).reshape(slots, size)
+                left[k][:, column] = added @ upto
+                if not n:
+                    total[k] = added.sum(axis=1)
+        return left, total
+
+    def grow(self, odds: np.ndarray, weights: list[np.ndarray], seen: list[np.ndarray], allowed: np.ndarray, depth: int, rate: np.ndarray, l2: float, min_child: float) -> tuple[Forest, np.ndarray, np.ndarray]:
+        """A tree for each row of ``odds``, the odds against class 1 (models, cells) so far; the values of the nodes where cells end (models,
+        nodes), and the node of each cell. By model: ``weights`` of a row and of its label by label, and counts (label, cell) of ``seen`` rows.
+        Sums are added up for the lighter child of each split; the other child has the rest."""
+        m, n = odds.shape
+        step = max(1, NEAR // n)
+        blocks = [slice(i, min(m, i + step)) for i in range(0, m, step)]
+        g, h = np.empty((m, n)), np.empty((m, n))
+        now, place = Forest.empty(m, 1, depth), np.zeros((m, n), np.uint8 if depth <= 8 else np.uint32)
+        left, total = np.empty((2, m, 1, self.cuts.shape[1])), np.empty((2, m, 1))
+        for block in blocks:
+            for j in range(block.start, block.stop):
+                whole, labels = weights[j] @ seen[j]
+                p = 1.0 / (1.0 + odds[j])
+                np.multiply(whole, p, out=g[j])
+                np.multiply(g[j], 1.0 - p, out=h[j])
+                g[j] -= labels
+            k = block.stop - block.start
+            left[:, block, 0], total[:, block, 0] = self.sums(k, np.repeat(np.arange(k), n) if k > 1 else None, self.codes(k), g[block].reshape(-1), h[block].reshape(-1))
+        for level in range(depth):
+            width = 2**level
+            best = best_splits(left, total, self.cuts, allowed, l2, min_child)
+            _enter(now, best, level, np.ones(m, bool), rate, l2)
+            split = best[..., 0] >= 0
+            if not split.any():
+                break
+            place = _below(place, now, 0, self.x, level)
+            if level + 1 == depth:
+                level = depth
+                break
+            right = 2 * best[..., 4] > best[..., 6]  # the right child is the lighter one
+            light = np.stack([split & ~right, split & right], axis=2).reshape(m, -1)
+            less, part = np.empty(left.shape), np.empty(total.shape)
+            for block in blocks:
+                k = block.stop - block.start
+                at = (place[block] + np.arange(k)[:, None] * (2 * width) if k > 1 else place[block]).reshape(-1)
+                own = np.flatnonzero(light[block].reshape(-1).take(at))
+                sums = self.sums(k * width, (at.take(own) >> 1).astype(np.int64), [c.take(own) for c in self.codes(k)], g[block].reshape(-1).take(own), h[block].reshape(-1).take(own))
+                less[:, block], part[:, block] = (x.reshape(2, k, width, *x.shape[2:]) for x in sums)
+            rest = np.where(split[..., None], left - less, 0.0), np.where(split, total - part, 0.0)
+            left, total = (np.stack([np.where(r, b, a), np.where(r, a, b)], axis=3).reshape(2, m, 2 * width, *a.shape[3:])
+                           for r, a, b in ((right[..., None], less, rest[0]), (right, part, rest[1])))
+        return now, _leaves(now, 0, level), place
+
+
+def _whole(models: Models, ends: np.ndarray, stages: list[int], bins: list[int], groups: list[np.ndarray], l2: float, min_child: float, seed: int):
+    """Grows the models of a group over all cells, which each group gets: their trees, and at each stage the distinct probabilities
+    of the rows that a model has not seen, with numbers of rows of class 1 and others."""
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        bundles: dict[int, list] = {}
+        for batch in batches:
+            for r in batch.to_pylist():
+                bundles.setdefault(r.pop("group"), []).append(r)
+        held = None
+        for group in sorted(bundles):
+            held = held or Held(bundles[group], bins, models.folds)  # the same cells for each group
+            yield from grow(held, groups[group])
+
+    def grow(held: Held, own: np.ndarray) -> Iterator[pa.RecordBatch]:
+        own = own[np.lexsort((ends[own], models.array("depth")[own], models.array("row_share")[own]))]  # models that grow together are side by side
+        mine, n, dim = models.take(own), held.x.shape[1], len(bins)
+        deep, rate, weight, share, columns = (mine.array(x) for x in ("depth", "rate", "positive_weight", "row_share", "column_share"))
+        fold, last, depth, step = np.searchsorted(held.folds, mine.folds), ends[own], max(p.depth for p in models.points), max(TOGETHER, NEAR // n)
+        weights = np.where(held.labels[None, :] == 1, weight[:, None], 1.0)
+        weights = np.stack([weights, weights * held.labels], axis=1)
+        forest, margins, odds = Forest.empty(len(own), stages[-1], depth), np.zeros((len(own), n)), np.ones((len(own), n))
+        for tree in range(stages[-1]):
+            allowed = {c: columns_of(tree, c, dim, seed) for c in set(columns.tolist())}
+            for s in set(share[last > tree].tolist()):
+                drawn = held.drawn(tree, s, seed)
+                whole = drawn.sum(axis=0)
+                seen = {f: whole - drawn[f] for f in set(fold.tolist())}
+                for d in set(deep[(share == s) & (last > tree)].tolist()):
+                    alike = np.flatnonzero((share == s) & (deep == d) & (last > tree))
+                    for i in range(alike[0], alike[-1] + 1, step):
+                        some = slice(i, min(alike[-1] + 1, i + step))
+                        now, value, place = held.grow(odds[some], weights[some], [seen[f] for f in fold[some]], np.stack([allowed[c] for c in columns[some].tolist()]), d, rate[some], l2, min_child)
+                        anew, factor = tree % RENEW == RENEW - 1 or np.abs(value).max() > 30.0, np.exp(-value)
+                        for j in range(some.start, some.stop):
+                            margins[j] += value[j - i].take(place[j - i])
+                            if anew:  # exp(-margin) by its factors drifts, and may be too large
+                                np.exp(-margins[j], out=odds[j])
+                            else:
+                                odds[j] *= factor[j - i].take(place[j - i])
+                        for of, by in ((forest.feature, now.feature), (forest.cut, now.cut), (forest.value, now.value), (forest.cover, now.cover)):
+                            of[some, tree, :by.shape[2]] = by[:, 0]
+            if tree + 1 in stages:
+                for j, f in enumerate(mine.folds):
+                    left_out = held.all[fold[j]]
+                    at = np.flatnonzero(left_out.sum(axis=0))
+                    p, place = np.unique(1.0 / (1.0 + np.exp(-margins[j, at])), return_inverse=True)
+                    pos, neg = (np.bincount(place, left_out[k].sum(axis=0)[at], len(p)).astype(np.int64) for k in (held.labels == 1, held.labels != 1))
+                    if len(p):
+                        yield _row(len(p), model=own[j], stage=tree + 1, p=p, pos=pos, neg=neg)
+        for j, i in enumerate(own):
+            yield _row(1, model=i, stage=0, **{k: [getattr(forest, k)[j].tobytes()] for k in ("feature", "cut", "value", "cover")})
+
+    def _row(n: int, **columns) -> pa.RecordBatch:
+        kinds = {"model": pa.int32(), "stage": pa.int32(), "p": pa.float64(), "pos": pa.int64(), "neg": pa.int64()}
+        return pa.record_batch({k: pa.nulls(n, kinds.get(k, pa.binary())) if k not in columns else pa.array(np.full(n, columns[k]) if np.isscalar(columns[k]) else columns[k], kinds.get(k, pa.binary()))
+                                for k in (c.split()[0] for c in GROWN.split(", "))})
+    return run
+
+
 def _held_out(models: Models, dim: int, config: np.ndarray):
     """Per config and fold: the distinct probabilities by the model that has not seen the fold's rows, with numbers of rows of
     class 1 and others."""
@@ -444,9 +654,32 @@ class Boosting:
         folds = [*range(self.folds), *([-1] if whole or not self.folds else [])]
         models = Models(tuple(c for c in configs for _ in folds), tuple(f for _ in configs for f in folds))
         last = {c: max(p.trees for p in points if replace(p, trees=0) == c) for c in configs}
-        n, depth, dim = len(models.folds), max(c.depth for c in configs), len(self.bins)
+        ends = np.array([last[c] for c in models.points])
+        if self.bins and self.cells and 12 * self.rows + (len(self.bins) + 8) * self.cells <= HELD:
+            self._grow_whole(models, ends, stages)
+            return GridFit(self, list(points), configs, models, None, stages)
+        return GridFit(self, list(points), configs, models, self._grow_levels(models, ends, stages), stages)
+
+    def _grow_whole(self, models: Models, ends: np.ndarray, stages: list[int]) -> None:
+        """Every task holds all cells and grows some models to the end; models of one row share are together."""
+        n, share = len(models.folds), models.array("row_share")
+        work, cores = self.cells * n * stages[-1], self.spark.sparkContext.defaultParallelism
+        tasks = min(n, max(-(-work // TRIES), min(3 * cores, -(-work // START))))
+        groups = []
+        for s in sorted(set(share.tolist())):
+            own = np.flatnonzero(share == s)
+            parts = max(1, round(tasks * len(own) / n))
+            groups += [own[i::parts] for i in range(min(parts, len(own)))]  # dealt in turn: each has all depths
+        bundles = self._read("cells").mapInArrow(_bundle, BUNDLE)
+        # the cells have at most HELD bytes
+        dealt = self.spark.range(0, len(groups), 1, len(groups)).select(F.col("id").cast("int").alias("group")).crossJoin(F.broadcast(bundles))
+        self._write(dealt.mapInArrow(_whole(models, ends, stages, self.bins, groups, self.l2, self.min_child, self.seed), GROWN), "grown", GROWN)
+
+    def _grow_levels(self, models: Models, ends: np.ndarray, stages: list[int]) -> Forest:
+        """Cells stay in their tasks, sums are sent level by level; margins are written at each stage."""
+        n, depth, dim = len(models.folds), max(c.depth for c in models.points), len(self.bins)
         forest = Forest.empty(n, stages[-1], depth)
-        deep, rate, ends = models.array("depth"), models.array("rate"), np.array([last[c] for c in models.points])
+        deep, rate = models.array("depth"), models.array("rate")
         # a cell's work is that of all models: cells are spread by it, to at most as many tasks as shuffles have
         work, cores = self.cells * n, self.spark.sparkContext.defaultParallelism
         tasks = max(1, min(shuffle_partitions(self.spark), -(-work // WORK), max(cores, -(-work // MOST))))
@@ -466,7 +699,7 @@ class Boosting:
                 best[..., 0] = -1
                 for r in found.collect():  # one row for each group of models
                     best[own[groups[r.group]]] = np.frombuffer(r.data, np.float64).reshape(-1, 2**level, 7)
-                self._grow(now, best, level, np.isin(np.arange(n), own), rate)
+                _enter(now, best, level, np.isin(np.arange(n), own), rate, self.l2)
             forest.feature[:, tree], forest.cut[:, tree], forest.value[:, tree], forest.cover[:, tree] = (x[:, 0] for x in (now.feature, now.cut, now.value, now.cover))
             if (tree + 1) % CHECKPOINT == 0 or tree + 1 in stages:
                 after = self._write(state.mapInArrow(_advance(n, dim, forest.part(at, tree + 1), depth), CELLS), f"after-{tree + 1}")
@@ -475,22 +708,7 @@ class Boosting:
                     drop_path(self.spark, f"{self.root}/{name}")
                 state, at, name = after.persist(), tree + 1, f"after-{tree + 1}"
         state.unpersist()
-        return GridFit(self, list(points), configs, models, forest, stages)
-
-    def _grow(self, now: Forest, best: np.ndarray, level: int, open_: np.ndarray, rate: np.ndarray) -> None:
-        """Enters a level's splits, and the values that their children have as leaves."""
-        width = 2**level
-        nodes = np.arange(width) + width - 1
-        leaf = lambda g, h: -g / (h + self.l2) * rate[:, None]
-        g_left, h_left, g, h = (best[..., i] for i in (3, 4, 5, 6))
-        if level == 0:
-            now.value[:, 0, 0], now.cover[:, 0, 0] = np.where(open_, leaf(g, h)[:, 0], 0.0), h[:, 0]
-        split = (best[..., 0] >= 0) & open_[:, None]
-        now.feature[:, 0, nodes] = np.where(split, best[..., 0], -1)
-        now.cut[:, 0, nodes] = np.where(split, best[..., 1], 0)
-        for child, cg, ch in ((2 * nodes + 1, g_left, h_left), (2 * nodes + 2, g - g_left, h - h_left)):
-            now.value[:, 0, child] = np.where(split, leaf(cg, ch), 0.0)
-            now.cover[:, 0, child] = np.where(split, ch, 0.0)
+        return forest
 
 
 @dataclass
@@ -500,14 +718,28 @@ class GridFit:
     points: list[Point]
     configs: list[Point]
     models: Models
-    forest: Forest
+    forest: Forest | None  # None: in the table "grown"
     stages: list[int]
 
+    def trees_of(self, own: Sequence[int], trees: int) -> Forest:
+        """The first trees of these models."""
+        if self.forest is not None:
+            return self.forest.part(0, trees, np.array(own, int))
+        if not len(own):
+            return Forest.empty(0, trees, max(c.depth for c in self.configs))
+        rows = self.boosting._read("grown", GROWN).where(F.col("stage") == 0).where(F.col("model").isin([int(i) for i in own]))
+        found = {r.model: r for r in rows.select("model", "feature", "cut", "value", "cover").collect()}  # a row for each of these models
+        kinds = {"feature": np.int16, "cut": np.int16, "value": float, "cover": float}
+        return Forest(*(np.stack([np.frombuffer(found[i][k], kind).reshape(self.stages[-1], -1)[:trees] for i in own]) for k, kind in kinds.items()))
+
     def held_out(self, stage: int) -> DataFrame:
         """Config, fold, probabilities of the fold's rows by the config's model that has not seen them, and numbers of rows of
         class 1 and others; a probability may come more than once."""
         b = self.boosting
         config = np.array([self.configs.index(p) for p in self.models.points])
+        if self.forest is None:
+            numbers = F.array(*map(F.lit, config.tolist())), F.array(*map(F.lit, self.models.folds))
+            return b._read("grown", GROWN).where(F.col("stage") == stage).select(*(F.get(x, F.col("model")).alias(c) for x, c in zip(numbers, ("config", "_fold"))), "p", "pos", "neg")
         return b._read(f"after-{stage}").mapInArrow(_held_out(self.models, len(b.bins), config), "config int, _fold int, p double, pos long, neg long")
 
     def scores(self) -> DataFrame:
@@ -539,15 +771,15 @@ class GridFit:
         rows = b._read("start", b.schema)
         keep = list(dict.fromkeys([*b.keep, "_y"]))
         schema = StructType([rows.schema[c] for c in keep] + StructType.fromDDL("p_oof double").fields)
-        scored = rows.mapInArrow(_out_of_fold(self.forest.part(0, point.trees, own), np.array(self.models.folds)[own], len(b.bins), max(c.depth for c in self.configs), keep), schema)
+        scored = rows.mapInArrow(_out_of_fold(self.trees_of(own.tolist(), point.trees), np.array(self.models.folds)[own], len(b.bins), max(c.depth for c in self.configs), keep), schema)
         return scored.select(*b.keep, *([F.col("_y").alias(b.label)] if b.label not in b.keep else []), "p_oof")
 
     def model(self, point: Point, fold: int = -1) -> BoostedTrees:
         """The point's model on all rows, or the one that has not seen ``fold``."""
         i = next(i for i, (p, f) in enumerate(zip(self.models.points, self.models.folds)) if p == replace(point, trees=0) and f == fold)
-        trees = []
+        trees, own = [], self.trees_of([i], point.trees)
         for t in range(point.trees):
-            feature, cut, value, cover = (x[i, t] for x in (self.forest.feature, self.forest.cut, self.forest.value, self.forest.cover))
+            feature, cut, value, cover = (x[0, t] for x in (own.feature, own.cut, own.value, own.cover))
             threshold = [float(self.boosting.cuts[f][c]) if f >= 0 else 0.0 for f, c in zip(feature.tolist(), cut.tolist())]
             trees.append({"feature": feature.astype(int), "threshold": np.array(threshold), "value": value, "cover": cover})
         return BoostedTrees(trees, point)

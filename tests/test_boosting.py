@@ -180,6 +180,32 @@ def test_equal_rows_are_one_cell(spark, monkeypatch):
     fit.close()
 
 
+def test_dealt_models_equal_dealt_cells(spark, monkeypatch):
+    """Models grown in tasks that hold all cells are those of sums sent level by level: nodes, scores, ranks, out-of-fold probabilities."""
+    monkeypatch.setattr(B, "START", 1)  # many tasks
+    monkeypatch.setattr(B, "RENEW", 3)
+    x, y = make(240, 11)
+    x[100:], y[100:] = x[:140], y[:140]  # equal rows, some of them with both labels
+    y[120:130] = 1 - y[120:130]
+    rows = [(i, Vectors.dense(v), None if i % 40 == 39 else int(c), None if i % 30 == 29 else i % 3) for i, (v, c) in enumerate(zip(x, y))]
+    df = spark.createDataFrame(rows, ["k", "features", "label", "fold"]).repartition(5)
+    points = [p for share in (0.7, 1.0) for rate in (0.1, 0.6) for p in (B.Point(7, 3, rate, 0.4, share, 0.6), B.Point(3, 3, rate, 0.4, share, 0.6), B.Point(5, 1, rate, 2.5, share))]
+    found = []
+    for most in (B.HELD, 0):
+        monkeypatch.setattr(B, "HELD", most)
+        fit = B.Boosting(df, "features", "label", ["k"], "fold").fit(points)
+        assert (fit.forest is None) == (most > 0)
+        scores = [(r.point, r["rank"], r.mean_auc, [tuple(f) for f in r.folds]) for r in fit.scores().orderBy("point").collect()]
+        oof = [sorted((r.k, r.label, r.p_oof) for r in fit.out_of_fold(p).collect()) for p in points[:3]]
+        held = [sorted(map(tuple, fit.held_out(s).groupBy("config", "_fold").sum("pos", "neg").collect())) for s in fit.stages]
+        found.append((scores, oof, held, [fit.model(p, f).rows() for p in points for f in (-1, 0, 1, 2)]))
+        fit.close()
+    (scores, oof, held, trees), (scores_, oof_, held_, trees_) = found
+    assert held == held_ and [s[:2] for s in scores] == [s[:2] for s in scores_]
+    assert all(np.allclose([a[2], *np.ravel(a[3])], [b[2], *np.ravel(b[3])], atol=1e-12) for a, b in zip(scores, scores_))
+    assert all(len(a) == len(b) and np.allclose(a, b, atol=1e-9) for a, b in zip([*oof, *trees], [*oof_, *trees_]))
+
+
 def test_queries_search_the_whole_grid(spark, monkeypatch):
     """grid_search_gbt and grid_search_facts: every point of the reference's grid, with all its trees, on 5 folds."""
     from itertools import product
