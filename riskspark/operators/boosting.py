@@ -516,13 +516,14 @@ def _whole(models: Models, ends: np.ndarray, stages: list[int], bins: list[int],
     """Grows the models of a group over all cells, which each group gets: their trees, and at each stage the distinct probabilities
     of the rows that a model has not seen, with numbers of rows of class 1 and others."""
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        bundles: dict[int, list] = {}
+        cells: dict[int, list] = {}
         for batch in batches:
             for r in batch.to_pylist():
-                bundles.setdefault(r.pop("group"), []).append(r)
-        held = None
-        for group in sorted(bundles):
-            held = held or Held(bundles[group], bins, models.folds)  # the same cells for each group
+                cells.setdefault(r.pop("group"), []).append(r)
+        todo = sorted(cells)
+        held = Held(cells[todo[0]], bins, models.folds) if todo else None  # the same cells for each group
+        cells.clear()
+        for group in todo:
             yield from grow(held, groups[group])
 
     def grow(held: Held, own: np.ndarray) -> Iterator[pa.RecordBatch]:
